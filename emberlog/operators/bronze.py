@@ -2,47 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import BRONZE_COLUMNS, MESSAGE_FIELDS, MESSAGE_SCHEMA
-from ..sources.topics import decode
+from ..schemas import BRONZE_COLUMNS, FIREWALL_TOPICS, MESSAGE_FIELDS, MESSAGE_SCHEMA
+from ..sources.topics import records
 
 # Parity key (the message's event_id) and the key the pipeline profile uses.
 PARITY_KEYS = ("event_id",)
 FULL_KEYS = ("device_id", "ts", "seq", "event_id")
-SURVIVOR_ORDER = ("kafka_offset", "kafka_topic")
 
 
-def dedup_first(df: DataFrame, keys, order=SURVIVOR_ORDER) -> DataFrame:
-    """One row per ``keys``: the row with the smallest ``order`` tuple.
+def survivor_code(topics, offset: str = "kafka_offset", topic: str = "kafka_topic",
+                  partition: str | None = None) -> Column:
+    """One ``long`` that orders records by (offset, topic name, partition).
 
-    ``min_by`` is an ordinary aggregate, so it is combined map-side before the
-    shuffle: a key holding a third of all rows is reduced inside each input
-    task and never gathered into one task as raw rows.  The survivor does not
-    depend on partitioning or row order.  Null keys form one group.
+    A record of a topic log is identified by (topic, partition, offset), so
+    the code is unique per record.  Bounds: offsets < 2^49, at most 8
+    topics, partitions < 1024 (checked at run time).
+    """
+    names = sorted(set(topics))
+    if len(names) > 8:
+        raise ValueError("survivor_code supports at most 8 topics")
+    rank = F.array_position(F.array(*[F.lit(t) for t in names]), F.col(topic)) - 1
+    part = F.col(partition) if partition else F.lit(0)
+    part = F.when((part >= 0) & (part < 1024), part).otherwise(
+        F.raise_error(F.lit("topic partition outside [0, 1024)")))
+    return (F.col(offset) * 8192 + rank * 1024 + part).cast("long")
+
+
+def dedup_first(df: DataFrame, keys, code: Column) -> DataFrame:
+    """One row per ``keys``: the row with the smallest ``code``.
+
+    ``row_number() = 1`` over the key: Catalyst plans a *partial* window
+    group limit before the shuffle (each map task keeps only its best row
+    per key), so a key holding a third of all rows is reduced inside every
+    input task and only one row per task and key crosses the network.  The
+    survivor does not depend on partitioning or row order; null keys form
+    one group.  (No self-join: a join over the parser's deep projection
+    lineage would make the optimizer push it down expression by expression.)
     """
     keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*others), F.struct(*[F.col(c) for c in order]))
-    return (df.groupBy(*keys).agg(best.alias("_w"))
-            .select(*keys, "_w.*").select(*df.columns))
+    w = Window.partitionBy(*keys).orderBy(F.col("_code"))
+    return (df.withColumn("_code", code)
+            .withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") == 1)
+            .drop("_rn", "_code"))
 
 
-def flatten(log: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
-    """Decode the JSON value and flatten to the bronze columns."""
-    d = decode(log, MESSAGE_SCHEMA)
+def flatten(log: DataFrame, ingest_ts: Column | None = None,
+            keep_partition: bool = False) -> DataFrame:
+    """Decode the message (JSON or typed log) and flatten to the bronze columns."""
+    d = records(log, MESSAGE_SCHEMA)
     ing = ingest_ts if ingest_ts is not None else F.current_timestamp()
     fields = [n for n, _ in MESSAGE_FIELDS if n != "ingested_at"]
+    extra = [F.col("partition").alias("_partition")] if keep_partition else []
     return d.select(ing.cast("timestamp").alias("ingested_at"),
                     F.col("topic").alias("kafka_topic"),
                     F.col("offset").cast("long").alias("kafka_offset"),
-                    *fields).select(*BRONZE_COLUMNS)
+                    *fields, *extra).select(*BRONZE_COLUMNS, *[e for e in
+                                            (["_partition"] if keep_partition else [])])
 
 
 def to_bronze(log: DataFrame, ingest_ts: Column | None = None,
-              keys=PARITY_KEYS) -> DataFrame:
-    """Topic log -> bronze rows (non-blank device_id, one row per key)."""
-    flat = flatten(log, ingest_ts)
+              keys=PARITY_KEYS, topics=FIREWALL_TOPICS) -> DataFrame:
+    """Topic log -> bronze rows (non-blank device_id, one row per key).
+
+    ``topics`` are the topics read (they fix the survivor order by name).
+    """
+    flat = flatten(log, ingest_ts, keep_partition=True)
     flat = flat.where(F.col("device_id").isNotNull() & (F.trim("device_id") != ""))
-    return dedup_first(flat, keys) if keys else flat
+    if keys:
+        flat = dedup_first(flat, keys, survivor_code(topics, partition="_partition"))
+    return flat.drop("_partition")

@@ -18,7 +18,7 @@ from ..schemas import (DEVICES_FIELDS, NETWORK_FIELDS, PERFORMANCE_FIELDS,
                        TOPIC_NETWORK, TOPIC_PERFORMANCE, TOPIC_RAW,
                        TOPIC_SECURITY, TOPIC_TRAFFIC, TRAFFIC_FIELDS,
                        queue_schema)
-from ..sources.topics import decode
+from ..sources.topics import records
 
 # table -> (topic, declared fields)
 TABLES = {
@@ -38,7 +38,7 @@ def load_table(log: DataFrame, table: str, fallback=None,
                ingest_ts: Column | None = None) -> DataFrame:
     """Rows of ``table`` from its topic in ``log`` (topic-log rows)."""
     topic, fields = TABLES[table]
-    d = decode(_topic(log, topic), queue_schema(fields), keep=())
+    d = records(_topic(log, topic), queue_schema(fields), keep=())
     cols = []
     for name, typ in fields:
         c = F.col(name)
@@ -65,7 +65,7 @@ def load_devices(log: DataFrame, seen_ts: Column | str | None = None,
     schema = queue_schema([("device_id", StringType()), ("program", StringType()),
                            ("tag", StringType()), ("ts", StringType()),
                            ("ingested_at", StringType())])
-    d = decode(_topic(log, TOPIC_DEVICES), schema, keep=())
+    d = records(_topic(log, TOPIC_DEVICES), schema, keep=())
     if seen_ts is None:
         seen = F.current_timestamp()
     elif isinstance(seen_ts, str) and seen_ts == "event":

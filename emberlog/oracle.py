@@ -145,7 +145,7 @@ fwt AS (
          ELSE 'fg_raw_all' END AS first_topic
   FROM fwb),
 fws0 AS (
-  SELECT *,
+  SELECT * REPLACE (trim(message) AS message),
     CASE WHEN ts_kind IN (2, 6) OR (ts_kind = 3 AND k <> 99)
            THEN date_trunc('millisecond', src_ts)
          WHEN ts_kind = 3 THEN TIMESTAMP '__RUN_TS__'

@@ -22,7 +22,7 @@ from ..operators.serving import TABLES, load_devices, load_table
 from ..operators.silver import to_silver
 from ..schemas import TOPIC_NETWORK
 from ..sources import bridge
-from ..sources.topics import encode
+from ..sources.topics import encode, typed_log
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,8 +44,11 @@ def batch_events(spark, sf_dir, lines: DataFrame | None = None) -> DataFrame:
     return parse_batch_lines(lines, keep=["line_no"])
 
 
-def batch_topic_log(spark, sf_dir, lines: DataFrame | None = None) -> DataFrame:
-    return encode(route(batch_events(spark, sf_dir, lines), "batch"), offset_col="line_no")
+def batch_topic_log(spark, sf_dir, lines: DataFrame | None = None,
+                    json: bool = False) -> DataFrame:
+    """Routed batch events as a topic log (typed in-plan; ``json`` encodes)."""
+    routed = route(batch_events(spark, sf_dir, lines), "batch")
+    return encode(routed, offset_col="line_no") if json else typed_log(routed)
 
 
 def bronze(spark, sf_dir, keys=FULL_KEYS, lines=None, ingest_ts=None) -> DataFrame:
@@ -63,8 +66,9 @@ def rt_events(spark, sf_dir, lines: DataFrame | None = None) -> DataFrame:
     return parse_rt_lines(lines, id_mode="source", keep=["line_no"])
 
 
-def rt_topic_log(spark, sf_dir, lines=None) -> DataFrame:
-    return encode(route(rt_events(spark, sf_dir, lines), "realtime"), offset_col="line_no")
+def rt_topic_log(spark, sf_dir, lines=None, json: bool = False) -> DataFrame:
+    routed = route(rt_events(spark, sf_dir, lines), "realtime")
+    return encode(routed, offset_col="line_no") if json else typed_log(routed)
 
 
 # --- network ---------------------------------------------------------------
@@ -76,9 +80,9 @@ def network_events(spark, sf_dir, fallback, lines=None) -> DataFrame:
                                  keep=["line_no"])
 
 
-def network_topic_log(spark, sf_dir, fallback, lines=None) -> DataFrame:
-    ev = network_events(spark, sf_dir, fallback, lines)
-    return encode(ev.withColumn("topic", F.lit(TOPIC_NETWORK)), offset_col="line_no")
+def network_topic_log(spark, sf_dir, fallback, lines=None, json: bool = False) -> DataFrame:
+    ev = network_events(spark, sf_dir, fallback, lines).withColumn("topic", F.lit(TOPIC_NETWORK))
+    return encode(ev, offset_col="line_no") if json else typed_log(ev)
 
 
 # --- serving ---------------------------------------------------------------

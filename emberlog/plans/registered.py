@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import oracle as O
-from ..catalog import register
+from ..catalog import REGISTRY, register
 from ..operators import gold as G
 from ..operators import views as V
 from ..operators.bronze import FULL_KEYS, PARITY_KEYS
@@ -359,3 +359,69 @@ SELECT * FROM (
     log_type AS category, message FROM nwt)
 ORDER BY ts DESC, event_id LIMIT 1000"""))(
     _view("v_global_events", ["t_security", "t_network_logs"]))
+
+
+_SQL = {k: v[1] for k, v in REGISTRY.items()}
+
+# ---------------------------------------------------------------------------
+# Stored tables, multi-stage runs, streaming
+# ---------------------------------------------------------------------------
+
+@register("overwrite_idempotent", _SQL["silver_clean"])
+def q_overwrite_idempotent(spark, sf_dir) -> DataFrame:
+    """Silver written with dynamic partition overwrite, one day rewritten, read back."""
+    from ..session import shared_dir
+    from ..sources.tables import overwrite_partitions, scan, with_partition
+    spark = _s(spark)
+    path = shared_dir(spark, "overwrite") + "/fg_events_clean"
+    silver, part = with_partition(flows.silver(spark, sf_dir, RUN_TS), "fg_events_clean")
+    overwrite_partitions(silver, path, part)
+    overwrite_partitions(silver.where(F.col(part) == F.lit("2024-01-15").cast("date")), path, part)
+    return scan(spark, path).drop("ingested_at", part)
+
+
+@register("medallion_kpi_hourly", _SQL["gold_kpi_hourly"])
+def q_medallion_kpi_hourly(spark, sf_dir) -> DataFrame:
+    """Full bronze/silver/gold run through stored tables, then a day-range rerun."""
+    from ..session import shared_dir
+    from ..sources.tables import scan
+    from .medallion import run_medallion
+    spark = _s(spark)
+    root = shared_dir(spark, "medallion")
+    log = flows.batch_topic_log(spark, sf_dir)
+    run_medallion(spark, log, root, fallback=RUN_TS)
+    run_medallion(spark, log, root, days=("2024-01-10", "2024-01-12"), fallback=RUN_TS)
+    return scan(spark, f"{root}/gold/fg_kpi_hourly").drop("window_date")
+
+
+def _stream_topics(spark, sf_dir):
+    from ..session import shared_dir
+    from ..streaming.ingest import start_fanout
+    root = shared_dir(spark, "stream")
+    flows.firewall_lines(spark, sf_dir).select("value").write.text(f"{root}/lines")
+    q = start_fanout(spark, f"{root}/lines", f"{root}/topics", f"{root}/chk-fanout",
+                     available_now=True, max_files=4)
+    q.awaitTermination()
+    return root
+
+
+@register("stream_fanout", _SQL["route_counts_rt"])
+def q_stream_fanout(spark, sf_dir) -> DataFrame:
+    """File stream of lines -> parse -> fan-out -> topic log; counts per topic."""
+    from ..schemas import TOPIC_LOG_SCHEMA
+    spark = _s(spark)
+    root = _stream_topics(spark, sf_dir)
+    log = spark.read.schema(TOPIC_LOG_SCHEMA).parquet(f"{root}/topics")
+    return log.groupBy("topic").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+@register("stream_device_latest", _SQL["device_latest"])
+def q_stream_device_latest(spark, sf_dir) -> DataFrame:
+    """Topic-log stream -> latest row per device merged per micro-batch."""
+    from ..streaming.ingest import read_latest, start_device_latest
+    spark = _s(spark)
+    root = _stream_topics(spark, sf_dir)
+    q = start_device_latest(spark, f"{root}/topics", f"{root}/devices", f"{root}/chk-dev",
+                            seen_ts="event", fallback=RUN_TS, available_now=True)
+    q.awaitTermination()
+    return read_latest(spark, f"{root}/devices")

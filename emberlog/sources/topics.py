@@ -38,6 +38,38 @@ def encode(df: DataFrame, topic_col: str = "topic", offset_col: str | None = "li
     )
 
 
+def typed_log(routed: DataFrame, topic_col: str = "topic", offset_col: str = "line_no",
+              partition: Column | None = None) -> DataFrame:
+    """Routed rows as an in-plan topic log with a *typed* payload.
+
+    Same coordinates as ``encode`` (topic, partition, offset) but the payload
+    stays as columns.  Used when producer and consumer run in one plan: no
+    JSON round trip, and filters on payload fields stay simple.  Consumers
+    accept both forms through ``records``.
+    """
+    payload = [c for c in routed.columns if c not in (topic_col, offset_col)]
+    return routed.select(
+        F.col(topic_col).alias("topic"),
+        (partition if partition is not None else F.lit(0)).cast("int").alias("partition"),
+        F.col(offset_col).cast("long").alias("offset"), *payload)
+
+
+def records(log: DataFrame, schema: StructType,
+            keep=("topic", "partition", "offset")) -> DataFrame:
+    """Payload of a topic log as ``schema`` columns.
+
+    A JSON log (``value`` column) is decoded; a typed log is projected to the
+    schema (absent fields null, others cast), which is what decoding its JSON
+    would give.
+    """
+    if "value" in log.columns:
+        return decode(log, schema, keep)
+    have = set(log.columns)
+    cols = [(F.col(f.name).cast(f.dataType) if f.name in have
+             else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+    return log.select(*[F.col(k) for k in keep], *cols)
+
+
 def decode(log: DataFrame, schema: StructType, keep=("topic", "partition", "offset")) -> DataFrame:
     """Topic log -> typed columns (``from_json``, PERMISSIVE).
 
