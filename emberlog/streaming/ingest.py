@@ -45,8 +45,11 @@ def start_fanout(spark: SparkSession, lines_path: str, topic_path: str, checkpoi
                  max_files: int | None = None, available_now: bool = False,
                  interval: str | None = None) -> StreamingQuery:
     lines = stream_lines(spark, lines_path, max_files)
-    parsed = parse_rt_lines(lines, id_mode="uuid")
-    log = encode(route(parsed, profile), offset_col=None)
+    # A file stream has no record offsets: a content hash of the line and its
+    # file stands in (stable across replays of the same file).
+    lines = lines.withColumn("line_no", F.xxhash64("value", F.col("_metadata.file_path")))
+    parsed = parse_rt_lines(lines, id_mode="uuid", keep=["line_no"])
+    log = encode(route(parsed, profile), offset_col="line_no")
     if fmt == "kafka":
         w = (log.select("topic", "value").writeStream.format("kafka")
              .option("kafka.bootstrap.servers", topic_path))
