@@ -20,7 +20,10 @@ from ..operators.route import route
 from ..session import ensure_session
 from . import flows
 
-RUN_TS = F.lit(O.RUN_TS).cast("timestamp")
+
+def run_ts():
+    """The pinned processing time (a Column; built lazily, needs a session)."""
+    return F.lit(O.RUN_TS).cast("timestamp")
 
 
 def _s(spark):
@@ -57,7 +60,7 @@ def q_parse_rt_lines(spark, sf_dir) -> DataFrame:
 SELECT line_no, event_id, device_id, ts, program, log_type, message, src_ip, dst_ip,
        mac_address, raw_length FROM nwt"""))
 def q_parse_network_lines(spark, sf_dir) -> DataFrame:
-    return flows.network_events(_s(spark), sf_dir, RUN_TS)
+    return flows.network_events(_s(spark), sf_dir, run_ts())
 
 
 @register("severity_batch", O.fw("""
@@ -146,7 +149,7 @@ SELECT event_time, first_topic AS kafka_topic, event_id, device_id, message, tag
   is_anomaly, hour_of_day, day_of_week, proto_label, latency_bucket, is_vpn_failure
 FROM fws"""))
 def q_silver_clean(spark, sf_dir) -> DataFrame:
-    return flows.silver(_s(spark), sf_dir, RUN_TS).drop("ingested_at")
+    return flows.silver(_s(spark), sf_dir, run_ts()).drop("ingested_at")
 
 
 # ---------------------------------------------------------------------------
@@ -159,7 +162,7 @@ _AVG_BYTES = "CAST(sum(CAST(total_bytes AS DECIMAL(38,0))) AS DOUBLE) / count(to
 
 def _gold(name):
     def run(spark, sf_dir):
-        return G.GOLD[name](flows.silver(_s(spark), sf_dir, RUN_TS))
+        return G.GOLD[name](flows.silver(_s(spark), sf_dir, run_ts()))
     return run
 
 
@@ -226,7 +229,7 @@ _RT_PERF = "fwr WHERE sentbyte > 0 OR rcvdbyte > 0 OR latency > 0"
 
 def _serving(name):
     def run(spark, sf_dir):
-        t = flows.serving_tables(_s(spark), sf_dir, RUN_TS, names=[name])[name]
+        t = flows.serving_tables(_s(spark), sf_dir, run_ts(), names=[name])[name]
         return t.drop("ingested_at")
     return run
 
@@ -244,7 +247,7 @@ SELECT event_id, device_id, ts_value AS ts, program, log_type, message, src_ip,
 
 
 def _devices(spark, sf_dir):
-    return flows.serving_tables(_s(spark), sf_dir, RUN_TS, names=["t_devices"])["t_devices"] \
+    return flows.serving_tables(_s(spark), sf_dir, run_ts(), names=["t_devices"])["t_devices"] \
         .drop("ingested_at")
 
 
@@ -283,7 +286,7 @@ def _round2_sql(col="latency"):
 
 def _view(name, tables, post=None):
     def run(spark, sf_dir):
-        t = flows.serving_tables(_s(spark), sf_dir, RUN_TS, names=tables)
+        t = flows.serving_tables(_s(spark), sf_dir, run_ts(), names=tables)
         out = V.VIEWS[name](t)
         return post(out) if post else out
     return run
@@ -374,7 +377,7 @@ def q_overwrite_idempotent(spark, sf_dir) -> DataFrame:
     from ..sources.tables import overwrite_partitions, scan, with_partition
     spark = _s(spark)
     path = shared_dir(spark, "overwrite") + "/fg_events_clean"
-    silver, part = with_partition(flows.silver(spark, sf_dir, RUN_TS), "fg_events_clean")
+    silver, part = with_partition(flows.silver(spark, sf_dir, run_ts()), "fg_events_clean")
     overwrite_partitions(silver, path, part)
     overwrite_partitions(silver.where(F.col(part) == F.lit("2024-01-15").cast("date")), path, part)
     return scan(spark, path).drop("ingested_at", part)
@@ -389,8 +392,8 @@ def q_medallion_kpi_hourly(spark, sf_dir) -> DataFrame:
     spark = _s(spark)
     root = shared_dir(spark, "medallion")
     log = flows.batch_topic_log(spark, sf_dir)
-    run_medallion(spark, log, root, fallback=RUN_TS)
-    run_medallion(spark, log, root, days=("2024-01-10", "2024-01-12"), fallback=RUN_TS)
+    run_medallion(spark, log, root, fallback=run_ts())
+    run_medallion(spark, log, root, days=("2024-01-10", "2024-01-12"), fallback=run_ts())
     return scan(spark, f"{root}/gold/fg_kpi_hourly").drop("window_date")
 
 
@@ -422,6 +425,6 @@ def q_stream_device_latest(spark, sf_dir) -> DataFrame:
     spark = _s(spark)
     root = _stream_topics(spark, sf_dir)
     q = start_device_latest(spark, f"{root}/topics", f"{root}/devices", f"{root}/chk-dev",
-                            seen_ts="event", fallback=RUN_TS, available_now=True)
+                            seen_ts="event", fallback=run_ts(), available_now=True)
     q.awaitTermination()
     return read_latest(spark, f"{root}/devices")
