@@ -20,7 +20,7 @@ from ..operators.parse_rt import parse_rt_lines
 from ..operators.route import route
 from ..operators.serving import TABLES, load_devices, load_table
 from ..operators.silver import to_silver
-from ..schemas import TOPIC_NETWORK
+from ..schemas import TOPIC_DEVICES, TOPIC_NETWORK
 from ..sources import bridge
 from ..sources.topics import encode, typed_log
 
@@ -66,8 +66,11 @@ def rt_events(spark, sf_dir, lines: DataFrame | None = None) -> DataFrame:
     return parse_rt_lines(lines, id_mode="source", keep=["line_no"])
 
 
-def rt_topic_log(spark, sf_dir, lines=None, json: bool = False) -> DataFrame:
-    routed = route(rt_events(spark, sf_dir, lines), "realtime")
+def rt_topic_log(spark, sf_dir, lines=None, json: bool = False,
+                 only: list[str] | None = None) -> DataFrame:
+    """Routed real-time events; ``only`` restricts the fan-out to some topics
+    (a consumer of one topic then expands each event at most once)."""
+    routed = route(rt_events(spark, sf_dir, lines), "realtime", only=only)
     return encode(routed, offset_col="line_no") if json else typed_log(routed)
 
 
@@ -92,16 +95,16 @@ def serving_tables(spark, sf_dir, fallback, ingest_ts=None,
     """Serving tables loaded from the real-time and network topic logs."""
     names = names or list(TABLES) + ["t_devices"]
     out = {}
-    fw_log = None
     for name in names:
         if name == "t_network_logs":
             out[name] = load_table(network_topic_log(spark, sf_dir, fallback), name,
                                    fallback, ingest_ts)
             continue
-        fw_log = fw_log if fw_log is not None else rt_topic_log(spark, sf_dir)
+        topic = TOPIC_DEVICES if name == "t_devices" else TABLES[name][0]
+        log = rt_topic_log(spark, sf_dir, only=[topic])
         if name == "t_devices":
-            out[name] = load_devices(fw_log, seen_ts="event", fallback=fallback,
+            out[name] = load_devices(log, seen_ts="event", fallback=fallback,
                                      ingest_ts=ingest_ts)
         else:
-            out[name] = load_table(fw_log, name, fallback, ingest_ts)
+            out[name] = load_table(log, name, fallback, ingest_ts)
     return out
