@@ -59,3 +59,26 @@ def test_streaming_serving_append_equals_batch(spark):
     batch = load_table(flows.rt_topic_log(spark, SF), "t_security")
     assert streamed.count() == batch.count() > 0
     assert set(os.listdir(root + "/t_security")) >= {"_spark_metadata"}
+
+
+def test_line_files_equal_in_memory_lines(spark):
+    from emberlog.operators.parse_batch import parse_batch_lines
+    from emberlog.sources.lines import non_blank, read_lines
+    root = shared_dir(spark, "lines")
+    flows.firewall_lines(spark, SF).select("value").write.text(root + "/in")
+    from_files = parse_batch_lines(non_blank(read_lines(spark, root + "/in"))).drop("ingested_at")
+    in_memory = flows.batch_events(spark, SF).drop("ingested_at", "line_no")
+    assert from_files.count() == in_memory.count() > 0
+    assert from_files.exceptAll(in_memory).count() == 0
+
+
+def test_views_queryable_with_sql(spark):
+    from emberlog.operators.views import register_views
+    from emberlog.plans.registered import run_ts
+    tables = flows.serving_tables(spark, SF, run_ts())
+    names = register_views(spark, tables)
+    assert len(names) == 11
+    n = spark.sql("SELECT count(*) FROM v_top_threat_ips").collect()[0][0]
+    assert 0 < n <= 50
+    assert spark.sql("SELECT sum(nb_events) FROM v_network_log_types").collect()[0][0] == \
+        tables["t_network_logs"].count()
