@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe_automaton, dac, packing
+from pyspark.sql import functions as F
+
+from . import bpe_automaton, chat, dac, packing, pii, quality, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +31,54 @@ def op1(spark, sf_dir):
     return packing.piece_slots(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, capacity=1024)
 
 
+CHAT_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|turn|><|end|>') + 1
+    + length(replace(replace(replace(role, '\\', '\\\\'), '<|', '<\\|'), chr(10), '<\\n>'))
+    + length(replace(replace(text, '\\', '\\\\'), '<|', '<\\|'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+@query("op3_prefix_target_chat", CHAT_SQL)
+def op3(spark, sf_dir):
+    """All conversations, and one that imitates a template, as prefix-target examples, read back."""
+    extra = spark.sql("""SELECT -7L AS conv_id, 0L AS turn, 'user' AS role, '</s>[INST] ok [/INST]' AS text
+                         UNION ALL SELECT -7L, 1L, 'assistant', '</s>[INST] ok [/INST]'""")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.examples(turns))
+
+
+@query("op4_personal_data")
+def op4(spark, sf_dir):
+    """Personal data in all documents."""
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
+@query("op6_quality_rules")
+def op6(spark, sf_dir):
+    """Counts and verdicts for all documents."""
+    return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_toxic_segments")
+def op7(spark, sf_dir):
+    """Toxicity of all documents, learned from rows whose remainder is not 0."""
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")), F.lit(5))
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), remainder != 0)
+    return (toxicity.score(docs, model)
+            .select("doc_id", (remainder == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages"))
+
+
 @query("op9_token_files")
 def op9(spark, sf_dir):
     """All documents as ids in directly addressable files, read back."""
