@@ -21,6 +21,7 @@ from tokenizers import Tokenizer
 from .common import text_column
 
 CACHE_ENTRIES = 500_000
+WORDS = 100_000
 GATHER_CHUNKS = 1 << 20
 
 # ASCII white space, the separators 0x1C-0x1F (cut conservatively), and the
@@ -79,19 +80,27 @@ def chunk_column(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.nd
     return chunks, np.searchsorted(starts, ends)
 
 
-class ChunkCache(dict):
-    """Distinct chunk -> its ids (unsigned 32-bit, little endian), at most ``CACHE_ENTRIES`` between steps."""
+class Recent(dict):
+    """key -> ``make(key)``, made once while it is in use.
 
-    def __init__(self, encode):
+    When more than ``limit`` keys are held, ``trim`` puts them aside; those
+    asked for again come back, the rest go at the next ``trim``.
+    """
+
+    def __init__(self, make, limit: int = CACHE_ENTRIES):
         super().__init__()
-        self.encode = encode
+        self.make, self.limit, self.aside = make, limit, {}
 
-    def __missing__(self, chunk):
-        out = self[chunk] = array("I", self.encode(chunk)).tobytes()
+    def __missing__(self, key):
+        out = self.aside.get(key)
+        if out is None:
+            out = self.make(key)
+        self[key] = out
         return out
 
     def trim(self) -> None:
-        if len(self) > CACHE_ENTRIES:
+        if len(self) > self.limit:
+            self.aside = dict(self)
             self.clear()
 
 
@@ -106,15 +115,7 @@ def library_encoder(path: str, word_ends: bool):
     tokenizer.no_truncation()
     tokenizer.no_padding()
     model = tokenizer.model
-    words: dict[str, list[int]] = {}
-
-    def word(text: str) -> list[int]:
-        ids = words.get(text)
-        if ids is None:
-            if len(words) > CACHE_ENTRIES // 2:
-                words.clear()
-            ids = words[text] = [t.id for t in model.tokenize(letters(text))]
-        return ids
+    words = Recent(lambda text: [t.id for t in model.tokenize(letters(text))], WORDS)
 
     def encode(chunk: str) -> list[int]:
         plain = _PLAIN.fullmatch(chunk)
@@ -123,22 +124,27 @@ def library_encoder(path: str, word_ends: bool):
         body, marks = plain.groups()
         if word_ends:
             body = body.lstrip(" ").lower()
-        return word(body) + word(marks) if marks else word(body)
+        words.trim()
+        return words[body] + words[marks] if marks else words[body]
 
     return encode
 
 
-_CACHES: dict[tuple, ChunkCache] = {}
+_CACHES: dict[tuple, Recent] = {}
 
 
-def worker_cache(key: tuple, build) -> ChunkCache:
-    """The cache of this Python worker for ``key``; ``build()`` gives its ``chunk -> ids``."""
+def worker_cache(key: tuple, build) -> Recent:
+    """This Python worker's cache for ``key``: chunk -> ids as unsigned 32-bit little endian.
+
+    ``build()`` gives the function from a chunk to its ids.
+    """
     if key not in _CACHES:
-        _CACHES[key] = ChunkCache(build())
+        encode = build()
+        _CACHES[key] = Recent(lambda chunk: array("I", encode(chunk)).tobytes())
     return _CACHES[key]
 
 
-def library_cache(path: str, word_ends: bool = False) -> ChunkCache:
+def library_cache(path: str, word_ends: bool = False) -> Recent:
     return worker_cache(("library", path, word_ends), lambda: library_encoder(path, word_ends))
 
 
@@ -154,7 +160,7 @@ def spread(values: np.ndarray, starts: np.ndarray, counts: np.ndarray, index: np
     return np.concatenate(parts) if parts else values[:0]
 
 
-def encode_column(texts: pa.Array, cache: ChunkCache) -> tuple[np.ndarray, np.ndarray]:
+def encode_column(texts: pa.Array, cache: Recent) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in one array, and where each text's ids begin (with the end)."""
     chunks, first = chunk_column(text_column(texts))
     coded = chunks.dictionary_encode()
