@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, chat, dac, packing, pii, quality, toxicity
+from . import ann, bpe_automaton, chat, dac, packing, pii, quality, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,13 @@ def op1(spark, sf_dir):
     return packing.piece_slots(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, capacity=1024)
 
 
+@query("op2_adaptive_scan_neighbours")
+def op2(spark, sf_dir):
+    """The 20 nearest rows of every row whose vec_id is divisible by 20."""
+    vectors = ann.valid_vectors(table(spark, sf_dir, "embeddings"))
+    return ann.search(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
 CHAT_SQL = """
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
