@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import ann, bpe_automaton, chat, dac, packing, pii, quality, toxicity
+from . import ann, bpe_automaton, chat, dac, near_dup, packing, pii, quality, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,6 +70,12 @@ def op4(spark, sf_dir):
     return pii.digests(pii.find(table(spark, sf_dir, "documents")))
 
 
+@query("op5_multi_index_near_dup")
+def op5(spark, sf_dir):
+    """Near-duplicate groups of all documents, by 4-word shingles."""
+    return near_dup.classes(table(spark, sf_dir, "documents"), words=4)
+
+
 @query("op6_quality_rules")
 def op6(spark, sf_dir):
     """Counts and verdicts for all documents."""
