@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import ann, bpe_automaton, chat, dac, near_dup, packing, pii, quality, toxicity
+from . import ann, bpe_automaton, chat, dac, line_dedup, near_dup, packing, pii, quality, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -92,6 +92,14 @@ def op7(spark, sf_dir):
             .select("doc_id", (remainder == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages"))
 
 
+@query("op8_aligned_line_dedup")
+def op8(spark, sf_dir):
+    """All documents without the blocks that stand in earlier ones."""
+    cleaned = line_dedup.clean(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
+                          F.length(F.coalesce("text", F.lit(""))).alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op9_token_files")
 def op9(spark, sf_dir):
     """All documents as ids in directly addressable files, read back."""
