@@ -159,7 +159,8 @@ def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFr
 
 def pack_documents(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their ids and slots: the packed corpus, one row per piece."""
-    return pack(cut_documents(docs, tokenizer, word_ends, end_id, capacity), ["doc_id", "piece", "start", "ids"], capacity)
+    pieces = cut_documents(docs, tokenizer, word_ends, end_id, capacity).withColumn("ids_crc32", F.crc32("ids"))
+    return pack(pieces, ["doc_id", "piece", "start", "ids_crc32"], capacity)
 
 
 def piece_slots(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
