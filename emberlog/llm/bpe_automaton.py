@@ -52,8 +52,10 @@ class Automaton:
 
     def __init__(self, labels: dict[int, bytes], merges: list[tuple[int, int, int]]):
         self.labels = labels
-        self.left = {c: (a, rank) for rank, (a, _, c) in enumerate(merges)}
+        self.left: dict[int, tuple[int, int]] = {}
         merged = {c for _, _, c in merges}
+        if len(merged) < len(merges):
+            raise ValueError("two rules make the same token")
         base = [t for t, label in labels.items() if len(label) == 1 and t not in merged]
         self.parent, self.split_at, self.lost = [-1], [NEVER], [{}]
         self.state = dict.fromkeys(base, 0)
@@ -70,7 +72,10 @@ class Automaton:
             node[-1] = token
 
     def _gadget(self, rank: int, a: int, b: int, c: int) -> None:
+        if a not in self.state or b not in self.state or not self.has_arc(self.state[a], b):
+            return  # no text ever gets to this rule
         after_a, after_b = self.state[a], self.state[b]
+        self.left[c] = a, rank
         self.state[c] = after_b
         self._shared[after_b] += 1
         if self._shared[after_a] > 1:
