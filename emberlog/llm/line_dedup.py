@@ -214,9 +214,10 @@ def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def clean(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the blocks deleted from ``text``; ``removed``: the deleted lines, ``n_lines``: lines before."""
     docs = docs.drop("n_lines", "removed")
-    blocks = stored(common_blocks(docs, min_words), "blocks").selectExpr("doc_id id_", "text_key key_", "lines removed")
-    keyed = docs.withColumn("key__", F.expr(TEXT_KEY)).withColumn("id__", F.col("doc_id").cast("long"))
-    joined = (keyed.join(blocks, (F.col("id__") == F.col("id_")) & (F.col("key__") == F.col("key_")), "left")
-              .select(*docs.columns, F.coalesce("removed", F.array().cast("array<int>")).alias("removed")))
+    blocks = stored(common_blocks(docs, min_words), "blocks")
+    # The whole row as one column: no name of the input meets one of ours.
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.expr(TEXT_KEY).alias("text_key"))
+    joined = (keyed.join(blocks, ["doc_id", "text_key"], "left")
+              .select("row.*", F.coalesce("lines", F.array().cast("array<int>")).alias("removed")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema) + ", n_lines int"
     return joined.mapInArrow(_delete, schema)

@@ -306,5 +306,5 @@ def classes(docs: DataFrame, words: int) -> DataFrame:
 
 def deduplicate(docs: DataFrame, words: int = 5) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest doc_id."""
-    out = classes(docs, words).where("not kept").select(F.col("doc_id").alias("dropped_")).distinct()
-    return docs.join(out, F.col("doc_id").cast("long") == F.col("dropped_"), "left_anti")
+    out = classes(docs, words).where("not kept").select(F.col("doc_id").alias("dropped")).distinct()
+    return docs.join(out, docs["doc_id"].cast("long") == out["dropped"], "left_anti")

@@ -118,24 +118,22 @@ def _placer(shared):
         length, rank, _, first, each, offset = shared.value
         keys = (length << 44) + rank
         for batch in batches:
-            own, number = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank_"))
+            own, number = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
             at = np.searchsorted(keys, (own << 44) + number, "right") - 1
             nth = number - rank[at]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in batch.schema.names if c != "rank_"), pa.array(first[at] + nth // each[at]), pa.array(offset[at] + nth % each[at] * own)],
-                names=[*(c for c in batch.schema.names if c != "rank_"), "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(first[at] + nth // each[at]), pa.array(offset[at] + nth % each[at] * own)], names=["row", "sequence_id", "offset"])
     return run
 
 
 def ranked(items: DataFrame, order: list[str]) -> DataFrame:
-    """``rank_``: a number from 0 within each length, by salted groups."""
-    salted = items.withColumn("salt_", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
-    groups = salted.groupBy("length", "salt_").agg(F.count(F.lit(1)).alias("n_"))
-    before = Window.partitionBy("length").orderBy("salt_").rowsBetween(Window.unboundedPreceding, -1)
-    bases = groups.select("length", "salt_", F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("base_"))
-    inside = F.row_number().over(Window.partitionBy("length", "salt_").orderBy(*order))
-    return (salted.withColumn("in_", inside).join(bases, ["length", "salt_"])
-            .withColumn("rank_", F.col("base_") + F.col("in_") - 1).drop("salt_", "base_", "in_"))
+    """row, length, rank: ``rank`` numbers the items of each length from 0, by salted groups."""
+    salted = items.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    groups = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    bases = groups.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inside = F.row_number().over(Window.partitionBy("length", "salt").orderBy(*order))
+    return (salted.withColumn("nth", inside).join(bases, ["length", "salt"])
+            .select("row", "length", (F.col("base") + F.col("nth") - 1).alias("rank")))
 
 
 def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFrame:
@@ -144,17 +142,17 @@ def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFr
     ``order`` names columns that tell items of one length apart.
     """
     spark = items.sparkSession
-    items = items.drop("sequence_id", "offset").withColumn("length", F.col("length").cast("long"))
+    # The whole item as one column: no name of the input meets one of ours.
+    whole = items.drop("sequence_id", "offset").select(F.struct("*").alias("row"), F.col("length").cast("long").alias("length"))
     fits = F.coalesce(F.col("length").between(1, capacity), F.lit(False))
-    good = items.where(fits)
+    good = whole.where(fits)
     histogram = {r["length"]: r["count"] for r in good.groupBy("length").count().collect()}  # at most `capacity` rows
     runs = sorted(plan(histogram, capacity))
     shared = spark.sparkContext.broadcast(tuple(np.array(x, np.int64) for x in zip(*runs)) if runs else (np.zeros(0, np.int64),) * 6)
-    slots = ranked(good, order)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slots.drop("rank_").schema) + ", sequence_id long, offset long"
-    placed = slots.mapInArrow(_placer(shared), schema)
-    unfit = items.where(~fits).select(*items.columns, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
-    return unfit.unionByName(placed)
+    placed = (ranked(good, [f"row.{c}" for c in order])
+              .mapInArrow(_placer(shared), f"row {whole.schema['row'].dataType.simpleString()}, sequence_id long, offset long"))
+    unfit = whole.where(~fits).select("row", F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
+    return unfit.unionByName(placed).select("row.*", "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:

@@ -176,7 +176,7 @@ def test_op1_awkward(spark):
 
 
 def test_pack_replaces_clashing_names_and_keeps_unfit_items(spark):
-    items = spark.createDataFrame([(1, 3, "x"), (2, 3, "x"), (3, None, "x"), (4, 99, "x"), (5, 7, "x")], "k long, length long, offset string")
+    items = spark.createDataFrame([(1, 3, "x", 9), (2, 3, "x", 9), (3, None, "x", 9), (4, 99, "x", 9), (5, 7, "x", 9)], "k long, length long, offset string, rank int")
     got = {r.k: r for r in packing.pack(items, ["k"], 10).collect()}
     assert got[3].sequence_id is got[4].sequence_id is None
     assert len({got[k].sequence_id for k in (1, 2, 5)}) == 2
