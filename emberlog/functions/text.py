@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # ``trim`` in Spark removes spaces only; the parsers strip all ASCII
 # whitespace (space, tab, LF, VT, FF, CR) -- a character-set trim, no regex.
 WHITESPACE = " \t\n\x0b\x0c\r"
-_EDGE_QUOTES = r'^"+|"+$'
 
 
 def col_(c) -> Column:
@@ -30,14 +29,16 @@ def clean_field(c) -> Column:
     return trim_quotes(strip_ws(c))
 
 
-def int_prefix(c, default: int = 0) -> Column:
-    """Leading optionally-signed digits as int (after leading blanks), else default.
+def int_prefix(c, default: int = 0, type_name: str = "int") -> Column:
+    """Leading optionally-signed digits as an integer, commas dropped, else default.
 
     Mirrors the "parse what you can from the left" integer conversion of the
-    batch parser: ``' 12abc'`` -> 12, ``'x'`` -> default.
+    batch parser: ``' 12abc'`` -> 12, ``'1,234'`` -> 1234, ``'443.0'`` -> 443,
+    ``'x'`` -> default; a number too large for the type is the default.  A
+    clean integer takes the plain cast and never meets the regex.
     """
-    digits = F.regexp_extract(col_(c), r"^\s*([+-]?\d+)", 1)
-    return F.coalesce(_try_cast(digits, "int"), F.lit(default))
+    digits = F.regexp_extract(F.replace(col_(c), F.lit(","), F.lit("")), r"^\s*([+-]?\d+)", 1)
+    return F.coalesce(_try_cast(col_(c), type_name), _try_cast(digits, type_name), F.lit(default).cast(type_name))
 
 
 def _try_cast(c: Column, type_name: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import BRONZE_COLUMNS, FIREWALL_TOPICS, MESSAGE_FIELDS, MESSAGE_SCHEMA
+from ..schemas import BRONZE_COLUMNS, MESSAGE_FIELDS, MESSAGE_SCHEMA, TOPIC_RAW
 from ..sources.topics import records
 
 # Parity key (the message's event_id) and the key the pipeline profile uses.
@@ -13,26 +13,13 @@ PARITY_KEYS = ("event_id",)
 FULL_KEYS = ("device_id", "ts", "seq", "event_id")
 
 
-def survivor_code(topics, offset: str = "kafka_offset", topic: str = "kafka_topic",
-                  partition: str | None = None) -> Column:
-    """One ``long`` that orders records by (offset, topic name, partition).
-
-    A record of a topic log is identified by (topic, partition, offset), so
-    the code is unique per record.  Bounds: offsets < 2^49, at most 8
-    topics, partitions < 1024 (checked at run time).
-    """
-    names = sorted(set(topics))
-    if len(names) > 8:
-        raise ValueError("survivor_code supports at most 8 topics")
-    rank = F.array_position(F.array(*[F.lit(t) for t in names]), F.col(topic)) - 1
-    part = F.col(partition) if partition else F.lit(0)
-    part = F.when((part >= 0) & (part < 1024), part).otherwise(
-        F.raise_error(F.lit("topic partition outside [0, 1024)")))
-    return (F.col(offset) * 8192 + rank * 1024 + part).cast("long")
+# The survivor of a key: the first record by offset, then topic name, then
+# partition (a record of a topic log is identified by the three).
+SURVIVOR_ORDER = ("kafka_offset", "kafka_topic", "_partition")
 
 
-def dedup_first(df: DataFrame, keys, code: Column) -> DataFrame:
-    """One row per ``keys``: the row with the smallest ``code``.
+def dedup_first(df: DataFrame, keys, order) -> DataFrame:
+    """One row per ``keys``: the first row by the columns ``order``.
 
     ``row_number() = 1`` over the key: Catalyst plans a *partial* window
     group limit before the shuffle (each map task keeps only its best row
@@ -43,11 +30,8 @@ def dedup_first(df: DataFrame, keys, code: Column) -> DataFrame:
     lineage would make the optimizer push it down expression by expression.)
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(F.col("_code"))
-    return (df.withColumn("_code", code)
-            .withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == 1)
-            .drop("_rn", "_code"))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def flatten(log: DataFrame, ingest_ts: Column | None = None,
@@ -65,13 +49,14 @@ def flatten(log: DataFrame, ingest_ts: Column | None = None,
 
 
 def to_bronze(log: DataFrame, ingest_ts: Column | None = None,
-              keys=PARITY_KEYS, topics=FIREWALL_TOPICS) -> DataFrame:
+              keys=PARITY_KEYS, topics=(TOPIC_RAW,)) -> DataFrame:
     """Topic log -> bronze rows (non-blank device_id, one row per key).
 
-    ``topics`` are the topics read (they fix the survivor order by name).
+    Every event is on the raw topic, so that topic alone is read by default;
+    ``topics=FIREWALL_TOPICS`` reads all and de-duplicates the copies.
     """
-    flat = flatten(log, ingest_ts, keep_partition=True)
+    flat = flatten(log.where(F.col("topic").isin(*topics)), ingest_ts, keep_partition=True)
     flat = flat.where(F.col("device_id").isNotNull() & (F.trim("device_id") != ""))
     if keys:
-        flat = dedup_first(flat, keys, survivor_code(topics, partition="_partition"))
+        flat = dedup_first(flat, keys, SURVIVOR_ORDER)
     return flat.drop("_partition")

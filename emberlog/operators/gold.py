@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import LATENCY_SCALE, count_when, exact_avg
+from ..functions.stats import count_when, exact_avg, exact_avg_long
 
 
 def _days(silver: DataFrame, days) -> DataFrame:
@@ -24,7 +24,7 @@ def _days(silver: DataFrame, days) -> DataFrame:
 
 
 def _lat_avg():
-    return exact_avg("latency", LATENCY_SCALE)
+    return exact_avg("latency")
 
 
 def gold_kpi_hourly(silver: DataFrame, days=None) -> DataFrame:
@@ -39,7 +39,7 @@ def gold_kpi_hourly(silver: DataFrame, days=None) -> DataFrame:
                  _lat_avg().alias("avg_latency_ms"),
                  F.max("latency").alias("max_latency_ms"),
                  F.sum("total_bytes").alias("total_bytes"),
-                 exact_avg("total_bytes").alias("avg_bytes"),
+                 exact_avg_long("total_bytes").alias("avg_bytes"),
                  F.count_distinct("device_id").alias("unique_devices"),
                  F.count_distinct("srcip").alias("unique_srcip"))
             .select(c("w.start").alias("window_start"), c("w.end").alias("window_end"),
@@ -63,7 +63,11 @@ def gold_device_inventory(silver: DataFrame, days=None) -> DataFrame:
 
 
 def gold_top_threat_ips(silver: DataFrame, days=None, limit: int | None = None) -> DataFrame:
-    """Anomalous sources by count (desc, ties by srcip); ``limit`` gives top-k."""
+    """Anomalous sources by count.
+
+    The stored table has no order; ``limit`` gives the top sources by count
+    (descending, ties by srcip), as a reader of the table sorts them.
+    """
     c = F.col
     out = (_days(silver, days)
            .where((c("is_anomaly") == 1) & c("srcip").isNotNull() & (F.trim("srcip") != ""))
@@ -71,9 +75,8 @@ def gold_top_threat_ips(silver: DataFrame, days=None, limit: int | None = None)
            .agg(F.count(F.lit(1)).alias("nb_anomalies"),
                 F.max("severity").alias("max_severity"),
                 F.count("event_id").alias("total_events"),
-                F.max("event_time").alias("last_alert"))
-           .orderBy(c("nb_anomalies").desc(), c("srcip")))
-    return out.limit(limit) if limit else out
+                F.max("event_time").alias("last_alert")))
+    return out.orderBy(c("nb_anomalies").desc(), c("srcip")).limit(limit) if limit else out
 
 
 def gold_sdwan_performance(silver: DataFrame, days=None) -> DataFrame:

@@ -44,18 +44,19 @@ STRING_DEFAULTS = {
 INT_FIELDS = {"srcport": "int", "dstport": "int", "proto": "int",
               "sentbyte": "long", "rcvdbyte": "long", "vwlid": "int"}
 
+# Message prefix, latency text, header lines.
 MESSAGE_PREFIX_CHARS = 200
 _LATENCY_TEXT = r"latency:\s*([0-9]+(?:\.[0-9]+)?)"
 _HEADER_PREFIXES = ("device_id", "id,", "id;")
 
 
 def normalize_line(value) -> Column:
-    """Strip whitespace, then a leading BOM.
+    """Strip whitespace, then a leading BOM and the blanks behind it.
 
     (A trailing CR is whitespace, so the strip has already removed it.)
     """
     v = strip_ws(value)
-    return F.when(v.startswith("\ufeff"), F.substr(v, F.lit(2))).otherwise(v)
+    return F.when(v.startswith("\ufeff"), strip_ws(F.substr(v, F.lit(2)))).otherwise(v)
 
 
 def unquote_outer(m) -> Column:
@@ -77,9 +78,12 @@ def collapse_quotes(m) -> Column:
 
 
 def parse_batch_lines(lines: DataFrame, ingest_ts: Column | None = None,
-                      value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+                      value_col: str = "value", keep: list[str] | None = None,
+                      message_chars: int = MESSAGE_PREFIX_CHARS) -> DataFrame:
     """Parse raw lines into the 36-field firewall event of the batch flow.
 
+    ``message_chars``: how much of a message without logdesc stands for it.
+
     Drops blank lines, header lines, lines with fewer than 7 ``;`` and rows
     with an empty device_id.  ``keep`` lists input columns carried through
     (e.g. a source offset).
@@ -134,8 +138,7 @@ def parse_batch_lines(lines: DataFrame, ingest_ts: Column | None = None,
         if name in QUOTE_TRIMMED:
             v = trim_quotes(v)
         if name in INT_FIELDS:
-            t = INT_FIELDS[name]
-            v = F.coalesce(v.try_cast(t), F.lit(0).cast(t))
+            v = int_prefix(v, 0, INT_FIELDS[name])
         else:
             v = default_if_blank(v, STRING_DEFAULTS.get(name, ""))
         cols[name] = v
@@ -145,8 +148,8 @@ def parse_batch_lines(lines: DataFrame, ingest_ts: Column | None = None,
                    sev["severity"].alias("severity"),
                    sev["severity_label"].alias("severity_label"))
     lat = F.when(c("_lat") != "", c("_lat").try_cast("float"))
-    message = F.when(strip_ws("logdesc") != "", c("logdesc")) \
-        .otherwise(c("_msg").substr(1, MESSAGE_PREFIX_CHARS))
+    message = F.when(strip_ws("logdesc") != "", strip_ws("logdesc")) \
+        .otherwise(c("_msg").substr(1, message_chars))
     ingested = ingest_ts if ingest_ts is not None else F.current_timestamp()
     out = df.select(
         "*",

@@ -12,6 +12,7 @@ from ..schemas import RT_FIELDS
 _CSV_FIELDS = ["device_id", "facility", "priority", "level", "tag", "ts",
                "program", "msg", "seq"]
 _CSV_SCHEMA = ", ".join(f"`{n}` STRING" for n in _CSV_FIELDS)
+_QUOTED = r'"(?:[^"]|"")*"'
 _CSV_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 # String keys of the message that default to '' when absent.
@@ -49,10 +50,10 @@ def parse_rt_lines(lines: DataFrame, id_mode: str = ID_UUID,
     staged = (lines.select(*keep, *src, strip_ws(c(value_col)).alias("_line"))
               .select("*", F.from_csv(c("_line"), _CSV_SCHEMA, _CSV_OPTIONS).alias("_r")))
     r = c("_r")
-    # from_csv yields null for both an empty and a missing 8th field: a line
-    # with >= 7 separators ending in ';' still has an (empty) 8th field.
-    has8 = r["msg"].isNotNull() | (
-        (F.size(F.split("_line", ";")) >= 8) & c("_line").endswith(";"))
+    # from_csv yields null for both an empty and a missing 8th field: then the
+    # separators outside quotes are counted (rare, so the regex is not hot).
+    outside = F.regexp_replace("_line", _QUOTED, "")
+    has8 = r["msg"].isNotNull() | (F.size(F.split(outside, ";")) >= 8)
     dev = F.coalesce(r["device_id"], F.lit(""))
     df = (staged.where(has8 & (dev != "") & (dev != "device_id"))
           .select(*keep, *src,

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.stats import (LATENCY_SCALE, exact_sum_units,
-                               round_half_even_ratio, sorted_set)
+from ..functions.stats import exact_avg, round_half_even, sorted_set
 
 
 def _hour(c="ts"):
@@ -20,14 +19,8 @@ def _hour(c="ts"):
 
 
 def _avg_round2(c="latency"):
-    """Aggregates for ``round(avg(c), 2)``; finish with ``_finish_avg``."""
-    return [exact_sum_units(c, LATENCY_SCALE).alias("_sum_units"),
-            F.count(c).alias("_n")]
-
-
-def _finish_avg(name: str):
-    return round_half_even_ratio(F.col("_sum_units"), F.col("_n"), 2,
-                                 LATENCY_SCALE).alias(name)
+    """``round(avg(c), 2)``."""
+    return round_half_even(exact_avg(c), 2)
 
 
 def view_top_threat_ips(tables, limit: int | None = 50) -> DataFrame:
@@ -46,12 +39,12 @@ def view_device_summary(tables, limit: int | None = None) -> DataFrame:
     out = (t.groupBy("device_id")
            .agg(F.count(F.lit(1)).alias("total_events"),
                 F.sum("is_anomaly").alias("total_anomalies"),
-                *_avg_round2(),
+                _avg_round2().alias("avg_latency_ms"),
                 F.max("latency").alias("max_latency_ms"),
                 F.sum("total_bytes").alias("total_bytes"),
                 F.max("ts").alias("last_seen"))
            .select("device_id", "total_events", "total_anomalies",
-                   _finish_avg("avg_latency_ms"), "max_latency_ms", "total_bytes",
+                   "avg_latency_ms", "max_latency_ms", "total_bytes",
                    "last_seen")
            .orderBy(F.col("total_events").desc(), F.col("device_id")))
     return out.limit(limit) if limit else out
@@ -69,7 +62,7 @@ def view_high_latency(tables, limit: int | None = None) -> DataFrame:
     t = tables["t_performance"]
     out = (t.where(F.col("latency") > 20.0)
            .select("ts", "device_id", "srcip", "dstip", "latency", "severity_label")
-           .orderBy(F.col("ts").desc(), F.col("latency").desc()))
+           .orderBy(F.col("ts").desc(), F.col("latency").desc(), "device_id", "srcip", "dstip", "severity_label"))
     return out.limit(limit) if limit else out
 
 
@@ -78,9 +71,9 @@ def view_traffic_by_hour(tables, limit: int | None = None) -> DataFrame:
     out = (t.groupBy(_hour().alias("heure"))
            .agg(F.count(F.lit(1)).alias("nb_sessions"),
                 F.sum("total_bytes").alias("bytes_total"),
-                *_avg_round2(),
+                _avg_round2().alias("avg_latency_ms"),
                 F.count_distinct("srcip").alias("unique_sources"))
-           .select("heure", "nb_sessions", "bytes_total", _finish_avg("avg_latency_ms"),
+           .select("heure", "nb_sessions", "bytes_total", "avg_latency_ms",
                    "unique_sources")
            .orderBy(F.col("heure").desc()))
     return out.limit(limit) if limit else out

@@ -61,7 +61,11 @@ fw AS (
     CASE WHEN k % 2 = 0 THEN 'text' ELSE 'key' END AS lat_form,
     k % 30 <> 29 AS has_seq,
     k % 50 = 0 AS dup,
-    event_id % 1000 = 2 AS bom
+    event_id % 1000 = 2 AS bom,
+    event_id % 11 = 3 AS port_messy,
+    event_id % 13 = 5 AND floor(value * 100) >= 1000 AS bytes_messy,
+    CASE WHEN event_id % 3 = 0 THEN CAST(value AS VARCHAR) || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0')
+         ELSE CAST(value AS VARCHAR) END AS lat_text
   FROM fw_e),
 fwm AS (
   SELECT *, concat_ws(' ',
@@ -72,24 +76,35 @@ fwm AS (
     CASE WHEN status <> '' THEN 'status=' || status END,
     CASE WHEN logdesc IS NOT NULL THEN 'logdesc=' || logdesc END,
     'srcip=' || srcip, 'dstip=' || dstip,
-    'srcport=' || CAST(srcport AS VARCHAR), 'dstport=' || CAST(dstport AS VARCHAR),
+    'srcport=' || CAST(srcport AS VARCHAR) || CASE WHEN port_messy THEN 'abc' ELSE '' END, 'dstport=' || CAST(dstport AS VARCHAR),
     'proto=' || CAST(proto AS VARCHAR), 'service=' || service,
     CASE WHEN policyname <> '' THEN 'policyname=' || policyname END,
     CASE WHEN policytype <> '' THEN 'policytype=' || policytype END,
     'sessionid=' || sessionid,
-    'sentbyte=' || CAST(sentbyte AS VARCHAR), 'rcvdbyte=' || CAST(rcvdbyte AS VARCHAR),
+    'sentbyte=' || CASE WHEN bytes_messy
+      THEN CAST(sentbyte // 1000 AS VARCHAR) || ',' || lpad(CAST(sentbyte % 1000 AS VARCHAR), 3, '0')
+      ELSE CAST(sentbyte AS VARCHAR) END, 'rcvdbyte=' || CAST(rcvdbyte AS VARCHAR),
     'vwlid=' || CAST(vwlid AS VARCHAR), 'devname=' || devname,
     CASE WHEN devtype <> '' THEN 'devtype=' || devtype END,
     CASE WHEN srchwvendor <> '' THEN 'srchwvendor=' || srchwvendor END,
     'srcmac=' || srcmac,
     CASE WHEN eventtime IS NOT NULL THEN 'eventtime=' || eventtime END,
-    CASE WHEN lat_present AND lat_form = 'text' THEN 'latency: ' || CAST(value AS VARCHAR) END,
-    CASE WHEN lat_present AND lat_form = 'key' THEN 'latency=' || CAST(value AS VARCHAR) END
+    CASE WHEN lat_present AND lat_form = 'text' THEN 'latency: ' || lat_text END,
+    CASE WHEN lat_present AND lat_form = 'key' THEN 'latency=' || lat_text END
   ) AS clean_msg FROM fw),
 fwl AS (
   SELECT *, src_id * 4 AS line_no FROM fwm
   UNION ALL
-  SELECT *, src_id * 4 + 1 AS line_no FROM fwm WHERE dup),
+  SELECT *, src_id * 4 + 1 AS line_no FROM fwm WHERE dup
+  UNION ALL  -- a line without msg: every message field has its default
+  SELECT * REPLACE ('' AS clean_msg, NULL AS event_type, '' AS subtype, '' AS action, '' AS status,
+      '' AS logid, NULL AS logdesc, NULL AS eventtime, '' AS srcip, '' AS dstip,
+      CAST(0 AS INTEGER) AS srcport, CAST(0 AS INTEGER) AS dstport, CAST(0 AS INTEGER) AS proto,
+      '' AS service, '' AS policyname, '' AS policytype, '' AS sessionid, CAST(0 AS BIGINT) AS sentbyte,
+      CAST(0 AS BIGINT) AS rcvdbyte, CAST(0 AS INTEGER) AS vwlid, '' AS devname, '' AS devtype,
+      '' AS srchwvendor, '' AS srcmac, FALSE AS lat_present, FALSE AS port_messy, FALSE AS bytes_messy,
+      TRUE AS has_seq, FALSE AS bom), src_id * 4 + 3 AS line_no
+  FROM fwm WHERE src_id % 500 = 3),
 fwb0 AS (
   SELECT *, CASE WHEN prio_bad THEN 0 ELSE priority END AS bprio,
             CASE WHEN prio_bad THEN 7 ELSE priority END AS rprio FROM fwl),
@@ -114,7 +129,7 @@ fwb AS (
     coalesce(event_type, 'unknown') AS event_type, subtype, action, status,
     srcip, dstip, srcport, dstport, proto, service, policyname, policytype,
     '' AS poluuid, sentbyte, rcvdbyte, sentbyte + rcvdbyte AS total_bytes,
-    CASE WHEN lat_present AND lat_form = 'text' THEN CAST(value AS REAL)
+    CASE WHEN lat_present AND lat_form = 'text' THEN CAST(lat_text AS REAL)
          ELSE CAST(0 AS REAL) END AS latency,
     sessionid, vwlid, '' AS vwlquality, devname, devtype, srchwvendor, srcmac,
     b_sev AS severity, b_label AS severity_label,
@@ -124,9 +139,11 @@ fwr AS (
   SELECT line_no, src_id, src_ts, ts_kind, k,
     'fw-' || CAST(line_no AS VARCHAR) AS event_id,
     CASE WHEN bom THEN chr(65279) || device_id ELSE device_id END AS device_id,
-    ts_text AS ts, program, tag, action, status, srcip, dstip, srcport, dstport,
-    sentbyte, rcvdbyte, sentbyte + rcvdbyte AS total_bytes,
-    CASE WHEN lat_present AND lat_form = 'key' THEN CAST(value AS REAL)
+    ts_text AS ts, program, tag, action, status, srcip, dstip,
+    CASE WHEN port_messy THEN CAST(0 AS INTEGER) ELSE srcport END AS srcport, dstport,
+    CASE WHEN bytes_messy THEN CAST(0 AS BIGINT) ELSE sentbyte END AS sentbyte, rcvdbyte,
+    CASE WHEN bytes_messy THEN rcvdbyte ELSE sentbyte + rcvdbyte END AS total_bytes,
+    CASE WHEN lat_present AND lat_form = 'key' THEN CAST(lat_text AS REAL)
          ELSE CAST(0 AS REAL) END AS latency,
     CAST(facility AS INTEGER) AS facility_raw, r_sev AS severity, r_label AS severity_label,
     CAST((status = 'failed' OR action IN ('deny', 'fail') OR r_sev >= 4) AS INTEGER) AS is_anomaly,
@@ -145,12 +162,13 @@ fwt AS (
          ELSE 'fg_raw_all' END AS first_topic
   FROM fwb),
 fws0 AS (
-  SELECT * REPLACE (trim(message) AS message),
-    CASE WHEN ts_kind IN (2, 6) OR (ts_kind = 3 AND k <> 99)
+  SELECT * EXCLUDE (rn) REPLACE (trim(message) AS message),
+    CASE WHEN ts_kind IN (2, 6) OR (ts_kind = 3 AND eventtime <> '')
            THEN date_trunc('millisecond', src_ts)
          WHEN ts_kind = 3 THEN TIMESTAMP '__RUN_TS__'
          ELSE date_trunc('second', src_ts) END AS event_time
-  FROM fwt WHERE line_no = src_id * 4),
+  FROM (SELECT *, row_number() OVER (PARTITION BY device_id, ts, seq, event_id ORDER BY line_no) AS rn FROM fwt)
+  WHERE rn = 1),
 fws AS (
   SELECT *, hour(event_time) AS hour_of_day, dayofweek(event_time) + 1 AS day_of_week,
     CASE proto WHEN 6 THEN 'TCP' WHEN 17 THEN 'UDP' WHEN 1 THEN 'ICMP'

@@ -20,7 +20,7 @@ from ..operators.parse_rt import parse_rt_lines
 from ..operators.route import route
 from ..operators.serving import TABLES, load_devices, load_table
 from ..operators.silver import to_silver
-from ..schemas import TOPIC_DEVICES, TOPIC_NETWORK
+from ..schemas import TOPIC_DEVICES, TOPIC_NETWORK, TOPIC_RAW
 from ..sources import bridge
 from ..sources.topics import encode, typed_log
 
@@ -45,14 +45,17 @@ def batch_events(spark, sf_dir, lines: DataFrame | None = None) -> DataFrame:
 
 
 def batch_topic_log(spark, sf_dir, lines: DataFrame | None = None,
-                    json: bool = False) -> DataFrame:
+                    json: bool = False, only: list[str] | None = None) -> DataFrame:
     """Routed batch events as a topic log (typed in-plan; ``json`` encodes)."""
-    routed = route(batch_events(spark, sf_dir, lines), "batch")
+    routed = route(batch_events(spark, sf_dir, lines), "batch", only=only)
     return encode(routed, offset_col="line_no") if json else typed_log(routed)
 
 
-def bronze(spark, sf_dir, keys=FULL_KEYS, lines=None, ingest_ts=None) -> DataFrame:
-    return to_bronze(batch_topic_log(spark, sf_dir, lines), ingest_ts=ingest_ts, keys=keys)
+def bronze(spark, sf_dir, keys=FULL_KEYS, lines=None, ingest_ts=None,
+           topics=(TOPIC_RAW,)) -> DataFrame:
+    """Bronze from the raw topic (every event is on it), or from the given topics."""
+    log = batch_topic_log(spark, sf_dir, lines, only=list(topics))
+    return to_bronze(log, ingest_ts=ingest_ts, keys=keys, topics=topics)
 
 
 def silver(spark, sf_dir, fallback, lines=None, ingest_ts=None) -> DataFrame:

@@ -17,7 +17,10 @@ from ..operators import views as V
 from ..operators.bronze import FULL_KEYS, PARITY_KEYS
 from ..operators.latest import latest_by_key
 from ..operators.route import route
-from ..session import ensure_session
+from ..operators.bronze import to_bronze
+from ..schemas import FIREWALL_TOPICS, TOPIC_RAW
+from ..session import ensure_session, shared_dir
+from ..sources.topics import read_topics, write_topics
 from . import flows
 
 
@@ -124,25 +127,40 @@ _BRONZE_SELECT = """first_topic AS kafka_topic, line_no AS kafka_offset, event_i
   vwlquality, devname, devtype, srchwvendor, srcmac, severity, severity_label, is_anomaly"""
 
 
-@register("bronze_dedup", O.fw(f"""
-SELECT {_BRONZE_SELECT} FROM (
-  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY line_no, first_topic) AS rn
-  FROM fwt) WHERE rn = 1"""))
+def _bronze_sql(keys, topic="'fg_raw_all'"):
+    return O.fw(f"""
+SELECT {_BRONZE_SELECT.replace("first_topic AS", f"{topic} AS")} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {", ".join(keys)} ORDER BY line_no, first_topic) AS rn
+  FROM fwt) WHERE rn = 1""")
+
+
+@register("bronze_dedup", _bronze_sql(PARITY_KEYS))
 def q_bronze_dedup(spark, sf_dir) -> DataFrame:
     return flows.bronze(_s(spark), sf_dir, keys=PARITY_KEYS).drop("ingested_at")
 
 
-@register("bronze_dedup_full_key", O.fw(f"""
-SELECT {_BRONZE_SELECT} FROM (
-  SELECT *, row_number() OVER (PARTITION BY device_id, ts, seq, event_id
-                               ORDER BY line_no, first_topic) AS rn
-  FROM fwt) WHERE rn = 1"""))
+@register("bronze_dedup_full_key", _bronze_sql(FULL_KEYS))
 def q_bronze_dedup_full_key(spark, sf_dir) -> DataFrame:
     return flows.bronze(_s(spark), sf_dir, keys=FULL_KEYS).drop("ingested_at")
 
 
+@register("bronze_all_topics", _bronze_sql(FULL_KEYS, "first_topic"))
+def q_bronze_all_topics(spark, sf_dir) -> DataFrame:
+    """Bronze from the copies on all topics: the same events, the first topic by name."""
+    return flows.bronze(_s(spark), sf_dir, keys=FULL_KEYS, topics=FIREWALL_TOPICS).drop("ingested_at")
+
+
+@register("bronze_from_json", _bronze_sql(FULL_KEYS))
+def q_bronze_from_json(spark, sf_dir) -> DataFrame:
+    """Events published as JSON records, read back from the stored topic log."""
+    spark = _s(spark)
+    root = shared_dir(spark, "json-topics")
+    write_topics(flows.batch_topic_log(spark, sf_dir, json=True), root)
+    return to_bronze(read_topics(spark, [TOPIC_RAW], root), keys=FULL_KEYS).drop("ingested_at")
+
+
 @register("silver_clean", O.fw("""
-SELECT event_time, first_topic AS kafka_topic, event_id, device_id, message, tag, program,
+SELECT event_time, 'fg_raw_all' AS kafka_topic, event_id, device_id, message, tag, program,
   event_type, subtype, action, status, srcip, dstip, srcport, dstport, proto, service,
   policyname, policytype, poluuid, sentbyte, rcvdbyte, total_bytes, latency, sessionid,
   vwlid, vwlquality, devname, devtype, srchwvendor, srcmac, severity, severity_label,
@@ -156,7 +174,11 @@ def q_silver_clean(spark, sf_dir) -> DataFrame:
 # Gold
 # ---------------------------------------------------------------------------
 
-_AVG_LAT = "CAST(sum(CAST(latency AS DECIMAL(20,3))) AS DOUBLE) / count(latency)"
+# The exact mean: the sum in units of 2^-20, and of 2^-63 for what is left.
+_HIGH = "floor(CAST(latency AS DOUBLE) * 1048576)"
+_LOW = f"(CAST(latency AS DOUBLE) * 1048576 - {_HIGH}) * 8796093022208"
+_AVG_LAT = (f"((CAST(sum(CAST({_HIGH} AS HUGEINT)) AS DOUBLE) / 1048576.0::DOUBLE"
+            f" + CAST(sum(CAST({_LOW} AS HUGEINT)) AS DOUBLE) / 9223372036854775808.0::DOUBLE) / count(latency))")
 _AVG_BYTES = "CAST(sum(CAST(total_bytes AS DECIMAL(38,0))) AS DOUBLE) / count(total_bytes)"
 
 
@@ -275,13 +297,8 @@ def q_device_accumulated(spark, sf_dir) -> DataFrame:
 # Views
 # ---------------------------------------------------------------------------
 
-def _round2_sql(col="latency"):
-    s = f"sum(CAST(CAST({col} AS DECIMAL(20,3)) * 1000 AS HUGEINT))"
-    d = f"(count({col}) * 10)"
-    r = f"({s} % {d})"
-    q = f"(({s} - {r}) // {d})"
-    return (f"CAST({q} + CASE WHEN 2 * abs({r}) > {d} THEN 1 "
-            f"WHEN 2 * abs({r}) = {d} AND {q} % 2 <> 0 THEN 1 ELSE 0 END AS DOUBLE) / 100.0")
+def _round2_sql():
+    return f"round_even({_AVG_LAT} * 100.0::DOUBLE, 0) / 100.0::DOUBLE"
 
 
 def _view(name, tables, post=None):
@@ -373,7 +390,6 @@ _SQL = {k: v[1] for k, v in REGISTRY.items()}
 @register("overwrite_idempotent", _SQL["silver_clean"])
 def q_overwrite_idempotent(spark, sf_dir) -> DataFrame:
     """Silver written with dynamic partition overwrite, one day rewritten, read back."""
-    from ..session import shared_dir
     from ..sources.tables import overwrite_partitions, scan, with_partition
     spark = _s(spark)
     path = shared_dir(spark, "overwrite") + "/fg_events_clean"
@@ -386,7 +402,6 @@ def q_overwrite_idempotent(spark, sf_dir) -> DataFrame:
 @register("medallion_kpi_hourly", _SQL["gold_kpi_hourly"])
 def q_medallion_kpi_hourly(spark, sf_dir) -> DataFrame:
     """Full bronze/silver/gold run through stored tables, then a day-range rerun."""
-    from ..session import shared_dir
     from ..sources.tables import scan
     from .medallion import run_medallion
     spark = _s(spark)
@@ -398,7 +413,6 @@ def q_medallion_kpi_hourly(spark, sf_dir) -> DataFrame:
 
 
 def _stream_topics(spark, sf_dir):
-    from ..session import shared_dir
     from ..streaming.ingest import start_fanout
     root = shared_dir(spark, "stream")
     flows.firewall_lines(spark, sf_dir).select("value").write.text(f"{root}/lines")

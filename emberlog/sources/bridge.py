@@ -95,6 +95,13 @@ def firewall_truth(events: DataFrame) -> DataFrame:
         (k % 50 == 0).alias("dup"),
         (eid % 1000 == 2).alias("bom"),
         (eid % 7 == 0).alias("cr"),
+        # Texts that need more than a plain cast: letters behind a port, commas
+        # in a byte count, latencies with up to five decimals.
+        (eid % 11 == 3).alias("port_messy"),
+        ((eid % 13 == 5) & (F.floor(F.col("value") * 100) >= 1000)).alias("bytes_messy"),
+        F.when(eid % 3 == 0, F.concat(_s(F.col("value")), _lpad(eid % 1000, 3)))
+         .otherwise(_s(F.col("value"))).alias("lat_text"),
+        (eid % 500 == 3).alias("blank_msg"),
     )
 
 
@@ -109,7 +116,10 @@ def _msg_tokens(raw: bool) -> list[Column]:
     """Message tokens; ``raw`` renders the quote-mangled line form."""
     q4, q2 = ('""""', '""') if raw else ("", "")
     c = F.col
-    lat = _s(c("value"))
+    lat = c("lat_text")
+    port = F.when(c("port_messy"), F.concat(_s(c("srcport")), F.lit("abc"))).otherwise(_s(c("srcport")))
+    sent = F.when(c("bytes_messy"), F.concat(_s(F.floor(c("sentbyte") / 1000)), F.lit(","), _lpad(c("sentbyte") % 1000, 3))) \
+        .otherwise(_s(c("sentbyte")))
     return [
         _tok("logid", c("logid"), c("logid") != ""),
         _tok("type", c("event_type"), c("event_type").isNotNull()),
@@ -119,14 +129,14 @@ def _msg_tokens(raw: bool) -> list[Column]:
         _tok("logdesc", c("logdesc"), c("logdesc").isNotNull(), q2),
         _tok("srcip", c("srcip"), None, q4),
         _tok("dstip", c("dstip"), None, q2),
-        _tok("srcport", _s(c("srcport"))),
+        _tok("srcport", port),
         _tok("dstport", _s(c("dstport"))),
         _tok("proto", _s(c("proto"))),
         _tok("service", c("service")),
         _tok("policyname", c("policyname"), c("policyname") != ""),
         _tok("policytype", c("policytype"), c("policytype") != ""),
         _tok("sessionid", c("sessionid")),
-        _tok("sentbyte", _s(c("sentbyte"))),
+        _tok("sentbyte", sent),
         _tok("rcvdbyte", _s(c("rcvdbyte"))),
         _tok("vwlid", _s(c("vwlid"))),
         _tok("devname", c("devname")),
@@ -151,8 +161,8 @@ def firewall_lines(events: DataFrame) -> DataFrame:
 
     ``device_id;facility;priority;level;tag;ts;program;"msg";seq`` with
     doubled / quadrupled quotes inside msg, an optional BOM, trailing CR,
-    missing seq, replayed duplicates, and junk lines (blank, header,
-    truncated).  Line numbers are ``4 * src_id + j`` (j = 0 line, 1 replay,
+    missing seq, replayed duplicates, lines with an empty msg, and junk lines
+    (blank, header, truncated).  Line numbers are ``4 * src_id + j`` (j = 0 line, 1 replay,
     2 and 3 junk).
     """
     t = firewall_truth(events)
@@ -166,8 +176,11 @@ def firewall_lines(events: DataFrame) -> DataFrame:
                     .otherwise(F.lit("")),
                     F.when(c("cr"), F.lit("\r")).otherwise(F.lit("")))
     base = c("src_id") * 4
+    blank = F.concat_ws(";", c("device_id"), _s(c("facility")), prio, F.lit("notice"),
+                        c("tag"), c("ts_text"), c("program"), F.lit(""), _s(c("src_id")))
     entries = F.array(
         F.struct(line.alias("value"), base.alias("line_no")),
+        F.when(c("blank_msg"), F.struct(blank.alias("value"), (base + 3).alias("line_no"))),
         F.when(c("dup"), F.struct(line.alias("value"), (base + 1).alias("line_no"))),
         F.when(c("k") % 40 == 39,
                F.struct(F.concat_ws(";", c("device_id"), _s(c("facility")),
@@ -239,17 +252,11 @@ def network_lines(events: DataFrame) -> DataFrame:
                     F.col("l.line_no").cast("long").alias("line_no")))
 
 
-def read_events(spark, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
-    """The driver's ``events`` table, spread over at least ``min_partitions``.
+def read_events(spark, sf_dir: str, spread: int | None = None) -> DataFrame:
+    """The driver's ``events`` table.
 
-    A small file can be a single row group, i.e. a single scan task, and all
-    the per-row text work downstream would run on one core.  When the scan
-    yields fewer splits than ``min_partitions`` (default: the cluster's
-    default parallelism) the rows are spread round-robin once.  On large
-    inputs the scan already has far more splits and nothing is added.
+    ``spread`` deals the rows out to that many tasks first: a bench on a file
+    of one row group would otherwise render all lines on one core.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df
+    return df.repartition(spread) if spread else df

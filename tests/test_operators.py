@@ -4,8 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from emberlog.functions.stats import exact_sum_units, round_half_even_ratio
-from emberlog.operators.bronze import dedup_first
+from emberlog.functions.stats import exact_avg, round_half_even
+from emberlog.functions.text import int_prefix
+from emberlog.operators.bronze import dedup_first, to_bronze
 from emberlog.operators.latest import latest_by_key
 from emberlog.operators.route import route
 from emberlog.operators.silver import latency_bucket, proto_label
@@ -23,7 +24,7 @@ def test_dedup_survivor_independent_of_partitioning(spark):
     rows = [("e1", 5, "x"), ("e1", 3, "y"), ("e1", 9, "z"), ("e2", 1, "w")]
     df = spark.createDataFrame(rows, "k string, off long, v string")
     for n in (1, 3):
-        out = dedup_first(df.repartition(n), ["k"], F.col("off")).orderBy("k").collect()
+        out = dedup_first(df.repartition(n), ["k"], ["off"]).orderBy("k").collect()
         assert [(r.k, r.off, r.v) for r in out] == [("e1", 3, "y"), ("e2", 1, "w")]
 
 
@@ -48,8 +49,31 @@ def test_route_profiles(spark):
     assert rt == batch | {"fg_device_inventory"}
 
 
-def test_round_half_even_exact(spark):
-    df = spark.createDataFrame([(0.01,), (0.02,)], "l float")  # avg 0.015 -> 0.02
-    r = df.agg(exact_sum_units("l").alias("s"), F.count("l").alias("n")) \
-        .select(round_half_even_ratio(F.col("s"), F.col("n"), 2)).collect()[0][0]
-    assert r == 0.02
+def test_averages_keep_every_decimal(spark):
+    df = spark.createDataFrame([(0.0004,), (0.0004,), (1.23456,)], "l float")
+    for parts in (1, 3):
+        got = df.repartition(parts).agg(exact_avg("l").alias("a")).collect()[0].a
+        assert abs(got - 0.4117866667) < 1e-8
+    odd = [0.1, 1e-9, 7.5, -3.25, None, 1e13, 123456.789]
+    df = spark.createDataFrame([(x,) for x in odd], "l double")
+    known = [x for x in odd if x is not None]
+    assert abs(df.agg(exact_avg("l").alias("a")).collect()[0].a / (sum(known) / len(known)) - 1) < 1e-15
+    assert df.where("l > 1e20").agg(exact_avg("l").alias("a")).collect()[0].a is None
+    two = spark.createDataFrame([(0.125,), (2.5,), (0.375,)], "x double")
+    assert [r[0] for r in two.select(round_half_even("x", 2)).collect()] == [0.12, 2.5, 0.38]
+
+
+def test_messy_integers(spark):
+    df = spark.createDataFrame([("12abc",), ("1,234",), ("443.0",), (" 7 ",), ("x",), ("",), (None,), ("-5z",), ("99999999999",)], "v string")
+    assert [r[0] for r in df.select(int_prefix("v")).collect()] == [12, 1234, 443, 7, 0, 0, 0, -5, 0]
+
+
+def test_bronze_takes_any_partition_and_offset(spark):
+    """Hashed offsets, large partition numbers and unknown topics order without limits."""
+    value = '{"device_id":"d","event_id":"%s"}'
+    big = (1 << 63) - 1
+    rows = [("fg_raw_all", 1500, big, value % "a"), ("fg_raw_all", 3, -big, value % "a"), ("zz", 0, -big, value % "a"),
+            ("fg_raw_all", 2_000_000, 5, value % "b"), ("fg_raw_all", 7, 5, value % "b")]
+    log = spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
+    got = to_bronze(log, topics=["fg_raw_all", "zz"]).orderBy("event_id").collect()
+    assert [(r.event_id, r.kafka_offset, r.kafka_topic) for r in got] == [("a", -big, "fg_raw_all"), ("b", 5, "fg_raw_all")]
