@@ -11,7 +11,7 @@ def latest_by_key(df: DataFrame, keys=("device_id",), version: str = "last_seen"
     """Keep, per key, the row with the greatest ``version``.
 
     Ties on ``version`` are broken by the remaining columns, so the survivor
-    is independent of partitioning.  ``max_by`` is combined map-side (partial
+    is independent of partitioning.  ``max`` is combined map-side (partial
     aggregation), so a hot key is reduced before the shuffle.
 
     ``accumulate=True`` keeps the newest row's attributes but sets
@@ -19,8 +19,7 @@ def latest_by_key(df: DataFrame, keys=("device_id",), version: str = "last_seen"
     """
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(version), *[F.col(c) for c in others if c != version])
-    aggs = [F.max_by(F.struct(*others), order).alias("_l")]
+    aggs = [F.max(F.struct(version, *[c for c in others if c != version])).alias("_l")]
     if accumulate:
         aggs += [F.min("first_seen").alias("_first"), F.max("last_seen").alias("_last"),
                  F.sum("total_events").alias("_total")]

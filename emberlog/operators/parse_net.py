@@ -58,7 +58,7 @@ def parse_network_records(records: DataFrame, id_mode: str = "uuid",
     if id_mode == "uuid":
         eid = F.concat(F.lit("NET-"), F.col("device_id"), F.lit("-"),
                        F.unix_micros(F.current_timestamp()).cast("string"),
-                       F.lit("-"), F.monotonically_increasing_id().cast("string"))
+                       F.lit("-"), F.substring(F.expr("uuid()"), 1, 8))
     elif id_mode == "source":
         eid = F.concat(F.lit("NET-"), F.col("device_id"), F.lit("-"),
                        F.col(source_col).cast("string"))
@@ -95,6 +95,7 @@ def enrich_network(df: DataFrame, fallback=None) -> DataFrame:
     msg = F.coalesce(F.col("message"), F.lit(""))
     ts = F.date_format(
         F.coalesce(F.try_to_timestamp(F.col("ts"), F.lit(NETWORK_TS_FORMAT)),
+                   F.try_to_timestamp(F.col("ts"), F.lit(TOPIC_TS_FORMAT)),
                    fallback_ts(fallback)), TOPIC_TS_FORMAT)
     return df.select(
         c("event_id", F.expr("uuid()")),

@@ -5,23 +5,27 @@ next stage re-reads it from storage, so the lineage is cut at every stage
 and a lost executor only recomputes the current stage.  Row counts are taken
 with ``observe`` during the write (one pass, not a second job).
 
-``days`` (X2) restricts silver and the day-partitioned gold tables to a day
-range: the partition filter on the stored silver table prunes files, and
-hour/day windows nest inside a day, so only touched partitions are rewritten.
+A run takes in an offset range of the log (all of it by default) under one
+ingest time and rebuilds only the event days that came in: silver reads these
+days from bronze, whatever ingest day they lie under, and keeps one row per
+key across ingest days, so records read twice do not count twice.  ``days``
+(X2) rebuilds a range of event days from stored bronze and reads no log.
 Tables that span all history (device inventory, top threat IPs, policy
 traffic) are recomputed in full.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold as G
-from ..operators.bronze import FULL_KEYS, to_bronze
+from ..operators.bronze import FULL_KEYS, dedup_first, to_bronze
 from ..operators.silver import to_silver
+from ..schemas import TOPIC_RAW
 from ..sources.tables import ensure_tables, overwrite_partitions, scan, with_partition
 
 GOLD_TABLES = {
@@ -43,41 +47,75 @@ class StageReport:
         return ", ".join(f"{k}={v}" for k, v in self.counts.items())
 
 
-def _write_counted(df: DataFrame, name: str, path: str, part: str | None,
+def _write_counted(df: DataFrame, name: str, path: str, parts: list[str],
                    report: StageReport, fmt: str) -> None:
     obs = Observation(name)
-    overwrite_partitions(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, part, fmt)
+    overwrite_partitions(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, parts, fmt)
     report.counts[name] = int(obs.get["rows"])
 
 
-def _day_filter(df: DataFrame, days, col: str) -> DataFrame:
-    lo, hi = days
-    return df.where((F.col(col) >= F.lit(lo).cast("date")) & (F.col(col) <= F.lit(hi).cast("date")))
-
-
-def run_medallion(spark: SparkSession, topic_log: DataFrame, root: str,
-                  days=None, fallback=None, keys=FULL_KEYS, fmt: str = "parquet",
-                  ingest_ts=None) -> StageReport:
-    """Run bronze, silver and gold; return per-table row counts."""
+def _in_days(df: DataFrame, days: list[dt.date]) -> DataFrame:
+    """Rows of these event days: a filter on a partition column, so other files are not read."""
+    return df.where(F.col("event_date").isin(days))
+
+
+def silver_of_days(bronze: DataFrame, days: list[dt.date], keys, fallback) -> DataFrame:
+    """Silver rows of some event days, one per key over all ingest days."""
+    rows = _in_days(bronze, days)
+    if keys:
+        rows = dedup_first(rows, keys, ["kafka_offset", "kafka_topic", "ingested_at"])
+    return to_silver(rows.drop("ingest_date", "event_date"), fallback)
+
+
+def _take_in(spark, topic_log, paths, since, until, ingest_ts, fallback, keys, topics, report, fmt) -> list[dt.date]:
+    """Write bronze; returns the event days that came in (one row per day on the driver)."""
+    log = topic_log
+    if since is not None:
+        log = log.where(F.col("offset") >= since)
+    if until is not None:
+        log = log.where(F.col("offset") < until)
+    rows = to_bronze(log, ingest_ts=ingest_ts, keys=keys, topics=topics)
+    bronze, parts = with_partition(rows, "fg_events_raw", fallback)
+    _write_counted(bronze, "fg_events_raw", paths["fg_events_raw"], parts, report, fmt)
+    if not report.counts["fg_events_raw"]:
+        return []
+    today = spark.range(1).select(F.to_date(ingest_ts)).first()[0]
+    stored = scan(spark, paths["fg_events_raw"], fmt).where(F.col("ingest_date") == F.lit(today))
+    return [r[0] for r in stored.select("event_date").distinct().collect()]
+
+
+def run_medallion(spark: SparkSession, topic_log: DataFrame | None, root: str,
+                  days=None, since: int | None = None, until: int | None = None,
+                  fallback=None, keys=FULL_KEYS, fmt: str = "parquet",
+                  ingest_ts=None, topics=(TOPIC_RAW,)) -> StageReport:
+    """Run bronze, silver and gold; return per-table row counts.
+
+    ``since`` / ``until``: offsets taken from the log.  ``days``: (first, last)
+    event day to rebuild instead.  ``fallback``: time of events without a
+    readable one (default: when they came in).
+    """
     paths = ensure_tables(spark, root, fmt=fmt)
     report = StageReport()
-
-    bronze, part = with_partition(to_bronze(topic_log, ingest_ts=ingest_ts, keys=keys),
-                                  "fg_events_raw")
-    _write_counted(bronze, "fg_events_raw", paths["fg_events_raw"], part, report, fmt)
-
-    silver_in = scan(spark, paths["fg_events_raw"], fmt).drop("ingest_date")
-    silver = to_silver(silver_in, fallback)
-    silver, part = with_partition(silver, "fg_events_clean")
+    # One instant for the whole run: a run over midnight is one ingest day.
+    if ingest_ts is None:
+        ingest_ts = F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
+    if fallback is None:
+        fallback = F.col("ingested_at")
     if days:
-        silver = _day_filter(silver, days, "event_date")
-    _write_counted(silver, "fg_events_clean", paths["fg_events_clean"], part, report, fmt)
+        first, last = (dt.date.fromisoformat(str(d)) for d in days)
+        touched = [first + dt.timedelta(n) for n in range((last - first).days + 1)]
+    else:
+        touched = _take_in(spark, topic_log, paths, since, until, ingest_ts, fallback, keys, topics, report, fmt)
+    if not touched:
+        return report
+
+    silver = silver_of_days(scan(spark, paths["fg_events_raw"], fmt), touched, keys, fallback)
+    silver, parts = with_partition(silver, "fg_events_clean")
+    _write_counted(silver, "fg_events_clean", paths["fg_events_clean"], parts, report, fmt)
 
     stored = scan(spark, paths["fg_events_clean"], fmt)
     for table, fn in GOLD_TABLES.items():
-        src = stored
-        if days and table in DAY_SCOPED:
-            src = _day_filter(stored, days, "event_date")  # partition pruning
-        out, part = with_partition(fn(src.drop("event_date")), table)
-        _write_counted(out, table, paths[table], part, report, fmt)
+        src = _in_days(stored, touched) if table in DAY_SCOPED else stored
+        out, parts = with_partition(fn(src.drop("event_date")), table)
+        _write_counted(out, table, paths[table], parts, report, fmt)
     return report

@@ -7,6 +7,8 @@ tables (see ``emberlog.oracle``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +16,17 @@ from .. import oracle as O
 from ..catalog import REGISTRY, register
 from ..operators import gold as G
 from ..operators import views as V
-from ..operators.bronze import FULL_KEYS, PARITY_KEYS
+from ..operators.bronze import FULL_KEYS, PARITY_KEYS, to_bronze
 from ..operators.latest import latest_by_key
+from ..operators.parse_net import records_from_lines
 from ..operators.route import route
-from ..operators.bronze import to_bronze
-from ..schemas import FIREWALL_TOPICS, TOPIC_RAW
+from ..schemas import FIREWALL_TOPICS, TOPIC_LOG_SCHEMA, TOPIC_RAW
 from ..session import ensure_session, shared_dir
+from ..sources.tables import overwrite_partitions, scan, with_partition
 from ..sources.topics import read_topics, write_topics
+from ..streaming.ingest import read_latest, start_device_latest, start_fanout, start_network, start_serving
 from . import flows
+from .medallion import run_medallion
 
 
 def run_ts():
@@ -390,30 +395,50 @@ _SQL = {k: v[1] for k, v in REGISTRY.items()}
 @register("overwrite_idempotent", _SQL["silver_clean"])
 def q_overwrite_idempotent(spark, sf_dir) -> DataFrame:
     """Silver written with dynamic partition overwrite, one day rewritten, read back."""
-    from ..sources.tables import overwrite_partitions, scan, with_partition
     spark = _s(spark)
     path = shared_dir(spark, "overwrite") + "/fg_events_clean"
     silver, part = with_partition(flows.silver(spark, sf_dir, run_ts()), "fg_events_clean")
     overwrite_partitions(silver, path, part)
-    overwrite_partitions(silver.where(F.col(part) == F.lit("2024-01-15").cast("date")), path, part)
-    return scan(spark, path).drop("ingested_at", part)
+    day = scan(spark, path).agg(F.min("event_date")).first()[0]
+    overwrite_partitions(silver.where(F.col("event_date") == F.lit(day)), path, part)
+    return scan(spark, path).drop("ingested_at", *part)
+
+
+def _some_days(spark, root):
+    """Three event days from the stored table: the first and the two after it."""
+    first = scan(spark, f"{root}/silver/fg_events_clean").agg(F.min("event_date")).first()[0]
+    return first, first + dt.timedelta(2)
+
+
+def _medallion_result(spark, root):
+    return scan(spark, f"{root}/gold/fg_kpi_hourly").drop("window_date")
 
 
 @register("medallion_kpi_hourly", _SQL["gold_kpi_hourly"])
 def q_medallion_kpi_hourly(spark, sf_dir) -> DataFrame:
     """Full bronze/silver/gold run through stored tables, then a day-range rerun."""
-    from ..sources.tables import scan
-    from .medallion import run_medallion
     spark = _s(spark)
     root = shared_dir(spark, "medallion")
-    log = flows.batch_topic_log(spark, sf_dir)
-    run_medallion(spark, log, root, fallback=run_ts())
-    run_medallion(spark, log, root, days=("2024-01-10", "2024-01-12"), fallback=run_ts())
-    return scan(spark, f"{root}/gold/fg_kpi_hourly").drop("window_date")
+    run_medallion(spark, flows.batch_topic_log(spark, sf_dir), root, fallback=run_ts(), ingest_ts=run_ts())
+    run_medallion(spark, None, root, days=_some_days(spark, root), fallback=run_ts())
+    return _medallion_result(spark, root)
+
+
+@register("medallion_two_days", _SQL["gold_kpi_hourly"])
+def q_medallion_two_days(spark, sf_dir) -> DataFrame:
+    """Half of the log on one ingest day, all of it on the next, then some event days again."""
+    spark = _s(spark)
+    root = shared_dir(spark, "medallion")
+    log = flows.batch_topic_log(spark, sf_dir, only=[TOPIC_RAW])
+    half = 2 * flows.events(spark, sf_dir).agg(F.max("event_id")).first()[0]
+    days = [F.lit(f"2024-02-0{d} 00:00:00").cast("timestamp") for d in (1, 2)]
+    run_medallion(spark, log, root, until=half, fallback=run_ts(), ingest_ts=days[0])
+    run_medallion(spark, log, root, fallback=run_ts(), ingest_ts=days[1])
+    run_medallion(spark, None, root, days=_some_days(spark, root), fallback=run_ts())
+    return _medallion_result(spark, root)
 
 
 def _stream_topics(spark, sf_dir):
-    from ..streaming.ingest import start_fanout
     root = shared_dir(spark, "stream")
     flows.firewall_lines(spark, sf_dir).select("value").write.text(f"{root}/lines")
     q = start_fanout(spark, f"{root}/lines", f"{root}/topics", f"{root}/chk-fanout",
@@ -425,7 +450,6 @@ def _stream_topics(spark, sf_dir):
 @register("stream_fanout", _SQL["route_counts_rt"])
 def q_stream_fanout(spark, sf_dir) -> DataFrame:
     """File stream of lines -> parse -> fan-out -> topic log; counts per topic."""
-    from ..schemas import TOPIC_LOG_SCHEMA
     spark = _s(spark)
     root = _stream_topics(spark, sf_dir)
     log = spark.read.schema(TOPIC_LOG_SCHEMA).parquet(f"{root}/topics")
@@ -435,10 +459,43 @@ def q_stream_fanout(spark, sf_dir) -> DataFrame:
 @register("stream_device_latest", _SQL["device_latest"])
 def q_stream_device_latest(spark, sf_dir) -> DataFrame:
     """Topic-log stream -> latest row per device merged per micro-batch."""
-    from ..streaming.ingest import read_latest, start_device_latest
     spark = _s(spark)
     root = _stream_topics(spark, sf_dir)
     q = start_device_latest(spark, f"{root}/topics", f"{root}/devices", f"{root}/chk-dev",
                             seen_ts="event", fallback=run_ts(), available_now=True)
     q.awaitTermination()
     return read_latest(spark, f"{root}/devices")
+
+
+# A streamed record has an id of its own, so these compare all other columns.
+_STREAMED = {"t_security": (_SEC, _RT_SEC), "t_traffic": (_TRAF, _RT_TRAF), "t_performance": (_PERF, _RT_PERF), "t_raw_events": (_SEC, "fwr")}
+
+
+def _stream_serving(table):
+    def run(spark, sf_dir):
+        spark = _s(spark)
+        root = _stream_topics(spark, sf_dir)
+        start_serving(spark, f"{root}/topics", table, f"{root}/{table}", f"{root}/chk-{table}",
+                      fallback=run_ts(), available_now=True).awaitTermination()
+        return spark.read.parquet(f"{root}/{table}").drop("event_id", "ingested_at", "event_month")
+    return run
+
+
+for _table, (_cols, _from) in _STREAMED.items():
+    register(f"stream_serving_{_table[2:]}", O.fw(f"SELECT {_cols.replace('event_id, ', '')} FROM {_from}"))(_stream_serving(_table))
+
+
+@register("stream_network_logs", O.net("""
+SELECT device_id, ts_value AS ts, program, log_type, message, src_ip, dst_ip, mac_address, raw_length
+FROM nwt"""))
+def q_stream_network_logs(spark, sf_dir) -> DataFrame:
+    """Network CSV files -> classify, enrich -> topic -> serving table, all streamed."""
+    spark = _s(spark)
+    root = shared_dir(spark, "stream-net")
+    body = flows.network_lines(spark, sf_dir).where(~F.col("value").startswith("timestamp;"))
+    recs = records_from_lines(body)
+    recs.write.option("sep", ";").option("header", "true").csv(f"{root}/csv")
+    start_network(spark, f"{root}/csv", f"{root}/topics", f"{root}/chk-net", fallback=run_ts(), available_now=True).awaitTermination()
+    start_serving(spark, f"{root}/topics", "t_network_logs", f"{root}/t_network_logs", f"{root}/chk-logs",
+                  fallback=run_ts(), available_now=True).awaitTermination()
+    return spark.read.parquet(f"{root}/t_network_logs").drop("event_id", "ingested_at", "event_month")

@@ -10,6 +10,7 @@ the deployment and is left alone here.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -64,12 +65,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
     Reads ``spark.checkpoint.dir`` from the session (on a cluster this is a
-    shared, fault-tolerant file system).  Only when it is unset -- local runs
-    and tests -- a private temporary folder is created and registered as the
-    session's checkpoint dir, so later calls share it.
+    shared, fault-tolerant file system).  Only a local master without it gets
+    a temporary folder, registered as the session's checkpoint dir so later
+    calls share it; on a cluster each machine would write a disk of its own,
+    so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="emberlog-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

@@ -27,12 +27,23 @@ def non_blank(df: DataFrame, value_col: str = "value") -> DataFrame:
     return df.withColumn(value_col, v).where(F.col(value_col) != "")
 
 
-def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Continuous line feed from files landing in ``path`` (sorted by name)."""
+def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
+                 positions: bool = False) -> DataFrame:
+    """Continuous line feed from files landing in ``path`` (sorted by name).
+
+    ``positions`` adds ``line_no``, the line's number in its file, and
+    ``split``, a number of the file.  A file is then read as one row, so each
+    must fit in a task (rotated logs do).
+    """
     r = spark.readStream.format("text")
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.load(path)
+    if not positions:
+        return r.load(path)
+    files = r.option("wholetext", "true").load(path)
+    split = F.pmod(F.xxhash64("_metadata.file_path"), F.lit((1 << 31) - 1)).cast("int")
+    return (files.select(split.alias("split"), F.posexplode(F.split("value", "\n")).alias("line_no", "value"))
+            .select("value", F.col("line_no").cast("long").alias("line_no"), "split"))
 
 
 def read_network_csv(spark: SparkSession, path: str) -> DataFrame:

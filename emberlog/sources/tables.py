@@ -1,4 +1,4 @@
-"""Table sinks and scans: idempotent partition overwrite, append, versioned merge.
+"""Table sinks and scans: idempotent partition overwrite.
 
 Default storage is parquet directories (``fmt="parquet"``); with
 ``fmt="iceberg"`` the same calls use ``writeTo(...).overwritePartitions()``
@@ -11,55 +11,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Partition column per stored table (derived columns, added by ``with_partition``).
+from ..operators.silver import event_time
+
+# Derived partition columns per stored table (added by ``with_partition``).
+# Bronze also carries the event's day, so that a rerun of some event days
+# prunes it whatever days its rows came in.
 PARTITIONS = {
-    "fg_events_raw": ("ingest_date", lambda: F.to_date("ingested_at")),
-    "fg_events_clean": ("event_date", lambda: F.to_date("event_time")),
-    "fg_kpi_hourly": ("window_date", lambda: F.to_date("window_start")),
-    "fg_sdwan_performance": ("window_date", lambda: F.to_date("window_start")),
-    "fg_protocol_stats": ("day_date", lambda: F.to_date("day")),
-    "fg_device_inventory": (None, None),
-    "fg_top_threat_ips": (None, None),
-    "fg_policy_traffic": (None, None),
+    "fg_events_raw": {"ingest_date": lambda fb: F.to_date("ingested_at"),
+                      "event_date": lambda fb: F.to_date(event_time(fb))},
+    "fg_events_clean": {"event_date": lambda fb: F.to_date("event_time")},
+    "fg_kpi_hourly": {"window_date": lambda fb: F.to_date("window_start")},
+    "fg_sdwan_performance": {"window_date": lambda fb: F.to_date("window_start")},
+    "fg_protocol_stats": {"day_date": lambda fb: F.to_date("day")},
+    "fg_device_inventory": {},
+    "fg_top_threat_ips": {},
+    "fg_policy_traffic": {},
 }
 
 
-def with_partition(df: DataFrame, table: str) -> tuple[DataFrame, str | None]:
-    col, expr = PARTITIONS.get(table, (None, None))
-    if col is None:
-        return df, None
-    return df.withColumn(col, expr()), col
+def with_partition(df: DataFrame, table: str, fallback=None) -> tuple[DataFrame, list[str]]:
+    """``df`` with the table's partition columns, and their names."""
+    columns = PARTITIONS.get(table, {})
+    return df.withColumns({name: expr(fallback) for name, expr in columns.items()}), list(columns)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str | None,
+def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str] | None = None,
                          fmt: str = "parquet", table: str | None = None) -> None:
     """Replace exactly the partitions present in ``df`` (whole table if none).
 
     Dynamic partition overwrite makes a rerun of the same input a no-op in
     effect (idempotent), and a run over one day leaves other days untouched.
-    Files are sized by AQE (no fixed ``coalesce``, which would cap the
-    parallelism of everything upstream); rows are clustered by partition
-    value so each task writes few files.
+    The rows are rebalanced on the partition columns first: AQE then writes
+    each partition value from few tasks, and splits a value that is large.
     """
     if fmt == "iceberg":
         df.writeTo(table or path).overwritePartitions()
         return
-    w = df
-    if partition_col:
-        w = df.sortWithinPartitions(partition_col)
+    w = df.hint("rebalance", *partition_cols) if partition_cols else df
     writer = (w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .option("compression", "zstd"))
-    if partition_col:
-        writer = writer.partitionBy(partition_col)
-    writer.format(fmt).save(path)
-
-
-def append(df: DataFrame, path: str, partition_col: str | None = None,
-           fmt: str = "parquet") -> None:
-    """Append rows (serving tables are append-only)."""
-    writer = df.write.mode("append").option("compression", "zstd")
-    if partition_col:
-        writer = writer.partitionBy(partition_col)
+    if partition_cols:
+        writer = writer.partitionBy(*partition_cols)
     writer.format(fmt).save(path)
 
 

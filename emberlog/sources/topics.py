@@ -17,6 +17,10 @@ from pyspark.sql.types import StructType
 from ..schemas import TOPIC_LOG_SCHEMA
 
 
+# Marks a value column that was encoded in the plan at hand (lost in storage).
+IN_PLAN = "encoded_in_plan"
+
+
 def encode(df: DataFrame, topic_col: str = "topic", offset_col: str | None = "line_no",
            partition: Column | None = None, exclude: list[str] | None = None) -> DataFrame:
     """Routed rows -> topic log rows (``to_json`` of every other column).
@@ -34,7 +38,7 @@ def encode(df: DataFrame, topic_col: str = "topic", offset_col: str | None = "li
         (partition if partition is not None else F.lit(0)).cast("int").alias("partition"),
         (F.col(offset_col) if offset_col else F.monotonically_increasing_id())
         .cast("long").alias("offset"),
-        F.to_json(F.struct(*payload)).alias("value"),
+        F.to_json(F.struct(*payload)).alias("value", metadata={IN_PLAN: True}),
     )
 
 
@@ -74,7 +78,12 @@ def decode(log: DataFrame, schema: StructType, keep=("topic", "partition", "offs
     """Topic log -> typed columns (``from_json``, PERMISSIVE).
 
     A malformed record becomes an all-null row; a mistyped field is null.
+    Records encoded in the same plan are refused: the optimizer would inline
+    the whole parser into every decoded field.  Store the log between them,
+    or hand it on as a ``typed_log``.
     """
+    if log.schema["value"].metadata.get(IN_PLAN):
+        raise ValueError("write the topic log before decoding it, or use typed_log")
     data = F.from_json(F.col("value").cast("string"), schema)
     return log.select(*[F.col(k) for k in keep], data.alias("_d")).select(*keep, "_d.*")
 

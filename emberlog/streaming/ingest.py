@@ -1,15 +1,15 @@
 """Structured Streaming: continuous ingest, fan-out, serving appends, latest-per-key.
 
-* ``start_fanout``: text lines (file source, or any line stream) -> real-time
-  parser -> predicate fan-out -> JSON topic log (parquet partitioned by topic,
-  or Kafka).  One read of the source per micro-batch; the expansion is
-  map-side.
-* ``start_serving``: topic log stream -> one serving table, appended.
-* ``start_device_latest``: topic log stream -> latest row per device, merged
-  per micro-batch into a versioned table (read current version, union, keep
-  newest, write version ``batch_id``).  A replayed batch id finds its version
-  already committed and is skipped, so a restart after a lost executor or
-  driver neither loses nor doubles rows.
+* ``start_fanout``: text lines (file source, or any line stream) -> parser ->
+  predicate fan-out -> JSON topic log (parquet partitioned by topic, or
+  Kafka).  One read of the source per micro-batch; the expansion is map-side.
+* ``start_network``: network-device CSV files -> classify and enrich -> topic.
+* ``start_serving``: one topic -> its serving table, appended.
+* ``start_device_latest``: device topic -> latest row per device, merged per
+  micro-batch into a bucketed table.  A commit record names the files of each
+  bucket and the last batch of each streaming query, so a replayed batch
+  changes nothing, a new checkpoint starts its own count of batches, and a
+  batch rewrites only the buckets that it touches.
 
 Offsets/progress live in each query's checkpoint, which must be on shared,
 fault-tolerant storage (see ``session.shared_dir``).  The reference keeps no
@@ -19,16 +19,21 @@ stateless projections and the device table is the only merge.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.scoring import BATCH
 from ..operators.latest import latest_by_key
+from ..operators.parse_batch import parse_batch_lines
+from ..operators.parse_net import enrich_network, parse_network_records
 from ..operators.parse_rt import parse_rt_lines
 from ..operators.route import route
-from ..operators.serving import load_devices, load_table, month_partition
-from ..schemas import FIREWALL_TOPICS
-from ..sources.lines import stream_lines
+from ..operators.serving import TABLES, load_devices, load_table, month_partition
+from ..schemas import TOPIC_DEVICES, TOPIC_NETWORK
+from ..sources.lines import stream_lines, stream_network_csv
 from ..sources.topics import encode, stream_topic
 
 
@@ -44,35 +49,54 @@ def start_fanout(spark: SparkSession, lines_path: str, topic_path: str, checkpoi
                  profile: str = "realtime", fmt: str = "parquet",
                  max_files: int | None = None, available_now: bool = False,
                  interval: str | None = None) -> StreamingQuery:
-    lines = stream_lines(spark, lines_path, max_files)
-    # A file stream has no record offsets: a content hash of the line and its
-    # file stands in (stable across replays of the same file).
-    lines = lines.withColumn("line_no", F.xxhash64("value", F.col("_metadata.file_path")))
-    parsed = parse_rt_lines(lines, id_mode="uuid", keep=["line_no"])
-    log = encode(route(parsed, profile), offset_col="line_no")
+    """Parse lines by ``profile`` ("realtime" or "batch") and publish to the topics."""
+    lines = stream_lines(spark, lines_path, max_files, positions=True)
+    keep = ["line_no", "split"]
+    parsed = parse_batch_lines(lines, keep=keep) if profile == BATCH else parse_rt_lines(lines, id_mode="uuid", keep=keep)
+    log = encode(route(parsed, profile), offset_col="line_no", partition=F.col("split"), exclude=["split"])
+    return _publish(log, topic_path, checkpoint, fmt, available_now, interval)
+
+
+def _publish(log: DataFrame, topic_path: str, checkpoint: str, fmt: str,
+             available_now: bool, interval: str | None) -> StreamingQuery:
     if fmt == "kafka":
         w = (log.select("topic", "value").writeStream.format("kafka")
              .option("kafka.bootstrap.servers", topic_path))
     else:
-        w = log.writeStream.format(fmt).partitionBy("topic").option("path", topic_path)
+        w = (log.writeStream.format(fmt).partitionBy("topic").option("path", topic_path)
+             .option("compression", "zstd"))
     w = w.option("checkpointLocation", checkpoint).outputMode("append")
     return _trigger(w, available_now, interval).start()
 
 
+def start_network(spark: SparkSession, csv_path: str, topic_path: str, checkpoint: str,
+                  fmt: str = "parquet", fallback=None, max_files: int | None = None,
+                  available_now: bool = False, interval: str | None = None) -> StreamingQuery:
+    """Network-device records from CSV files to the network topic."""
+    records = stream_network_csv(spark, csv_path, max_files)
+    events = enrich_network(parse_network_records(records, fallback=fallback), fallback)
+    # CSV rows have no position either; the record's own id stands in.
+    events = events.withColumns({"topic": F.lit(TOPIC_NETWORK), "position": F.xxhash64("event_id")})
+    log = encode(events, offset_col="position")
+    return _publish(log, topic_path, checkpoint, fmt, available_now, interval)
+
+
 def start_serving(spark: SparkSession, topic_path: str, table: str, table_path: str,
                   checkpoint: str, fmt: str = "parquet", fallback=None,
                   available_now: bool = False, interval: str | None = None,
                   max_per_trigger: int | None = None) -> StreamingQuery:
-    log = stream_topic(spark, FIREWALL_TOPICS + ["fg_network_logs"], topic_path, fmt,
-                       max_per_trigger)
+    log = stream_topic(spark, [TABLES[table][0]], topic_path, fmt, max_per_trigger)
     rows = month_partition(load_table(log, table, fallback))
     w = (rows.writeStream.format("parquet").partitionBy("event_month")
          .option("path", table_path).option("checkpointLocation", checkpoint)
-         .outputMode("append"))
+         .option("compression", "zstd").outputMode("append"))
     return _trigger(w, available_now, interval).start()
 
 
-# --- latest-per-key merge into a versioned parquet table ----------------------
+# --- latest-per-key merge into a bucketed parquet table ------------------------
+
+BUCKETS = 32
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -80,36 +104,80 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, p, jvm = _fs(spark, root)
+def _commits(spark: SparkSession, root: str) -> list[str]:
+    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/commits")
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(
-                st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+    return sorted(n for st in fs.listStatus(p) if (n := st.getPath().getName()).endswith(".json"))
+
+
+def _commit_record(spark: SparkSession, root: str) -> dict:
+    """The newest commit: version, path of each bucket, last batch of each streaming query."""
+    names = _commits(spark, root)
+    if not names:
+        return {"version": 0, "buckets": {}, "batches": {}}
+    rows = spark.read.text(f"{root.rstrip('/')}/commits/{names[-1]}", wholetext=True).collect()
+    return json.loads(rows[0].value)
+
+
+def _commit(spark: SparkSession, root: str, record: dict) -> None:
+    """Write the record under a temporary name and rename it: it is there whole or not at all."""
+    name = f"{root.rstrip('/')}/commits/{record['version']:012d}.json"
+    fs, draft, jvm = _fs(spark, name + ".tmp")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(record).encode()))
+    out.close()
+    if not fs.rename(draft, jvm.org.apache.hadoop.fs.Path(name)):
+        raise OSError(f"cannot commit {name}")
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
-    """Current version of a versioned table (None before the first commit)."""
-    vs = committed_versions(spark, root)
-    return spark.read.parquet(f"{root.rstrip('/')}/v={vs[-1]}") if vs else None
+    """The current table (None before the first commit)."""
+    paths = sorted(_commit_record(spark, root)["buckets"].values())
+    return spark.read.parquet(*paths) if paths else None
+
+
+def _remove_superseded(spark: SparkSession, root: str, before: dict, now: dict) -> None:
+    """Delete bucket files that neither of the last two commits names, and older records."""
+    fs, _, jvm = _fs(spark, root)
+    path = jvm.org.apache.hadoop.fs.Path
+    for old in set(before.get("replaced", [])) - set(now["buckets"].values()):
+        fs.delete(path(old), True)
+    for name in _commits(spark, root)[:-2]:
+        fs.delete(path(f"{root.rstrip('/')}/commits/{name}"), False)
 
 
 def merge_latest(spark: SparkSession, batch: DataFrame, root: str, batch_id: int,
                  keys=("device_id",), version: str = "last_seen",
-                 accumulate: bool = False) -> None:
-    """Merge one micro-batch: never overwrite a path that is being read."""
-    vs = committed_versions(spark, root)
-    if batch_id in vs or (vs and vs[-1] > batch_id):
+                 accumulate: bool = False, query: str = "") -> None:
+    """Merge one micro-batch of the streaming query ``query`` (its checkpoint's id).
+
+    Reads and rewrites only the buckets of the batch's keys, under a new
+    version, never a path that is being read.  A batch that the query has
+    committed is skipped.  With ``accumulate`` a new checkpoint that reads old
+    records again adds them again; start it with a new table.
+    """
+    record = _commit_record(spark, root)
+    if record["batches"].get(query, -1) >= batch_id:
         return  # replay of a committed batch
-    current = read_latest(spark, root)
-    rows = batch if current is None else current.unionByName(batch)
-    merged = latest_by_key(rows, keys, version, accumulate)
-    merged.write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={batch_id}")
+    number = record["version"] + 1
+    folder = f"{root.rstrip('/')}/v={number}"
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    batch = batch.withColumn("bucket", bucket).persist()
+    try:
+        touched = [str(r[0]) for r in batch.select("bucket").distinct().collect()]  # at most BUCKETS
+        old = [record["buckets"][b] for b in touched if b in record["buckets"]]
+        rows = batch.drop("bucket")
+        if old:
+            rows = spark.read.parquet(*old).unionByName(rows)
+        merged = latest_by_key(rows, keys, version, accumulate).withColumn("bucket", bucket)
+        merged.hint("rebalance", "bucket").write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(folder)
+    finally:
+        batch.unpersist()
+    now = {"version": number, "buckets": record["buckets"] | {b: f"{folder}/bucket={b}" for b in touched},
+           "batches": record["batches"] | {query: batch_id}, "replaced": old}
+    _commit(spark, root, now)
+    _remove_superseded(spark, root, record, now)
 
 
 def start_device_latest(spark: SparkSession, topic_path: str, table_root: str,
@@ -117,12 +185,13 @@ def start_device_latest(spark: SparkSession, topic_path: str, table_root: str,
                         fallback=None, accumulate: bool = False,
                         available_now: bool = False,
                         interval: str | None = None) -> StreamingQuery:
-    log = stream_topic(spark, FIREWALL_TOPICS, topic_path, fmt)
+    log = stream_topic(spark, [TOPIC_DEVICES], topic_path, fmt)
     devices = load_devices(log, seen_ts=seen_ts, fallback=fallback).drop("ingested_at")
 
     def _merge(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         merge_latest(batch.sparkSession, batch, table_root, batch_id,
-                     accumulate=accumulate)
+                     accumulate=accumulate, query=query or checkpoint)
 
     w = devices.writeStream.foreachBatch(_merge).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()

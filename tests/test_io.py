@@ -1,7 +1,12 @@
 """Sources/sinks: JSON topic log on parquet, CSV reader, streaming serving append."""
 
+import datetime as dt
+import glob
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from emberlog.operators.bronze import FULL_KEYS, to_bronze
 from emberlog.operators.parse_net import parse_network_records, records_from_lines
 from emberlog.operators.serving import load_table
@@ -10,7 +15,10 @@ from emberlog.session import shared_dir
 from emberlog.sources.lines import read_network_csv
 from emberlog.sources.topics import read_topics, write_topics
 from emberlog.schemas import FIREWALL_TOPICS
-from emberlog.streaming.ingest import start_serving
+from emberlog.plans import medallion
+from emberlog.plans.registered import run_ts
+from emberlog.sources.tables import overwrite_partitions, scan
+from emberlog.streaming.ingest import merge_latest, read_latest, start_fanout, start_serving
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,10 +63,14 @@ def test_streaming_serving_append_equals_batch(spark):
     q = start_serving(spark, root + "/topics", "t_security", root + "/t_security",
                       root + "/chk", available_now=True, max_per_trigger=3)
     q.awaitTermination()
-    streamed = spark.read.parquet(root + "/t_security")
-    batch = load_table(flows.rt_topic_log(spark, SF), "t_security")
+    streamed = spark.read.parquet(root + "/t_security").drop("ingested_at", "event_month")
+    batch = load_table(flows.rt_topic_log(spark, SF), "t_security").drop("ingested_at")
     assert streamed.count() == batch.count() > 0
+    # a time that cannot be read becomes "now", which differs between the two
+    fixed = lambda df: df.where(F.col("ts") < "2025-01-01")
+    assert fixed(streamed).exceptAll(fixed(batch)).count() == fixed(batch).exceptAll(fixed(streamed)).count() == 0
     assert set(os.listdir(root + "/t_security")) >= {"_spark_metadata"}
+    assert all(".zstd." in f for d, _, names in os.walk(root + "/t_security") for f in names if f.endswith(".parquet"))
 
 
 def test_line_files_equal_in_memory_lines(spark):
@@ -82,3 +94,101 @@ def test_views_queryable_with_sql(spark):
     assert 0 < n <= 50
     assert spark.sql("SELECT sum(nb_events) FROM v_network_log_types").collect()[0][0] == \
         tables["t_network_logs"].count()
+
+
+def test_encoded_log_is_not_decoded_in_its_own_plan(spark):
+    with pytest.raises(ValueError, match="typed_log"):
+        to_bronze(flows.batch_topic_log(spark, SF, json=True))
+
+
+def test_streamed_batch_profile_feeds_bronze(spark):
+    """A log that the fan-out wrote: lines keep their order, equal lines are told apart."""
+    root = shared_dir(spark, "fanout")
+    line = 'FG1;1;3;5;t;2024-01-01 00:00:00;p;"logid={} action=deny";{}'
+    os.makedirs(root + "/in")
+    for name, ids in (("a", [1, 2, 2, 3]), ("b", [4, 2])):
+        with open(f"{root}/in/{name}.log", "w", encoding="utf-8") as f:
+            f.write("\n".join(line.format(i, i) for i in ids) + "\n\n")
+    start_fanout(spark, root + "/in", root + "/topics", root + "/chk", profile="batch", available_now=True).awaitTermination()
+    log = read_topics(spark, FIREWALL_TOPICS, root + "/topics")
+    raw = log.where("topic = 'fg_raw_all'")
+    assert raw.count() == raw.select("partition", "offset").distinct().count() == 6
+    got = to_bronze(log, keys=FULL_KEYS).orderBy("event_id").collect()
+    assert [r.event_id for r in got] == ["1", "2", "3", "4"]
+    assert [r.kafka_offset for r in got] == [0, 1, 3, 0]
+
+
+def _devices(spark, *rows):
+    t = lambda d: dt.datetime(2024, 1, d)
+    return spark.createDataFrame([(d, p, "x", t(a), t(b), n) for d, p, a, b, n in rows],
+                                 "device_id string, program string, tag string, first_seen timestamp, last_seen timestamp, total_events long")
+
+
+def test_device_merge_survives_new_checkpoints_and_replays(spark):
+    root = shared_dir(spark, "devices")
+    rows = lambda: sorted((r.device_id, r.program) for r in read_latest(spark, root).collect())
+    assert read_latest(spark, root) is None
+    merge_latest(spark, _devices(spark, ("a", "p", 1, 1, 1)), root, 0, query="one")
+    merge_latest(spark, _devices(spark, ("b", "p", 1, 1, 1), ("a", "q", 2, 2, 1)), root, 1, query="one")
+    assert rows() == [("a", "q"), ("b", "p")]
+    merge_latest(spark, _devices(spark, ("z", "p", 1, 1, 1)), root, 1, query="one")      # replay
+    assert rows() == [("a", "q"), ("b", "p")]
+    merge_latest(spark, _devices(spark, ("c", "p", 1, 1, 1), ("a", "old", 1, 1, 1)), root, 0, query="two")  # new checkpoint
+    assert rows() == [("a", "q"), ("b", "p"), ("c", "p")]
+    for n in range(1, 6):
+        merge_latest(spark, _devices(spark, ("c", f"p{n}", 1, 1 + n, 1)), root, n, query="two")
+    assert rows() == [("a", "q"), ("b", "p"), ("c", "p5")]
+    # a batch rewrites the buckets it touches, and files that no commit names are removed
+    assert len(glob.glob(f"{root}/v=*/bucket=*")) <= 5 and len(glob.glob(f"{root}/commits/*.json")) == 2
+
+
+def test_device_merge_accumulates(spark):
+    root = shared_dir(spark, "devices")
+    merge_latest(spark, _devices(spark, ("a", "p", 3, 3, 1), ("a", "q", 4, 4, 1)), root, 0, accumulate=True, query="x")
+    merge_latest(spark, _devices(spark, ("a", "r", 2, 2, 5)), root, 1, accumulate=True, query="x")
+    r = read_latest(spark, root).collect()[0]
+    assert (r.program, r.first_seen.day, r.last_seen.day, r.total_events) == ("q", 2, 4, 7)
+
+
+def test_partition_writes_make_few_files(spark):
+    root = shared_dir(spark, "files")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = spark.range(20000).select("id", F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 10).cast("int")).alias("day"))
+        overwrite_partitions(df.repartition(16, "id"), root + "/t", ["day"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(glob.glob(root + "/t/day=*/*.zstd.parquet")) <= 20
+    assert scan(spark, root + "/t").count() == 20000
+
+
+def test_medallion_days_counts_and_pruning(spark):
+    root = shared_dir(spark, "medallion")
+    log = flows.batch_topic_log(spark, SF, only=["fg_raw_all"])
+    days = [F.lit(f"2024-02-0{d} 00:00:00").cast("timestamp") for d in (1, 2)]
+    first = medallion.run_medallion(spark, log, root, fallback=run_ts(), ingest_ts=days[0])
+    silver = lambda: scan(spark, root + "/silver/fg_events_clean")
+    n = silver().count()
+    assert first.counts["fg_events_clean"] == n == first.counts["fg_events_raw"] > 0
+    assert first.counts["fg_kpi_hourly"] == scan(spark, root + "/gold/fg_kpi_hourly").count()
+    again = medallion.run_medallion(spark, log, root, fallback=run_ts(), ingest_ts=days[1])
+    bronze = scan(spark, root + "/bronze/fg_events_raw")
+    assert bronze.count() == 2 * first.counts["fg_events_raw"]
+    assert again.counts["fg_events_clean"] == silver().count() == n
+    day = silver().agg(F.min("event_date")).first()[0]
+    rerun = medallion.run_medallion(spark, None, root, days=(day, day), fallback=run_ts())
+    assert "fg_events_raw" not in rerun.counts and 0 < rerun.counts["fg_events_clean"] < n
+    plan = medallion.silver_of_days(bronze, [day], FULL_KEYS, run_ts())._jdf.queryExecution().executedPlan().toString()
+    scan_line = plan[plan.index("FileScan parquet"):]
+    assert "event_date" in scan_line[scan_line.index("PartitionFilters"):scan_line.index("PushedFilters")]
+
+
+def test_shared_folder_is_required_off_local_masters(spark):
+    from emberlog import session
+
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})()
+        sparkContext = type("S", (), {"master": "local-cluster[2,1,1024]"})()
+
+    with pytest.raises(ValueError, match="share"):
+        session.shared_dir(Cluster(), "x")

@@ -93,3 +93,24 @@ def test_network_classifier_traps(spark):
     assert out[3].src_ip == "10.0.0.1" and out[3].dst_ip == "" and out[3].mac_address == "aa:bb:cc:dd:ee:ff"
     assert out[4].dst_ip == "5.6.7.8"
     assert out[0].ts == "2024-03-05 07:09:00"
+
+
+def test_lines_with_empty_message_are_kept(spark):
+    lines = ['FG1;1;3;5;t;2024-01-01 00:00:00;p;;9', 'FG1;1;3;5;t;2024-01-01 00:00:00;p;"";9',
+             'FG1;1;3;5;t;2024-01-01 00:00:00;p;', 'FG1;1;3;5;t;2024-01-01 00:00:00;p', 'FG1;1;3;5;t;"a;b;c"']
+    assert [r["line_no"] for r in _rt(spark, *lines)] == [0, 1, 2]
+    assert [r["message"] for r in _rt(spark, *lines)] == ["", "", ""]
+    assert [r["line_no"] for r in _batch(spark, *lines)][:2] == [0, 1]
+
+
+def test_batch_integers_take_leading_digits(spark):
+    out = _batch(spark, LINE.format(p="4x", msg="srcport=12abc dstport=443.0 sentbyte=1,234 proto=-", seq=1))[0]
+    assert (out["srcport"], out["dstport"], out["sentbyte"], out["proto"], out["severity_label"]) == (12, 443, 1234, 0, "warning")
+
+
+def test_header_behind_bom_and_blanks(spark):
+    assert _batch(spark, "\ufeff  device_id;facility;priority;level;tag;ts;program;msg;seq") == []
+
+
+def test_logdesc_is_stripped(spark):
+    assert _batch(spark, LINE.format(p=3, msg="logdesc=\tup a=1", seq=1))[0]["message"] == "up"
