@@ -18,8 +18,9 @@ log of the sum of exp(evidence) over its segments; its probability is a
 logistic function of it, fitted on training documents that were left out of the
 counts.
 
-Training rows are given by a condition and split by a hash of doc_id; labels
-are never used elsewhere.  Repeated labels count once if they agree.  Null and
+Training rows are given by a condition (of more than ``TRAINING_ROWS``, a sample
+by a hash of doc_id) and split by a hash of the text; labels are never used
+elsewhere.  Scores cover all texts.  Repeated labels count once if they agree.  Null and
 empty texts have no segments and get the score of no evidence; rows repeated
 exactly get one row each; without labels of both kinds all scores are the share
 of toxic labels (0 without labels); an empty table gives no rows; other columns
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, steps, text_column
+from .common import prepare, steps, stored, text_column
 
 BUCKETS = 1 << 20
 PRIOR = 1000.0
@@ -47,6 +48,7 @@ DRIFT = 0.7
 CLIP = 6.0
 SIGNIFICANT = 0.0
 TOKENS_KEPT = 300_000
+TRAINING_ROWS = 200_000
 EVIDENCE_STEP = 0.1
 EVIDENCE_MIN, EVIDENCE_MAX = -30.0, 60.0
 _MARKS = b".,;:!?\"'()[]*#$%&|<>-"
@@ -215,20 +217,24 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column) -> Model:
     prepare(docs.sparkSession)
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & training).groupBy("doc_id")
-             .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("t2")).where("toxic = t2").drop("t2"))
-    known = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").join(marks, "doc_id")
-    # Equal texts fall into one fold and count once there.
-    fold = F.pmod(F.xxhash64("text"), F.lit(4))
-    once = (known.withColumn("hash", F.xxhash64("text")).withColumn("size", F.length("text"))
-            .groupBy("hash", "size", "toxic").agg(F.min("text").alias("text")))
-    other, toxic = token_counts(once.where(fold != 0))
+             .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("t2")).where("toxic = t2").drop("t2")
+             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS))
+    marks = stored(marks, "toxic-labels")
+    texts = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
+    # At most TRAINING_ROWS short rows are broadcast, so no text is shuffled.
+    # Equal texts with one label count once, and all in one fold.
+    known = (texts.join(F.broadcast(marks), "doc_id")
+             .groupBy(F.xxhash64("text").alias("hash"), F.length("text").alias("size"), "toxic").agg(F.min("doc_id").alias("doc_id")))
+    known = stored(known.select("doc_id", "toxic", F.pmod("hash", F.lit(4)).alias("fold")), "toxic-texts")
+    chosen = lambda rows: texts.join(F.broadcast(rows.select("doc_id", "toxic")), "doc_id")
+    other, toxic = token_counts(chosen(known.where("fold <> 0")))
     if not other.sum() or not toxic.sum():
         share = known.agg(F.avg("toxic")).first()[0] or 0.0
         return Model(np.full(BUCKETS, -1.0), 1.0, 0.0, math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     scores = log_odds(other, toxic) - DRIFT
     model = Model(scores, decay(scores, other + FLAT * (other + toxic > 0)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    held = known.where(fold == 0).select("text", "toxic").mapInArrow(_evidence(shared), "evidence double, toxic int")
+    held = chosen(known.where("fold = 0")).select("text", "toxic").mapInArrow(_evidence(shared), "evidence double, toxic int")
     bins = held.groupBy(F.round(F.col("evidence") / EVIDENCE_STEP).alias("bin")).agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0")).collect()
     if not sum(r["n1"] for r in bins) or not sum(r["n0"] for r in bins):
         return model
