@@ -217,7 +217,9 @@ def clean(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     blocks = stored(common_blocks(docs, min_words), "blocks")
     # The whole row as one column: no name of the input meets one of ours.
     keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.expr(TEXT_KEY).alias("text_key"))
-    joined = (keyed.join(blocks, ["doc_id", "text_key"], "left")
+    # Texts are dealt out by document at every size; broadcasting the deletions
+    # would only do while they are few.
+    joined = (keyed.join(blocks.hint("merge"), ["doc_id", "text_key"], "left")
               .select("row.*", F.coalesce("lines", F.array().cast("array<int>")).alias("removed")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema) + ", n_lines int"
     return joined.mapInArrow(_delete, schema)
