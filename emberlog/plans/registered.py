@@ -24,7 +24,7 @@ from ..schemas import FIREWALL_TOPICS, TOPIC_LOG_SCHEMA, TOPIC_RAW
 from ..session import ensure_session, shared_dir
 from ..sources.tables import overwrite_partitions, scan, with_partition
 from ..sources.topics import read_topics, write_topics
-from ..streaming.ingest import read_latest, start_device_latest, start_fanout, start_network, start_serving
+from ..streaming.ingest import read_latest, start_bronze, start_device_latest, start_fanout, start_network, start_serving
 from . import flows
 from .medallion import run_medallion
 
@@ -438,11 +438,11 @@ def q_medallion_two_days(spark, sf_dir) -> DataFrame:
     return _medallion_result(spark, root)
 
 
-def _stream_topics(spark, sf_dir):
+def _stream_topics(spark, sf_dir, profile="realtime"):
     root = shared_dir(spark, "stream")
     flows.firewall_lines(spark, sf_dir).select("value").write.text(f"{root}/lines")
     q = start_fanout(spark, f"{root}/lines", f"{root}/topics", f"{root}/chk-fanout",
-                     available_now=True, max_files=4)
+                     profile=profile, available_now=True, max_files=4)
     q.awaitTermination()
     return root
 
@@ -499,3 +499,14 @@ def q_stream_network_logs(spark, sf_dir) -> DataFrame:
     start_serving(spark, f"{root}/topics", "t_network_logs", f"{root}/t_network_logs", f"{root}/chk-logs",
                   fallback=run_ts(), available_now=True).awaitTermination()
     return spark.read.parquet(f"{root}/t_network_logs").drop("event_id", "ingested_at", "event_month")
+
+
+@register("stream_bronze_keys", O.fw("""
+SELECT DISTINCT device_id, ts, seq, event_id FROM fwt"""))
+def q_stream_bronze_keys(spark, sf_dir) -> DataFrame:
+    """Batch-profile line stream -> topics -> bronze de-duplicated in the stream."""
+    spark = _s(spark)
+    root = _stream_topics(spark, sf_dir, "batch")
+    start_bronze(spark, f"{root}/topics", f"{root}/bronze", f"{root}/chk-bronze", delay="3650 days",
+                 available_now=True).awaitTermination()
+    return spark.read.parquet(f"{root}/bronze").select("device_id", "ts", "seq", "event_id")

@@ -91,9 +91,6 @@ def queue_schema(fields) -> StructType:
                     for n, t in fields])
 
 
-# Network record as published on the network topic.
-NETWORK_MESSAGE_SCHEMA = queue_schema(NETWORK_FIELDS)
-
 # Raw network CSV record (header ``timestamp;device_id;program;msg``).
 NETWORK_CSV_SCHEMA = _struct([("timestamp", S), ("device_id", S),
                               ("program", S), ("msg", S)])

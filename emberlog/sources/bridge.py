@@ -112,9 +112,9 @@ def _tok(key: str, val: Column, cond: Column | None = None,
     return t if cond is None else F.when(cond, t)
 
 
-def _msg_tokens(raw: bool) -> list[Column]:
-    """Message tokens; ``raw`` renders the quote-mangled line form."""
-    q4, q2 = ('""""', '""') if raw else ("", "")
+def _msg_tokens() -> list[Column]:
+    """Message tokens, with the quotes of the mangled line form."""
+    q4, q2 = '""""', '""'
     c = F.col
     lat = c("lat_text")
     port = F.when(c("port_messy"), F.concat(_s(c("srcport")), F.lit("abc"))).otherwise(_s(c("srcport")))
@@ -151,11 +151,6 @@ def _msg_tokens(raw: bool) -> list[Column]:
     ]
 
 
-def clean_message(truth: DataFrame | None = None) -> Column:
-    """The message text once all CSV quote artefacts are removed."""
-    return F.concat_ws(" ", *_msg_tokens(raw=False))
-
-
 def firewall_lines(events: DataFrame) -> DataFrame:
     """Raw firewall lines ``value`` with a source position ``line_no``.
 
@@ -168,7 +163,7 @@ def firewall_lines(events: DataFrame) -> DataFrame:
     t = firewall_truth(events)
     c = F.col
     prio = F.when(c("prio_bad"), F.lit("x")).otherwise(_s(c("priority")))
-    msg = F.concat(F.lit('"'), F.concat_ws(" ", *_msg_tokens(raw=True)), F.lit('"'))
+    msg = F.concat(F.lit('"'), F.concat_ws(" ", *_msg_tokens()), F.lit('"'))
     body = F.concat_ws(";", c("device_id"), _s(c("facility")), prio,
                        F.lit("notice"), c("tag"), c("ts_text"), c("program"), msg)
     line = F.concat(F.when(c("bom"), F.lit("\ufeff")).otherwise(F.lit("")), body,

@@ -5,6 +5,7 @@
   Kafka).  One read of the source per micro-batch; the expansion is map-side.
 * ``start_network``: network-device CSV files -> classify and enrich -> topic.
 * ``start_serving``: one topic -> its serving table, appended.
+* ``start_bronze``: raw topic -> bronze table, de-duplicated within a watermark.
 * ``start_device_latest``: device topic -> latest row per device, merged per
   micro-batch into a bucketed table.  A commit record names the files of each
   bucket and the last batch of each streaming query, so a replayed batch
@@ -12,9 +13,9 @@
   batch rewrites only the buckets that it touches.
 
 Offsets/progress live in each query's checkpoint, which must be on shared,
-fault-tolerant storage (see ``session.shared_dir``).  The reference keeps no
-streaming state (no watermark, no keyed state): the serving loads are
-stateless projections and the device table is the only merge.
+fault-tolerant storage (see ``session.shared_dir``).  The serving
+loads are stateless projections; the device table is the only merge and the
+keys of ``start_bronze`` the only state.
 """
 
 from __future__ import annotations
@@ -26,13 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scoring import BATCH
+from ..operators.bronze import FULL_KEYS, flatten
 from ..operators.latest import latest_by_key
 from ..operators.parse_batch import parse_batch_lines
 from ..operators.parse_net import enrich_network, parse_network_records
 from ..operators.parse_rt import parse_rt_lines
 from ..operators.route import route
 from ..operators.serving import TABLES, load_devices, load_table, month_partition
-from ..schemas import TOPIC_DEVICES, TOPIC_NETWORK
+from ..operators.silver import event_time
+from ..schemas import TOPIC_DEVICES, TOPIC_NETWORK, TOPIC_RAW
 from ..sources.lines import stream_lines, stream_network_csv
 from ..sources.topics import encode, stream_topic
 
@@ -93,6 +96,25 @@ def start_serving(spark: SparkSession, topic_path: str, table: str, table_path:
     return _trigger(w, available_now, interval).start()
 
 
+def start_bronze(spark: SparkSession, topic_path: str, table_path: str, checkpoint: str,
+                 keys=FULL_KEYS, delay: str = "7 days", fmt: str = "parquet",
+                 available_now: bool = False, interval: str | None = None) -> StreamingQuery:
+    """Raw topic -> bronze, one row per key within ``delay`` of event time.
+
+    The keys seen are state, held for ``delay``; a record older than that
+    against the newest event counts as late and is left to the batch job,
+    which de-duplicates without a horizon.
+    """
+    log = stream_topic(spark, [TOPIC_RAW], topic_path, fmt)
+    rows = flatten(log).where(F.col("device_id").isNotNull() & (F.trim("device_id") != ""))
+    rows = (rows.withColumn("event_time", event_time(F.col("ingested_at")))
+            .withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys)).drop("event_time"))
+    w = (rows.withColumn("ingest_date", F.to_date("ingested_at")).writeStream.format("parquet")
+         .partitionBy("ingest_date").option("path", table_path).option("compression", "zstd")
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return _trigger(w, available_now, interval).start()
+
+
 # --- latest-per-key merge into a bucketed parquet table ------------------------
 
 BUCKETS = 32
