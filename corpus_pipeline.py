@@ -53,7 +53,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: token sequences, one row per piece of a document."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=END_ID, capacity=CAPACITY)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=END_ID, capacity=CAPACITY, id_bits=16)
 
 
 STAGES = [

@@ -155,10 +155,27 @@ def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFr
     return unfit.unionByName(placed).select("row.*", "sequence_id", "offset")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces of all documents with their ids and slots: the packed corpus, one row per piece."""
+def _recoded(source: str, target: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("ids")
+            ids = [np.frombuffer(x, source).astype(target).tobytes() for x in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()) if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+    return run
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY, id_bits: int = 32) -> DataFrame:
+    """Pieces of all documents with their ids and slots: the packed corpus, one row per piece.
+
+    ``id_bits``: 16 for a vocabulary of at most 65,536 ids, which then move
+    through the shuffle in half the bytes; the result has 32-bit ids.
+    """
     pieces = cut_documents(docs, tokenizer, word_ends, end_id, capacity).withColumn("ids_crc32", F.crc32("ids"))
-    return pack(pieces, ["doc_id", "piece", "start", "ids_crc32"], capacity)
+    order = ["doc_id", "piece", "start", "ids_crc32"]
+    if id_bits == 32:
+        return pack(pieces, order, capacity)
+    packed = pack(pieces.mapInArrow(_recoded("<u4", "<u2"), pieces.schema), order, capacity)
+    return packed.mapInArrow(_recoded("<u2", "<u4"), packed.schema)
 
 
 def piece_slots(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:

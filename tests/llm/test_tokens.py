@@ -173,6 +173,9 @@ def test_op1_awkward(spark):
         slots[r.sequence_id].append((r.offset, r.length))
     assert all(sum(n for _, n in s) <= 64 and len(set(s)) == len(s) for s in slots.values())
     assert packing.pack_documents(documents(spark, empty=True), BYTE_BPE).count() == 0
+    half = packing.pack_documents(docs, BYTE_BPE, capacity=64, id_bits=16)
+    bare = lambda rows: sorted((r.doc_id or -1, r.piece, r.start, r.length, bytes(r.ids), r.ids_crc32) for r in rows)
+    assert bare(half.collect()) == bare(rows)
 
 
 def test_pack_replaces_clashing_names_and_keeps_unfit_items(spark):
