@@ -14,8 +14,9 @@ links make components.  Then, in buckets that still hold several components,
 members outside the largest one meet the others in bounded blocks; a pair
 counts if its components differ, its sizes allow the similarity, its signatures
 are near enough, and its known exact distances to the bucket's first member
-(Jaccard distance is a metric) do not exclude it.  Every link is confirmed on
-the full sets.
+(Jaccard distance is a metric) do not exclude it.  Such members are gathered in
+verification groups, with each text once, where all of them are compared on the
+full sets, and only links that join components leave the group.
 
 Texts without words have the empty set, count 0 shingles and link with nothing;
 with fewer words than a shingle has, the whole sequence is the one shingle.
@@ -228,33 +229,76 @@ def near_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _cross(bucket: pa.Table) -> pa.Table:
-    """Pairs of one block of a bucket: outsiders against all, across components."""
+    """The verification groups of one block of a bucket: outsiders with those of all that may be near.
+
+    A group is (top, t1, t2): ``top`` names the bucket's largest component, t1
+    the block of an outsider, t2 that of another outsider or (-1 - block) of a
+    member of the largest component.
+    """
     rows, ids, comp = signature_rows(bucket.column("signature")), bucket.column("id").to_numpy(), bucket.column("component").to_numpy()
     n, far = bucket.column("n").to_numpy(), bucket.column("far").to_numpy(zero_copy_only=False)
-    outside = np.flatnonzero(bucket.column("outside").to_numpy(zero_copy_only=False))
-    own, key = bucket.column("own").to_numpy(zero_copy_only=False), bucket.column("key")[0].as_py()
+    out, own = (bucket.column(c).to_numpy(zero_copy_only=False) for c in ("outside", "own"))
+    home, key = bucket.column("home").to_numpy(), bucket.column("key")[0].as_py()
     keys = chunk_keys(rows).view(np.int64)
-    out_a, out_b = [], []
-    for i in outside:
+    found: set[tuple[int, int, int]] = set()
+    for i in np.flatnonzero(out):
         j = np.flatnonzero((comp != comp[i]) & (own | own[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i]))
                            & ~(np.abs(far - far[i]) > 1 - PERCENT / 100 + 1e-9))
         j = j[(rows[j] != rows[i]).sum(1) <= REACH]
-        # A pair is given in the first of its common buckets only.
+        # A pair is placed by the first of its common buckets only.
         same = keys[j] == keys[i]
-        j = j[keys[i][same.argmax(1)] == key] if len(j) else j
-        out_a.append(np.minimum(ids[j], ids[i]))
-        out_b.append(np.maximum(ids[j], ids[i]))
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-    return pa.table({"a": a, "b": b})
+        for other in j[keys[i][same.argmax(1)] == key].tolist() if len(j) else ():
+            t1, t2 = (home[i], -1 - home[other]) if not out[other] else sorted((home[i], home[other]))
+            found.add((int(t1), int(t2), int(ids[i])))
+            found.add((int(t1), int(t2), int(ids[other])))
+    t1, t2, member = zip(*sorted(found)) if found else ((), (), ())
+    top = np.full(len(found), bucket.column("top")[0].as_py(), np.int64)
+    return pa.table({"top": pa.array(top), "t1": pa.array(t1, pa.int64()), "t2": pa.array(t2, pa.int64()), "id": pa.array(member, pa.int64())})
+
+
+def _verify(words: int):
+    """Links on the full sets inside one verification group, as many as join its components."""
+    def run(group: pa.Table) -> pa.Table:
+        ids, comp = group.column("id").to_numpy(), group.column("component").to_numpy()
+        outside = comp != group.column("top")[0].as_py()
+        sets = [s for step in group.select(["text"]).combine_chunks().to_batches(max_chunksize=256) for s in shingle_sets(text_column(step.column("text")), words)]
+        size = np.array(list(map(len, sets)))
+        _, places = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(size) - size
+        root = {c: c for c in comp.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        a, b = [], []
+        mark = np.zeros(int(places.max()) + 1, bool)
+        for i in np.flatnonzero(outside).tolist():
+            own = places[starts[i]:starts[i] + size[i]]
+            mark[own] = True
+            inter = np.add.reduceat(mark[places], starts, dtype=np.int64)
+            mark[own] = False
+            similar = (100 * inter >= PERCENT * (size + size[i] - inter)) & (comp != comp[i])
+            for j in np.flatnonzero(similar).tolist():
+                x, y = find(comp[i]), find(comp[j])
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    a.append(ids[i])
+                    b.append(ids[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
 
 
-def cross_pairs(buckets: DataFrame, members: DataFrame, labels: DataFrame, known: DataFrame) -> DataFrame:
-    """Candidate pairs between components that meet in a bucket.
+def cross_links(buckets: DataFrame, members: DataFrame, labels: DataFrame, known: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(a, b): links between components, from buckets that hold several.
 
     Members of the bucket's largest component go to one block each; the others
-    go to all blocks, and are the ones compared.
+    go to all blocks, and are the ones compared.  Candidates are not listed as
+    pairs: both go to a verification group that holds each text once.
     """
-    labelled = buckets.join(labels, buckets.id == labels.id, "left").select(buckets["*"], F.coalesce("component", buckets.id).alias("component"))
+    of = labels.withColumnRenamed("id", "id_")
+    labelled = buckets.join(of, buckets.id == of.id_, "left").select("key", "id", "leader", F.coalesce("component", "id").alias("component"))
     sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n_"))
     mixed_ = (sizes.groupBy("key").agg(F.max(F.struct("n_", "component")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("n_").alias("all"))
               .where("parts > 1").select("key", F.col("top.component").alias("top"), F.ceil(F.col("all") / BLOCK).alias("blocks")))
@@ -263,8 +307,13 @@ def cross_pairs(buckets: DataFrame, members: DataFrame, labels: DataFrame, known
             .withColumn("outside", F.col("component") != F.col("top"))
             .withColumn("home", F.pmod(F.xxhash64("id"), F.col("blocks")))
             .withColumn("block", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("home")))))
-    return (rows.select("key", "block", "id", "n", "signature", "component", "outside", F.coalesce("far", F.lit(float("nan"))).alias("far"), (F.col("home") == F.col("block")).alias("own"))
-            .groupBy("key", "block").applyInArrow(_cross, "a long, b long"))
+    places = (rows.select("key", "block", "id", "n", "signature", "component", "top", "outside", "home",
+                          F.coalesce("far", F.lit(float("nan"))).alias("far"), (F.col("home") == F.col("block")).alias("own"))
+              .groupBy("key", "block").applyInArrow(_cross, "top long, t1 long, t2 long, id long"))
+    places = stored(places.distinct(), "verification-groups")
+    placed = (places.join(of, places.id == of.id_, "left").select("top", "t1", "t2", "id", F.coalesce("component", "id").alias("component"))
+              .join(texts, "id"))
+    return placed.groupBy("top", "t1", "t2").applyInArrow(_verify(words), "a long, b long")
 
 
 def links(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
@@ -281,11 +330,10 @@ def links(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     known = confirmed(salted(firsts), texts, words)
     similar = f"100 * inter >= {PERCENT} * total"
     labels = components(known.where(similar).select("a", "b"))
-    more = stored(cross_pairs(buckets, members, labels, known).distinct(), "pairs")
-    again = confirmed(salted(more), texts, words)
-    if again.where(similar).isEmpty():
+    more = stored(cross_links(buckets, members, labels, known, texts, words), "pairs")
+    if more.isEmpty():
         return labels
-    return components(known.unionByName(again).where(similar).select("a", "b"))
+    return components(known.where(similar).select("a", "b").unionByName(more))
 
 
 def classes(docs: DataFrame, words: int) -> DataFrame:
