@@ -323,7 +323,7 @@ def links(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     buckets = stored(keys.join(leaders, "key"), "buckets")
     held = buckets.select("id").distinct()
     # Rows with one id are one document: one text stands for it, the same as in ``classes``.
-    texts = (docs.selectExpr("cast(doc_id as long) id", "cast(text as string) text", f"{TEXT_KEY} text_key").join(held, "id", "left_semi")
+    texts = (docs.selectExpr("cast(doc_id as long) id", "cast(text as string) text", f"{TEXT_KEY} text_key").join(held.hint("merge"), "id", "left_semi")
              .groupBy("id").agg(F.min_by("text", "text_key").alias("text")))
     texts = stored(texts, "member-texts")
     firsts = stored(near_pairs(buckets.where("leader <> id").selectExpr("leader a", "id b").distinct(), members), "pairs")
@@ -355,4 +355,5 @@ def classes(docs: DataFrame, words: int) -> DataFrame:
 def deduplicate(docs: DataFrame, words: int = 5) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest doc_id."""
     out = classes(docs, words).where("not kept").select(F.col("doc_id").alias("dropped")).distinct()
-    return docs.join(out, docs["doc_id"].cast("long") == out["dropped"], "left_anti")
+    # Texts are dealt out by document at every size.
+    return docs.join(out.hint("merge"), docs["doc_id"].cast("long") == out["dropped"], "left_anti")
