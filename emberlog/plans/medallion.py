@@ -80,7 +80,7 @@ def _take_in(spark, topic_log, paths, since, until, ingest_ts, fallback, keys, t
     if not report.counts["fg_events_raw"]:
         return []
     today = spark.range(1).select(F.to_date(ingest_ts)).first()[0]
-    stored = scan(spark, paths["fg_events_raw"], fmt).where(F.col("ingest_date") == F.lit(today))
+    stored = scan(spark, paths["fg_events_raw"], fmt, "fg_events_raw").where(F.col("ingest_date") == F.lit(today))
     return [r[0] for r in stored.select("event_date").distinct().collect()]
 
 
@@ -109,11 +109,11 @@ def run_medallion(spark: SparkSession, topic_log: DataFrame | None, root: str,
     if not touched:
         return report
 
-    silver = silver_of_days(scan(spark, paths["fg_events_raw"], fmt), touched, keys, fallback)
+    silver = silver_of_days(scan(spark, paths["fg_events_raw"], fmt, "fg_events_raw"), touched, keys, fallback)
     silver, parts = with_partition(silver, "fg_events_clean")
     _write_counted(silver, "fg_events_clean", paths["fg_events_clean"], parts, report, fmt)
 
-    stored = scan(spark, paths["fg_events_clean"], fmt)
+    stored = scan(spark, paths["fg_events_clean"], fmt, "fg_events_clean")
     for table, fn in GOLD_TABLES.items():
         src = _in_days(stored, touched) if table in DAY_SCOPED else stored
         out, parts = with_partition(fn(src.drop("event_date")), table)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (FloatType, IntegerType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+from pyspark.sql.types import (DateType, DoubleType, FloatType, IntegerType,
+                               LongType, StringType, StructField, StructType,
+                               TimestampType)
 
 S, I, L, F, TS = StringType(), IntegerType(), LongType(), FloatType(), TimestampType()
+D, DAY = DoubleType(), DateType()
 
 
 def _struct(fields):
@@ -104,3 +106,38 @@ TOPIC_DEVICES = "fg_device_inventory"
 TOPIC_NETWORK = "fg_network_logs"
 FIREWALL_TOPICS = [TOPIC_RAW, TOPIC_SECURITY, TOPIC_TRAFFIC,
                    TOPIC_PERFORMANCE, TOPIC_DEVICES]
+
+# Stored tables: declared columns, then the partition columns.
+_TYPES = dict(MESSAGE_FIELDS) | {
+    "ingested_at": TS, "kafka_topic": S, "kafka_offset": L, "event_time": TS, "hour_of_day": I,
+    "day_of_week": I, "proto_label": S, "latency_bucket": S, "is_vpn_failure": I,
+}
+TABLE_FIELDS = {
+    "fg_events_raw": [(n, _TYPES[n]) for n in BRONZE_COLUMNS] + [("ingest_date", DAY), ("event_date", DAY)],
+    "fg_events_clean": [(n, _TYPES[n]) for n in SILVER_COLUMNS] + [("event_date", DAY)],
+    "fg_kpi_hourly": [
+        ("window_start", TS), ("window_end", TS), ("event_type", S), ("severity_label", S),
+        ("total_events", L), ("anomaly_count", L), ("critical_count", L), ("error_count", L),
+        ("warning_count", L), ("avg_latency_ms", D), ("max_latency_ms", F), ("total_bytes", L),
+        ("avg_bytes", D), ("unique_devices", L), ("unique_srcip", L), ("window_date", DAY)],
+    "fg_device_inventory": [
+        ("device_id", S), ("devname", S), ("devtype", S), ("srchwvendor", S), ("srcmac", S),
+        ("total_events", L), ("total_anomalies", L), ("avg_latency_ms", D), ("max_latency_ms", F),
+        ("total_bytes", L), ("last_seen", TS)],
+    "fg_top_threat_ips": [
+        ("srcip", S), ("nb_anomalies", L), ("max_severity", I), ("total_events", L), ("last_alert", TS)],
+    "fg_sdwan_performance": [
+        ("window_start", TS), ("vwlid", I), ("avg_latency_ms", D), ("max_latency_ms", F),
+        ("p95_latency_ms", F), ("degraded_sessions", L), ("critical_sessions", L),
+        ("total_sessions", L), ("total_bytes", L), ("window_date", DAY)],
+    "fg_policy_traffic": [
+        ("policyname", S), ("policytype", S), ("total_sessions", L), ("blocked_sessions", L),
+        ("total_bytes", L), ("avg_latency_ms", D), ("unique_src_ips", L), ("unique_dst_ips", L)],
+    "fg_protocol_stats": [
+        ("day", TS), ("tag", S), ("total_sessions", L), ("anomaly_sessions", L), ("total_bytes", L),
+        ("avg_latency_ms", D), ("unique_sources", L), ("day_date", DAY)],
+}
+
+
+def table_schema(table: str) -> StructType:
+    return _struct(TABLE_FIELDS[table])

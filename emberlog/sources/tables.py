@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.silver import event_time
+from ..schemas import table_schema
 
 # Derived partition columns per stored table (added by ``with_partition``).
 # Bronze also carries the event's day, so that a rerun of some event days
@@ -55,26 +56,46 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str] | N
     writer.format(fmt).save(path)
 
 
-def scan(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a stored table (partition columns come back as columns)."""
+def scan(spark: SparkSession, path: str, fmt: str = "parquet", table: str | None = None) -> DataFrame:
+    """Read a stored table (partition columns come back as columns).
+
+    With ``table`` the declared columns are read, also where nothing is stored yet.
+    """
     if fmt == "iceberg":
         return spark.table(path)
-    return spark.read.format(fmt).load(path)
+    reader = spark.read.schema(table_schema(table)) if table else spark.read
+    return reader.format(fmt).load(path)
+
+
+def create_statement(name: str, table: str, fmt: str) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` with the declared columns and partitioning."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table_schema(table))
+    parts = list(PARTITIONS[table])
+    # Silver is also bucketed by device where the format knows the transform.
+    if table == "fg_events_clean" and fmt == "iceberg":
+        parts.append("bucket(16, device_id)")
+    return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}" + (f" PARTITIONED BY ({', '.join(parts)})" if parts else "")
 
 
 def ensure_tables(spark: SparkSession, root: str, namespaces=("bronze", "silver", "gold"),
                   fmt: str = "parquet") -> dict[str, str]:
-    """Namespaces / locations for the pipeline tables (idempotent).
+    """Create the pipeline's tables where they are missing; returns their locations.
 
     For parquet, tables are directories under ``root``; for a catalog format
-    the namespaces are created with ``CREATE NAMESPACE IF NOT EXISTS``.
+    they are created with their declared columns and partitioning.
     """
     if fmt != "parquet":
         for ns in namespaces:
             spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}")
     layout = {"fg_events_raw": "bronze", "fg_events_clean": "silver"}
+    path_of, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
     out = {}
     for t in PARTITIONS:
         ns = layout.get(t, "gold")
         out[t] = f"{ns}.{t}" if fmt != "parquet" else f"{root.rstrip('/')}/{ns}/{t}"
+        if fmt == "parquet":
+            folder = path_of(out[t])
+            folder.getFileSystem(conf).mkdirs(folder)
+        else:
+            spark.sql(create_statement(out[t], t, fmt))
     return out

@@ -192,3 +192,24 @@ def test_shared_folder_is_required_off_local_masters(spark):
 
     with pytest.raises(ValueError, match="share"):
         session.shared_dir(Cluster(), "x")
+
+
+def test_tables_are_created_with_declared_columns(spark):
+    from emberlog.operators.gold import GOLD
+    from emberlog.schemas import table_schema
+    from emberlog.sources.tables import PARTITIONS, create_statement, ensure_tables, with_partition
+    root = shared_dir(spark, "tables")
+    paths = ensure_tables(spark, root)
+    assert ensure_tables(spark, root) == paths
+    for table, path in paths.items():  # empty tables have their declared columns
+        assert scan(spark, path, table=table).count() == 0
+    silver = flows.silver(spark, SF, run_ts())
+    made = {"fg_events_raw": flows.bronze(spark, SF), "fg_events_clean": silver} | {f"fg_{k}": fn(silver) for k, fn in GOLD.items()}
+    for table in PARTITIONS:
+        own, parts = with_partition(made[table], table, run_ts())
+        declared = table_schema(table)
+        assert [(f.name, f.dataType) for f in own.schema] == [(f.name, f.dataType) for f in declared], table
+        statement = create_statement(f"gold.{table}", table, "iceberg")
+        assert all(f"`{f.name}` {f.dataType.simpleString()}" in statement for f in declared)
+        assert ("PARTITIONED BY" in statement) == bool(parts)
+    assert "bucket(16, device_id)" in create_statement("silver.fg_events_clean", "fg_events_clean", "iceberg")
