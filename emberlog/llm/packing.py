@@ -19,6 +19,7 @@ keeps all but its own output names, which it replaces.
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from .common import prepare, steps, stored
 
 CAPACITY = 1024
 SALTS = 1024
-PIECES = "doc_id long, piece int, start long, length long, ids binary"
+PIECES = "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long"
 
 
 def cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,7 +47,7 @@ def cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.
     return row, piece, start
 
 
-def _cutter(tokenizer: str, word_ends: bool, end_id: int, capacity: int):
+def _cutter(tokenizer: str, word_ends: bool, end_id: int, capacity: int, id_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = tokens.library_cache(tokenizer, word_ends)
         for batch in batches:
@@ -56,19 +57,25 @@ def _cutter(tokenizer: str, word_ends: bool, end_id: int, capacity: int):
                 begins = starts + np.arange(len(starts))
                 row, piece, start = cut(np.diff(begins), capacity)
                 places = np.append(begins[row] + start, len(all_ids))
-                blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(4 * places.astype("<i8")), pa.py_buffer(all_ids)])
+                raw, at = memoryview(all_ids).cast("B"), (4 * places).tolist()
+                held = all_ids.astype(f"<u{id_bits // 8}")
+                blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer((id_bits // 8) * places.astype("<i8")), pa.py_buffer(held)])
                 yield pa.RecordBatch.from_arrays([
                     step.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)),
                     pa.array(start), pa.array(np.diff(places)), pc.cast(blobs, pa.binary()),
-                ], names=["doc_id", "piece", "start", "length", "ids"])
+                    pa.array([zlib.crc32(raw[x:y]) for x, y in zip(at, at[1:])], pa.int64()),
+                ], names=["doc_id", "piece", "start", "length", "ids", "ids_crc32"])
     return run
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids (unsigned 32-bit, little endian) of all pieces, stored."""
+def cut_documents(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY, id_bits: int = 32) -> DataFrame:
+    """doc_id, piece, start, length, ids, ids_crc32 of all pieces, stored.
+
+    ``ids``: unsigned little endian of ``id_bits``; the checksum is that of the 32-bit form.
+    """
     prepare(docs.sparkSession)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-    return stored(rows.mapInArrow(_cutter(tokenizer, word_ends, end_id, capacity), PIECES), "pieces")
+    return stored(rows.mapInArrow(_cutter(tokenizer, word_ends, end_id, capacity, id_bits), PIECES), "pieces")
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -113,7 +120,15 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return runs
 
 
-def _placer(shared):
+def _widened(rows: pa.StructArray) -> pa.StructArray:
+    """The field ``ids`` from 16 to 32 bits."""
+    columns, names = rows.flatten(), [f.name for f in rows.type]
+    at = names.index("ids")
+    columns[at] = pa.array([np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in columns[at].to_pylist()], pa.binary())
+    return pa.StructArray.from_arrays(columns, names)
+
+
+def _placer(shared, widen: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length, rank, _, first, each, offset = shared.value
         keys = (length << 44) + rank
@@ -121,7 +136,8 @@ def _placer(shared):
             own, number = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
             at = np.searchsorted(keys, (own << 44) + number, "right") - 1
             nth = number - rank[at]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(first[at] + nth // each[at]), pa.array(offset[at] + nth % each[at] * own)], names=["row", "sequence_id", "offset"])
+            row = _widened(batch.column("row")) if widen else batch.column("row")
+            yield pa.RecordBatch.from_arrays([row, pa.array(first[at] + nth // each[at]), pa.array(offset[at] + nth % each[at] * own)], names=["row", "sequence_id", "offset"])
     return run
 
 
@@ -136,10 +152,11 @@ def ranked(items: DataFrame, order: list[str]) -> DataFrame:
             .select("row", "length", (F.col("base") + F.col("nth") - 1).alias("rank")))
 
 
-def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFrame:
+def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY, widen: bool = False) -> DataFrame:
     """``items`` (a stored table with a ``length`` column) with ``sequence_id`` and ``offset``.
 
-    ``order`` names columns that tell items of one length apart.
+    ``order`` names columns that tell items of one length apart; ``widen``:
+    a column ``ids`` of 16-bit ids comes out with 32.
     """
     spark = items.sparkSession
     # The whole item as one column: no name of the input meets one of ours.
@@ -150,32 +167,19 @@ def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFr
     runs = sorted(plan(histogram, capacity))
     shared = spark.sparkContext.broadcast(tuple(np.array(x, np.int64) for x in zip(*runs)) if runs else (np.zeros(0, np.int64),) * 6)
     placed = (ranked(good, [f"row.{c}" for c in order])
-              .mapInArrow(_placer(shared), f"row {whole.schema['row'].dataType.simpleString()}, sequence_id long, offset long"))
+              .mapInArrow(_placer(shared, widen), f"row {whole.schema['row'].dataType.simpleString()}, sequence_id long, offset long"))
     unfit = whole.where(~fits).select("row", F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
     return unfit.unionByName(placed).select("row.*", "sequence_id", "offset")
 
 
-def _recoded(source: str, target: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("ids")
-            ids = [np.frombuffer(x, source).astype(target).tobytes() for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()) if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
-    return run
-
-
 def pack_documents(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY, id_bits: int = 32) -> DataFrame:
     """Pieces of all documents with their ids and slots: the packed corpus, one row per piece.
 
     ``id_bits``: 16 for a vocabulary of at most 65,536 ids, which then move
     through the shuffle in half the bytes; the result has 32-bit ids.
     """
-    pieces = cut_documents(docs, tokenizer, word_ends, end_id, capacity).withColumn("ids_crc32", F.crc32("ids"))
-    order = ["doc_id", "piece", "start", "ids_crc32"]
-    if id_bits == 32:
-        return pack(pieces, order, capacity)
-    packed = pack(pieces.mapInArrow(_recoded("<u4", "<u2"), pieces.schema), order, capacity)
-    return packed.mapInArrow(_recoded("<u2", "<u4"), packed.schema)
+    pieces = cut_documents(docs, tokenizer, word_ends, end_id, capacity, id_bits)
+    return pack(pieces, ["doc_id", "piece", "start", "ids_crc32"], capacity, widen=id_bits == 16)
 
 
 def piece_slots(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:

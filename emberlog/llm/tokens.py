@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from .common import text_column
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 WORDS = 100_000
 GATHER_CHUNKS = 1 << 20
 
