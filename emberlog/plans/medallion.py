@@ -8,7 +8,10 @@ with ``observe`` during the write (one pass, not a second job).
 A run takes in an offset range of the log (all of it by default) under one
 ingest time and rebuilds only the event days that came in: silver reads these
 days from bronze, whatever ingest day they lie under, and keeps one row per
-key across ingest days, so records read twice do not count twice.  ``days``
+key across ingest days and ranges, so records read twice do not count twice.
+Each range is its own bronze partition: the same range again on one ingest day
+replaces itself, and any other range leaves its rows alone.  (Without ``keys``
+nothing is de-duplicated, so ranges that overlap count their rows twice.)  ``days``
 (X2) rebuilds a range of event days from stored bronze and reads no log.
 Tables that span all history (device inventory, top threat IPs, policy
 traffic) are recomputed in full.
@@ -26,7 +29,7 @@ from ..operators import gold as G
 from ..operators.bronze import FULL_KEYS, dedup_first, to_bronze
 from ..operators.silver import to_silver
 from ..schemas import TOPIC_RAW
-from ..sources.tables import ensure_tables, overwrite_partitions, scan, with_partition
+from ..sources.tables import ALL_OFFSETS, ensure_tables, overwrite_partitions, scan, with_partition
 
 GOLD_TABLES = {
     "fg_kpi_hourly": G.gold_kpi_hourly,
@@ -64,7 +67,14 @@ def silver_of_days(bronze: DataFrame, days: list[dt.date], keys, fallback) -> Da
     rows = _in_days(bronze, days)
     if keys:
         rows = dedup_first(rows, keys, ["kafka_offset", "kafka_topic", "ingested_at"])
-    return to_silver(rows.drop("ingest_date", "event_date"), fallback)
+    return to_silver(rows.drop("ingest_date", "offset_range", "event_date"), fallback)
+
+
+def offset_range(since: int | None, until: int | None) -> str:
+    """The name of an offset range as a partition value."""
+    if since is None and until is None:
+        return ALL_OFFSETS
+    return f"{'start' if since is None else since}_{'end' if until is None else until}"
 
 
 def _take_in(spark, topic_log, paths, since, until, ingest_ts, fallback, keys, topics, report, fmt) -> list[dt.date]:
@@ -75,12 +85,14 @@ def _take_in(spark, topic_log, paths, since, until, ingest_ts, fallback, keys, t
     if until is not None:
         log = log.where(F.col("offset") < until)
     rows = to_bronze(log, ingest_ts=ingest_ts, keys=keys, topics=topics)
-    bronze, parts = with_partition(rows, "fg_events_raw", fallback)
+    offsets = offset_range(since, until)
+    bronze, parts = with_partition(rows, "fg_events_raw", fallback, offsets)
     _write_counted(bronze, "fg_events_raw", paths["fg_events_raw"], parts, report, fmt)
     if not report.counts["fg_events_raw"]:
         return []
     today = spark.range(1).select(F.to_date(ingest_ts)).first()[0]
-    stored = scan(spark, paths["fg_events_raw"], fmt, "fg_events_raw").where(F.col("ingest_date") == F.lit(today))
+    stored = scan(spark, paths["fg_events_raw"], fmt, "fg_events_raw").where(
+        (F.col("ingest_date") == F.lit(today)) & (F.col("offset_range") == offsets))
     return [r[0] for r in stored.select("event_date").distinct().collect()]
 
 

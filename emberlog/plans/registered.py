@@ -438,6 +438,19 @@ def q_medallion_two_days(spark, sf_dir) -> DataFrame:
     return _medallion_result(spark, root)
 
 
+@register("medallion_two_ranges", _SQL["gold_kpi_hourly"])
+def q_medallion_two_ranges(spark, sf_dir) -> DataFrame:
+    """Two adjoining offset ranges of the log on one ingest day, and the second one again."""
+    spark = _s(spark)
+    root = shared_dir(spark, "medallion")
+    log = flows.batch_topic_log(spark, sf_dir, only=[TOPIC_RAW])
+    half = 2 * flows.events(spark, sf_dir).agg(F.max("event_id")).first()[0]
+    run_medallion(spark, log, root, until=half, fallback=run_ts(), ingest_ts=run_ts())
+    for _ in range(2):
+        run_medallion(spark, log, root, since=half, fallback=run_ts(), ingest_ts=run_ts())
+    return _medallion_result(spark, root)
+
+
 def _stream_topics(spark, sf_dir, profile="realtime"):
     root = shared_dir(spark, "stream")
     flows.firewall_lines(spark, sf_dir).select("value").write.text(f"{root}/lines")

@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 from ..operators.silver import event_time
 from ..schemas import table_schema
 
+ALL_OFFSETS = "all"
+
 # Derived partition columns per stored table (added by ``with_partition``).
 # Bronze also carries the event's day, so that a rerun of some event days
-# prunes it whatever days its rows came in.
+# prunes it whatever days its rows came in, and the offset range it was taken
+# from, so that ranges of one ingest day do not replace one another.
 PARTITIONS = {
     "fg_events_raw": {"ingest_date": lambda fb: F.to_date("ingested_at"),
+                      "offset_range": lambda fb: F.lit(ALL_OFFSETS),
                       "event_date": lambda fb: F.to_date(event_time(fb))},
     "fg_events_clean": {"event_date": lambda fb: F.to_date("event_time")},
     "fg_kpi_hourly": {"window_date": lambda fb: F.to_date("window_start")},
@@ -30,10 +34,12 @@ PARTITIONS = {
 }
 
 
-def with_partition(df: DataFrame, table: str, fallback=None) -> tuple[DataFrame, list[str]]:
-    """``df`` with the table's partition columns, and their names."""
-    columns = PARTITIONS.get(table, {})
-    return df.withColumns({name: expr(fallback) for name, expr in columns.items()}), list(columns)
+def with_partition(df: DataFrame, table: str, fallback=None, offsets: str = ALL_OFFSETS) -> tuple[DataFrame, list[str]]:
+    """``df`` with the table's partition columns, and their names; ``offsets`` names bronze's offset range."""
+    columns = {name: expr(fallback) for name, expr in PARTITIONS.get(table, {}).items()}
+    if "offset_range" in columns:
+        columns["offset_range"] = F.lit(offsets)
+    return df.withColumns(columns), list(columns)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str] | None = None,

@@ -183,6 +183,28 @@ def test_medallion_days_counts_and_pruning(spark):
     assert "event_date" in scan_line[scan_line.index("PartitionFilters"):scan_line.index("PushedFilters")]
 
 
+def test_medallion_ranges_of_one_ingest_day(spark):
+    root, whole = shared_dir(spark, "medallion"), shared_dir(spark, "medallion")
+    log = flows.batch_topic_log(spark, SF, only=["fg_raw_all"])
+    run = lambda to, **k: medallion.run_medallion(spark, log, to, fallback=run_ts(), ingest_ts=run_ts(), **k)
+    stored = lambda to, table: sorted(map(str, scan(spark, f"{to}/{table}").collect()))
+    run(whole)
+    # Both ranges hold rows of one event day, so that the second could replace the first.
+    day = medallion.with_partition(to_bronze(log, run_ts(), FULL_KEYS), "fg_events_raw", run_ts())[0].groupBy("event_date").agg(
+        F.min("kafka_offset").alias("a"), F.max("kafka_offset").alias("b"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).first()
+    middle = (day.a + day.b) // 2
+    first, second = run(root, until=middle), run(root, since=middle)
+    bronze = scan(spark, root + "/bronze/fg_events_raw")
+    n = first.counts["fg_events_raw"] + second.counts["fg_events_raw"]
+    assert first.counts["fg_events_raw"] > 0 < second.counts["fg_events_raw"] and bronze.count() == n
+    for table in ("silver/fg_events_clean", "gold/fg_kpi_hourly", "gold/fg_device_inventory"):
+        assert stored(root, table) == stored(whole, table), table
+    run(root, since=middle)  # a range read again replaces itself
+    run(root, until=middle - 1)  # and a smaller one with the same start takes nothing away
+    assert scan(spark, root + "/bronze/fg_events_raw").where(F.col("offset_range") != f"start_{middle - 1}").count() == n
+    assert stored(root, "silver/fg_events_clean") == stored(whole, "silver/fg_events_clean")
+
+
 def test_shared_folder_is_required_off_local_masters(spark):
     from emberlog import session
 
