@@ -1,21 +1,31 @@
 """Operator 8, line dedup: pairwise alignment of overlapping documents.
 
-Documents that share line hashes are aligned by patience diff (lines that are
-unique in both, in longest increasing order, then the stretches between them),
-and every aligned common block of at least ``MIN_WORDS`` words is deleted from
-the later document, the one with the larger doc_id.
+Texts are cut into units: lines, and with a ``span`` (operator 8
+uses ``SPAN``) long lines into content-defined pieces (a word begins a piece if its
+hash is the smallest of some span of successive words of its line), so a passage that stands inside a longer line is cut in the
+same places as its other copies.  Documents that share unit hashes are aligned
+by patience diff (units that are unique in both, in longest increasing order,
+then the stretches between them), and every aligned common block of at least
+``MIN_WORDS`` words is deleted from the later document, the one with the larger
+doc_id.
 
-Candidates come from runs: from each line on, the shortest run of lines with
+A common passage of n words is cut alike from its first ``SPAN`` words to its
+last, so n - 2 * SPAN + 1 words of it at least are common units: every passage
+of over 50 words holds a block of ``MIN_WORDS``.  Inside longer lines up to
+SPAN - 1 words before the block and SPAN after it stay; passages that end with
+their lines go whole.
+
+Candidates come from runs: from each unit on, the shortest run of units with
 ``MIN_WORDS`` words.  Two documents share a block worth deleting exactly if
 they share a run.  Each holder of a run is paired with its earliest holder, so
 a rare run gives one pair, a run that a third of all documents hold gives one
 pair for each, and no group is expanded into all pairs; no frequency is left
-out.  Alignment needs only line hashes, so texts are not sent along.  Runs that
+out.  Alignment needs only unit hashes, so texts are not sent along.  Runs that
 the alignment did not match because they were moved or repeated are deleted as
 well, so of every run the earliest document keeps its copy.
 
-Lines are compared as they are (split at line feeds).  Null and empty texts
-have one line without words and stay; a null doc_id is neither compared nor
+Units are compared as they are (lines are split at line feeds).  Null and empty
+texts have one line without words and stay; a null doc_id is neither compared nor
 changed; rows with one doc_id are not compared with one another; an empty table
 gives no rows; extra columns are kept by ``clean`` (its own output names
 ``n_lines``, ``removed`` are replaced).
@@ -30,37 +40,65 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import prepare, steps, stored, text_column
+from .near_dup import _SPACE, mixed
 
 MIN_WORDS = 30
+SPAN = 11
 SALT_ROWS = 256
 TEXT_KEY = "xxhash64(coalesce(cast(text as string), ''))"
-_MASK = (1 << 64) - 1
+_VALUE = mixed(np.arange(1, 257, dtype=np.uint64))
+_VALUE[_SPACE] = 0
+
+
+def cut(raw: bytes, span: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The units of a text: first byte, end, number of words and line of each.
+
+    Every line starts a unit, and so does (with a ``span``, of 16 at most) the word
+    with the smallest hash, the last one of equals, of each ``span`` successive
+    words of a line.
+    """
+    data = np.frombuffer(raw, np.uint8)
+    word = ~_SPACE[data]
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    at = np.flatnonzero(first)
+    lines = np.concatenate([[0], np.flatnonzero(data == 10) + 1])
+    line = np.searchsorted(lines, at, "right") - 1
+    starts, n = lines, len(at) - span + 1 if span else 0
+    if n > 0:
+        value = mixed(np.add.reduceat(_VALUE[data], at)) & ~np.uint64(15)
+        least = value[:n] | np.uint64(span - 1)
+        for k in range(1, span):
+            np.minimum(least, value[k:k + n] | np.uint64(span - 1 - k), out=least)
+        place = np.arange(n) + (span - 1 - (least & np.uint64(15)).astype(np.int64))
+        place = np.unique(place[line[:n] == line[span - 1:]])
+        inner = (place > 0) & (line[place] == line[place - 1])
+        starts = np.sort(np.concatenate([lines, at[place[inner]]]))
+    of = np.searchsorted(lines, starts, "right") - 1
+    ends = np.append(starts[1:], len(raw))
+    ends[:-1] -= of[1:] != of[:-1]
+    words = np.diff(np.searchsorted(at, np.append(starts, len(raw) + 1)))
+    return starts, ends, words, of
 
 
-def line_codes(raw: bytes) -> tuple[list[int], list[int]]:
-    """The hash and the number of words of each line."""
-    lines = raw.split(b"\n")
-    return list(map(xxhash.xxh3_64_intdigest, lines)), [len(x.split()) for x in lines]
+def unit_codes(raw: bytes, span: int | None) -> tuple[list[int], list[int]]:
+    """The hash and the number of words of each unit."""
+    starts, ends, words, _ = cut(raw, span)
+    return [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], words.tolist()
 
 
 def runs(codes: list[int], words: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """(key, first line, end) of the shortest run with ``min_words`` words from each line that has words."""
-    out, end, total = [], 0, 0
-    for start in range(len(codes)):
-        end = max(end, start)
-        while total < min_words and end < len(codes):
-            total += words[end]
-            end += 1
-        if total < min_words:
-            break
-        if words[start]:
-            out.append((xxhash.xxh3_64_intdigest(np.array(codes[start:end], np.uint64).tobytes()), start, end))
-        total -= words[start]
-    return out
+    """(key, first unit, end) of the shortest run with ``min_words`` words from each unit that has words."""
+    size = np.array(words, np.int64)
+    after = np.cumsum(size)
+    end = np.searchsorted(after, after - size + min_words) + 1
+    starts = np.flatnonzero((size > 0) & (end <= len(size)))
+    packed = memoryview(np.array(codes, np.uint64).tobytes())
+    return [(xxhash.xxh3_64_intdigest(packed[8 * i:8 * j]), i, j) for i, j in zip(starts.tolist(), end[starts].tolist())]
 
 
 def _anchors(a: list, b: list) -> list[tuple[int, int]]:
@@ -112,7 +150,8 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
             out.append((i_end, j_end))
         if i == i_end or j == j_end:
             continue
-        found = _anchors(a[i:i_end], b[j:j_end]) or _anchors(_numbered(a[i:i_end]), _numbered(b[j:j_end]))
+        x, y = a[i:i_end], b[j:j_end]
+        found = [] if set(x).isdisjoint(y) else _anchors(x, y) or _anchors(_numbered(x), _numbered(y))
         last_i, last_j = i, j
         for di, dj in found:
             out.append((i + di, j + dj))
@@ -123,8 +162,8 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_lines(a: list, b: list, words: list[int], min_words: int = MIN_WORDS, a_runs: set[int] | None = None, b_runs=None) -> list[int]:
-    """Lines of ``b`` inside common blocks of at least ``min_words`` words (``words``: of the lines of b)."""
+def common_units(a: list, b: list, words: list[int], min_words: int = MIN_WORDS, a_runs: set[int] | None = None, b_runs=None) -> list[int]:
+    """Units of ``b`` inside common blocks of at least ``min_words`` words (``words``: of the units of b)."""
     out: set[int] = set()
     block: list[int] = []
     before = (-2, -2)
@@ -141,13 +180,13 @@ def common_lines(a: list, b: list, words: list[int], min_words: int = MIN_WORDS,
     return sorted(out)
 
 
-def _describe(min_words: int):
+def _describe(min_words: int, span: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for step in steps(batch, "text"):
                 codes, words, keys = [], [], []
                 for raw in text_column(step.column("text")).cast(pa.large_binary()).to_pylist():
-                    c, w = line_codes(raw)
+                    c, w = unit_codes(raw, span)
                     codes.append(np.array(c, np.uint64).tobytes())
                     words.append(np.array(w, np.uint32).tobytes())
                     keys.append(np.array(sorted({k for k, _, _ in runs(c, w, min_words)}), np.uint64).view(np.int64))
@@ -159,7 +198,7 @@ def _describe(min_words: int):
 
 def _align(min_words: int):
     def run(later: pa.Table, first: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"doc_id": [], "text_key": [], "lines": []}
+        out: dict[str, list] = {"doc_id": [], "text_key": [], "units": []}
         unpack = lambda x, kind: np.frombuffer(x, kind).tolist()
         if first.num_rows:
             firsts = []
@@ -169,23 +208,24 @@ def _align(min_words: int):
             for doc, key, codes, words in zip(*(later.column(c).to_pylist() for c in ("doc_id", "text_key", "codes", "words"))):
                 b, w = unpack(codes, np.uint64), unpack(words, np.uint32)
                 b_runs = runs(b, w, min_words)
-                gone = {j for a, a_runs in firsts for j in common_lines(a, b, w, min_words, a_runs, b_runs)}
+                gone = {j for a, a_runs in firsts for j in common_units(a, b, w, min_words, a_runs, b_runs)}
                 if gone:
                     out["doc_id"].append(doc)
                     out["text_key"].append(key)
-                    out["lines"].append(sorted(gone))
-        return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "text_key": pa.array(out["text_key"], pa.int64()), "lines": pa.array(out["lines"], pa.list_(pa.int32()))})
+                    out["units"].append(sorted(gone))
+        return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "text_key": pa.array(out["text_key"], pa.int64()), "units": pa.array(out["units"], pa.list_(pa.int32()))})
     return run
 
 
-def common_blocks(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text_key, lines: the lines of each later document that stand in an earlier one."""
+def common_blocks(docs: DataFrame, min_words: int = MIN_WORDS, span: int | None = None) -> DataFrame:
+    """doc_id, text_key, units: the units of each later document that stand in an earlier one."""
     prepare(docs.sparkSession)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", f"{TEXT_KEY} text_key", "cast(text as string) text").where("doc_id is not null")
-    lined = stored(rows.mapInArrow(_describe(min_words), "doc_id long, text_key long, codes binary, words binary, keys array<long>"), "lines")
+    lined = stored(rows.mapInArrow(_describe(min_words, span), "doc_id long, text_key long, codes binary, words binary, keys array<long>"), "lines")
     keys = lined.select("doc_id", F.explode("keys").alias("key"))
-    firsts = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-    pairs = stored(keys.join(firsts, "key").where("first < doc_id").select("first", "doc_id").distinct(), "line-pairs")
+    # One shuffle of the keys: an aggregate joined back would take two.
+    firsts = keys.withColumn("first", F.min("doc_id").over(Window.partitionBy("key")))
+    pairs = stored(firsts.where("first < doc_id").select("first", "doc_id").distinct(), "line-pairs")
     sizes = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("salts"))
     content = lined.drop("keys").groupBy("doc_id", "text_key").agg(F.first("codes").alias("codes"), F.first("words").alias("words"))
     left = (pairs.join(sizes, "first").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts"))).join(content, "doc_id")
@@ -193,33 +233,49 @@ def common_blocks(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     right = (sizes.join(content.withColumnRenamed("doc_id", "first"), "first")
              .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).select("first", "salt", "codes", "words"))
     fresh = lambda df: df.select(*(F.col(c).alias(c) for c in df.columns))  # noqa: E731  a cogroup's sides must not share columns
-    found = fresh(left).groupBy("first", "salt").cogroup(fresh(right).groupBy("first", "salt")).applyInArrow(_align(min_words), "doc_id long, text_key long, lines array<int>")
-    return (found.groupBy("doc_id", "text_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines")))
-
-
-def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for step in steps(batch, "text"):
-            at = step.schema.get_field_index("text")
-            texts, sizes = [], []
-            for text, gone in zip(step.column(at).to_pylist(), step.column("removed").to_pylist()):
-                lines = (text or "").split("\n")
-                sizes.append(len(lines))
-                drop = set(gone)
-                texts.append(text if not drop else "\n".join(x for i, x in enumerate(lines) if i not in drop))
-            columns = [pa.array(texts, step.schema.field(at).type) if i == at else c for i, c in enumerate(step.columns)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int32())], names=[*step.schema.names, "n_lines"])
-
-
-def clean(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the blocks deleted from ``text``; ``removed``: the deleted lines, ``n_lines``: lines before."""
+    found = fresh(left).groupBy("first", "salt").cogroup(fresh(right).groupBy("first", "salt")).applyInArrow(_align(min_words), "doc_id long, text_key long, units array<int>")
+    return (found.groupBy("doc_id", "text_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("units")))).alias("units")))
+
+
+def without(raw: bytes, gone: list[int], span: int | None) -> tuple[bytes, list[int]]:
+    """A text without some of its units, and the lines that went as a whole (with their line feeds)."""
+    starts, ends, _, line = cut(raw, span)
+    stays = np.ones(len(starts), bool)
+    stays[gone] = False
+    left: dict[int, list[bytes]] = {}
+    for a, b, k in zip(starts[stays].tolist(), ends[stays].tolist(), line[stays].tolist()):
+        left.setdefault(k, []).append(raw[a:b])
+    return b"\n".join(b"".join(x) for x in left.values()), [k for k in range(int(line[-1]) + 1) if k not in left]
+
+
+def _delete(span: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for step in steps(batch, "text"):
+                texts, sizes, removed = [], [], []
+                for text, gone in zip(step.column("text").to_pylist(), step.column("removed").to_pylist()):
+                    sizes.append((text or "").count("\n") + 1)
+                    left, lines = without(text.encode(), gone, span) if gone else (None, [])
+                    texts.append(text if left is None else left.decode())
+                    removed.append(lines)
+                new = {"text": pa.array(texts, step.schema.field("text").type), "removed": pa.array(removed, pa.list_(pa.int32()))}
+                columns = [new.get(name, column) for name, column in zip(step.schema.names, step.columns)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int32())], names=[*step.schema.names, "n_lines"])
+    return run
+
+
+def clean(docs: DataFrame, min_words: int = MIN_WORDS, span: int | None = None) -> DataFrame:
+    """``docs`` with the blocks deleted from ``text``; ``removed``: the lines deleted as a whole, ``n_lines``: lines before.
+
+    ``span``: cut long lines into pieces; without it the units are whole lines.
+    """
     docs = docs.drop("n_lines", "removed")
-    blocks = stored(common_blocks(docs, min_words), "blocks")
+    blocks = stored(common_blocks(docs, min_words, span), "blocks")
     # The whole row as one column: no name of the input meets one of ours.
     keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.expr(TEXT_KEY).alias("text_key"))
     # Texts are dealt out by document at every size; broadcasting the deletions
     # would only do while they are few.
     joined = (keyed.join(blocks.hint("merge"), ["doc_id", "text_key"], "left")
-              .select("row.*", F.coalesce("lines", F.array().cast("array<int>")).alias("removed")))
+              .select("row.*", F.coalesce("units", F.array().cast("array<int>")).alias("removed")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema) + ", n_lines int"
-    return joined.mapInArrow(_delete, schema)
+    return joined.mapInArrow(_delete(span), schema)

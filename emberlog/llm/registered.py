@@ -95,7 +95,7 @@ def op7(spark, sf_dir):
 @query("op8_aligned_line_dedup")
 def op8(spark, sf_dir):
     """All documents without the blocks that stand in earlier ones."""
-    cleaned = line_dedup.clean(table(spark, sf_dir, "documents"))
+    cleaned = line_dedup.clean(table(spark, sf_dir, "documents"), span=line_dedup.SPAN)
     return cleaned.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
                           F.length(F.coalesce("text", F.lit(""))).alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 

@@ -180,6 +180,39 @@ def test_op8_moved_repeated_and_hot_blocks(spark):
     assert next(r for r in rows if r.doc_id == 1).removed == [0, 1, 2, 3, 4, 6, 8]
 
 
+def test_op8_passages_inside_longer_lines(spark):
+    rng = np.random.default_rng(8)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 30, n)]
+    passages = [words(n) for n in (51, 52, 60, 82, 182)]
+    texts, at = {}, {}
+    for i, p in enumerate(passages):  # the first copy inside a line or as a line of its own, the later ones inside lines
+        texts[i] = " ".join(words(200 * (i % 2)) + p + words(300 * (i % 2)))
+        for d in (10 + i, 20 + i):
+            before, after = words(100 + d), words(150)
+            at[d] = (before, p, after)
+            texts[d] = "\n".join([" ".join(words(8)), " ".join(before + p + after), " ".join(words(40))])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r.doc_id: r for r in line_dedup.clean(docs, span=line_dedup.SPAN).collect()}
+    for d, r in rows.items():
+        assert r.removed == [] and r.n_lines == texts[d].count("\n") + 1
+        if d < 10:
+            assert r.text == texts[d]
+            continue
+        before, p, after = at[d]
+        head, long, tail = r.text.split("\n")
+        assert [head, tail] == texts[d].split("\n")[::2]
+        left = long.split(" ")
+        kept = len(left) - len(before) - len(after)
+        assert left[:len(before)] == before and left[-len(after):] == after and 0 <= kept <= 2 * line_dedup.SPAN - 1, (d, kept)
+
+
+def test_op8_units_make_up_the_text():
+    for raw in (b"", b"\n", b" a", b"a\n\n b  c \n", "\n".join([" ".join("the é x y".split() * 30)] * 2).encode()):
+        starts, ends, words, line = line_dedup.cut(raw, line_dedup.SPAN)
+        assert words.sum() == len(raw.split()) and line[-1] == raw.count(b"\n")
+        assert line_dedup.without(raw, [], line_dedup.SPAN) == (raw, [])
+
+
 def test_op8_awkward(spark):
     docs = documents(spark)
     rows = line_dedup.clean(docs).collect()
