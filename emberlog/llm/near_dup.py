@@ -232,13 +232,13 @@ def _cross(bucket: pa.Table) -> pa.Table:
     """The verification groups of one block of a bucket: outsiders with those of all that may be near.
 
     A group is (top, t1, t2): ``top`` names the bucket's largest component, t1
-    the block of an outsider, t2 that of another outsider or (-1 - block) of a
-    member of the largest component.
+    the share of an outsider, t2 that of another outsider or (-1 - share) of a
+    member of the largest component.  Shares are the same in all buckets.
     """
     rows, ids, comp = signature_rows(bucket.column("signature")), bucket.column("id").to_numpy(), bucket.column("component").to_numpy()
     n, far = bucket.column("n").to_numpy(), bucket.column("far").to_numpy(zero_copy_only=False)
     out, own = (bucket.column(c).to_numpy(zero_copy_only=False) for c in ("outside", "own"))
-    home, key = bucket.column("home").to_numpy(), bucket.column("key")[0].as_py()
+    share, key = bucket.column("share").to_numpy(), bucket.column("key")[0].as_py()
     keys = chunk_keys(rows).view(np.int64)
     found: set[tuple[int, int, int]] = set()
     for i in np.flatnonzero(out):
@@ -248,7 +248,7 @@ def _cross(bucket: pa.Table) -> pa.Table:
         # A pair is placed by the first of its common buckets only.
         same = keys[j] == keys[i]
         for other in j[keys[i][same.argmax(1)] == key].tolist() if len(j) else ():
-            t1, t2 = (home[i], -1 - home[other]) if not out[other] else sorted((home[i], home[other]))
+            t1, t2 = (share[i], -1 - share[other]) if not out[other] else sorted((share[i], share[other]))
             found.add((int(t1), int(t2), int(ids[i])))
             found.add((int(t1), int(t2), int(ids[other])))
     t1, t2, member = zip(*sorted(found)) if found else ((), (), ())
@@ -290,27 +290,39 @@ def _verify(words: int):
     return run
 
 
-def cross_links(buckets: DataFrame, members: DataFrame, labels: DataFrame, known: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(a, b): links between components, from buckets that hold several.
+def verification_groups(buckets: DataFrame, members: DataFrame, labels: DataFrame, known: DataFrame) -> DataFrame:
+    """(top, t1, t2, id): who meets whom on the full sets, from buckets that hold several components.
 
     Members of the bucket's largest component go to one block each; the others
     go to all blocks, and are the ones compared.  Candidates are not listed as
-    pairs: both go to a verification group that holds each text once.
+    pairs: both go to a verification group that holds each text once.  All
+    buckets with one largest component feed the same groups, so the shares that
+    make these up are counted over all of them: about ``BLOCK`` members each.
     """
     of = labels.withColumnRenamed("id", "id_")
     labelled = buckets.join(of, buckets.id == of.id_, "left").select("key", "id", "leader", F.coalesce("component", "id").alias("component"))
     sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n_"))
     mixed_ = (sizes.groupBy("key").agg(F.max(F.struct("n_", "component")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("n_").alias("all"))
               .where("parts > 1").select("key", F.col("top.component").alias("top"), F.ceil(F.col("all") / BLOCK).alias("blocks")))
+    mixed_rows = stored(labelled.join(mixed_, "key").withColumn("outside", F.col("component") != F.col("top")), "mixed-buckets")
+    feeds = mixed_rows.groupBy("top", "outside", "id").agg(F.lit(1).alias("one")).groupBy("top", "outside").agg(F.count(F.lit(1)).alias("n_"))
+    # Only these need more than one share: at most a row for each BLOCK rows of ``feeds``.
+    large = feeds.where(F.col("n_") > BLOCK).select("top", "outside", F.ceil(F.col("n_") / BLOCK).alias("shares"))
     distances = known.selectExpr("a leader", "b id", "1 - inter / total far").unionByName(known.selectExpr("a leader", "a id", "0D far").distinct())
-    rows = (labelled.join(mixed_, "key").join(members, "id").join(distances, ["leader", "id"], "left")
-            .withColumn("outside", F.col("component") != F.col("top"))
+    rows = (mixed_rows.join(F.broadcast(large), ["top", "outside"], "left").join(members, "id").join(distances, ["leader", "id"], "left")
+            .withColumn("share", F.pmod(F.xxhash64("id"), F.coalesce("shares", F.lit(1).cast("long"))))
             .withColumn("home", F.pmod(F.xxhash64("id"), F.col("blocks")))
             .withColumn("block", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("home")))))
-    places = (rows.select("key", "block", "id", "n", "signature", "component", "top", "outside", "home",
+    places = (rows.select("key", "block", "id", "n", "signature", "component", "top", "outside", "share",
                           F.coalesce("far", F.lit(float("nan"))).alias("far"), (F.col("home") == F.col("block")).alias("own"))
               .groupBy("key", "block").applyInArrow(_cross, "top long, t1 long, t2 long, id long"))
-    places = stored(places.distinct(), "verification-groups")
+    return stored(places.distinct(), "verification-groups")
+
+
+def cross_links(buckets: DataFrame, members: DataFrame, labels: DataFrame, known: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(a, b): links between components, from buckets that hold several."""
+    of = labels.withColumnRenamed("id", "id_")
+    places = verification_groups(buckets, members, labels, known)
     placed = (places.join(of, places.id == of.id_, "left").select("top", "t1", "t2", "id", F.coalesce("component", "id").alias("component"))
               .join(texts, "id"))
     return placed.groupBy("top", "t1", "t2").applyInArrow(_verify(words), "a long, b long")

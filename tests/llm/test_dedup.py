@@ -115,6 +115,28 @@ def test_signature_index_keeps_its_guarantee():
         assert len(set(keys[0].tolist()) & set(keys[1].tolist()))
 
 
+def test_op5_verification_groups_stay_small_however_many_buckets_feed_them(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    rng = np.random.default_rng(6)
+    labels, members = [], []
+    for i in range(80):  # two members of the large component and an outsider, alike in all places
+        signature = rng.integers(0, 1 << 16, near_dup.PLACES).astype(np.uint16).tobytes()
+        members += [(3 * i + k, 100, signature) for k in (1, 2, 3)]
+        labels += [(3 * i + 1, 0), (3 * i + 2, 0)]
+    near_dup.prepare(spark)
+    table = spark.createDataFrame([(i, n, bytearray(x)) for i, n, x in members], "id long, n long, signature binary")
+    keys = table.select("id", "signature").mapInArrow(near_dup._index, "key long, id long")
+    buckets = keys.join(keys.groupBy("key").agg(F.min("id").alias("leader")), "key")
+    known = spark.createDataFrame([], "a long, b long, inter long, total long")
+    groups = defaultdict(set)
+    for r in near_dup.verification_groups(buckets, table, spark.createDataFrame(labels, "id long, component long"), known).collect():
+        groups[r.top, r.t1, r.t2].add(r.id)
+    assert max(map(len, groups.values())) <= 4 * near_dup.BLOCK
+    assert all(any({3 * i + k, 3 * i + 3} <= g for g in groups.values()) for i in range(80) for k in (1, 2))
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (10, 9), (9, 8), (8, 7), (7, 6), (20, 21), (5, 5), (3, 1), (3, 1)] + [(100, 100 + i) for i in range(1, 60)] + [(i, i + 1) for i in range(300, 340)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
