@@ -1,9 +1,9 @@
 """Operator 8, line dedup: pairwise alignment of overlapping documents.
 
-Texts are cut into units: lines, and with a ``span`` (operator 8
-uses ``SPAN``) long lines into content-defined pieces (a word begins a piece if its
-hash is the smallest of some span of successive words of its line), so a passage that stands inside a longer line is cut in the
-same places as its other copies.  Documents that share unit hashes are aligned
+Texts are cut into units: lines, and with a ``span`` (operator 8 uses ``SPAN``)
+long lines into content-defined pieces (a word begins a piece if its hash is the
+smallest of some span of successive words of its line), so a passage that stands
+inside a longer line is cut in the same places as its other copies.  Documents that share unit hashes are aligned
 by patience diff (units that are unique in both, in longest increasing order,
 then the stretches between them), and every aligned common block of at least
 ``MIN_WORDS`` words is deleted from the later document, the one with the larger
@@ -12,12 +12,12 @@ doc_id.
 A common passage of n words is cut alike from its first ``SPAN`` words to its
 last, so n - 2 * SPAN + 1 words of it at least are common units: every passage
 of over 50 words holds a block of ``MIN_WORDS``.  Inside longer lines up to
-SPAN - 1 words before the block and SPAN after it stay; passages that end with
-their lines go whole.
+SPAN - 1 words before the block and SPAN after it stay.
 
-Candidates come from runs: from each unit on, the shortest run of units with
-``MIN_WORDS`` words.  Two documents share a block worth deleting exactly if
-they share a run.  Each holder of a run is paired with its earliest holder, so
+Candidates come from runs: from each unit on, and up to each unit, the shortest
+run of units with ``MIN_WORDS`` words.  Two documents share a block worth deleting
+exactly if they share a run, and the runs inside a block cover it, so blocks of
+any two documents go although not all pairs are aligned.  Each holder of a run is paired with its earliest holder, so
 a rare run gives one pair, a run that a third of all documents hold gives one
 pair for each, and no group is expanded into all pairs; no frequency is left
 out.  Alignment needs only unit hashes, so texts are not sent along.  Runs that
@@ -92,13 +92,17 @@ def unit_codes(raw: bytes, span: int | None) -> tuple[list[int], list[int]]:
 
 
 def runs(codes: list[int], words: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """(key, first unit, end) of the shortest run with ``min_words`` words from each unit that has words."""
+    """(key, first unit, end) of the shortest runs with ``min_words`` words from, and up to, each unit that has words."""
     size = np.array(words, np.int64)
     after = np.cumsum(size)
     end = np.searchsorted(after, after - size + min_words) + 1
-    starts = np.flatnonzero((size > 0) & (end <= len(size)))
+    full = (size > 0) & (end <= len(size))
+    # The last unit from which on a run up to this one has enough words.
+    start = np.searchsorted(after - size, after - min_words, "right") - 1
+    back = (size > 0) & (start >= 0)
+    spans = set(zip(np.flatnonzero(full).tolist(), end[full].tolist())) | set(zip(start[back].tolist(), (np.flatnonzero(back) + 1).tolist()))
     packed = memoryview(np.array(codes, np.uint64).tobytes())
-    return [(xxhash.xxh3_64_intdigest(packed[8 * i:8 * j]), i, j) for i, j in zip(starts.tolist(), end[starts].tolist())]
+    return [(xxhash.xxh3_64_intdigest(packed[8 * i:8 * j]), i, j) for i, j in sorted(spans)]
 
 
 def _anchors(a: list, b: list) -> list[tuple[int, int]]:

@@ -228,6 +228,32 @@ def test_op8_passages_inside_longer_lines(spark):
         assert left[:len(before)] == before and left[-len(after):] == after and 0 <= kept <= 2 * line_dedup.SPAN - 1, (d, kept)
 
 
+def test_op8_blocks_of_all_pairs(spark):
+    """Also the short ends of blocks behind, or before, a run that an earlier document holds without them."""
+    rng = np.random.default_rng(9)
+    pool = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 30, n)) for n in (35, 12, 8, 31, 9, 14, 5, 20)]
+    own = lambda: " ".join(f"x{x}" for x in rng.integers(0, 1 << 30, 9))
+    a, b = pool[:2]
+    texts = {1: [own(), a, own()], 3: [own(), a, b, own()], 5: [own(), a, b, own()], 6: [own(), b, a], 7: [own(), b, a]}
+    for d in range(10, 40):
+        texts[d] = [x for k in rng.integers(0, 8, 4).tolist() for x in [own(), *pool[k:k + 3]]]
+    expected = {d: set() for d in texts}
+    for d, own_lines in texts.items():
+        for e, others in ((e, x) for e, x in texts.items() if e < d):
+            for i in range(len(own_lines)):
+                for j in range(len(others)):
+                    n = 0
+                    while i + n < len(own_lines) and j + n < len(others) and own_lines[i + n] == others[j + n]:
+                        n += 1
+                    if sum(len(x.split()) for x in own_lines[i:i + n]) >= line_dedup.MIN_WORDS:
+                        expected[d] |= set(range(i, i + n))
+    docs = spark.createDataFrame([(d, "\n".join(x)) for d, x in texts.items()], "doc_id long, text string")
+    for span in (None, line_dedup.SPAN):
+        gone = {r.doc_id: set(r.removed) for r in line_dedup.clean(docs, span=span).collect()}
+        assert gone[5] == {1, 2} and gone[7] == {1, 2}
+        assert all(expected[d] <= gone[d] for d in texts)
+
+
 def test_op8_units_make_up_the_text():
     for raw in (b"", b"\n", b" a", b"a\n\n b  c \n", "\n".join([" ".join("the é x y".split() * 30)] * 2).encode()):
         starts, ends, words, line = line_dedup.cut(raw, line_dedup.SPAN)
