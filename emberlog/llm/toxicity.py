@@ -173,7 +173,11 @@ class Model:
         return len(at), [(a, b, self.decay * s - math.log(len(at))) for a, b, s in found]
 
     def evidence(self, raw: bytes) -> float:
-        _, found = self.passages(raw)
+        return self.total(self.passages(raw)[1])
+
+    @staticmethod
+    def total(found: list[tuple[int, int, float]]) -> float:
+        """The evidence of all segments of a text."""
         if not found:
             return EVIDENCE_MIN
         top = max(e for _, _, e in found)
@@ -251,8 +255,9 @@ def _score(shared):
                 values, spans = [], []
                 for raw in text_column(step.column("text")).cast(pa.large_binary()):
                     raw = raw.as_py()
-                    values.append(model.probability(model.evidence(raw)))
-                    spans.append([{"start": a, "end": b, "evidence": e} for a, b, e in model.passages(raw)[1] if e > SIGNIFICANT] if values[-1] >= 0.5 else [])
+                    _, found = model.passages(raw)
+                    values.append(model.probability(model.total(found)))
+                    spans.append([{"start": a, "end": b, "evidence": e} for a, b, e in found if e > SIGNIFICANT])
                 yield pa.RecordBatch.from_arrays([step.column("doc_id"), pa.array(values, pa.float64()), pa.array(spans, _PASSAGES)], names=["doc_id", "score", "passages"])
     return run
 
@@ -261,7 +266,7 @@ _PASSAGES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("ev
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score, and the significant passages (token places) of toxic documents."""
+    """doc_id, score, and the significant passages (token places) of every document."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")

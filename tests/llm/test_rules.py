@@ -198,6 +198,15 @@ def test_op7_held_out_accuracy_and_passages(spark):
     assert any(p.start <= 5 and p.end >= 8 for i, _, x in rows if x and i >= 1100 for p in got[i].passages)
 
 
+def test_op7_passages_of_documents_below_the_cut(spark):
+    scores = np.full(toxicity.BUCKETS, -1.0)
+    scores[toxicity._bucket(b"vile")] = 9.0
+    docs = spark.createDataFrame([(1, "a b c Vile! vile d e"), (2, "a b c"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.Model(scores, 1.0, 1.0, -20.0)).collect()}
+    assert got[1].score < 0.5 and [(p.start, p.end) for p in got[1].passages] == [(3, 5)]
+    assert got[2].passages == [] == got[3].passages
+
+
 def test_op7_awkward(spark):
     docs = documents(spark)
     _, more, labels = toxic_corpus(spark, 300)
