@@ -6,7 +6,9 @@ A text is its set of distinct word shingles.  Its signature is ``CHUNKS`` x
 most one error; the index lists each chunk under every choice of its one
 allowed error (the other places must agree), so all pairs under that distance
 meet in a bucket.  A pair at the similarity threshold 0.8 differs in 11 of 56
-places on average and misses all buckets with probability 4e-11.
+places on average and misses all buckets with probability 4e-11; bucket mates
+that differ in more than 27 places are not compared, so in all the pair is missed
+with probability 5e-7.
 
 Buckets are never expanded into all pairs.  Texts with equal sets are one
 member.  First every member of a bucket is compared with the smallest one, and
