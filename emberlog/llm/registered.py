@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import ann, bpe_automaton, chat, dac, line_dedup, near_dup, packing, pii, quality, toxicity
+from . import ann, bpe_automaton, chat, dac, line_dedup, merkle, near_dup, packing, pii, quality, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -110,3 +110,51 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """All documents encoded and decoded by the tokenization automaton."""
     return bpe_automaton.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+MERKLE_SQL = """
+WITH RECURSIVE d AS (
+  SELECT *, row_number() OVER () AS r,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    xor(list_reduce(list_concat([4294967295], flatten(list_transform(range(1, strlen(CAST(doc_id AS VARCHAR)) + 1), lambda i: [ord(substr(CAST(doc_id AS VARCHAR), i, 1)), 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, x: xor(xor(c, x) >> 1, (xor(c, x) & 1) * 3988292384)), 4294967295) AS crc
+  FROM documents),
+leaf AS (
+  SELECT r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN crc % 5 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS climber FROM d),
+put AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM leaf),
+lv AS (
+  SELECT 0 AS k, source, CAST(place AS BIGINT) AS place, leaf AS h, CAST(n AS BIGINT) AS n FROM put
+  UNION ALL
+  SELECT k + 1, source, place // 16, sha256(string_agg(h, '' ORDER BY place)), (n + 15) // 16 FROM lv WHERE n > 1 GROUP BY k, source, place // 16, n),
+sub AS (SELECT source, h, k, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM lv WHERE n = 1),
+tv AS (
+  SELECT 0 AS k, CAST(place AS BIGINT) AS place, h, CAST(n AS BIGINT) AS n FROM sub
+  UNION ALL
+  SELECT k + 1, place // 16, sha256(string_agg(h, '' ORDER BY place)), (n + 15) // 16 FROM tv WHERE n > 1 GROUP BY k, place // 16, n),
+way AS (
+  SELECT p.r, 0 AS k, p.source, p.place, p.n, p.climber AS h, '' AS sib, p.source IS NULL AS nul FROM put p
+  UNION ALL
+  SELECT w.r, w.k + 1, w.source, w.place // 16, (w.n + 15) // 16, sha256(x.a || w.h || x.b), w.sib || x.a || x.b, w.nul
+  FROM way w JOIN (SELECT k, source, place, coalesce(string_agg(h, '') OVER (PARTITION BY k, source, place // 16 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+      coalesce(string_agg(h, '') OVER (PARTITION BY k, source, place // 16 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM lv) x
+    ON x.k = w.k AND x.source IS NOT DISTINCT FROM w.source AND x.place = w.place WHERE w.n > 1),
+up AS (
+  SELECT w.r, 0 AS k, s.place, s.n, w.h, w.sib FROM way w JOIN sub s ON s.source IS NOT DISTINCT FROM w.source WHERE w.n = 1
+  UNION ALL
+  SELECT u.r, u.k + 1, u.place // 16, (u.n + 15) // 16, sha256(x.a || u.h || x.b), u.sib || x.a || x.b
+  FROM up u JOIN (SELECT k, place, coalesce(string_agg(h, '') OVER (PARTITION BY k, place // 16 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+      coalesce(string_agg(h, '') OVER (PARTITION BY k, place // 16 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM tv) x
+    ON x.k = u.k AND x.place = u.place WHERE u.n > 1)
+SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(u.sib) AS proof_sha256, u.h AS folded_root, u.h = t.h AS verified
+FROM put p JOIN sub s ON s.source IS NOT DISTINCT FROM p.source JOIN up u ON u.r = p.r AND u.n = 1 JOIN tv t ON t.n = 1
+"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11(spark, sf_dir):
+    """All documents as leaves of one tree; a fifth of them, tampered with, must fail to climb to its root."""
+    tampered = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 5 == 0
+    return merkle.verify(merkle.build(table(spark, sf_dir, "documents"), tampered))
