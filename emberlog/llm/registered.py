@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import ann, bpe_automaton, chat, dac, line_dedup, merkle, near_dup, packing, pii, quality, toxicity
+from . import ann, bpe_automaton, chat, dac, html_text, line_dedup, merkle, near_dup, packing, pii, quality, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -158,3 +158,9 @@ def op11(spark, sf_dir):
     """All documents as leaves of one tree; a fifth of them, tampered with, must fail to climb to its root."""
     tampered = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 5 == 0
     return merkle.verify(merkle.build(table(spark, sf_dir, "documents"), tampered))
+
+
+@query("op13_html_blocks")
+def op13(spark, sf_dir):
+    """The main text of all pages."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
