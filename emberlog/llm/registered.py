@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import ann, bpe_automaton, chat, dac, html_text, line_dedup, merkle, near_dup, packing, pii, quality, toxicity
+from . import ann, bpe_automaton, chat, dac, html_text, lexical, line_dedup, merkle, near_dup, packing, pii, quality, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -160,6 +160,25 @@ def op11(spark, sf_dir):
     return merkle.verify(merkle.build(table(spark, sf_dir, "documents"), tampered))
 
 
+LEXICAL_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_all FROM d WHERE len(ts) > 0),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+p AS (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS t FROM d),
+tf AS (SELECT r, doc_id, n, t, count(*) AS tf FROM p WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY t),
+x AS (SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_all)))) AS BIGINT) AS score
+  FROM tf JOIN w USING (t) JOIN q USING (t), s GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(k AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS k FROM x WHERE score > 0) WHERE k <= 10
+"""
+
+
+@query("op12_blocked_lexical", LEXICAL_SQL)
+def op12(spark, sf_dir):
+    """The 10 best documents of every benchmark item."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op13_html_blocks")
 def op13(spark, sf_dir):
     """The main text of all pages."""
