@@ -9,6 +9,11 @@ with a recursive query: each step appends the siblings it meets and folds them
 with the digest that climbs.  Leaves of one run have the same way up, so they
 climb as one row that holds a digest for each of its (at most 16) leaves.
 
+A node high in the tree is on the way of a large part of all runs.  Its link is
+stored in copies, one for each ``FAN`` runs below it (``COPIES`` at most), and a
+run joins the copy that its number falls on, so no key of the recursive join
+gathers the rows of a source or of the whole tree.
+
 Places come from a range partitioning by (source, doc_id, leaf, row) and counts
 per (partition, source), so a source with any share of the rows is numbered in
 parts; runs and links are spread by their place, never by their source alone.
@@ -32,10 +37,10 @@ from pyspark.sql import functions as F
 from .common import stored
 
 FAN = 16
-COPIES = 64
+COPIES = 1 << 16
 TOP = ""  # the tree above the subroots; a source's tree is its encoding, never empty
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
-NO_LINK = "tree string, level int, place long, up_tree string, up_level int, up_place long, before string, after string, parent string, slot int, source string, n long"
+NO_LINK = "tree string, level int, place long, copy long, digest binary, up_tree string, up_level int, up_place long, up_copies long, before binary, after binary"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -44,7 +49,6 @@ class Manifest(NamedTuple):
 
     runs: DataFrame
     links: DataFrame
-    subroots: DataFrame
     root: Row | None
 
 
@@ -54,8 +58,18 @@ def encoded(value: Column) -> Column:
     return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
+def digest(text: Column) -> Column:
+    """SHA-256, as bytes: stored and moved in half the room of its hex text."""
+    return F.unhex(F.sha2(text, 256))
+
+
+def hexed(value: Column) -> Column:
+    """Digests as the lower-case hex text that is hashed and shown."""
+    return F.lower(F.hex(value))
+
+
 def leaf_digest(**changed: Column) -> Column:
-    return F.sha2(F.concat(*(encoded(changed.get(c, F.col(c))) for c in FIELDS)), 256)
+    return digest(F.concat(*(encoded(changed.get(c, F.col(c))) for c in FIELDS)))
 
 
 def lowered(text: Column) -> Column:
@@ -64,7 +78,7 @@ def lowered(text: Column) -> Column:
 
 
 def joined(digests: Column) -> Column:
-    return F.array_join(digests, "")
+    return F.aggregate(digests, F.lit(b""), lambda a, b: F.concat(a, b))
 
 
 def placed(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -75,25 +89,30 @@ def placed(rows: DataFrame, order: list[str]) -> DataFrame:
     before = trees.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     groups = (ordered.groupBy(part, "tree").agg(F.min("at").alias("low"), F.count(F.lit(1)).alias("k"))
               .select("part", "tree", (F.coalesce(F.sum("k").over(before), F.lit(0)) - F.col("low")).alias("shift"), F.sum("k").over(trees).alias("n")))
-    return ordered.select("*", part).join(groups, ["part", "tree"]).withColumn("place", F.col("at") + F.col("shift")).drop("part", "at", "shift")
+    return ordered.select("*", part).join(groups.hint("merge"), ["part", "tree"]).withColumn("place", F.col("at") + F.col("shift")).drop("part", "at", "shift")
+
+
+def copies(below: Column) -> Column:
+    """How many copies of its link a node with ``below`` runs under it has."""
+    return F.least(F.ceil(below / FAN), F.lit(COPIES)).cast("long")
 
 
 def _links(nodes: DataFrame) -> DataFrame:
-    """Each of ``nodes`` (tree, level, place, source, digest, their place in a run: run_tree, run_level, run_place, n) with parent and siblings, stored."""
-    node = F.struct("run_place", "tree", "level", "place", "digest")
+    """Each of ``nodes`` (tree, level, place, source, digest, runs below, their place in a run: run_tree, run_level, run_place, n) with parent and siblings, stored."""
+    node = F.struct("run_place", "tree", "level", "place", "digest", "below")
     runs = (nodes.groupBy("run_tree", "run_level", F.expr(f"run_place div {FAN}").alias("up"))
-            .agg(F.array_sort(F.collect_list(node)).alias("run"), F.first("source").alias("source"), F.first("n").alias("n"))
+            .agg(F.array_sort(F.collect_list(node)).alias("run"), F.sum("below").alias("up_below"), F.first("source").alias("source"), F.first("n").alias("n"))
             .withColumn("digests", F.transform("run", lambda x: x["digest"])))
-    each = runs.select("run_tree", "run_level", "up", "source", "n", "digests", F.sha2(joined(F.col("digests")), 256).alias("parent"), F.posexplode("run").alias("slot", "node"))
-    return stored(each.select("node.tree", "node.level", "node.place", F.col("run_tree").alias("up_tree"), (F.col("run_level") + 1).alias("up_level"),
-                              F.col("up").alias("up_place"), joined(F.slice("digests", F.lit(1), F.col("slot"))).alias("before"),
+    each = runs.select("*", digest(hexed(joined(F.col("digests")))).alias("parent"), F.posexplode("run").alias("slot", "node"))
+    return stored(each.select("node.tree", "node.level", "node.place", "node.digest", "node.below", F.col("run_tree").alias("up_tree"), (F.col("run_level") + 1).alias("up_level"),
+                              F.col("up").alias("up_place"), "up_below", joined(F.slice("digests", F.lit(1), F.col("slot"))).alias("before"),
                               joined(F.slice("digests", F.col("slot") + 2, F.lit(FAN))).alias("after"), "parent", "slot", "source", "n"), "merkle-links")
 
 
 def _above(links: DataFrame) -> DataFrame:
     """The parents of ``links``, as nodes of their own tree."""
     place = [F.col(f"up_{c}").alias(f"{to}{c}") for to in ("", "run_") for c in ("tree", "level", "place")]
-    return links.where("slot = 0").select(*place, "source", F.col("parent").alias("digest"), F.expr(f"(n + {FAN - 1}) div {FAN}").alias("n"))
+    return links.where("slot = 0").select(*place, "source", F.col("parent").alias("digest"), F.col("up_below").alias("below"), F.expr(f"(n + {FAN - 1}) div {FAN}").alias("n"))
 
 
 def _levels(nodes: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
@@ -126,26 +145,32 @@ def build(docs: DataFrame, tampered: Column) -> Manifest:
     runs = (placed(hashed, ["source", "doc_id", "leaf", "row"]).groupBy("tree", F.expr(f"place div {FAN}").alias("place"))
             .agg(F.array_sort(F.collect_list(leaf)).alias("leaves"), F.first("source").alias("source"), F.first("n").alias("n")))
     runs = stored(runs.select("tree", F.when(lone, 0).otherwise(1).alias("level"), "place", "source", "leaves",
-                              F.when(lone, F.col("leaves")[0]["leaf"]).otherwise(F.sha2(joined(_digests()), 256)).alias("digest"), F.expr(f"(n + {FAN - 1}) div {FAN}").alias("n")), "merkle-runs")
+                              F.when(lone, F.col("leaves")[0]["leaf"]).otherwise(digest(hexed(joined(_digests())))).alias("digest"), F.expr(f"(n + {FAN - 1}) div {FAN}").alias("n")), "merkle-runs")
     at = [F.col(c).alias(f"run_{c}") for c in ("tree", "level", "place")]
-    links, roots = _levels(runs.select("tree", "level", "place", *at, "source", "digest", "n"))
-    subroots = stored(_union(roots or [runs]).select("tree", "level", "place", "source", "digest"), "merkle-subroots")
-    above = placed(subroots.select(F.lit(TOP).alias("tree"), F.col("tree").alias("own"), "level", F.col("place").alias("own_place"), "source", "digest"), ["source"])
-    top_links, tops = _levels(above.select(F.col("own").alias("tree"), "level", F.col("own_place").alias("place"), F.col("tree").alias("run_tree"), F.lit(0).alias("run_level"),
-                                           F.col("place").alias("run_place"), "source", "digest", "n"))
-    none = docs.sparkSession.createDataFrame([], NO_LINK)
-    return Manifest(runs, _union([*links, *top_links] or [none]), subroots, _union(tops).select("tree", "level", "digest").first() if tops else None)
-
-
+    links, roots = _levels(runs.select("tree", "level", "place", *at, "source", "digest", F.lit(1).cast("long").alias("below"), "n"))
+    if not roots:
+        return Manifest(runs, docs.sparkSession.createDataFrame([], NO_LINK), None)
+    subroots = _union(roots).select(F.lit(TOP).alias("tree"), F.col("tree").alias("own"), "level", F.col("place").alias("own_place"), "source", "digest", "below")
+    above = placed(subroots, ["source"]).select(F.col("own").alias("tree"), "level", F.col("own_place").alias("place"), F.col("tree").alias("run_tree"), F.lit(0).alias("run_level"),
+                                                F.col("place").alias("run_place"), "source", "digest", "below", "n")
+    top_links, tops = _levels(above)
+    root = _union(tops).select("tree", "level", "digest").first()
+    kept = [x.select("tree", "level", "place", F.explode(F.sequence(F.lit(0).cast("long"), copies(F.col("below")) - 1)).alias("copy"), "digest", "up_tree", "up_level", "up_place",
+                     copies(F.col("up_below")).alias("up_copies"), "before", "after") for x in [*links, *top_links]]
+    return Manifest(runs, _union(kept) if kept else docs.sparkSession.createDataFrame([], NO_LINK), root)
+
+
+# A run's number, which says the copy it takes, is a hash of its own place.
 CLIMB = """
-WITH RECURSIVE climb (run_tree, run_place, tree, level, place, climbers, siblings) AS (
-  SELECT tree, place, tree, level, place, climbers, '' FROM {start}
+WITH RECURSIVE climb (run_tree, run_place, number, tree, level, place, copy, climbers, siblings, subroot) AS (
+  SELECT tree, place, xxhash64(tree, place), tree, level, place, 0L, climbers, X'', CAST(NULL AS BINARY) FROM {start}
   UNION ALL
-  SELECT c.run_tree, c.run_place, n.up_tree, n.up_level, n.up_place,
-         transform(c.climbers, x -> sha2(n.before || x || n.after, 256)), c.siblings || n.before || n.after
-  FROM climb c JOIN {links} n ON c.tree = n.tree AND c.level = n.level AND c.place = n.place
+  SELECT /*+ MERGE(n) */ c.run_tree, c.run_place, c.number, n.up_tree, n.up_level, n.up_place, pmod(c.number, n.up_copies),
+         transform(c.climbers, x -> unhex(sha2(lower(hex(n.before || x || n.after)), 256))), c.siblings || n.before || n.after,
+         CASE WHEN n.up_tree = '' AND n.tree <> '' THEN n.digest ELSE c.subroot END
+  FROM climb c JOIN {links} n ON c.tree = n.tree AND c.level = n.level AND c.place = n.place AND c.copy = n.copy
 )
-SELECT run_tree AS tree, run_place AS place, climbers, siblings, tree AS at_tree, level AS at_level FROM climb
+SELECT run_tree AS tree, run_place AS place, climbers, siblings, subroot, tree AS at_tree, level AS at_level FROM climb
 """
 
 
@@ -159,13 +184,13 @@ def _others(slot: Column) -> tuple[Column, Column]:
 
 
 def climb(made: Manifest) -> DataFrame:
-    """tree, place, climbers, siblings of all runs at the root: each climber folded, and the siblings above the run."""
+    """tree, place, climbers, siblings, subroot of all runs at the root: each climber folded, and the siblings above the run."""
     spark = made.runs.sparkSession
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # a guard against endless recursion, a million rows by default; links end at the root
 
     def first(leaf: Column, slot: Column) -> Column:
         before, after = _others(slot)
-        return F.when(F.col("level") == 0, leaf["climber"]).otherwise(F.sha2(F.concat(before, leaf["climber"], after), 256))
+        return F.when(F.col("level") == 0, leaf["climber"]).otherwise(digest(hexed(F.concat(before, leaf["climber"], after))))
 
     start = made.runs.select("tree", "level", "place", F.transform("leaves", first).alias("climbers"))
     top, height = (made.root["tree"], made.root["level"]) if made.root else (TOP, 0)
@@ -175,12 +200,10 @@ def climb(made: Manifest) -> DataFrame:
 
 def verify(made: Manifest) -> DataFrame:
     """Per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
-    ends = climb(made).join(made.runs.select("tree", "level", "place", "leaves"), ["tree", "place"])
-    copies = made.subroots.select("tree", F.col("digest").alias("subroot"), F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("copy"))
-    each = (ends.withColumn("copy", F.pmod("place", F.lit(COPIES)).cast("int")).join(copies, ["tree", "copy"])
-            .select("*", F.posexplode(F.arrays_zip("leaves", "climbers")).alias("slot", "one")))
+    ends = climb(made).join(made.runs.select("tree", "place", "leaves").hint("merge"), ["tree", "place"])
+    each = ends.select("*", F.posexplode(F.arrays_zip("leaves", "climbers")).alias("slot", "one"))
     before, after = _others(F.col("slot"))
-    root = F.lit(made.root["digest"] if made.root else None).cast("string")
-    folded = F.col("one.climbers")
-    return each.select("one.leaves.doc_id", "one.leaves.leaf", "subroot", root.alias("root"), F.sha2(F.concat(before, after, "siblings"), 256).alias("proof_sha256"),
-                       folded.alias("folded_root"), (folded == root).alias("verified"))
+    root = F.lit(bytes(made.root["digest"]) if made.root else None).cast("binary")
+    folded, leaf = F.col("one.climbers"), F.col("one.leaves.leaf")
+    return each.select("one.leaves.doc_id", hexed(leaf).alias("leaf"), hexed(F.coalesce("subroot", root)).alias("subroot"), hexed(root).alias("root"),
+                       F.sha2(hexed(F.concat(before, after, "siblings")), 256).alias("proof_sha256"), hexed(folded).alias("folded_root"), (folded == root).alias("verified"))
