@@ -451,6 +451,19 @@ def q_medallion_two_ranges(spark, sf_dir) -> DataFrame:
     return _medallion_result(spark, root)
 
 
+@register("medallion_no_time_two_days", _SQL["gold_kpi_hourly"])
+def q_medallion_no_time_two_days(spark, sf_dir) -> DataFrame:
+    """The whole log on one ingest day, then all of it and a part again on the next, events without a time by the default rule."""
+    spark = _s(spark)
+    root = shared_dir(spark, "medallion")
+    log = flows.batch_topic_log(spark, sf_dir, only=[TOPIC_RAW])
+    half = 2 * flows.events(spark, sf_dir).agg(F.max("event_id")).first()[0]
+    later = (run_ts() + F.expr("interval 1 day")).cast("timestamp")
+    for ingest_ts, since in ((run_ts(), None), (later, None), (later, half)):
+        run_medallion(spark, log, root, since=since, ingest_ts=ingest_ts, reports=("fg_kpi_hourly",))
+    return _medallion_result(spark, root)
+
+
 def _stream_topics(spark, sf_dir, profile="realtime"):
     root = shared_dir(spark, "stream")
     flows.firewall_lines(spark, sf_dir).select("value").write.text(f"{root}/lines")

@@ -113,7 +113,8 @@ _TYPES = dict(MESSAGE_FIELDS) | {
     "day_of_week": I, "proto_label": S, "latency_bucket": S, "is_vpn_failure": I,
 }
 TABLE_FIELDS = {
-    "fg_events_raw": [(n, _TYPES[n]) for n in BRONZE_COLUMNS] + [("ingest_date", DAY), ("offset_range", S), ("event_date", DAY)],
+    "fg_events_raw": [(n, _TYPES[n]) for n in BRONZE_COLUMNS] + [("first_seen", TS), ("ingest_date", DAY), ("offset_range", S), ("event_date", DAY)],
+    "fg_first_seen": [("key_hash", L), ("key", S), ("first_seen", TS), ("bucket", I), ("ingest_date", DAY), ("offset_range", S)],
     "fg_events_clean": [(n, _TYPES[n]) for n in SILVER_COLUMNS] + [("event_date", DAY)],
     "fg_kpi_hourly": [
         ("window_start", TS), ("window_end", TS), ("event_type", S), ("severity_label", S),

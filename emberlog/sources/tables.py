@@ -15,6 +15,7 @@ from ..operators.silver import event_time
 from ..schemas import table_schema
 
 ALL_OFFSETS = "all"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 # Derived partition columns per stored table (added by ``with_partition``).
 # Bronze also carries the event's day, so that a rerun of some event days
@@ -24,6 +25,7 @@ PARTITIONS = {
     "fg_events_raw": {"ingest_date": lambda fb: F.to_date("ingested_at"),
                       "offset_range": lambda fb: F.lit(ALL_OFFSETS),
                       "event_date": lambda fb: F.to_date(event_time(fb))},
+    "fg_first_seen": {"bucket": lambda fb: F.col("bucket"), "ingest_date": lambda fb: F.col("ingest_date"), "offset_range": lambda fb: F.col("offset_range")},
     "fg_events_clean": {"event_date": lambda fb: F.to_date("event_time")},
     "fg_kpi_hourly": {"window_date": lambda fb: F.to_date("window_start")},
     "fg_sdwan_performance": {"window_date": lambda fb: F.to_date("window_start")},
@@ -43,13 +45,14 @@ def with_partition(df: DataFrame, table: str, fallback=None, offsets: str = ALL_
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str] | None = None,
-                         fmt: str = "parquet", table: str | None = None) -> None:
+                         fmt: str = "parquet", table: str | None = None, options=None) -> None:
     """Replace exactly the partitions present in ``df`` (whole table if none).
 
     Dynamic partition overwrite makes a rerun of the same input a no-op in
     effect (idempotent), and a run over one day leaves other days untouched.
     The rows are rebalanced on the partition columns first: AQE then writes
     each partition value from few tasks, and splits a value that is large.
+    ``options`` adds settings to the writer.
     """
     if fmt == "iceberg":
         df.writeTo(table or path).overwritePartitions()
@@ -59,6 +62,8 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str] | N
               .option("compression", "zstd"))
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
+    if options:
+        writer = options(writer)
     writer.format(fmt).save(path)
 
 
@@ -73,6 +78,27 @@ def scan(spark: SparkSession, path: str, fmt: str = "parquet", table: str | None
     return reader.format(fmt).load(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def partition_values(spark: SparkSession, path: str) -> list[str]:
+    """The values of the partitions directly under ``path`` (a listing of one folder; null is ``NULL_PARTITION``)."""
+    system, folder = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory()]
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return sorted(unescape(n.split("=", 1)[1]) for n in names if "=" in n)
+
+
+def drop_partition(spark: SparkSession, path: str) -> None:
+    """Remove the files of one partition folder of a parquet table."""
+    system, folder = _folder(spark, path)
+    system.delete(folder, True)
+
+
 def create_statement(name: str, table: str, fmt: str) -> str:
     """``CREATE TABLE IF NOT EXISTS`` with the declared columns and partitioning."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table_schema(table))
@@ -93,15 +119,14 @@ def ensure_tables(spark: SparkSession, root: str, namespaces=("bronze", "silver"
     if fmt != "parquet":
         for ns in namespaces:
             spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}")
-    layout = {"fg_events_raw": "bronze", "fg_events_clean": "silver"}
-    path_of, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    layout = {"fg_events_raw": "bronze", "fg_first_seen": "bronze", "fg_events_clean": "silver"}
     out = {}
     for t in PARTITIONS:
         ns = layout.get(t, "gold")
         out[t] = f"{ns}.{t}" if fmt != "parquet" else f"{root.rstrip('/')}/{ns}/{t}"
         if fmt == "parquet":
-            folder = path_of(out[t])
-            folder.getFileSystem(conf).mkdirs(folder)
+            system, folder = _folder(spark, out[t])
+            system.mkdirs(folder)
         else:
             spark.sql(create_statement(out[t], t, fmt))
     return out

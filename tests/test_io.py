@@ -205,6 +205,82 @@ def test_medallion_ranges_of_one_ingest_day(spark):
     assert stored(root, "silver/fg_events_clean") == stored(whole, "silver/fg_events_clean")
 
 
+def _untimed_log(spark, keys=range(60)):
+    """Events of one device; a third of them without a readable time."""
+    rows = [("fg_raw_all", 0, k, f"d{k % 4}", "bad" if k % 3 == 0 else f"2024-01-{1 + k % 9:02d} 10:00:00", None if k % 6 else f"s{k}", None if k == 9 else f"e{k}", k) for k in keys]
+    return spark.createDataFrame(rows, "topic string, partition int, offset long, device_id string, ts string, seq string, event_id string, total_bytes long")
+
+
+GOLD_FOLDERS = ["gold/fg_kpi_hourly", "gold/fg_device_inventory", "gold/fg_policy_traffic", "gold/fg_protocol_stats"]
+
+
+def _stored(spark, root, table, *drop):
+    return sorted(map(str, scan(spark, f"{root}/{table}").drop(*drop).collect()))
+
+
+@pytest.mark.parametrize("probes", [2048, 1])
+def test_events_without_a_time_count_once_over_ingest_days(spark, monkeypatch, probes):
+    from emberlog.plans import first_seen
+    monkeypatch.setattr(first_seen, "PROBES", probes)
+    once, root = shared_dir(spark, "medallion"), shared_dir(spark, "medallion")
+    log, day = _untimed_log(spark), lambda n: F.lit(f"2024-03-0{n} 05:06:07").cast("timestamp")
+    medallion.run_medallion(spark, log, once, ingest_ts=day(1))
+    medallion.run_medallion(spark, log, root, ingest_ts=day(1))
+    for n in (2, 3, 3):
+        counts = medallion.run_medallion(spark, log, root, ingest_ts=day(n)).counts
+        assert counts["fg_events_clean"] == 60
+    medallion.run_medallion(spark, log, root, since=20, until=40, ingest_ts=day(4))
+    assert _stored(spark, root, "silver/fg_events_clean", "ingested_at") == _stored(spark, once, "silver/fg_events_clean", "ingested_at")
+    for table in GOLD_FOLDERS:
+        assert _stored(spark, root, table) == _stored(spark, once, table), table
+    index = scan(spark, f"{root}/bronze/fg_first_seen")
+    assert index.count() == index.select("key").distinct().count() == 20
+    # An index entry of a later day is never the first: a new key of day 5 keeps its own time.
+    more = _untimed_log(spark, range(55, 64))
+    medallion.run_medallion(spark, more, root, ingest_ts=day(5))
+    firsts = {r.event_id: str(r.event_time) for r in scan(spark, f"{root}/silver/fg_events_clean").where("event_id in ('e57', 'e60', 'e63')").collect() if r.event_id in ("e57", "e60", "e63")}
+    assert firsts == {"e57": "2024-03-01 05:06:07", "e60": "2024-03-05 05:06:07", "e63": "2024-03-05 05:06:07"}
+
+
+def test_untimed_events_of_a_failed_run_are_placed_by_the_next(spark, monkeypatch):
+    once, root = shared_dir(spark, "medallion"), shared_dir(spark, "medallion")
+    log, day = _untimed_log(spark), lambda n: F.lit(f"2024-03-0{n} 05:06:07").cast("timestamp")
+    medallion.run_medallion(spark, log, once, ingest_ts=day(1))
+    place = medallion._place_untimed
+
+    def fail(*a):
+        raise OSError("lost")
+
+    monkeypatch.setattr(medallion, "_place_untimed", fail)
+    with pytest.raises(OSError):
+        medallion.run_medallion(spark, log, root, ingest_ts=day(1))
+    monkeypatch.setattr(medallion, "_place_untimed", place)
+    medallion.run_medallion(spark, log.where("offset >= 30"), root, since=30, ingest_ts=day(2))
+    medallion.run_medallion(spark, None, root, days=("2024-01-01", "2024-03-02"))
+    for table in GOLD_FOLDERS:
+        assert _stored(spark, root, table) == _stored(spark, once, table), table
+
+
+def test_a_range_taken_again_with_fewer_days_leaves_none_behind(spark):
+    root = shared_dir(spark, "medallion")
+    day = F.lit("2024-03-01 05:06:07").cast("timestamp")
+    medallion.run_medallion(spark, _untimed_log(spark), root, ingest_ts=day)
+    medallion.run_medallion(spark, _untimed_log(spark, [1, 2]), root, ingest_ts=day)
+    assert scan(spark, f"{root}/bronze/fg_events_raw").count() == 2
+    assert scan(spark, f"{root}/silver/fg_events_clean").count() == 2
+    assert medallion.run_medallion(spark, _untimed_log(spark), root, since=10 ** 9, ingest_ts=day).counts == {"fg_events_raw": 0}
+
+
+def test_the_index_is_read_by_bucket_and_hash(spark):
+    from emberlog.plans import first_seen
+    root = shared_dir(spark, "medallion")
+    medallion.run_medallion(spark, _untimed_log(spark), root, ingest_ts=F.lit("2024-03-01").cast("timestamp"))
+    index = scan(spark, f"{root}/bronze/fg_first_seen", table="fg_first_seen")
+    one = index.limit(1)
+    plan = first_seen.probe(index, one)._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")] and "key_hash" in plan[plan.index("PushedFilters"):plan.index("ReadSchema")]
+
+
 def test_shared_folder_is_required_off_local_masters(spark):
     from emberlog import session
 
