@@ -16,7 +16,9 @@ Events without a readable time belong to the day they first came in; they lie
 in a part of their own of each range (``~untimed``), placed by ``first_seen``.  ``days``
 (X2) rebuilds a range of event days from stored bronze and reads no log.
 Tables that span all history (device inventory, top threat IPs, policy
-traffic) are recomputed in full.
+traffic) are kept up by event day: a run stores the mergeable states of the
+days it touched (``operators.states``) and puts the states of all days
+together, so untouched days of silver are not read.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 from ..operators import gold as G
 from ..operators.bronze import FULL_KEYS, dedup_first, to_bronze
 from ..operators.silver import to_silver
-from ..schemas import TOPIC_RAW
-from ..sources.tables import (ALL_OFFSETS, NULL_PARTITION, PARTITIONS, drop_partition, ensure_tables, overwrite_partitions,
+from ..schemas import TOPIC_RAW, table_schema
+from ..sources.tables import (ALL_OFFSETS, NULL_PARTITION, PARTITIONS, add_partition, drop_partition, ensure_tables, overwrite_partitions,
                               partition_values, scan, with_partition)
 from . import first_seen
 
@@ -49,6 +51,10 @@ UNTIMED = "~untimed"
 DAY_SCOPED = {"fg_kpi_hourly": "true", "fg_sdwan_performance": "latency > 0", "fg_protocol_stats": "true"}
 
 
+# Reports over all history, as states by event day.
+ALL_HISTORY = {"fg_device_inventory": G.DEVICE_INVENTORY, "fg_top_threat_ips": G.TOP_THREAT_IPS, "fg_policy_traffic": G.POLICY_TRAFFIC}
+
+
 @dataclass
 class StageReport:
     counts: dict[str, int] = field(default_factory=dict)
@@ -200,6 +206,10 @@ def run_medallion(spark: SparkSession, topic_log: DataFrame | None, root: str,
     stored = scan(spark, paths["fg_events_clean"], fmt, "fg_events_clean")
     for table in reports:
         fn = GOLD_TABLES[table]
+        if table in ALL_HISTORY and fmt == "parquet":
+            out = history_of(spark, paths, table, touched)
+            _write_counted(out, table, paths[table], [], report, fmt)
+            continue
         src = _in_days(stored, touched) if table in DAY_SCOPED else stored
         out, parts = with_partition(fn(src.drop("event_date")), table)
         if table in DAY_SCOPED:
@@ -208,6 +218,33 @@ def run_medallion(spark: SparkSession, topic_log: DataFrame | None, root: str,
     return report
 
 
+def _states_folder(paths, table: str) -> str:
+    return f"{paths[table]}_states"
+
+
+def store_states(spark, paths, table: str, touched: list[dt.date]) -> None:
+    """Write the states of ``touched`` days, and of silver days that have none yet; a day's states replace its former ones."""
+    folder, report = _states_folder(paths, table), ALL_HISTORY[table]
+    silver = scan(spark, paths["fg_events_clean"], table="fg_events_clean")
+    held = _dates(partition_values(spark, folder))
+    missing = _dates(partition_values(spark, paths["fg_events_clean"])) - held
+    days = sorted(missing | set(touched))
+    for day in held & set(touched):
+        drop_partition(spark, f"{folder}/event_date={day}")
+    overwrite_partitions(report.partial(_in_days(silver, days), ("event_date",)), folder, ["event_date"])
+    for day in days:
+        add_partition(spark, f"{folder}/event_date={day}")
+
+
+def history_of(spark, paths, table: str, touched: list[dt.date]) -> DataFrame:
+    """A report over all history: the stored states of all days after those of ``touched`` are brought up to date."""
+    store_states(spark, paths, table, touched)
+    report = ALL_HISTORY[table]
+    none = report.partial(spark.createDataFrame([], table_schema("fg_events_clean")), ("event_date",))
+    states = spark.read.schema(none.schema).parquet(_states_folder(paths, table))
+    return report.finish(report.merge(states))
+
+
 def _drop_days(spark, paths, table: str, days: list[dt.date], source: DataFrame, fmt: str) -> None:
     """Remove those of ``days`` from a parquet table that it holds but ``source`` (with event_date) has no rows of."""
     if fmt != "parquet":

@@ -464,6 +464,25 @@ def q_medallion_no_time_two_days(spark, sf_dir) -> DataFrame:
     return _medallion_result(spark, root)
 
 
+def _incremental(table):
+    def run(spark, sf_dir):
+        """Two offset ranges and a rerun of some days; the report is put together from the states of all days."""
+        spark = _s(spark)
+        root = shared_dir(spark, "medallion")
+        log = flows.batch_topic_log(spark, sf_dir, only=[TOPIC_RAW])
+        half = 2 * flows.events(spark, sf_dir).agg(F.max("event_id")).first()[0]
+        only = {"reports": (f"fg_{table}",), "fallback": run_ts(), "ingest_ts": run_ts()}
+        run_medallion(spark, log, root, until=half, **only)
+        run_medallion(spark, log, root, since=half, **only)
+        run_medallion(spark, None, root, days=_some_days(spark, root), **only)
+        return scan(spark, f"{root}/gold/fg_{table}")
+    return run
+
+
+for _table in ("device_inventory", "top_threat_ips", "policy_traffic"):
+    register(f"gold_{_table}_incremental", _SQL[f"gold_{_table}"])(_incremental(_table))
+
+
 def _stream_topics(spark, sf_dir, profile="realtime"):
     root = shared_dir(spark, "stream")
     flows.firewall_lines(spark, sf_dir).select("value").write.text(f"{root}/lines")

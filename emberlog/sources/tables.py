@@ -93,6 +93,12 @@ def partition_values(spark: SparkSession, path: str) -> list[str]:
     return sorted(unescape(n.split("=", 1)[1]) for n in names if "=" in n)
 
 
+def add_partition(spark: SparkSession, path: str) -> None:
+    """An empty partition folder, which says that its rows were looked at and none came out."""
+    system, folder = _folder(spark, path)
+    system.mkdirs(folder)
+
+
 def drop_partition(spark: SparkSession, path: str) -> None:
     """Remove the files of one partition folder of a parquet table."""
     system, folder = _folder(spark, path)
