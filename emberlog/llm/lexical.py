@@ -40,12 +40,15 @@ from .common import prepare, steps, stored, text_column
 
 TOP = 10
 TERMS = 8192
-CELLS = 1 << 23
+CELLS = 1 << 22
 BLOCK = 64       # documents a block has on average
 SHORT = 16       # lists up to this length are scored as they are
 DIMENSIONS = 32
+STRIP = 128      # documents rounded and projected at a time
+STEP = 8          # blocks scored before the tenth score is looked at again
 UNITS = 255
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# A shard is a row of some megabytes: few of them at a time are read and handed to Python.
+FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2", "spark.sql.parquet.columnarReaderBatchSize": "2"}
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -95,8 +98,8 @@ def weights(made: DataFrame, n_terms: int) -> tuple[np.ndarray, int, int]:
 SHARD = "shard long, part int, docs binary, nulls binary, rows binary, terms binary, scores binary, list_terms binary, list_ends binary, list_rows binary, block_terms binary, block_ends binary, units binary, summaries binary"
 
 
-def _dense(n_docs: int, n_terms: int, rows: np.ndarray, columns: np.ndarray, scores: np.ndarray) -> np.ndarray:
-    out = np.zeros((n_docs, n_terms), np.int64)
+def _dense(height: int, width: int, rows: np.ndarray, columns: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    out = np.zeros((height, width), np.int64)
     out[rows, columns] = scores
     return out
 
@@ -111,7 +114,12 @@ def shard_row(shard: int, part: int, doc_ids: list, rows: np.ndarray, columns: n
     """One shard: score vectors (rows, terms, scores), posting lists in blocks, block summaries."""
     dense = _dense(len(doc_ids), n_terms, rows, columns, scores)
     units = np.maximum(-(-dense.max(axis=0) // UNITS), 1)
-    points = dense.astype(np.float32) @ np.random.default_rng(n_terms).standard_normal((n_terms, DIMENSIONS), np.float32)
+    small = np.empty(dense.shape, np.uint8)
+    for at in range(0, len(dense), STRIP):
+        small[at:at + STRIP] = -(-dense[at:at + STRIP] // units)
+    del dense
+    lengths = units.astype(np.float32)[:, None] * np.random.default_rng(n_terms).standard_normal((n_terms, DIMENSIONS), np.float32)
+    points = np.concatenate([small[at:at + STRIP] @ lengths for at in range(0, len(small), STRIP)])
     points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
     order = np.lexsort((rows, columns))
     by_term, of_rows = columns[order], rows[order]
@@ -134,12 +142,12 @@ def shard_row(shard: int, part: int, doc_ids: list, rows: np.ndarray, columns: n
                 list_rows.append(block)
                 block_terms.append(term)
                 block_ends.append(total)
-                summaries.append(-(-dense[block].max(axis=0) // units))
+                summaries.append(small[block].max(axis=0))
     flat = lambda xs, kind: (np.concatenate(xs) if len(xs) and isinstance(xs[0], np.ndarray) else np.array(xs)).astype(kind).tobytes()
     return {"shard": shard, "part": part, "docs": flat([0 if d is None else d for d in doc_ids], "<i8"), "nulls": flat([d is None for d in doc_ids], "u1"),
             "rows": flat(rows, "<i4"), "terms": flat(columns, "<i4"), "scores": flat(scores, "<i8"),
             "list_terms": flat(short_terms, "<i4"), "list_ends": flat(short_ends, "<i4"), "list_rows": flat(short_rows + list_rows, "<i4"),
-            "block_terms": flat(block_terms, "<i4"), "block_ends": flat(block_ends, "<i4"), "units": flat(units, "<i8"), "summaries": flat(summaries, "u1")}
+            "block_terms": flat(block_terms, "<i4"), "block_ends": flat(block_ends, "<i4"), "units": flat(units, "<i8"), "summaries": pa.compress(flat(summaries, "u1"), codec="zstd", asbytes=True)}
 
 
 def _indexer(shared):
@@ -186,7 +194,7 @@ class Shard:
     def __init__(self, row: dict, n_terms: int):
         get = lambda name, kind: np.frombuffer(row[name], kind)
         self.docs, self.nulls = get("docs", "<i8"), get("nulls", "u1").astype(bool)
-        self.scores = _dense(len(self.docs), n_terms, get("rows", "<i4"), get("terms", "<i4"), get("scores", "<i8"))
+        self.scores = _dense(n_terms, len(self.docs), get("terms", "<i4"), get("rows", "<i4"), get("scores", "<i8"))
         self.rows = get("list_rows", "<i4")
         short, ends = get("list_terms", "<i4"), get("list_ends", "<i4")
         begins = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
@@ -195,19 +203,21 @@ class Shard:
         self.block_terms, self.ends = get("block_terms", "<i4"), get("block_ends", "<i4") + base
         self.begins = np.concatenate([[base], self.ends[:-1]]).astype(np.int64) if len(self.ends) else self.ends
         self.units = get("units", "<i8")
-        self.summaries = get("summaries", "u1").reshape(len(self.block_terms), n_terms)
+        size = len(self.block_terms) * n_terms
+        self.summaries = np.frombuffer(pa.decompress(row["summaries"], size, "zstd", asbytes=True), "u1").reshape(-1, n_terms)
         self.blocks = {t: np.flatnonzero(self.block_terms == t) for t in np.unique(self.block_terms).tolist()}
 
     def search(self, item: np.ndarray, best: list[tuple], top: int) -> tuple[list[tuple], int, int]:
         """The ``top`` best of ``best`` and this shard as (-score, not null, doc_id), and blocks scored and skipped."""
-        seen = np.zeros(len(self.docs), bool)
+        seen, own = np.zeros(len(self.docs), bool), self.scores[item]
 
         def score(rows: np.ndarray) -> None:
             nonlocal best
-            rows = np.unique(rows)
-            rows = rows[~seen[rows]]
+            fresh = np.zeros(len(seen), bool)
+            fresh[rows] = True
+            rows = np.flatnonzero(fresh & ~seen)
             seen[rows] = True
-            points = self.scores[np.ix_(rows, item)].sum(axis=1)
+            points = own[:, rows].sum(axis=0)
             least = -best[-1][0] if len(best) == top else 1
             good = points >= least
             if good.any():
@@ -226,12 +236,16 @@ class Shard:
             mine = np.concatenate(mine)
             bounds = self.summaries[np.ix_(mine, item)].astype(np.int64) @ self.units[item]
             order = np.argsort(-bounds, kind="stable")
-            for at, bound in zip(mine[order].tolist(), bounds[order].tolist()):
-                if bound < (-best[-1][0] if len(best) == top else 1):
-                    skipped = len(mine) - scored  # bounds fall from here on
+            mine, bounds = mine[order], bounds[order]
+            while scored < len(mine):
+                # Bounds fall: the blocks beyond `good` cannot hold a better document.
+                good = int(np.searchsorted(-bounds, -(-best[-1][0] if len(best) == top else 1), "right"))
+                if good <= scored:
                     break
-                score(self.rows[self.begins[at]:self.ends[at]])
-                scored += 1
+                these = mine[scored:min(good, scored + STEP)]
+                score(np.concatenate([self.rows[a:b] for a, b in zip(self.begins[these].tolist(), self.ends[these].tolist())]))
+                scored += len(these)
+            skipped = len(mine) - scored
         return best, scored, skipped
 
 
@@ -258,15 +272,19 @@ def _searcher(shared, top: int):
 def search(shards: DataFrame, items: list[np.ndarray], n_terms: int, top: int = TOP) -> DataFrame:
     """item (place in ``items``), doc_id, score of the best documents; scored, skipped: blocks of the task that found the row.
 
-    Every task gives its ``top`` best for each item.  Stored, as shards (rows of
-    some megabytes) must not come in batches of the usual length.
+    Every task gives its ``top`` best for each item.  The result is stored, as
+    the settings that shards are read with must hold while it is made.
     """
     spark = shards.sparkSession
     shared = spark.sparkContext.broadcast((items, n_terms))
-    spark.conf.set(BATCH, "2")
-    found = stored(shards.mapInArrow(_searcher(shared, top), FOUND), "lexical-found")
-    prepare(spark)
-    return found
+    before = {k: spark.conf.get(k) for k in FEW_ROWS}
+    try:
+        for k, v in FEW_ROWS.items():
+            spark.conf.set(k, v)
+        return stored(shards.mapInArrow(_searcher(shared, top), FOUND), "lexical-found")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def groups(items: list[tuple], limit: int = TERMS) -> Iterator[list[tuple]]:
