@@ -78,6 +78,9 @@ LABELLED = [
     ("<div>{2}</div><div>{3}</div><div>{1}</div><div>{a:4}</div><div>{5} {a:5}</div>", "00000"),
     ("<h2>{4}</h2><p>{28}</p><h2>{3}</h2><p>{41}</p><h3>{2}</h3><ul><li>{a:3}</li><li>{a:3}</li></ul>", "1111000"),
     ("<p>{24}</p><p>{19}</p><p>{3}</p><p>{21}</p>", "1111"),
+    ("<div>{a:2}</div><p>{30}</p><p>{2}</p><p>{25}</p><p>{1}</p><p>{40}</p><p>{1}</p><p>{33}</p><div>{1}</div><div>{a:1}</div>", "0111111100"),
+    ("<article><p>{30}</p><p>{1} {a:1}</p><p>{a:2}</p><p>{20}</p><p>{a:1}</p></article><footer>{a:3}</footer>", "111110"),
+    ("<main><h1>{3}</h1><p>{a:1} {1}</p><p>{a:3}</p><p>{45}</p></main>", "1111"),
     ("<p>{120}</p>", "1"),
     ("<p>{2}</p>", "0"),
     ("<article><p>{3}</p></article>", "1"),
