@@ -7,7 +7,9 @@ inside a longer line is cut in the same places as its other copies.  Documents t
 by patience diff (units that are unique in both, in longest increasing order,
 then the stretches between them), and every aligned common block of at least
 ``MIN_WORDS`` words is deleted from the later document, the one with the larger
-doc_id.
+doc_id.  A block that stands elsewhere in the later document, or once more, is no
+part of one increasing alignment: a shared run that no aligned block covers
+begins an alignment of its own, of the stretches from there on.
 
 A common passage of n words is cut alike from its first ``SPAN`` words to its
 last, so n - 2 * SPAN + 1 words of it at least are common units: every passage
@@ -20,9 +22,8 @@ exactly if they share a run, and the runs inside a block cover it, so blocks of
 any two documents go although not all pairs are aligned.  Each holder of a run is paired with its earliest holder, so
 a rare run gives one pair, a run that a third of all documents hold gives one
 pair for each, and no group is expanded into all pairs; no frequency is left
-out.  Alignment needs only unit hashes, so texts are not sent along.  Runs that
-the alignment did not match because they were moved or repeated are deleted as
-well, so of every run the earliest document keeps its copy.
+out.  Alignment needs only unit hashes, so texts are not sent along.  Runs only
+propose (their keys are sums of unit hashes): what goes is decided by aligned units.
 
 Units are compared as they are (lines are split at line feeds).  Null and empty
 texts have one line without words and stay; a null doc_id is neither compared nor
@@ -91,18 +92,32 @@ def unit_codes(raw: bytes, span: int | None) -> tuple[list[int], list[int]]:
     return [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], words.tolist()
 
 
-def runs(codes: list[int], words: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """(key, first unit, end) of the shortest runs with ``min_words`` words from, and up to, each unit that has words."""
-    size = np.array(words, np.int64)
+_BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+def runs(codes: np.ndarray, words: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, first units and ends of the shortest runs with ``min_words`` words from, and up to, each unit that has words, by first unit.
+
+    A key is the polynomial of the run's unit hashes, modulo 2^64, mixed.
+    """
+    size = words.astype(np.int64)
     after = np.cumsum(size)
     end = np.searchsorted(after, after - size + min_words) + 1
-    full = (size > 0) & (end <= len(size))
+    full = np.flatnonzero((size > 0) & (end <= len(size)))
     # The last unit from which on a run up to this one has enough words.
     start = np.searchsorted(after - size, after - min_words, "right") - 1
-    back = (size > 0) & (start >= 0)
-    spans = set(zip(np.flatnonzero(full).tolist(), end[full].tolist())) | set(zip(start[back].tolist(), (np.flatnonzero(back) + 1).tolist()))
-    packed = memoryview(np.array(codes, np.uint64).tobytes())
-    return [(xxhash.xxh3_64_intdigest(packed[8 * i:8 * j]), i, j) for i, j in sorted(spans)]
+    back = np.flatnonzero((size > 0) & (start >= 0))
+    spans = np.unique(np.concatenate([full << 32 | end[full], start[back] << 32 | (back + 1)]))
+    first, last = spans >> 32, spans & 0xFFFFFFFF
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * _powers(_BASE, len(codes))[:-1], out=sums[1:])
+    return mixed((sums[last] - sums[first]) * _powers(_INVERSE, len(codes))[first]), first, last
 
 
 def _anchors(a: list, b: list) -> list[tuple[int, int]]:
@@ -166,22 +181,38 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_units(a: list, b: list, words: list[int], min_words: int = MIN_WORDS, a_runs: set[int] | None = None, b_runs=None) -> list[int]:
-    """Units of ``b`` inside common blocks of at least ``min_words`` words (``words``: of the units of b)."""
-    out: set[int] = set()
-    block: list[int] = []
-    before = (-2, -2)
-    for i, j in [*align(a, b), (-9, -9)]:
-        if (i, j) != (before[0] + 1, before[1] + 1):
-            if sum(words[x] for x in block) >= min_words:
-                out.update(block)
-            block = []
-        block.append(j)
-        before = (i, j)
-    for key, start, end in b_runs or ():
-        if key in (a_runs or ()):
-            out.update(range(start, end))
-    return sorted(out)
+def _blocks(pairs: list[tuple[int, int]], words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(first, end) of the matched stretches of b, without gaps on either side, that have ``min_words`` words."""
+    out, k = [], 0
+    while k < len(pairs):
+        n = 1
+        while k + n < len(pairs) and pairs[k + n] == (pairs[k][0] + n, pairs[k][1] + n):
+            n += 1
+        j = pairs[k][1]
+        if sum(words[j:j + n]) >= min_words:
+            out.append((j, j + n))
+        k += n
+    return out
+
+
+def common_units(a: list, b: list, words: list[int], min_words: int = MIN_WORDS, seeds=()) -> list[int]:
+    """Units of ``b`` inside aligned common blocks of at least ``min_words`` words (``words``: of the units of b).
+
+    ``seeds``: (first unit of b, end, first unit of a) of the runs both share, by
+    first unit.
+    """
+    gone = bytearray(len(b))
+    for j, end in _blocks(align(a, b), words, min_words):
+        gone[j:end] = b"\1" * (end - j)
+    for j, end, i in seeds:
+        if all(gone[j:end]):
+            continue
+        # The block was moved or repeated: align on from here, up to what has gone already.
+        stop = gone.find(1, end)
+        stop = len(b) if stop < 0 else stop
+        for x, y in _blocks(align(a[i:i + stop - j], b[j:stop]), words[j:stop], min_words):
+            gone[j + x:j + y] = b"\1" * (y - x)
+    return [j for j, x in enumerate(gone) if x]
 
 
 def _describe(min_words: int, span: int | None):
@@ -193,7 +224,7 @@ def _describe(min_words: int, span: int | None):
                     c, w = unit_codes(raw, span)
                     codes.append(np.array(c, np.uint64).tobytes())
                     words.append(np.array(w, np.uint32).tobytes())
-                    keys.append(np.array(sorted({k for k, _, _ in runs(c, w, min_words)}), np.uint64).view(np.int64))
+                    keys.append(np.unique(runs(np.array(c, np.uint64), np.array(w), min_words)[0]).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [step.column("doc_id"), step.column("text_key"), pa.array(codes, pa.binary()), pa.array(words, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                     names=["doc_id", "text_key", "codes", "words", "keys"])
@@ -203,16 +234,22 @@ def _describe(min_words: int, span: int | None):
 def _align(min_words: int):
     def run(later: pa.Table, first: pa.Table) -> pa.Table:
         out: dict[str, list] = {"doc_id": [], "text_key": [], "units": []}
-        unpack = lambda x, kind: np.frombuffer(x, kind).tolist()
+        unpacked = lambda t: zip(*(t.column(c).to_pylist() for c in ("codes", "words")))
         if first.num_rows:
             firsts = []
-            for codes, words in zip(first.column("codes").to_pylist(), first.column("words").to_pylist()):
-                c, w = unpack(codes, np.uint64), unpack(words, np.uint32)
-                firsts.append((c, {k for k, _, _ in runs(c, w, min_words)}))
-            for doc, key, codes, words in zip(*(later.column(c).to_pylist() for c in ("doc_id", "text_key", "codes", "words"))):
-                b, w = unpack(codes, np.uint64), unpack(words, np.uint32)
-                b_runs = runs(b, w, min_words)
-                gone = {j for a, a_runs in firsts for j in common_units(a, b, w, min_words, a_runs, b_runs)}
+            for codes, words in unpacked(first):
+                c = np.frombuffer(codes, np.uint64)
+                keys, places, _ = runs(c, np.frombuffer(words, np.uint32), min_words)
+                keys, at = np.unique(keys, return_index=True)
+                firsts.append((c.tolist(), keys, places[at]))
+            for doc, key, (codes, words) in zip(later.column("doc_id").to_pylist(), later.column("text_key").to_pylist(), unpacked(later)):
+                c, w = np.frombuffer(codes, np.uint64), np.frombuffer(words, np.uint32)
+                b, sizes, (own, start, end) = c.tolist(), w.tolist(), runs(c, w, min_words)
+                gone: set[int] = set()
+                for a, keys, places in firsts:
+                    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1) if len(keys) else np.zeros(len(own), np.int64)
+                    hit = np.flatnonzero(keys[at] == own) if len(keys) else at[:0]
+                    gone.update(common_units(a, b, sizes, min_words, zip(start[hit].tolist(), end[hit].tolist(), places[at[hit]].tolist())))
                 if gone:
                     out["doc_id"].append(doc)
                     out["text_key"].append(key)

@@ -230,21 +230,21 @@ def near_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return sized.select("a", "b", "s", "t").mapInArrow(_distance, "a long, b long")
 
 
-def _cross(bucket: pa.Table) -> pa.Table:
-    """The verification groups of one block of a bucket: outsiders with those of all that may be near.
+def _cross(cell: pa.Table) -> pa.Table:
+    """The verification groups of one cell of a bucket: outsiders of block g1 with the members of block g2 that may be near.
 
     A group is (top, t1, t2): ``top`` names the bucket's largest component, t1
     the share of an outsider, t2 that of another outsider or (-1 - share) of a
     member of the largest component.  Shares are the same in all buckets.
     """
-    rows, ids, comp = signature_rows(bucket.column("signature")), bucket.column("id").to_numpy(), bucket.column("component").to_numpy()
-    n, far = bucket.column("n").to_numpy(), bucket.column("far").to_numpy(zero_copy_only=False)
-    out, own = (bucket.column(c).to_numpy(zero_copy_only=False) for c in ("outside", "own"))
-    share, key = bucket.column("share").to_numpy(), bucket.column("key")[0].as_py()
-    keys = chunk_keys(rows).view(np.int64)
+    rows, ids, comp = signature_rows(cell.column("signature")), cell.column("id").to_numpy(), cell.column("component").to_numpy()
+    n, far = cell.column("n").to_numpy(), cell.column("far").to_numpy(zero_copy_only=False)
+    out, block = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("outside", "block"))
+    g1, g2, key = (cell.column(c)[0].as_py() for c in ("g1", "g2", "key"))
+    share, keys, others = cell.column("share").to_numpy(), chunk_keys(rows).view(np.int64), block == g2
     found: set[tuple[int, int, int]] = set()
-    for i in np.flatnonzero(out):
-        j = np.flatnonzero((comp != comp[i]) & (own | own[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i]))
+    for i in np.flatnonzero(block == g1):
+        j = np.flatnonzero(others & (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i]))
                            & ~(np.abs(far - far[i]) > 1 - PERCENT / 100 + 1e-9))
         j = j[(rows[j] != rows[i]).sum(1) <= REACH]
         # A pair is placed by the first of its common buckets only.
@@ -254,7 +254,7 @@ def _cross(bucket: pa.Table) -> pa.Table:
             found.add((int(t1), int(t2), int(ids[i])))
             found.add((int(t1), int(t2), int(ids[other])))
     t1, t2, member = zip(*sorted(found)) if found else ((), (), ())
-    top = np.full(len(found), bucket.column("top")[0].as_py(), np.int64)
+    top = np.full(len(found), cell.column("top")[0].as_py(), np.int64)
     return pa.table({"top": pa.array(top), "t1": pa.array(t1, pa.int64()), "t2": pa.array(t2, pa.int64()), "id": pa.array(member, pa.int64())})
 
 
@@ -292,12 +292,20 @@ def _verify(words: int):
     return run
 
 
+def blocks(count):
+    """So many blocks that a block of hashed ids stays below ``BLOCK``."""
+    return F.ceil(1.25 * count / BLOCK)
+
+
 def verification_groups(buckets: DataFrame, members: DataFrame, labels: DataFrame, known: DataFrame) -> DataFrame:
     """(top, t1, t2, id): who meets whom on the full sets, from buckets that hold several components.
 
-    Members of the bucket's largest component go to one block each; the others
-    go to all blocks, and are the ones compared.  Candidates are not listed as
-    pairs: both go to a verification group that holds each text once.  All
+    The members of a bucket's largest component and the others (outsiders) lie
+    in blocks of their own, below ``BLOCK`` members each.  Outsiders are the ones
+    compared: a cell holds one block of them and one other block, so no cell holds
+    more than two blocks, however many members of a bucket are linked to nobody.
+    Candidates are not listed as pairs: both go to a verification group that
+    holds each text once.  All
     buckets with one largest component feed the same groups, so the shares that
     make these up are counted over all of them: about ``BLOCK`` members each.
     """
@@ -305,19 +313,24 @@ def verification_groups(buckets: DataFrame, members: DataFrame, labels: DataFram
     labelled = buckets.join(of, buckets.id == of.id_, "left").select("key", "id", "leader", F.coalesce("component", "id").alias("component"))
     sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n_"))
     mixed_ = (sizes.groupBy("key").agg(F.max(F.struct("n_", "component")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("n_").alias("all"))
-              .where("parts > 1").select("key", F.col("top.component").alias("top"), F.ceil(F.col("all") / BLOCK).alias("blocks")))
+              .where("parts > 1").select("key", F.col("top.component").alias("top"), blocks(F.col("all") - F.col("top.n_")).alias("outer"), blocks(F.col("top.n_")).alias("inner")))
     mixed_rows = stored(labelled.join(mixed_, "key").withColumn("outside", F.col("component") != F.col("top")), "mixed-buckets")
     feeds = mixed_rows.groupBy("top", "outside", "id").agg(F.lit(1).alias("one")).groupBy("top", "outside").agg(F.count(F.lit(1)).alias("n_"))
     # Only these need more than one share: at most a row for each BLOCK rows of ``feeds``.
     large = feeds.where(F.col("n_") > BLOCK).select("top", "outside", F.ceil(F.col("n_") / BLOCK).alias("shares"))
     distances = known.selectExpr("a leader", "b id", "1 - inter / total far").unionByName(known.selectExpr("a leader", "a id", "0D far").distinct())
-    rows = (mixed_rows.join(F.broadcast(large), ["top", "outside"], "left").join(members, "id").join(distances, ["leader", "id"], "left")
+    # Blocks of outsiders are numbered from 0, those of the largest component from -1 down.
+    block = "CASE WHEN outside THEN pmod(xxhash64(id), outer) ELSE -1 - pmod(xxhash64(id), inner) END"
+    pair = lambda x, y: f"named_struct('g1', {x}, 'g2', {y})"
+    cells = f"""CASE WHEN NOT outside THEN transform(sequence(0L, outer - 1), x -> {pair('x', 'block')})
+                ELSE concat(transform(sequence(block, outer - 1), x -> {pair('block', 'x')}),
+                            transform(filter(sequence(0L, block), x -> x < block), x -> {pair('x', 'block')}),
+                            transform(sequence(1L, inner), x -> {pair('block', '-x')})) END"""
+    rows = (mixed_rows.join(large, ["top", "outside"], "left").join(members, "id").join(distances, ["leader", "id"], "left")
             .withColumn("share", F.pmod(F.xxhash64("id"), F.coalesce("shares", F.lit(1).cast("long"))))
-            .withColumn("home", F.pmod(F.xxhash64("id"), F.col("blocks")))
-            .withColumn("block", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("home")))))
-    places = (rows.select("key", "block", "id", "n", "signature", "component", "top", "outside", "share",
-                          F.coalesce("far", F.lit(float("nan"))).alias("far"), (F.col("home") == F.col("block")).alias("own"))
-              .groupBy("key", "block").applyInArrow(_cross, "top long, t1 long, t2 long, id long"))
+            .withColumn("block", F.expr(block)).withColumn("cell", F.explode(F.expr(cells))))
+    places = (rows.select("key", "cell.g1", "cell.g2", "block", "id", "n", "signature", "component", "top", "outside", "share", F.coalesce("far", F.lit(float("nan"))).alias("far"))
+              .groupBy("key", "g1", "g2").applyInArrow(_cross, "top long, t1 long, t2 long, id long"))
     return stored(places.distinct(), "verification-groups")
 
 

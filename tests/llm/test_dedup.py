@@ -115,6 +115,38 @@ def test_signature_index_keeps_its_guarantee():
         assert len(set(keys[0].tolist()) & set(keys[1].tolist()))
 
 
+def test_op5_cells_stay_small_for_many_unlinked_members_of_a_bucket(spark, monkeypatch):
+    """One bucket whose members are linked to nobody, beside a large component: no cell beyond two blocks, every pair in one cell."""
+    block, outsiders, inner = 64, 700, 200
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    near_dup.prepare(spark)
+    signature = np.arange(56, dtype=np.uint16).tobytes()
+    ids = range(outsiders + inner)
+    table = spark.createDataFrame([(i, 10, bytearray(signature)) for i in ids], "id long, n long, signature binary")
+    labels = spark.createDataFrame([(i, outsiders) for i in range(outsiders, outsiders + inner)], "id long, component long")
+    buckets = spark.createDataFrame([(5, i, 0) for i in ids], "key long, id long, leader long")
+    known = spark.createDataFrame([], "a long, b long, inter long, total long")
+
+    def members_of(cell):
+        g1, g2 = cell.column("g1")[0].as_py(), cell.column("g2")[0].as_py()
+        n = cell.num_rows
+        return pa.table({"top": pa.array([g1] * n, pa.int64()), "t1": pa.array([g2] * n, pa.int64()), "t2": cell.column("block").cast(pa.int64()), "id": cell.column("id")})
+
+    monkeypatch.setattr(near_dup, "_cross", members_of)
+    rows = near_dup.verification_groups(buckets, table, labels, known).collect()
+    cells = {}
+    for r in rows:
+        cells.setdefault((r.top, r.t1), {})[r.id] = r.t2
+    assert max(map(len, cells.values())) <= 2 * block
+    met = Counter()
+    for (g1, g2), of in cells.items():
+        for i, b in of.items():
+            if b == g1:
+                met.update(frozenset((i, j)) for j, c in of.items() if c == g2 and (g1 != g2 or i < j))
+    wanted = {frozenset((i, j)) for i in range(outsiders) for j in ids if i != j}
+    assert set(met) == wanted and set(met.values()) == {1}
+
+
 def test_op5_verification_groups_stay_small_however_many_buckets_feed_them(spark, monkeypatch):
     from pyspark.sql import functions as F
 
@@ -254,6 +286,24 @@ def test_op8_blocks_of_all_pairs(spark):
         assert all(expected[d] <= gone[d] for d in texts)
 
 
+def test_op8_alignment_decides(monkeypatch):
+    """Runs propose, aligned blocks decide: also for moved and repeated blocks, and nothing goes without the alignment."""
+    a, b = [1, 2, 3, 4, 5, 6, 7, 8], [5, 6, 7, 90, 1, 2, 3, 91, 5, 6, 7, 8, 92]
+    words = [12] * len(b)
+
+    def gone():
+        array = lambda x: np.array(x, np.uint64)
+        keys, places, _ = line_dedup.runs(array(a), np.full(len(a), 12))
+        where = dict(zip(keys.tolist(), places.tolist()))
+        own = zip(*(x.tolist() for x in line_dedup.runs(array(b), np.array(words))))
+        return line_dedup.common_units(a, b, words, 30, [(i, j, where[k]) for k, i, j in own if k in where])
+
+    assert gone() == [0, 1, 2, 4, 5, 6, 8, 9, 10, 11]
+    assert line_dedup.common_units(a, b, words, 30) == [4, 5, 6, 8, 9, 10, 11]  # one increasing alignment
+    monkeypatch.setattr(line_dedup, "align", lambda a, b: [])
+    assert gone() == []
+
+
 def test_op8_units_make_up_the_text():
     for raw in (b"", b"\n", b" a", b"a\n\n b  c \n", "\n".join([" ".join("the é x y".split() * 30)] * 2).encode()):
         starts, ends, words, line = line_dedup.cut(raw, line_dedup.SPAN)
