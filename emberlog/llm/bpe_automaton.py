@@ -160,8 +160,8 @@ def load(path: str) -> tuple[Automaton, dict[str, int], pa.Array]:
     return Automaton(labels, merges), special, by_id
 
 
-def chunk_encoder(path: str):
-    """``chunk -> ids`` by the automaton."""
+def chunk_encoder(path: str) -> tuple:
+    """``chunk -> ids`` by the automaton, and whether marks may be cut off words."""
     automaton, special, _ = load(path)
     cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
@@ -175,7 +175,7 @@ def chunk_encoder(path: str):
                     out += automaton.encode(word.encode())
         return out
 
-    return encode
+    return encode, tokens.cuts_marks(list(special))
 
 
 def encode_column(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:

@@ -17,7 +17,7 @@ sections: document ids (i64), id-is-null flags (u8), first token of each
 document (u64, with the end), and per level bytes, bitmap, rank directory.
 
 Edge cases: a null or empty text has only the end id; a null doc_id sorts
-first and stays null; rows repeated exactly are written once each; an empty
+first and stays null, rows of one id by text; rows repeated exactly are written once each; an empty
 table writes no file and reads as no rows; other columns are ignored.
 """
 
@@ -173,8 +173,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, word_ends: bool = Fa
     order of (part, segment) is the order of the documents.
     """
     prepare(docs.sparkSession)
-    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    # Rows of one id (null, above all) may be many: the range goes on by how their texts begin, then by row.
+    ordered = rows.repartitionByRange("doc_id", F.substring("text", 1, 64), "row").sortWithinPartitions("doc_id", "text").select("doc_id", "text")
     return stored(ordered.mapInArrow(_writer(folder, tokenizer, word_ends, end_id), MANIFEST), "dac-manifest")
 
 

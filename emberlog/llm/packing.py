@@ -9,7 +9,8 @@ items of each length and joins each to its planned slot by its rank.
 
 The plan is made on the driver from at most ``capacity`` counts.  Ranks come
 from counts of (length, salt) groups: a length that a third of all rows share
-is numbered in ``SALTS`` pieces.
+is numbered in ``SALTS`` pieces, also where its rows are exact repeats (each has
+a stored number of its own).
 
 Edge cases: a null or empty text is one item with the end id; rows repeated
 exactly are separate items; an empty table packs to no rows; items with a null
@@ -34,7 +35,8 @@ from .common import prepare, steps, stored
 
 CAPACITY = 1024
 SALTS = 1024
-PIECES = "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECE_ORDER = ["doc_id", "piece", "start", "ids_crc32", "row"]
 
 
 def cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,7 +49,7 @@ def cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.
     return row, piece, start
 
 
-def _cutter(tokenizer: str, word_ends: bool, end_id: int, capacity: int, id_bits: int):
+def _cutter(tokenizer: str, word_ends: bool, end_id: int, capacity: int, id_bits: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = tokens.library_cache(tokenizer, word_ends)
         for batch in batches:
@@ -58,24 +60,26 @@ def _cutter(tokenizer: str, word_ends: bool, end_id: int, capacity: int, id_bits
                 row, piece, start = cut(np.diff(begins), capacity)
                 places = np.append(begins[row] + start, len(all_ids))
                 raw, at = memoryview(all_ids).cast("B"), (4 * places).tolist()
-                held = all_ids.astype(f"<u{id_bits // 8}")
-                blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer((id_bits // 8) * places.astype("<i8")), pa.py_buffer(held)])
-                yield pa.RecordBatch.from_arrays([
-                    step.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)),
-                    pa.array(start), pa.array(np.diff(places)), pc.cast(blobs, pa.binary()),
-                    pa.array([zlib.crc32(raw[x:y]) for x, y in zip(at, at[1:])], pa.int64()),
-                ], names=["doc_id", "piece", "start", "length", "ids", "ids_crc32"])
+                columns = {"doc_id": step.column("doc_id").take(pa.array(row)), "piece": pa.array(piece.astype(np.int32)), "start": pa.array(start),
+                           "length": pa.array(np.diff(places)), "ids_crc32": pa.array([zlib.crc32(raw[x:y]) for x, y in zip(at, at[1:])], pa.int64())}
+                if id_bits:
+                    held = all_ids.astype(f"<u{id_bits // 8}")
+                    blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer((id_bits // 8) * places.astype("<i8")), pa.py_buffer(held)])
+                    columns["ids"] = pc.cast(blobs, pa.binary())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
     return run
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY, id_bits: int = 32) -> DataFrame:
-    """doc_id, piece, start, length, ids, ids_crc32 of all pieces, stored.
+def cut_documents(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY, id_bits: int | None = 32) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, ids, row of all pieces, stored.
 
-    ``ids``: unsigned little endian of ``id_bits``; the checksum is that of the 32-bit form.
+    ``ids``: unsigned little endian of ``id_bits`` (None: without ids); the
+    checksum is that of the 32-bit form.  ``row`` tells repeated pieces apart.
     """
     prepare(docs.sparkSession)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-    return stored(rows.mapInArrow(_cutter(tokenizer, word_ends, end_id, capacity, id_bits), PIECES), "pieces")
+    pieces = rows.mapInArrow(_cutter(tokenizer, word_ends, end_id, capacity, id_bits), PIECES + (", ids binary" if id_bits else ""))
+    return stored(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -179,11 +183,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, word_ends: bool = False, end
     through the shuffle in half the bytes; the result has 32-bit ids.
     """
     pieces = cut_documents(docs, tokenizer, word_ends, end_id, capacity, id_bits)
-    return pack(pieces, ["doc_id", "piece", "start", "ids_crc32"], capacity, widen=id_bits == 16)
+    return pack(pieces, PIECE_ORDER, capacity, widen=id_bits == 16).drop("row")
 
 
 def piece_slots(docs: DataFrame, tokenizer: str, word_ends: bool = False, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
-    """As ``pack_documents``, with each piece's checksum in place of its ids (they are not shuffled)."""
-    pieces = cut_documents(docs, tokenizer, word_ends, end_id, capacity)
-    light = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(light, ["doc_id", "piece", "start", "ids_crc32"], capacity)
+    """As ``pack_documents``, with each piece's checksum in place of its ids (they are neither stored nor shuffled)."""
+    return pack(cut_documents(docs, tokenizer, word_ends, end_id, capacity, None), PIECE_ORDER, capacity).drop("row")

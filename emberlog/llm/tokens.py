@@ -1,12 +1,13 @@
 """Encoding whole text columns by the distinct chunks they are made of.
 
 Both vocabularies split a text before merging, and no pre-token crosses a
-single blank or line feed that stands between two other characters.  A column
-is therefore cut at these places (numpy over the bytes), the chunks are
-dictionary-encoded (Arrow), each distinct chunk is encoded once by the
-``tokenizers`` library and kept in a bounded cache, and the ids of the texts
-are gathered from the ids of their chunks.  Places where two white-space
-characters meet are never cut, so the library sees such runs whole.
+single blank or line feed that stands between two other characters, nor the
+place where a letter meets the marks that end a word.  A column is therefore cut
+at these places (numpy over the bytes), the chunks are dictionary-encoded
+(Arrow), each distinct chunk is encoded once by the ``tokenizers`` library and
+kept in a cache bounded by bytes, and the ids of the texts are gathered from the
+ids of their chunks.  Places where two white-space characters meet are never
+cut, so the library sees such runs whole.
 """
 
 from __future__ import annotations
@@ -20,7 +21,11 @@ from tokenizers import Tokenizer
 
 from .common import text_column
 
-CACHE_ENTRIES = 500_000
+# The cache of a worker: two generations of so many bytes each.  Chunks longer
+# than KEPT_CHUNK (texts without blanks, mostly) are encoded anew.
+CACHE_BYTES = 96 << 20
+ENTRY_BYTES = 200  # what an entry takes besides its texts
+KEPT_CHUNK = 64
 GATHER_CHUNKS = 1 << 20
 
 # ASCII white space, the separators 0x1C-0x1F (cut conservatively), and the
@@ -31,8 +36,16 @@ _LEAD = np.zeros(256, bool)
 _LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _AFTER = _SPACE | _LEAD
 
+# Marks that may end a word; runs longer than MARKS_CUT stay with it.
+MARKS = ".,;:!?%*#$&"
+MARKS_CUT = 8
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in MARKS]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(f"( ?[{_LATIN}]+)([.,;:!?]*)")
+_PLAIN = re.compile(f" ?[{_LATIN}]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -51,7 +64,21 @@ def letters(text: str) -> str:
     return text.encode().decode("latin-1").translate(_LETTERS)
 
 
-def chunk_column(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+def _word_ends(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where chunks that end in marks have their last letter before: the marks begin there."""
+    ending = _MARK[data[ends - 1]]
+    starts, at = starts[ending], ends[ending] - 1
+    for _ in range(MARKS_CUT):
+        more = (at > starts) & _MARK[data[np.maximum(at - 1, 0)]]
+        if not more.any():
+            break
+        at = at - more
+    before, before2 = data[np.maximum(at - 1, 0)], data[np.maximum(at - 2, 0)]
+    accented = (before >= 0x80) & (before < 0xC0) & (before != 0x97) & (before != 0xB7) & (before2 == 0xC3) & (at - 2 >= starts)
+    return at[(at > starts) & (_LETTER[before] | accented)]
+
+
+def chunk_column(texts: pa.LargeStringArray, marks: bool = True) -> tuple[pa.LargeStringArray, np.ndarray]:
     """All chunks of a column in order, and the first chunk of each text (with the end)."""
     offsets = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset:texts.offset + len(texts) + 1]
     lo, n = int(offsets[0]), int(offsets[-1] - offsets[0])
@@ -74,67 +101,75 @@ def chunk_column(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.nd
     cut[feeds] = True
     cut[feeds + 1] = True
     starts = np.flatnonzero(cut[:n])
+    if marks and len(starts):
+        cut[_word_ends(data, starts, np.append(starts[1:], n))] = True
+        starts = np.flatnonzero(cut[:n])
     bounds = np.append(starts, n) + lo
     chunks = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds.astype("<i8")), buffer)
     return chunks, np.searchsorted(starts, ends)
 
 
 class ChunkCache(dict):
-    """Distinct chunk -> its ids (unsigned 32-bit, little endian), at most ``CACHE_ENTRIES`` between steps."""
+    """Distinct chunk -> its ids (unsigned 32-bit, little endian).
+
+    Two generations: what is used moves to the younger one, and ``trim`` (between
+    steps) lets the older one go when the younger is full.  ``marks``: whether
+    chunks may be cut before the marks that end a word.
+    """
 
-    def __init__(self, encode):
+    def __init__(self, encode, marks: bool = True):
         super().__init__()
-        self.encode = encode
+        self.encode, self.marks = encode, marks
+        self.older: dict = {}
+        self.held = 0
 
     def __missing__(self, chunk):
-        out = self[chunk] = array("I", self.encode(chunk)).tobytes()
+        out = self.older.get(chunk)
+        if out is None:
+            out = array("I", self.encode(chunk)).tobytes()
+            if len(chunk) > KEPT_CHUNK:
+                return out
+        self[chunk] = out
+        self.held += len(chunk) + len(out) + ENTRY_BYTES
         return out
 
     def trim(self) -> None:
-        if len(self) > CACHE_ENTRIES:
+        if self.held > CACHE_BYTES:
+            self.older, self.held = dict(self), 0
             self.clear()
 
 
-def library_encoder(path: str, word_ends: bool):
-    """``chunk -> ids`` by the ``tokenizers`` library.
+def cuts_marks(special: list[str]) -> bool:
+    """No special string holds a mark, so cutting before marks keeps them whole."""
+    return not any(c in MARKS for text in special for c in text)
+
 
-    A chunk of one plain word and sentence marks goes straight to the
-    library's merge model (its pre-tokens are evident); every other chunk
-    goes through the library's whole chain.
+def library_encoder(path: str, word_ends: bool) -> tuple:
+    """``chunk -> ids`` by the ``tokenizers`` library, and whether marks may be cut off.
+
+    A chunk of one plain word goes straight to the library's merge model (it is
+    evidently one pre-token); every other chunk goes through the whole chain.
     """
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
     model = tokenizer.model
-    words: dict[str, list[int]] = {}
-
-    def word(text: str) -> list[int]:
-        ids = words.get(text)
-        if ids is None:
-            if len(words) > CACHE_ENTRIES // 2:
-                words.clear()
-            ids = words[text] = [t.id for t in model.tokenize(letters(text))]
-        return ids
 
     def encode(chunk: str) -> list[int]:
-        plain = _PLAIN.fullmatch(chunk)
-        if plain is None:
+        if _PLAIN.fullmatch(chunk) is None:
             return tokenizer.encode(chunk, add_special_tokens=False).ids
-        body, marks = plain.groups()
-        if word_ends:
-            body = body.lstrip(" ").lower()
-        return word(body) + word(marks) if marks else word(body)
+        return [t.id for t in model.tokenize(letters(chunk.lstrip(" ").lower() if word_ends else chunk))]
 
-    return encode
+    return encode, cuts_marks([t.content for t in tokenizer.get_added_tokens_decoder().values()])
 
 
 _CACHES: dict[tuple, ChunkCache] = {}
 
 
 def worker_cache(key: tuple, build) -> ChunkCache:
-    """The cache of this Python worker for ``key``; ``build()`` gives its ``chunk -> ids``."""
+    """The cache of this Python worker for ``key``; ``build()`` gives its ``chunk -> ids`` and whether marks may be cut off."""
     if key not in _CACHES:
-        _CACHES[key] = ChunkCache(build())
+        _CACHES[key] = ChunkCache(*build())
     return _CACHES[key]
 
 
@@ -156,7 +191,7 @@ def spread(values: np.ndarray, starts: np.ndarray, counts: np.ndarray, index: np
 
 def encode_column(texts: pa.Array, cache: ChunkCache) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in one array, and where each text's ids begin (with the end)."""
-    chunks, first = chunk_column(text_column(texts))
+    chunks, first = chunk_column(text_column(texts), cache.marks)
     coded = chunks.dictionary_encode()
     index = coded.indices.to_numpy(zero_copy_only=False)
     cache.trim()

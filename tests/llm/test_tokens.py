@@ -33,7 +33,7 @@ def test_chunked_ids_are_the_librarys(path, word_ends):
         assert found[a:b].tolist() == ids(text, path), text
 
 
-alphabet = st.sampled_from(list("abtheinx .,'\n\t\r12é́İ日   \x1c\x85<|>") + ["<|endoftext|>", " the", "aaaa", "'s", "🙂"])
+alphabet = st.sampled_from(list("abtheinx .,'\n\t\r12é́İ日   \x1c\x85<|>") + ["<|endoftext|>", " the", "aaaa", "'s", "🙂", "word%%%", "é.", "×!", "x...", "#$&", "it's;"])
 
 
 @settings(max_examples=150, deadline=None)
@@ -49,6 +49,29 @@ def test_random_texts(texts):
     assert bpe_automaton.decode_column(found, at, BYTE_BPE) == [LIBRARY[BYTE_BPE].decode(ids(t), skip_special_tokens=False) for t in texts]
 
 
+def test_marks_are_cut_off_words_only():
+    texts = pa.array(["ab... cd%%% é!x ×! 3. (a). it's; .. a", "," * 30 + " b" + "!" * 30], pa.string())
+    chunks, first = tokens.chunk_column(tokens.text_column(texts))
+    assert chunks.to_pylist()[:14] == ["ab", "...", " cd", "%%%", " é!x", " ×!", " 3.", " (a).", " it's", ";", " ..", " a", "," * 30, " b" + "!" * 30]
+    assert first.tolist() == [0, 12, 14]
+    assert not tokens.cuts_marks(["<|end|>", "[!]"]) and tokens.cuts_marks(["<|end|>"])
+
+
+def test_cache_is_bounded_by_bytes(monkeypatch):
+    """Texts without blanks are one chunk each: they are encoded and not kept; the rest fills two generations at most."""
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 20_000)
+    cache = tokens.ChunkCache(*tokens.library_encoder(BYTE_BPE, False))
+    long = ["日本語テキスト" * 3000 + str(i) for i in range(5)]
+    found, at = tokens.encode_column(pa.array(long), cache)
+    assert [found[a:b].tolist() for a, b in zip(at, at[1:])] == [ids(t) for t in long] and not cache
+    for step in range(12):
+        texts = [" ".join(f"w{step}x{i}" for i in range(60)), "the same words. every step!"]
+        found, at = tokens.encode_column(pa.array(texts), cache)
+        assert [found[a:b].tolist() for a, b in zip(at, at[1:])] == [ids(t) for t in texts]
+    assert cache.older and len(cache) + len(cache.older) < 400
+    assert "the" in cache or "the" in cache.older
+
+
 def test_gadgets_keep_rule_order():
     """Overlapping and repeated rules on a tiny vocabulary, against merging rule by rule."""
     labels = {0: b"a", 1: b"b", 2: b"c", 3: b"ab", 4: b"bc", 5: b"aa", 6: b"aaa", 7: b"abc"}
