@@ -35,6 +35,7 @@ from ..operators.silver import to_silver
 from ..schemas import TOPIC_RAW, table_schema
 from ..sources.tables import (ALL_OFFSETS, NULL_PARTITION, PARTITIONS, add_partition, drop_partition, ensure_tables, overwrite_partitions,
                               partition_values, scan, with_partition)
+from ..sources.topics import read_topics
 from . import first_seen
 
 GOLD_TABLES = {
@@ -147,11 +148,14 @@ def _unfinished(spark, paths) -> list[tuple[dt.date, str]]:
 
 def _take_in(spark, topic_log, paths, since, until, ingest_ts, fallback, keys, topics, report, fmt) -> list[dt.date]:
     """Write bronze; returns the event days that came in (one row per day on the driver)."""
-    log = topic_log
-    if since is not None:
-        log = log.where(F.col("offset") >= since)
-    if until is not None:
-        log = log.where(F.col("offset") < until)
+    if isinstance(topic_log, str):  # a stored log: only files that hold the range are opened
+        log = read_topics(spark, list(topics), topic_log, since=since, until=until)
+    else:
+        log = topic_log
+        if since is not None:
+            log = log.where(F.col("offset") >= since)
+        if until is not None:
+            log = log.where(F.col("offset") < until)
     rows = to_bronze(log, ingest_ts=ingest_ts, keys=keys, topics=topics).withColumn("first_seen", F.lit(None).cast("timestamp"))
     today = spark.range(1).select(F.to_date(ingest_ts)).first()[0]
     offsets = offset_range(since, until)
@@ -172,13 +176,14 @@ def _arrival(fallback):
     return F.coalesce("first_seen", "ingested_at") if fallback is None else fallback
 
 
-def run_medallion(spark: SparkSession, topic_log: DataFrame | None, root: str,
+def run_medallion(spark: SparkSession, topic_log: DataFrame | str | None, root: str,
                   days=None, since: int | None = None, until: int | None = None,
                   fallback=None, keys=FULL_KEYS, fmt: str = "parquet",
                   ingest_ts=None, topics=(TOPIC_RAW,), reports=tuple(GOLD_TABLES)) -> StageReport:
     """Run bronze, silver and gold; return per-table row counts.
 
-    ``since`` / ``until``: offsets taken from the log.  ``days``: (first, last)
+    ``topic_log``: a DataFrame, or the path of a stored log.  ``since`` /
+    ``until``: offsets taken from the log.  ``days``: (first, last)
     event day to rebuild instead.  ``reports``: the gold tables to build.  ``fallback``: time of events without a
     readable one (default: when they first came in, as the first-seen index
     knows it, so that reading them again on another day counts them once).

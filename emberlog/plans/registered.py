@@ -23,7 +23,7 @@ from ..operators.route import route
 from ..schemas import FIREWALL_TOPICS, TOPIC_LOG_SCHEMA, TOPIC_RAW
 from ..session import ensure_session, shared_dir
 from ..sources.tables import overwrite_partitions, scan, with_partition
-from ..sources.topics import read_topics, write_topics
+from ..sources.topics import RECORDS_PER_FILE, read_topics, write_topics
 from ..streaming.ingest import read_latest, start_bronze, start_device_latest, start_fanout, start_network, start_serving
 from . import flows
 from .medallion import run_medallion
@@ -132,11 +132,11 @@ _BRONZE_SELECT = """first_topic AS kafka_topic, line_no AS kafka_offset, event_i
   vwlquality, devname, devtype, srchwvendor, srcmac, severity, severity_label, is_anomaly"""
 
 
-def _bronze_sql(keys, topic="'fg_raw_all'"):
+def _bronze_sql(keys, topic="'fg_raw_all'", of="fwt"):
     return O.fw(f"""
 SELECT {_BRONZE_SELECT.replace("first_topic AS", f"{topic} AS")} FROM (
   SELECT *, row_number() OVER (PARTITION BY {", ".join(keys)} ORDER BY line_no, first_topic) AS rn
-  FROM fwt) WHERE rn = 1""")
+  FROM {of}) WHERE rn = 1""")
 
 
 @register("bronze_dedup", _bronze_sql(PARITY_KEYS))
@@ -164,6 +164,19 @@ def q_bronze_from_json(spark, sf_dir) -> DataFrame:
     return to_bronze(read_topics(spark, [TOPIC_RAW], root), keys=FULL_KEYS).drop("ingested_at")
 
 
+_MIDDLE = "(SELECT * FROM fwt WHERE line_no >= (SELECT max(event_id) FROM events) AND line_no < (SELECT 3 * max(event_id) FROM events))"
+
+
+@register("bronze_offset_range", _bronze_sql(FULL_KEYS, of=_MIDDLE))
+def q_bronze_offset_range(spark, sf_dir) -> DataFrame:
+    """A range of offsets from the stored topic log: only the files that hold it are opened."""
+    spark = _s(spark)
+    root = shared_dir(spark, "json-topics")
+    last = flows.events(spark, sf_dir).agg(F.max("event_id")).first()[0]
+    write_topics(flows.batch_topic_log(spark, sf_dir, json=True, only=[TOPIC_RAW]).repartitionByRange("offset"), root)
+    return to_bronze(read_topics(spark, [TOPIC_RAW], root, since=last, until=3 * last), keys=FULL_KEYS).drop("ingested_at")
+
+
 @register("silver_clean", O.fw("""
 SELECT event_time, 'fg_raw_all' AS kafka_topic, event_id, device_id, message, tag, program,
   event_type, subtype, action, status, srcip, dstip, srcport, dstport, proto, service,
@@ -530,6 +543,19 @@ for _table, (_cols, _from) in _STREAMED.items():
     register(f"stream_serving_{_table[2:]}", O.fw(f"SELECT {_cols.replace('event_id, ', '')} FROM {_from}"))(_stream_serving(_table))
 
 
+@register("stream_serving_blocks", O.fw(f"SELECT {_SEC.replace('event_id, ', '')} FROM fwr"))
+def q_stream_serving_blocks(spark, sf_dir):
+    """The raw events table in blocks: no micro-batch takes in more records than the bound."""
+    spark = _s(spark)
+    root = _stream_topics(spark, sf_dir)
+    query = start_serving(spark, f"{root}/topics", "t_raw_events", f"{root}/t_raw_events", f"{root}/chk-blocks", fallback=run_ts(), available_now=True,
+                          max_records=RECORDS_PER_FILE)
+    query.awaitTermination()
+    if any(p["numInputRows"] > RECORDS_PER_FILE for p in query.recentProgress):
+        raise RuntimeError("a micro-batch took in more records than its bound")
+    return spark.read.parquet(f"{root}/t_raw_events").drop("event_id", "ingested_at", "event_month")
+
+
 @register("stream_network_logs", O.net("""
 SELECT device_id, ts_value AS ts, program, log_type, message, src_ip, dst_ip, mac_address, raw_length
 FROM nwt"""))

@@ -6,10 +6,18 @@ Kafka source/sink (needs the Kafka connector on the classpath, not shipped in
 this environment: that path is option plumbing, untested here).  The default
 ``parquet`` form stores the log partitioned by topic, so reading one topic
 prunes the others at planning time.
+
+A stored log has an offset index beside it (``_offsets``, which readers of the
+log skip): the smallest and largest offset and the number of records of each
+file, topic and partition.  A read of an offset range opens the files that hold
+it, and files that the index does not know yet.  Files hold ``RECORDS_PER_FILE``
+records at most, so a stream that admits so many files admits so many records.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,6 +29,11 @@ from ..schemas import TOPIC_LOG_SCHEMA
 IN_PLAN = "encoded_in_plan"
 
 
+RECORDS_PER_FILE = 16_384
+OFFSETS = "_offsets"
+OFFSETS_SCHEMA = "file string, topic string, partition int, first long, last long, records long"
+
+
 def encode(df: DataFrame, topic_col: str = "topic", offset_col: str | None = "line_no",
            partition: Column | None = None, exclude: list[str] | None = None) -> DataFrame:
     """Routed rows -> topic log rows (``to_json`` of every other column).
@@ -95,12 +108,87 @@ def write_topics(log: DataFrame, path_or_servers: str, fmt: str = "parquet",
         (log.select("topic", F.col("value").cast("string").alias("value"))
          .write.format("kafka").option("kafka.bootstrap.servers", path_or_servers).save())
         return
-    log.write.mode(mode).partitionBy("topic").format(fmt).save(path_or_servers)
+    (log.write.mode(mode).option("maxRecordsPerFile", RECORDS_PER_FILE)
+     .partitionBy("topic").format(fmt).save(path_or_servers))
+    index_offsets(log.sparkSession, path_or_servers)
+
+
+# -- the offset index -----------------------------------------------------------
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _name(file: str) -> str:
+    """A file's name below the log: the topic's folder and the file."""
+    return "/".join(file.rsplit("/", 2)[1:])
+
+
+def offset_index(spark: SparkSession, path: str) -> DataFrame:
+    """file, topic, partition, first, last, records; empty where nothing is indexed."""
+    if _exists(spark, f"{path}/{OFFSETS}"):
+        return spark.read.schema(OFFSETS_SCHEMA).parquet(f"{path}/{OFFSETS}")
+    return spark.createDataFrame([], OFFSETS_SCHEMA)
+
+
+def _log_files(spark: SparkSession, path: str) -> dict[str, str]:
+    """Name -> path of the log's files (the listing that any read of the log plans with)."""
+    return {_name(f): f for f in spark.read.schema(TOPIC_LOG_SCHEMA).parquet(path).inputFiles()}
+
+
+def index_offsets(spark: SparkSession, path: str) -> int:
+    """Add the files that are not in the index yet; returns their number.
+
+    Only topic, partition and offset of the new files are read.  Two writers may
+    index a file twice, which changes no answer.
+    """
+    files = _log_files(spark, path)
+    known = {r[0] for r in offset_index(spark, path).select("file").distinct().toLocalIterator()}
+    new = [f for name, f in files.items() if name not in known]
+    if new:
+        rows = spark.read.schema(TOPIC_LOG_SCHEMA).option("basePath", path).parquet(*new)
+        file = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+/[^/]+)$", 1)
+        (rows.groupBy(file.alias("file"), "topic", "partition")
+         .agg(F.min("offset").alias("first"), F.max("offset").alias("last"), F.count(F.lit(1)).alias("records"))
+         .coalesce(1).write.mode("append").parquet(f"{path}/{OFFSETS}"))
+    return len(new)
+
+
+def files_of_range(spark: SparkSession, path: str, topics: list[str], since: int | None, until: int | None) -> list[str]:
+    """The log's files that hold offsets of [since, until) of the topics, and those the index does not know."""
+    index = offset_index(spark, path)
+    inside = F.col("topic").isin(*topics)
+    if since is not None:
+        inside &= F.col("last") >= since
+    if until is not None:
+        inside &= F.col("first") < until
+    marks = {r[0]: r[1] for r in index.groupBy("file").agg(F.max(inside.cast("int"))).toLocalIterator()}
+    folders = {f"topic={t}" for t in topics}
+    return sorted(f for name, f in _log_files(spark, path).items() if marks.get(name, 1) and name.split("/")[0] in folders)
+
+
+def kafka_offsets(partitions: dict[str, list[int]], offset: int | None, default: int) -> str:
+    """``startingOffsets`` / ``endingOffsets``: one offset for every partition (default -2 earliest, -1 latest)."""
+    return json.dumps({t: {str(p): default if offset is None else offset for p in ps} for t, ps in partitions.items()})
 
 
 def read_topics(spark: SparkSession, topics: list[str], path_or_servers: str,
-                fmt: str = "parquet", min_partitions: int | None = None) -> DataFrame:
-    """Batch read of several topics, earliest to latest."""
+                fmt: str = "parquet", min_partitions: int | None = None,
+                since: int | None = None, until: int | None = None,
+                partitions: dict[str, list[int]] | None = None) -> DataFrame:
+    """Batch read of several topics: all offsets, or those of [since, until).
+
+    The range is given to the source: the parquet form opens only the files
+    that hold it, Kafka starts and ends there (``partitions`` names the
+    partitions of each topic, which Kafka wants to be told).
+    """
+    if fmt == "kafka" and (since is not None or until is not None):
+        if not partitions:
+            raise ValueError("an offset range of Kafka topics needs their partitions")
+        r = (spark.read.format("kafka").option("kafka.bootstrap.servers", path_or_servers).option("subscribe", ",".join(topics))
+             .option("startingOffsets", kafka_offsets(partitions, since, -2)).option("endingOffsets", kafka_offsets(partitions, until, -1)))
+        return r.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
     if fmt == "kafka":
         r = (spark.read.format("kafka")
              .option("kafka.bootstrap.servers", path_or_servers)
@@ -111,13 +199,26 @@ def read_topics(spark: SparkSession, topics: list[str], path_or_servers: str,
             r = r.option("minPartitions", str(min_partitions))
         return r.load().select("topic", "partition", "offset",
                                F.col("value").cast("string").alias("value"))
-    df = spark.read.schema(TOPIC_LOG_SCHEMA).format(fmt).load(path_or_servers)
+    reader = spark.read.schema(TOPIC_LOG_SCHEMA).format(fmt)
+    if since is None and until is None:
+        df = reader.load(path_or_servers)
+    else:
+        files = files_of_range(spark, path_or_servers, topics, since, until)
+        df = reader.option("basePath", path_or_servers).load(files) if files else spark.createDataFrame([], TOPIC_LOG_SCHEMA)
+        df = df.where(F.col("offset").between(since if since is not None else -1 << 63, (until if until is not None else 1 << 63) - 1))
     return df.where(F.col("topic").isin(*topics)).select("topic", "partition", "offset", "value")
 
 
 def stream_topic(spark: SparkSession, topics: list[str], path_or_servers: str,
-                 fmt: str = "parquet", max_per_trigger: int | None = None) -> DataFrame:
-    """Continuous read of topics (offsets tracked by the query checkpoint)."""
+                 fmt: str = "parquet", max_per_trigger: int | None = None,
+                 max_records: int | None = None) -> DataFrame:
+    """Continuous read of topics (offsets tracked by the query checkpoint).
+
+    ``max_records``: the most records that a micro-batch takes in (of a stored
+    log ``RECORDS_PER_FILE`` at least, as files are taken whole).
+    """
+    if max_records:
+        max_per_trigger = max_records if fmt == "kafka" else max_records // RECORDS_PER_FILE
     if fmt == "kafka":
         r = (spark.readStream.format("kafka")
              .option("kafka.bootstrap.servers", path_or_servers)

@@ -37,7 +37,11 @@ from ..operators.serving import TABLES, load_devices, load_table, month_partitio
 from ..operators.silver import event_time
 from ..schemas import TOPIC_DEVICES, TOPIC_NETWORK, TOPIC_RAW
 from ..sources.lines import stream_lines, stream_network_csv
-from ..sources.topics import encode, stream_topic
+from ..sources.topics import RECORDS_PER_FILE, encode, stream_topic
+
+
+# Fixed value: records that a serving table takes in at a time.
+BLOCK_RECORDS = 65_536
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -67,7 +71,7 @@ def _publish(log: DataFrame, topic_path: str, checkpoint: str, fmt: str,
              .option("kafka.bootstrap.servers", topic_path))
     else:
         w = (log.writeStream.format(fmt).partitionBy("topic").option("path", topic_path)
-             .option("compression", "zstd"))
+             .option("compression", "zstd").option("maxRecordsPerFile", RECORDS_PER_FILE))
     w = w.option("checkpointLocation", checkpoint).outputMode("append")
     return _trigger(w, available_now, interval).start()
 
@@ -87,8 +91,9 @@ def start_network(spark: SparkSession, csv_path: str, topic_path: str, checkpoin
 def start_serving(spark: SparkSession, topic_path: str, table: str, table_path: str,
                   checkpoint: str, fmt: str = "parquet", fallback=None,
                   available_now: bool = False, interval: str | None = None,
-                  max_per_trigger: int | None = None) -> StreamingQuery:
-    log = stream_topic(spark, [TABLES[table][0]], topic_path, fmt, max_per_trigger)
+                  max_per_trigger: int | None = None, max_records: int | None = BLOCK_RECORDS) -> StreamingQuery:
+    """One topic -> its serving table, in blocks of at most ``max_records`` records (``max_per_trigger``: files, or Kafka offsets, instead)."""
+    log = stream_topic(spark, [TABLES[table][0]], topic_path, fmt, max_per_trigger, None if max_per_trigger else max_records)
     rows = month_partition(load_table(log, table, fallback))
     w = (rows.writeStream.format("parquet").partitionBy("event_month")
          .option("path", table_path).option("checkpointLocation", checkpoint)
