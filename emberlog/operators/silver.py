@@ -19,6 +19,7 @@ TRIMMED = [
 NULL_FILL = {"srcport": 0, "dstport": 0, "proto": 0, "sentbyte": 0,
              "rcvdbyte": 0, "total_bytes": 0, "vwlid": 0, "is_anomaly": 0,
              "latency": 0.0, "severity": 1}
+# Fixed value: words of a VPN failure.
 VPN_PATTERN = "(?i)IPsec|IKE|VPN"
 
 
@@ -30,6 +31,11 @@ def event_time(fallback=None):
                       fallback_ts(fallback))
 
 
+def event_time_of_ts():
+    """The time that ``ts`` alone states, else null."""
+    return F.coalesce(*parse_first(F.trim(F.col("ts")), SILVER_TS_FORMATS))
+
+
 def proto_label(proto):
     return (F.when(proto == 6, "TCP").when(proto == 17, "UDP")
             .when(proto == 1, "ICMP").otherwise(proto.cast("string")))

@@ -20,11 +20,12 @@ from ..operators.bronze import FULL_KEYS, PARITY_KEYS, to_bronze
 from ..operators.latest import latest_by_key
 from ..operators.parse_net import records_from_lines
 from ..operators.route import route
-from ..schemas import FIREWALL_TOPICS, TOPIC_LOG_SCHEMA, TOPIC_RAW
+from ..operators.silver import event_time
+from ..schemas import FIREWALL_TOPICS, MESSAGE_SCHEMA, TOPIC_LOG_SCHEMA, TOPIC_RAW
 from ..session import ensure_session, shared_dir
 from ..sources.tables import overwrite_partitions, scan, with_partition
-from ..sources.topics import RECORDS_PER_FILE, read_topics, write_topics
-from ..streaming.ingest import read_latest, start_bronze, start_device_latest, start_fanout, start_network, start_serving
+from ..sources.topics import RECORDS_PER_FILE, decode, read_topics, write_topics
+from ..streaming.ingest import read_latest, start_bronze, start_bronze_held, start_device_latest, start_fanout, start_network, start_serving
 from . import flows
 from .medallion import run_medallion
 
@@ -581,3 +582,34 @@ def q_stream_bronze_keys(spark, sf_dir) -> DataFrame:
     start_bronze(spark, f"{root}/topics", f"{root}/bronze", f"{root}/chk-bronze", delay="3650 days",
                  available_now=True).awaitTermination()
     return spark.read.parquet(f"{root}/bronze").select("device_id", "ts", "seq", "event_id")
+
+
+def write_by_arrival(spark, log: DataFrame, path: str, slices: int = 5) -> None:
+    """A raw topic log as its records might arrive: by time, out of order by up to two days, one append after another.
+
+    Two last records, of no device, have a time long after all others: the first
+    moves the watermark past them, the second brings the batch in which they leave.
+    """
+    base = f"{path}-base"
+    log.write.parquet(base)
+    stored = spark.read.schema(TOPIC_LOG_SCHEMA).parquet(base)
+    t = F.unix_seconds(event_time(F.lit(None).cast("timestamp")))
+    timed = decode(stored, MESSAGE_SCHEMA, ("topic", "partition", "offset")).select("offset", (F.coalesce(t, F.lit(0)) + F.pmod(F.hash("offset"), F.lit(2 * 86400))).alias("arrival"))
+    edges = timed.where("arrival > 1e9").approxQuantile("arrival", [k / slices for k in range(1, slices)], 0.01)
+    of = timed.select("offset", F.array_position(F.expr("array_sort(array_append(array({}), arrival))".format(", ".join(f"bigint({e:.0f})" for e in edges))), F.col("arrival")).alias("slice"))
+    dealt = stored.join(of, "offset")
+    for k in range(1, slices + 1):
+        dealt.where(F.col("slice") == k).drop("slice").select(*stored.columns).coalesce(1).write.mode("append").partitionBy("topic").parquet(path)
+    closing = spark.sql("""SELECT 'fg_raw_all' AS topic, 0 AS partition, -1L AS offset, '{"device_id": "", "ts": "2035-01-01 00:00:00"}' AS value""")
+    for _ in range(2):
+        closing.write.mode("append").partitionBy("topic").parquet(path)
+
+
+@register("stream_bronze_rows", _bronze_sql(FULL_KEYS))
+def q_stream_bronze_rows(spark, sf_dir) -> DataFrame:
+    """Records out of order by up to two days -> bronze with the batch's survivor, under a watermark of four days."""
+    spark = _s(spark)
+    root = shared_dir(spark, "stream-rows")
+    write_by_arrival(spark, flows.batch_topic_log(spark, sf_dir, json=True, only=[TOPIC_RAW]), f"{root}/topics")
+    start_bronze_held(spark, f"{root}/topics", f"{root}/bronze", f"{root}/chk", delay="4 days", available_now=True, max_per_trigger=1).awaitTermination()
+    return spark.read.parquet(f"{root}/bronze").drop("ingested_at", "ingest_date")

@@ -5,7 +5,11 @@
   Kafka).  One read of the source per micro-batch; the expansion is map-side.
 * ``start_network``: network-device CSV files -> classify and enrich -> topic.
 * ``start_serving``: one topic -> its serving table, appended.
-* ``start_bronze``: raw topic -> bronze table, de-duplicated within a watermark.
+* ``start_bronze``: raw topic -> bronze table, de-duplicated within a watermark
+  (the record that arrives first stays, at once).
+* ``start_bronze_held``: the same with the batch job's survivor: records wait as
+  state until the watermark passes them, the smallest (offset, topic,
+  partition) of a key leaves.
 * ``start_device_latest``: device topic -> latest row per device, merged per
   micro-batch into a bucketed table.  A commit record names the files of each
   bucket and the last batch of each streaming query, so a replayed batch
@@ -34,7 +38,7 @@ from ..operators.parse_net import enrich_network, parse_network_records
 from ..operators.parse_rt import parse_rt_lines
 from ..operators.route import route
 from ..operators.serving import TABLES, load_devices, load_table, month_partition
-from ..operators.silver import event_time
+from ..operators.silver import event_time, event_time_of_ts
 from ..schemas import TOPIC_DEVICES, TOPIC_NETWORK, TOPIC_RAW
 from ..sources.lines import stream_lines, stream_network_csv
 from ..sources.topics import RECORDS_PER_FILE, encode, stream_topic
@@ -120,6 +124,42 @@ def start_bronze(spark: SparkSession, topic_path: str, table_path: str, checkpoi
     return _trigger(w, available_now, interval).start()
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def start_bronze_held(spark: SparkSession, topic_path: str, table_path: str, checkpoint: str,
+                      keys=FULL_KEYS, delay: str = "7 days", fmt: str = "parquet",
+                      available_now: bool = False, interval: str | None = None,
+                      max_per_trigger: int | None = None) -> StreamingQuery:
+    """Raw topic -> bronze, of each key the record that the batch job keeps, once it is ``delay`` old.
+
+    The records of a key share its time where ``ts`` is readable; where only
+    ``eventtime`` is, those within ``delay`` of one another are one session.
+    State is one record for each key that the watermark has not passed (RocksDB,
+    out of the heap).  A record older than the watermark is late and left to the
+    batch job.  One without a readable time has none that a watermark could
+    pass: it leaves at once, and the batch job de-duplicates and places it.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    none = F.lit(None).cast("timestamp")
+    flat = flatten(stream_topic(spark, [TOPIC_RAW], topic_path, fmt, max_per_trigger), keep_partition=True).withColumn("event_time", event_time(none))
+    present = F.col("device_id").isNotNull() & (F.trim("device_id") != "")
+    order = ["kafka_offset", "kafka_topic", "_partition"]
+    record = F.struct(*order, *(c for c in flat.columns if c not in order and c != "event_time"))
+    # Blank devices go after the aggregation: a filter before it would be pushed
+    # below the watermark, which is to see every time.
+    gap = F.when(event_time_of_ts().isNotNull(), "1 second").otherwise(delay)
+    timed = (flat.where(F.col("event_time").isNotNull()).withColumn("gap", gap).withWatermark("event_time", delay)
+             .groupBy(F.session_window("event_time", F.col("gap")), *keys).agg(F.min(record).alias("record")).select("record.*").where(present))
+    untimed = flat.where(F.col("event_time").isNull() & present)
+    columns = [c for c in untimed.columns if c not in ("_partition", "event_time")]
+    rows = timed.select(*columns).unionByName(untimed.select(*columns))
+    w = (rows.withColumn("ingest_date", F.to_date("ingested_at")).writeStream.format("parquet")
+         .partitionBy("ingest_date").option("path", table_path).option("compression", "zstd")
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return _trigger(w, available_now, interval).start()
+
+
 # --- latest-per-key merge into a bucketed parquet table ------------------------
 
 BUCKETS = 32
