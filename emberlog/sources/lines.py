@@ -1,24 +1,40 @@
-"""Raw text sources: firewall lines and network CSV records."""
+"""Raw text sources: firewall lines and network CSV records.
+
+Bytes that are no UTF-8 are left out, as the replay senders do, and nothing else
+is: a replacement character that a file really holds stays.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
 from ..schemas import NETWORK_CSV_SCHEMA
 
 
+def decodable(c: Column) -> Column:
+    """A text read as raw bytes, without the bytes that do not decode.
+
+    Only rows with such bytes are rewritten: a U+FFFD that the text holds is set
+    aside (``\\x1a`` escapes itself and it), what does not decode becomes U+FFFD,
+    these go, and the text's own come back.
+    """
+    aside = F.replace(F.replace(c, F.lit("\x1a"), F.lit("\x1ao")), F.lit("\ufffd"), F.lit("\x1ar"))
+    left = F.replace(F.make_valid_utf8(aside), F.lit("\ufffd"), F.lit(""))
+    back = F.replace(F.replace(left, F.lit("\x1ar"), F.lit("\ufffd")), F.lit("\x1ao"), F.lit("\x1a"))
+    return F.when(F.is_valid_utf8(c), c).otherwise(back)
+
+
 def read_lines(spark: SparkSession, path: str, with_position: bool = True) -> DataFrame:
     """Text lines (UTF-8) of every file under ``path`` (glob allowed).
 
     ``with_position`` adds ``source`` (file path) -- a text file has no
     line offsets, so a replay-stable id uses file + content.
     """
-    df = spark.read.text(path)
-    if with_position:
-        df = df.select("value", F.col("_metadata.file_path").alias("source"))
-    return df
+    value = decodable(F.col("value")).alias("value")
+    position = [F.col("_metadata.file_path").alias("source")] if with_position else []
+    return spark.read.text(path).select(value, *position)
 
 
 def non_blank(df: DataFrame, value_col: str = "value") -> DataFrame:
@@ -39,26 +55,31 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
     if not positions:
-        return r.load(path)
+        return r.load(path).select(decodable(F.col("value")).alias("value"))
     files = r.option("wholetext", "true").load(path)
     split = F.pmod(F.xxhash64("_metadata.file_path"), F.lit((1 << 31) - 1)).cast("int")
-    return (files.select(split.alias("split"), F.posexplode(F.split("value", "\n")).alias("line_no", "value"))
+    return (files.select(split.alias("split"), F.posexplode(F.split(decodable(F.col("value")), "\n")).alias("line_no", "value"))
             .select("value", F.col("line_no").cast("long").alias("line_no"), "split"))
 
 
+def _csv_text(df: DataFrame) -> DataFrame:
+    """Fields that were read byte by byte (Latin-1 keeps each) as UTF-8."""
+    return df.select(*(decodable(F.encode(c, "ISO-8859-1").cast("string")).alias(c) for c in df.columns))
+
+
 def read_network_csv(spark: SparkSession, path: str) -> DataFrame:
     """``timestamp;device_id;program;msg`` files with a header line."""
-    return (spark.read.schema(NETWORK_CSV_SCHEMA)
-            .option("sep", ";").option("header", "true")
-            .option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE").csv(path))
+    return _csv_text(spark.read.schema(NETWORK_CSV_SCHEMA)
+                     .option("sep", ";").option("header", "true").option("encoding", "ISO-8859-1")
+                     .option("quote", '"').option("escape", '"')
+                     .option("mode", "PERMISSIVE").csv(path))
 
 
 def stream_network_csv(spark: SparkSession, path: str,
                        max_files: int | None = None) -> DataFrame:
     r = (spark.readStream.schema(NETWORK_CSV_SCHEMA)
-         .option("sep", ";").option("header", "true")
+         .option("sep", ";").option("header", "true").option("encoding", "ISO-8859-1")
          .option("quote", '"').option("escape", '"'))
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.csv(path)
+    return _csv_text(r.csv(path))
