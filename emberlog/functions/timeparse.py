@@ -16,21 +16,44 @@ SILVER_TS_FORMATS = [
 # ... and for ``eventtime`` when ``ts`` fails.
 SILVER_EVENTTIME_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"]
 
-# Best-effort parse of the serving loads: a documented subset of the many
-# shapes a "best effort" date parser accepts (ISO 8601 with or without
-# fraction / zone, space-separated, date only, day-first with slashes).
-BEST_EFFORT_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy HH:mm",
+# Best-effort times of the serving loads.  A text is first turned into its shape
+# (every digit 9, every letter a); a shape has one format, so a text is parsed
+# once.  Fixed values: shape (a pattern where it has a quantifier or a class) and
+# format, the frequent ones first.
+SHAPES = [
+    ("9999-99-99 99:99:99", "yyyy-MM-dd HH:mm:ss"),
+    ("9999-99-99a99:99:99", "yyyy-MM-dd'T'HH:mm:ss"),
+    ("9999-99-99a99:99:99[.]9{1,9}a", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSSXXX"),
+    ("9999-99-99a99:99:99a", "yyyy-MM-dd'T'HH:mm:ssXXX"),
+    ("9999-99-99 99:99:99[.]9{1,9}", "yyyy-MM-dd HH:mm:ss.SSSSSSSSS"),
+    ("9999-99-99a99:99:99[.]9{1,9}", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSS"),
+    ("9999-99-99a99:99:99[.]9{1,9}[+-]99:99", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSSXXX"),
+    ("9999-99-99a99:99:99[+-]99:99", "yyyy-MM-dd'T'HH:mm:ssXXX"),
+    ("9999-99-99a99:99:99[+-]9999", "yyyy-MM-dd'T'HH:mm:ssXX"),
+    ("9999-99-99a99:99:99[.]9{1,9}[+-]9999", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSSXX"),
+    ("9999-99-99 99:99:99[+-]99:99", "yyyy-MM-dd HH:mm:ssXXX"),
+    ("9999-99-99 99:99:99 ?[+-]9999", "yyyy-MM-dd HH:mm:ss[ ]XX"),
+    ("9999-99-99 99:99", "yyyy-MM-dd HH:mm"),
+    ("9999-99-99a99:99", "yyyy-MM-dd'T'HH:mm"),
+    ("9999-99-99", "yyyy-MM-dd"),
+    ("99/99/9999 99:99:99", "dd/MM/yyyy HH:mm:ss"),
+    ("99/99/9999 99:99", "dd/MM/yyyy HH:mm"),
+    ("99/99/9999", "dd/MM/yyyy"),
+    ("99/99/99 99:99:99", "dd/MM/yy HH:mm:ss"),
+    ("9999/99/99 99:99:99", "yyyy/MM/dd HH:mm:ss"),
+    ("99-99-9999 99:99:99", "dd-MM-yyyy HH:mm:ss"),
+    ("99.99.9999 99:99:99", "dd.MM.yyyy HH:mm:ss"),
+    ("9?9 aaa 9999 99:99:99", "d MMM yyyy HH:mm:ss"),
+    ("9?9 aaa 9999 99:99:99 [+-]9999", "d MMM yyyy HH:mm:ss XX"),
+    ("aaa 9?9 9999 99:99:99", "MMM d yyyy HH:mm:ss"),
+    ("99/aaa/9999:99:99:99 [+-]9999", "dd/MMM/yyyy:HH:mm:ss XX"),
+    ("99999999999999", "yyyyMMddHHmmss"),
+    ("99999999a999999a", "yyyyMMdd'T'HHmmssXXX"),
+    ("99999999", "yyyyMMdd"),
 ]
+# Digits of an epoch and its unit.
+EPOCHS = {"9{9,10}": "timestamp_seconds", "9{13}": "timestamp_millis", "9{16}": "timestamp_micros"}
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def fallback_ts(fallback=None) -> Column:
@@ -48,15 +71,30 @@ def parse_first(c, formats) -> list[Column]:
     return [F.try_to_timestamp(c, F.lit(fmt)) for fmt in formats]
 
 
-def best_effort_ts(c, fallback=None, second_precision: bool = True) -> Column:
-    """Parse with the best-effort format list, else ``fallback``.
+def shape(c: Column) -> Column:
+    """A text with 9 for every digit and a for every ASCII letter."""
+    return F.translate(c, "0123456789" + _LETTERS, "9" * 10 + "a" * len(_LETTERS))
+
 
-    Serving tables store second precision, so the result is truncated.
+def best_effort(c, second_precision: bool = True) -> Column:
+    """The time that a text states in one of the known shapes, else null.
+
+    A weekday before the rest (``Mon, ``) is skipped, epochs are seconds, milli-
+    or microseconds by their digits.  Serving tables store second precision, so
+    the result is truncated.
     """
-    c = F.trim(col_(c))
-    epoch = F.when(c.rlike(r"^\d{9,10}$"),
-                   F.timestamp_seconds(c.try_cast("long")))
-    parsed = F.coalesce(*parse_first(c, BEST_EFFORT_FORMATS), epoch)
-    if second_precision:
-        parsed = F.date_trunc("second", parsed)
-    return F.coalesce(parsed, fallback_ts(fallback))
+    c = F.regexp_replace(F.trim(col_(c)), "^[A-Za-z]{3}, ", "")
+    kind, out = shape(c), None
+    for pattern, fmt in SHAPES:
+        exact = not set(pattern) & set("[]{}?")
+        hit = kind == pattern if exact else kind.rlike(f"^{pattern}$")
+        parsed = F.try_to_timestamp(c, F.lit(fmt))
+        out = F.when(hit, parsed) if out is None else out.when(hit, parsed)
+    for digits, unit in EPOCHS.items():
+        out = out.when(kind.rlike(f"^{digits}$"), getattr(F, unit)(c.try_cast("long")))
+    return F.date_trunc("second", out) if second_precision else out
+
+
+def best_effort_ts(c, fallback=None, second_precision: bool = True) -> Column:
+    """``best_effort``, else ``fallback``."""
+    return F.coalesce(best_effort(c, second_precision), fallback_ts(fallback))

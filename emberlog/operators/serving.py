@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.timeparse import best_effort_ts, fallback_ts
+from ..functions.timeparse import best_effort, best_effort_ts, fallback_ts
 from ..schemas import (DEVICES_FIELDS, NETWORK_FIELDS, PERFORMANCE_FIELDS,
                        RAW_EVENTS_FIELDS, SECURITY_FIELDS, TOPIC_DEVICES,
                        TOPIC_NETWORK, TOPIC_PERFORMANCE, TOPIC_RAW,
@@ -35,8 +35,11 @@ def _topic(log: DataFrame, topic: str) -> DataFrame:
 
 
 def load_table(log: DataFrame, table: str, fallback=None,
-               ingest_ts: Column | None = None) -> DataFrame:
-    """Rows of ``table`` from its topic in ``log`` (topic-log rows)."""
+               ingest_ts: Column | None = None, flag: bool = False) -> DataFrame:
+    """Rows of ``table`` from its topic in ``log`` (topic-log rows).
+
+    ``flag`` adds ``ts_fell_back``: the record's time was in no known shape.
+    """
     topic, fields = TABLES[table]
     d = records(_topic(log, topic), queue_schema(fields), keep=())
     cols = []
@@ -51,9 +54,17 @@ def load_table(log: DataFrame, table: str, fallback=None,
             cols.append(F.coalesce(c, F.lit("")).alias(name))
         else:
             cols.append(F.coalesce(c, F.lit(0).cast(typ)).cast(typ).alias(name))
+    if flag:
+        cols.append(best_effort(F.col("ts")).isNull().alias("ts_fell_back"))
     return d.select(*cols)
 
 
+def time_quality(log: DataFrame, table: str) -> DataFrame:
+    """By device: records, and those whose time fell back to now."""
+    rows = load_table(log, table, flag=True)
+    return rows.groupBy("device_id").agg(F.count(F.lit(1)).alias("records"), F.count_if("ts_fell_back").alias("fell_back"))
+
+
 def load_devices(log: DataFrame, seen_ts: Column | str | None = None,
                  fallback=None, ingest_ts: Column | None = None) -> DataFrame:
     """Device-inventory rows: first_seen = last_seen = seen time, count 1.

@@ -20,6 +20,7 @@ from ..operators.bronze import FULL_KEYS, PARITY_KEYS, to_bronze
 from ..operators.latest import latest_by_key
 from ..operators.parse_net import records_from_lines
 from ..operators.route import route
+from ..operators.serving import load_table
 from ..operators.silver import event_time
 from ..schemas import FIREWALL_TOPICS, MESSAGE_SCHEMA, TOPIC_LOG_SCHEMA, TOPIC_RAW
 from ..session import ensure_session, shared_dir
@@ -613,3 +614,26 @@ def q_stream_bronze_rows(spark, sf_dir) -> DataFrame:
     write_by_arrival(spark, flows.batch_topic_log(spark, sf_dir, json=True, only=[TOPIC_RAW]), f"{root}/topics")
     start_bronze_held(spark, f"{root}/topics", f"{root}/bronze", f"{root}/chk", delay="4 days", available_now=True, max_per_trigger=1).awaitTermination()
     return spark.read.parquet(f"{root}/bronze").drop("ingested_at", "ingest_date")
+
+
+# One event's time in twenty shapes (by its id), as Spark formats and as SQL; the last is in none.
+_SHAPES = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd'T'HH:mm:ss'+00:00'", "yyyy-MM-dd'T'HH:mm:ss'+0000'", "yyyy-MM-dd HH:mm:ss.SSSSSS",
+           "dd/MM/yyyy HH:mm:ss", "dd/MM/yy HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "dd-MM-yyyy HH:mm:ss", "dd.MM.yyyy HH:mm:ss", "d MMM yyyy HH:mm:ss", "EEE, dd MMM yyyy HH:mm:ss '+0000'",
+           "MMM d yyyy HH:mm:ss", "dd/MMM/yyyy:HH:mm:ss '+0000'", "yyyyMMddHHmmss", "yyyyMMdd'T'HHmmss'Z'", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "'week' w"]
+
+
+@register("serving_best_effort_times", f"""
+SELECT event_id,
+  CASE WHEN event_id % 22 IN (20, 21) OR event_id % 22 < 17 THEN date_trunc('second', CAST(ts AS TIMESTAMP)) WHEN event_id % 22 = 17 THEN date_trunc('minute', CAST(ts AS TIMESTAMP))
+       WHEN event_id % 22 = 18 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE TIMESTAMP '{O.RUN_TS}' END AS ts,
+  event_id % 22 = 19 AS ts_fell_back FROM events""")
+def q_serving_best_effort_times(spark, sf_dir) -> DataFrame:
+    """The serving load of times in 22 shapes (epochs in milli- and microseconds among them), with a flag for what fell back."""
+    spark = _s(spark)
+    ts, nth = F.col("ts").cast("timestamp"), F.col("event_id") % (len(_SHAPES) + 2)
+    text = F.when(nth == 20, F.unix_millis(ts).cast("string")).when(nth == 21, F.unix_micros(ts).cast("string"))
+    for k, fmt in enumerate(_SHAPES):
+        text = text.when(nth == k, F.lit("week 7") if k == 19 else F.date_format(ts, fmt))
+    log = flows.events(spark, sf_dir).select(F.lit(TOPIC_RAW).alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
+                                             F.col("event_id").cast("string").alias("event_id"), F.lit("d").alias("device_id"), text.alias("ts"))
+    return load_table(log, "t_raw_events", run_ts(), flag=True).select(F.col("event_id").cast("long").alias("event_id"), "ts", "ts_fell_back")
