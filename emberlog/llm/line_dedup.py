@@ -195,16 +195,30 @@ def _blocks(pairs: list[tuple[int, int]], words: list[int], min_words: int) -> l
     return out
 
 
-def common_units(a: list, b: list, words: list[int], min_words: int = MIN_WORDS, seeds=()) -> list[int]:
+def _shared_alignment(a: list, b: list) -> list[tuple[int, int]]:
+    """``align`` over the units that both hold; the others can match nothing."""
+    in_a = set(a)
+    at_b = [j for j, x in enumerate(b) if x in in_a]
+    in_b = {b[j] for j in at_b}
+    at_a = [i for i, x in enumerate(a) if x in in_b]
+    return [(at_a[i], at_b[j]) for i, j in align([a[i] for i in at_a], [b[j] for j in at_b])]
+
+
+def common_units(a: list, b: list, words: list[int], min_words: int = MIN_WORDS, seeds=lambda: ()) -> list[int]:
     """Units of ``b`` inside aligned common blocks of at least ``min_words`` words (``words``: of the units of b).
 
-    ``seeds``: (first unit of b, end, first unit of a) of the runs both share, by
-    first unit.
+    ``seeds()``: (first unit of b, end, first unit of a) of the runs both share,
+    by first unit; asked for only where units that both hold are left.
     """
     gone = bytearray(len(b))
-    for j, end in _blocks(align(a, b), words, min_words):
+    for j, end in _blocks(_shared_alignment(a, b), words, min_words):
         gone[j:end] = b"\1" * (end - j)
-    for j, end, i in seeds:
+    # A further block lies in a stretch of shared units that is long enough and has not gone as a whole.
+    in_a, total, stays, further = set(a), 0, False, False
+    for x, n, out in zip(b, words, gone):
+        total, stays = (total + n, stays or not out) if x in in_a else (0, False)
+        further |= stays and total >= min_words
+    for j, end, i in seeds() if further else ():
         if all(gone[j:end]):
             continue
         # The block was moved or repeated: align on from here, up to what has gone already.
@@ -231,6 +245,16 @@ def _describe(min_words: int, span: int | None):
     return run
 
 
+def _seeds(codes: np.ndarray, words: np.ndarray, keys: np.ndarray, places: np.ndarray, min_words: int):
+    """(first unit, end, first unit in the other) of the runs whose keys are in the sorted ``keys`` (at ``places`` there)."""
+    own, start, end = runs(codes, words, min_words)
+    if not len(keys):
+        return ()
+    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+    hit = np.flatnonzero(keys[at] == own)
+    return zip(start[hit].tolist(), end[hit].tolist(), places[at[hit]].tolist())
+
+
 def _align(min_words: int):
     def run(later: pa.Table, first: pa.Table) -> pa.Table:
         out: dict[str, list] = {"doc_id": [], "text_key": [], "units": []}
@@ -244,12 +268,8 @@ def _align(min_words: int):
                 firsts.append((c.tolist(), keys, places[at]))
             for doc, key, (codes, words) in zip(later.column("doc_id").to_pylist(), later.column("text_key").to_pylist(), unpacked(later)):
                 c, w = np.frombuffer(codes, np.uint64), np.frombuffer(words, np.uint32)
-                b, sizes, (own, start, end) = c.tolist(), w.tolist(), runs(c, w, min_words)
-                gone: set[int] = set()
-                for a, keys, places in firsts:
-                    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1) if len(keys) else np.zeros(len(own), np.int64)
-                    hit = np.flatnonzero(keys[at] == own) if len(keys) else at[:0]
-                    gone.update(common_units(a, b, sizes, min_words, zip(start[hit].tolist(), end[hit].tolist(), places[at[hit]].tolist())))
+                b, sizes = c.tolist(), w.tolist()
+                gone = {j for a, keys, places in firsts for j in common_units(a, b, sizes, min_words, lambda: _seeds(c, w, keys, places, min_words))}  # noqa: B023
                 if gone:
                     out["doc_id"].append(doc)
                     out["text_key"].append(key)
@@ -269,7 +289,9 @@ def common_blocks(docs: DataFrame, min_words: int = MIN_WORDS, span: int | None
     pairs = stored(firsts.where("first < doc_id").select("first", "doc_id").distinct(), "line-pairs")
     sizes = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("salts"))
     content = lined.drop("keys").groupBy("doc_id", "text_key").agg(F.first("codes").alias("codes"), F.first("words").alias("words"))
-    left = (pairs.join(sizes, "first").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts"))).join(content, "doc_id")
+    # Joined alike at every size: none of these sides is bounded.
+    content = content.hint("merge")
+    left = (pairs.join(sizes.hint("merge"), "first").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts"))).join(content, "doc_id")
             .select("first", "salt", "doc_id", "text_key", "codes", "words"))
     right = (sizes.join(content.withColumnRenamed("doc_id", "first"), "first")
              .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).select("first", "salt", "codes", "words"))

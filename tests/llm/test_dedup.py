@@ -296,7 +296,7 @@ def test_op8_alignment_decides(monkeypatch):
         keys, places, _ = line_dedup.runs(array(a), np.full(len(a), 12))
         where = dict(zip(keys.tolist(), places.tolist()))
         own = zip(*(x.tolist() for x in line_dedup.runs(array(b), np.array(words))))
-        return line_dedup.common_units(a, b, words, 30, [(i, j, where[k]) for k, i, j in own if k in where])
+        return line_dedup.common_units(a, b, words, 30, lambda: [(i, j, where[k]) for k, i, j in own if k in where])
 
     assert gone() == [0, 1, 2, 4, 5, 6, 8, 9, 10, 11]
     assert line_dedup.common_units(a, b, words, 30) == [4, 5, 6, 8, 9, 10, 11]  # one increasing alignment
