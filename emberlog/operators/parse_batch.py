@@ -2,8 +2,9 @@
 
 Line format ``device_id;facility;priority;level;tag;ts;program;"msg";seq``
 where msg carries space-separated ``key=value`` tokens mangled by repeated
-CSV quoting.  Every rule is a built-in expression; the whole parser runs in
-one whole-stage-codegen projection + filter (no shuffle, no Python).
+CSV quoting.  Every rule is a built-in expression (no shuffle, no Python).  The
+parser is too large for one generated method that HotSpot compiles, so
+``session.CODEGEN_CONF`` lets Spark run it as separate compiled projections.
 """
 
 from __future__ import annotations
@@ -90,8 +91,7 @@ def parse_batch_lines(lines: DataFrame, ingest_ts: Column | None = None,
 
     Intermediate values are materialised as columns, step by step: an
     expensive expression referenced several times is then computed once per
-    row (Catalyst does not inline it again), which keeps the generated code
-    small and JIT-friendly.
+    row (Catalyst does not inline it again).
     """
     keep = list(keep or [])
     c = F.col
