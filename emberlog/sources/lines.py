@@ -6,7 +6,7 @@ is: a replacement character that a file really holds stays.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
@@ -37,28 +37,51 @@ def read_lines(spark: SparkSession, path: str, with_position: bool = True) -> Da
     return spark.read.text(path).select(value, *position)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """value, source, line_no: lines with their number in their file, of files that Spark cuts into splits.
+
+    Two passes: the first counts the lines of each split (a split of a file is
+    named by where it starts), and the splits before it give a split its first
+    number; the second numbers the lines inside their split.  Only one row for
+    each split meets by file; no file is one row or one task.
+    """
+    at = ["source", "start", "part"]
+    raw = spark.read.text(path).select(F.col("value"), F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("start"),
+                                       F.monotonically_increasing_id().alias("nth"))
+    rows = raw.withColumn("part", F.shiftright("nth", 33))  # a task may read several splits, one after another
+    before = Window.partitionBy("source").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (rows.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.min("nth").alias("low"))
+              .select(*at, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("low")).alias("shift")))
+    return rows.join(splits, at).select(decodable(F.col("value")).alias("value"), "source", (F.col("nth") + F.col("shift")).alias("line_no"))
+
+
 def non_blank(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Strip lines and skip blank ones (the line-replay source behaviour)."""
     v = strip_ws(F.col(value_col))
     return df.withColumn(value_col, v).where(F.col(value_col) != "")
 
 
+def _file_number() -> Column:
+    return F.pmod(F.xxhash64("_metadata.file_path"), F.lit((1 << 31) - 1)).cast("int")
+
+
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
                  positions: bool = False) -> DataFrame:
     """Continuous line feed from files landing in ``path`` (sorted by name).
 
     ``positions`` adds ``line_no``, the line's number in its file, and
     ``split``, a number of the file.  A file is then read as one row, so each
-    must fit in a task (rotated logs do).
+    must fit in a task (rotated logs do).  ``positions=False`` lets Spark cut
+    the files; ``line_no`` is then a hash of file and line, the same on a replay.
     """
     r = spark.readStream.format("text")
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
     if not positions:
-        return r.load(path).select(decodable(F.col("value")).alias("value"))
+        lines = r.load(path)
+        return lines.select(decodable(F.col("value")).alias("value"), F.xxhash64("_metadata.file_path", "value").alias("line_no"), _file_number().alias("split"))
     files = r.option("wholetext", "true").load(path)
-    split = F.pmod(F.xxhash64("_metadata.file_path"), F.lit((1 << 31) - 1)).cast("int")
-    return (files.select(split.alias("split"), F.posexplode(F.split(decodable(F.col("value")), "\n")).alias("line_no", "value"))
+    return (files.select(_file_number().alias("split"), F.posexplode(F.split(decodable(F.col("value")), "\n")).alias("line_no", "value"))
             .select("value", F.col("line_no").cast("long").alias("line_no"), "split"))
 
 

@@ -59,9 +59,13 @@ def _trigger(writer, available_now: bool, interval: str | None):
 def start_fanout(spark: SparkSession, lines_path: str, topic_path: str, checkpoint: str,
                  profile: str = "realtime", fmt: str = "parquet",
                  max_files: int | None = None, available_now: bool = False,
-                 interval: str | None = None) -> StreamingQuery:
-    """Parse lines by ``profile`` ("realtime" or "batch") and publish to the topics."""
-    lines = stream_lines(spark, lines_path, max_files, positions=True)
+                 interval: str | None = None, positions: bool = True) -> StreamingQuery:
+    """Parse lines by ``profile`` ("realtime" or "batch") and publish to the topics.
+
+    ``positions``: offsets are line numbers, and a file is read in one task;
+    without, files are cut and offsets are hashes (see ``stream_lines``).
+    """
+    lines = stream_lines(spark, lines_path, max_files, positions=positions)
     keep = ["line_no", "split"]
     parsed = parse_batch_lines(lines, keep=keep) if profile == BATCH else parse_rt_lines(lines, id_mode="uuid", keep=keep)
     log = encode(route(parsed, profile), offset_col="line_no", partition=F.col("split"), exclude=["split"])
