@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from ..operators.silver import event_time
 
-TABLE = "fg_first_seen"
 BUCKETS = 16
 PROBES = 2048  # up to so many keys are asked for by hash, more are joined
 IN_LIST = "spark.sql.parquet.pushdown.inFilterThreshold"

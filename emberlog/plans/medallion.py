@@ -33,7 +33,7 @@ from ..operators import gold as G
 from ..operators.bronze import FULL_KEYS, dedup_first, to_bronze
 from ..operators.silver import to_silver
 from ..schemas import TOPIC_RAW, table_schema
-from ..sources.tables import (ALL_OFFSETS, NULL_PARTITION, PARTITIONS, add_partition, drop_partition, ensure_tables, overwrite_partitions,
+from ..sources.tables import (ALL_OFFSETS, INDEX, INDEX_PARTITIONS, NULL_PARTITION, PARTITIONS, add_partition, drop_partition, ensure_tables, overwrite_partitions,
                               partition_values, scan, with_partition)
 from ..sources.topics import read_topics
 from . import first_seen
@@ -125,11 +125,11 @@ def _place_untimed(spark, paths, today: dt.date, offsets: str, keys, fmt) -> set
     """
     staged = scan(spark, paths["fg_events_raw"], fmt, "fg_events_raw").where(
         (F.col("ingest_date") == F.lit(today)) & (F.col("offset_range") == offsets) & F.col("event_date").isNull())
-    index = scan(spark, paths[first_seen.TABLE], fmt, first_seen.TABLE).where(
+    index = scan(spark, paths[INDEX], fmt, INDEX).where(
         ~((F.col("ingest_date") == F.lit(today)) & (F.col("offset_range") == offsets)))
     with first_seen.long_in_lists(spark):
         placed = first_seen.with_first_seen(staged, index, keys)
-        overwrite_partitions(first_seen.entries(placed.where(~F.col("known")), keys), paths[first_seen.TABLE], list(PARTITIONS[first_seen.TABLE]), fmt,
+        overwrite_partitions(first_seen.entries(placed.where(~F.col("known")), keys), paths[INDEX], INDEX_PARTITIONS, fmt,
                              options=first_seen.write_options)
         rows = placed.drop("known").withColumns({"offset_range": F.lit(offsets + UNTIMED), "event_date": F.to_date("first_seen")})
         names = scan(spark, paths["fg_events_raw"], fmt, "fg_events_raw").columns

@@ -25,7 +25,6 @@ PARTITIONS = {
     "fg_events_raw": {"ingest_date": lambda fb: F.to_date("ingested_at"),
                       "offset_range": lambda fb: F.lit(ALL_OFFSETS),
                       "event_date": lambda fb: F.to_date(event_time(fb))},
-    "fg_first_seen": {"bucket": lambda fb: F.col("bucket"), "ingest_date": lambda fb: F.col("ingest_date"), "offset_range": lambda fb: F.col("offset_range")},
     "fg_events_clean": {"event_date": lambda fb: F.to_date("event_time")},
     "fg_kpi_hourly": {"window_date": lambda fb: F.to_date("window_start")},
     "fg_sdwan_performance": {"window_date": lambda fb: F.to_date("window_start")},
@@ -36,9 +35,15 @@ PARTITIONS = {
 }
 
 
+# The index of events without a time (``plans.first_seen``), kept for parquet tables.
+INDEX, INDEX_PARTITIONS = "fg_first_seen", ["bucket", "ingest_date", "offset_range"]
+
+
 def with_partition(df: DataFrame, table: str, fallback=None, offsets: str = ALL_OFFSETS) -> tuple[DataFrame, list[str]]:
     """``df`` with the table's partition columns, and their names; ``offsets`` names bronze's offset range."""
     columns = {name: expr(fallback) for name, expr in PARTITIONS.get(table, {}).items()}
+    if table == "fg_events_raw" and "first_seen" not in df.columns:
+        df = df.withColumn("first_seen", F.lit(None).cast("timestamp"))
     if "offset_range" in columns:
         columns["offset_range"] = F.lit(offsets)
     return df.withColumns(columns), list(columns)
@@ -125,9 +130,9 @@ def ensure_tables(spark: SparkSession, root: str, namespaces=("bronze", "silver"
     if fmt != "parquet":
         for ns in namespaces:
             spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}")
-    layout = {"fg_events_raw": "bronze", "fg_first_seen": "bronze", "fg_events_clean": "silver"}
+    layout = {"fg_events_raw": "bronze", INDEX: "bronze", "fg_events_clean": "silver"}
     out = {}
-    for t in PARTITIONS:
+    for t in [*PARTITIONS, *([INDEX] if fmt == "parquet" else [])]:
         ns = layout.get(t, "gold")
         out[t] = f"{ns}.{t}" if fmt != "parquet" else f"{root.rstrip('/')}/{ns}/{t}"
         if fmt == "parquet":
