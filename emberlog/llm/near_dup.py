@@ -230,6 +230,10 @@ def near_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return sized.select("a", "b", "s", "t").mapInArrow(_distance, "a long, b long")
 
 
+# Stands for g2 in the one cell of a bucket that has a block of either kind.
+WHOLE = 1 << 62
+
+
 def _cross(cell: pa.Table) -> pa.Table:
     """The verification groups of one cell of a bucket: outsiders of block g1 with the members of block g2 that may be near.
 
@@ -241,7 +245,8 @@ def _cross(cell: pa.Table) -> pa.Table:
     n, far = cell.column("n").to_numpy(), cell.column("far").to_numpy(zero_copy_only=False)
     out, block = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("outside", "block"))
     g1, g2, key = (cell.column(c)[0].as_py() for c in ("g1", "g2", "key"))
-    share, keys, others = cell.column("share").to_numpy(), chunk_keys(rows).view(np.int64), block == g2
+    share, keys = cell.column("share").to_numpy(), chunk_keys(rows).view(np.int64)
+    others = (block == g2) | (g2 == WHOLE)
     found: set[tuple[int, int, int]] = set()
     for i in np.flatnonzero(block == g1):
         j = np.flatnonzero(others & (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i]))
@@ -322,7 +327,8 @@ def verification_groups(buckets: DataFrame, members: DataFrame, labels: DataFram
     # Blocks of outsiders are numbered from 0, those of the largest component from -1 down.
     block = "CASE WHEN outside THEN pmod(xxhash64(id), outer) ELSE -1 - pmod(xxhash64(id), inner) END"
     pair = lambda x, y: f"named_struct('g1', {x}, 'g2', {y})"
-    cells = f"""CASE WHEN NOT outside THEN transform(sequence(0L, outer - 1), x -> {pair('x', 'block')})
+    cells = f"""CASE WHEN outer = 1 AND inner = 1 THEN array({pair('0L', f'{WHOLE}L')})
+                WHEN NOT outside THEN transform(sequence(0L, outer - 1), x -> {pair('x', 'block')})
                 ELSE concat(transform(sequence(block, outer - 1), x -> {pair('block', 'x')}),
                             transform(filter(sequence(0L, block), x -> x < block), x -> {pair('x', 'block')}),
                             transform(sequence(1L, inner), x -> {pair('block', '-x')})) END"""
