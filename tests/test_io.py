@@ -211,7 +211,8 @@ def _untimed_log(spark, keys=range(60)):
     return spark.createDataFrame(rows, "topic string, partition int, offset long, device_id string, ts string, seq string, event_id string, total_bytes long")
 
 
-GOLD_FOLDERS = ["gold/fg_kpi_hourly", "gold/fg_device_inventory", "gold/fg_policy_traffic", "gold/fg_protocol_stats"]
+REPORTS = ("fg_kpi_hourly", "fg_device_inventory")
+GOLD_FOLDERS = [f"gold/{t}" for t in REPORTS]
 
 
 def _stored(spark, root, table, *drop):
@@ -224,12 +225,12 @@ def test_events_without_a_time_count_once_over_ingest_days(spark, monkeypatch, p
     monkeypatch.setattr(first_seen, "PROBES", probes)
     once, root = shared_dir(spark, "medallion"), shared_dir(spark, "medallion")
     log, day = _untimed_log(spark), lambda n: F.lit(f"2024-03-0{n} 05:06:07").cast("timestamp")
-    medallion.run_medallion(spark, log, once, ingest_ts=day(1))
-    medallion.run_medallion(spark, log, root, ingest_ts=day(1))
+    medallion.run_medallion(spark, log, once, ingest_ts=day(1), reports=REPORTS)
+    medallion.run_medallion(spark, log, root, ingest_ts=day(1), reports=REPORTS)
     for n in (2, 3, 3):
-        counts = medallion.run_medallion(spark, log, root, ingest_ts=day(n)).counts
+        counts = medallion.run_medallion(spark, log, root, ingest_ts=day(n), reports=REPORTS).counts
         assert counts["fg_events_clean"] == 60
-    medallion.run_medallion(spark, log, root, since=20, until=40, ingest_ts=day(4))
+    medallion.run_medallion(spark, log, root, since=20, until=40, ingest_ts=day(4), reports=REPORTS)
     assert _stored(spark, root, "silver/fg_events_clean", "ingested_at") == _stored(spark, once, "silver/fg_events_clean", "ingested_at")
     for table in GOLD_FOLDERS:
         assert _stored(spark, root, table) == _stored(spark, once, table), table
@@ -237,7 +238,7 @@ def test_events_without_a_time_count_once_over_ingest_days(spark, monkeypatch, p
     assert index.count() == index.select("key").distinct().count() == 20
     # An index entry of a later day is never the first: a new key of day 5 keeps its own time.
     more = _untimed_log(spark, range(55, 64))
-    medallion.run_medallion(spark, more, root, ingest_ts=day(5))
+    medallion.run_medallion(spark, more, root, ingest_ts=day(5), reports=REPORTS)
     firsts = {r.event_id: str(r.event_time) for r in scan(spark, f"{root}/silver/fg_events_clean").where("event_id in ('e57', 'e60', 'e63')").collect() if r.event_id in ("e57", "e60", "e63")}
     assert firsts == {"e57": "2024-03-01 05:06:07", "e60": "2024-03-05 05:06:07", "e63": "2024-03-05 05:06:07"}
 
@@ -245,7 +246,7 @@ def test_events_without_a_time_count_once_over_ingest_days(spark, monkeypatch, p
 def test_untimed_events_of_a_failed_run_are_placed_by_the_next(spark, monkeypatch):
     once, root = shared_dir(spark, "medallion"), shared_dir(spark, "medallion")
     log, day = _untimed_log(spark), lambda n: F.lit(f"2024-03-0{n} 05:06:07").cast("timestamp")
-    medallion.run_medallion(spark, log, once, ingest_ts=day(1))
+    medallion.run_medallion(spark, log, once, ingest_ts=day(1), reports=REPORTS)
     place = medallion._place_untimed
 
     def fail(*a):
@@ -253,10 +254,10 @@ def test_untimed_events_of_a_failed_run_are_placed_by_the_next(spark, monkeypatc
 
     monkeypatch.setattr(medallion, "_place_untimed", fail)
     with pytest.raises(OSError):
-        medallion.run_medallion(spark, log, root, ingest_ts=day(1))
+        medallion.run_medallion(spark, log, root, ingest_ts=day(1), reports=REPORTS)
     monkeypatch.setattr(medallion, "_place_untimed", place)
-    medallion.run_medallion(spark, log.where("offset >= 30"), root, since=30, ingest_ts=day(2))
-    medallion.run_medallion(spark, None, root, days=("2024-01-01", "2024-03-02"))
+    medallion.run_medallion(spark, log.where("offset >= 30"), root, since=30, ingest_ts=day(2), reports=REPORTS)
+    medallion.run_medallion(spark, None, root, days=("2024-01-01", "2024-03-02"), reports=REPORTS)
     for table in GOLD_FOLDERS:
         assert _stored(spark, root, table) == _stored(spark, once, table), table
 
@@ -264,17 +265,17 @@ def test_untimed_events_of_a_failed_run_are_placed_by_the_next(spark, monkeypatc
 def test_a_range_taken_again_with_fewer_days_leaves_none_behind(spark):
     root = shared_dir(spark, "medallion")
     day = F.lit("2024-03-01 05:06:07").cast("timestamp")
-    medallion.run_medallion(spark, _untimed_log(spark), root, ingest_ts=day)
-    medallion.run_medallion(spark, _untimed_log(spark, [1, 2]), root, ingest_ts=day)
+    medallion.run_medallion(spark, _untimed_log(spark), root, ingest_ts=day, reports=REPORTS)
+    medallion.run_medallion(spark, _untimed_log(spark, [1, 2]), root, ingest_ts=day, reports=REPORTS)
     assert scan(spark, f"{root}/bronze/fg_events_raw").count() == 2
     assert scan(spark, f"{root}/silver/fg_events_clean").count() == 2
-    assert medallion.run_medallion(spark, _untimed_log(spark), root, since=10 ** 9, ingest_ts=day).counts == {"fg_events_raw": 0}
+    assert medallion.run_medallion(spark, _untimed_log(spark), root, since=10 ** 9, ingest_ts=day, reports=REPORTS).counts == {"fg_events_raw": 0}
 
 
 def test_the_index_is_read_by_bucket_and_hash(spark):
     from emberlog.plans import first_seen
     root = shared_dir(spark, "medallion")
-    medallion.run_medallion(spark, _untimed_log(spark), root, ingest_ts=F.lit("2024-03-01").cast("timestamp"))
+    medallion.run_medallion(spark, _untimed_log(spark), root, ingest_ts=F.lit("2024-03-01").cast("timestamp"), reports=REPORTS)
     index = scan(spark, f"{root}/bronze/fg_first_seen", table="fg_first_seen")
     one = index.limit(1)
     plan = first_seen.probe(index, one)._jdf.queryExecution().executedPlan().toString()
