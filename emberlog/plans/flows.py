@@ -30,11 +30,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def firewall_lines(spark, sf_dir) -> DataFrame:
-    return bridge.firewall_lines(events(spark, sf_dir))
+    return bridge.firewall_lines(bridge.spread_events(events(spark, sf_dir)))
 
 
 def network_lines(spark, sf_dir) -> DataFrame:
-    return bridge.network_lines(events(spark, sf_dir))
+    return bridge.network_lines(bridge.spread_events(events(spark, sf_dir)))
 
 
 # --- batch -----------------------------------------------------------------

@@ -247,6 +247,23 @@ def network_lines(events: DataFrame) -> DataFrame:
                     F.col("l.line_no").cast("long").alias("line_no")))
 
 
+# Events that one task renders, at most and (while cores are idle) at least.
+MOST_PER_TASK, LEAST_PER_TASK = 131_072, 16_384
+
+
+def spread_events(events: DataFrame) -> DataFrame:
+    """The same rows in tasks of bounded size.
+
+    A table may be one file of one row group, which a scan reads in one task,
+    whatever its size; its rows are narrow, the lines made from them are not.
+    The count comes from the footers.
+    """
+    rows = events.count()
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(2 * cores, rows // LEAST_PER_TASK), -(-rows // MOST_PER_TASK))
+    return events.repartition(tasks) if tasks > 1 else events
+
+
 def read_events(spark, sf_dir: str, spread: int | None = None) -> DataFrame:
     """The driver's ``events`` table.
 
