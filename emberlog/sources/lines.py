@@ -69,10 +69,11 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
                  positions: bool = False) -> DataFrame:
     """Continuous line feed from files landing in ``path`` (sorted by name).
 
-    ``positions`` adds ``line_no``, the line's number in its file, and
-    ``split``, a number of the file.  A file is then read as one row, so each
-    must fit in a task (rotated logs do).  ``positions=False`` lets Spark cut
-    the files; ``line_no`` is then a hash of file and line, the same on a replay.
+    Spark cuts the files, so no file has to fit in a task.  ``positions`` adds
+    ``line_no``, a position that rises from line to line of a file and that no
+    two of its lines share (a line's number, counted from where its split
+    starts), and ``split``, a number of the file.  With ``positions=False``
+    ``line_no`` is a hash of file and line, the same however a file is cut.
     """
     r = spark.readStream.format("text")
     if max_files:
@@ -80,9 +81,36 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None,
     if not positions:
         lines = r.load(path)
         return lines.select(decodable(F.col("value")).alias("value"), F.xxhash64("_metadata.file_path", "value").alias("line_no"), _file_number().alias("split"))
-    files = r.option("wholetext", "true").load(path)
-    return (files.select(_file_number().alias("split"), F.posexplode(F.split(decodable(F.col("value")), "\n")).alias("line_no", "value"))
-            .select("value", F.col("line_no").cast("long").alias("line_no"), "split"))
+    cut = r.option("lineSep", "\n").load(path).select(decodable(F.col("value")).alias("value"), F.col("_metadata.file_block_start").alias("line_no"), _file_number().alias("split"))
+    return cut.mapInArrow(_numbered_in_splits(), "value string, line_no long, split int")
+
+
+def _numbered_in_splits():
+    """Arrow batches whose ``line_no`` is where the row's split starts -> the same with the line's position.
+
+    A split of a file holds the lines that begin behind its first byte (the
+    file's first also the one on it) up to the next one's first byte, so the start plus the
+    number within the split stays below all positions of the next split.
+    """
+    def number(batches):  # nested, so that it travels by value and workers need no package
+        import numpy as np
+        import pyarrow as pa
+
+        last, nth = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            start, split = (batch.column(k).to_numpy() for k in (1, 2))
+            new = np.ones(len(start), bool)
+            new[1:] = (start[1:] != start[:-1]) | (split[1:] != split[:-1])
+            first = np.flatnonzero(new)
+            at = np.arange(len(start)) - np.repeat(first, np.diff(np.append(first, len(start))))
+            if last == (start[0], split[0]):  # the split goes on from the batch before
+                at[: first[1] if len(first) > 1 else None] += nth
+            last, nth = (start[-1], split[-1]), int(at[-1]) + 1
+            line_no = start + at + (start > 0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(line_no, pa.int64()), batch.column(2)], ["value", "line_no", "split"])
+    return number
 
 
 def _csv_text(df: DataFrame) -> DataFrame:

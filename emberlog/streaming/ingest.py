@@ -48,6 +48,9 @@ from ..sources.topics import RECORDS_PER_FILE, encode, stream_topic
 BLOCK_RECORDS = 65_536
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _trigger(writer, available_now: bool, interval: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
@@ -62,8 +65,8 @@ def start_fanout(spark: SparkSession, lines_path: str, topic_path: str, checkpoi
                  interval: str | None = None, positions: bool = True) -> StreamingQuery:
     """Parse lines by ``profile`` ("realtime" or "batch") and publish to the topics.
 
-    ``positions``: offsets are line numbers, and a file is read in one task;
-    without, files are cut and offsets are hashes (see ``stream_lines``).
+    ``positions``: offsets rise with the lines of a file; without, they are
+    hashes (see ``stream_lines``).  Files are cut either way.
     """
     lines = stream_lines(spark, lines_path, max_files, positions=positions)
     keep = ["line_no", "split"]
@@ -116,8 +119,9 @@ def start_bronze(spark: SparkSession, topic_path: str, table_path: str, checkpoi
 
     The keys seen are state, held for ``delay``; a record older than that
     against the newest event counts as late and is left to the batch job,
-    which de-duplicates without a horizon.
+    which de-duplicates without a horizon.  (RocksDB keeps it out of the heap.)
     """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     log = stream_topic(spark, [TOPIC_RAW], topic_path, fmt)
     rows = flatten(log).where(F.col("device_id").isNotNull() & (F.trim("device_id") != ""))
     rows = (rows.withColumn("event_time", event_time(F.col("ingested_at")))
@@ -128,9 +132,6 @@ def start_bronze(spark: SparkSession, topic_path: str, table_path: str, checkpoi
     return _trigger(w, available_now, interval).start()
 
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def start_bronze_held(spark: SparkSession, topic_path: str, table_path: str, checkpoint: str,
                       keys=FULL_KEYS, delay: str = "7 days", fmt: str = "parquet",
                       available_now: bool = False, interval: str | None = None,

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from emberlog.plans import flows
 from emberlog.session import shared_dir
 from emberlog.sources import bridge
+from emberlog.sources.lines import stream_lines
+from emberlog.streaming.ingest import start_bronze
 
 
 def test_events_of_one_row_group_are_rendered_in_tasks_of_bounded_size(spark, monkeypatch):
@@ -18,3 +20,39 @@ def test_events_of_one_row_group_are_rendered_in_tasks_of_bounded_size(spark, mo
         assert got.rdd.getNumPartitions() == 10
         assert max(r[0] for r in got.groupBy(F.spark_partition_id()).count().select("count").collect()) < 200
         assert sorted(got.collect()) == sorted(plain(whole).collect())
+
+
+def test_streamed_lines_of_a_cut_file_rise_in_its_order(spark):
+    root = shared_dir(spark, "cut-stream")
+    text = {f"f{k}": [f"{k} {i} " + "x" * (i % 57) for i in range(300 * k)] for k in range(4)} | {"blank": [""] * 9000, "last": ["a", "", "b\rc", "é"]}
+    for name, lines in text.items():
+        with open(f"{root}/{name}.log", "w", newline="") as f:
+            f.write("\n".join(lines) + ("\n" if lines and name != "last" else ""))
+    conf = {"spark.sql.files.maxPartitionBytes": "3k", "spark.sql.files.openCostInBytes": "0", "spark.sql.execution.arrow.maxRecordsPerBatch": "70"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = stream_lines(spark, root, positions=True).withColumn("task", F.spark_partition_id())
+        df.writeStream.format("parquet").option("path", f"{root}-out").option("checkpointLocation", f"{root}-chk").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    rows = spark.read.parquet(f"{root}-out").orderBy("split", "line_no").collect()
+    files = {}
+    for r in rows:
+        files.setdefault(r.split, []).append(r)
+    assert len({(r.split, r.line_no) for r in rows}) == len(rows)
+    assert sorted([r.value for r in f] for f in files.values()) == sorted(x for x in text.values() if x)
+    assert max(len({r.task for r in f}) for f in files.values()) > 5  # no file is one task
+
+
+def test_keys_of_the_stream_are_state_out_of_the_heap(spark):
+    root = shared_dir(spark, "keys")
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    (spark.createDataFrame([("fg_raw_all", 0, n, '{"device_id": "d", "ts": "2024-01-01 00:00:00", "seq": "1", "event_id": "a"}') for n in range(5)], "topic string, partition int, offset long, value string")
+     .write.partitionBy("topic").parquet(f"{root}/topics"))
+    query = start_bronze(spark, f"{root}/topics", f"{root}/bronze", f"{root}/chk", available_now=True)
+    query.awaitTermination()
+    assert spark.read.parquet(f"{root}/bronze").count() == 1
+    assert any(k.startswith("rocksdb") for p in query.recentProgress for s in p["stateOperators"] for k in s["customMetrics"])
