@@ -585,11 +585,12 @@ def q_stream_bronze_keys(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(f"{root}/bronze").select("device_id", "ts", "seq", "event_id")
 
 
-def write_by_arrival(spark, log: DataFrame, path: str, slices: int = 5) -> None:
-    """A raw topic log as its records might arrive: by time, out of order by up to two days, one append after another.
+def arrivals(spark, log: DataFrame, path: str, slices: int = 5):
+    """Append a raw topic log to ``path`` as its records might arrive: by time, out of order by up to two days; yields after each append.
 
     Two last records, of no device, have a time long after all others: the first
     moves the watermark past them, the second brings the batch in which they leave.
+    The log is dealt to its slices once, and an append is written by as many tasks as its slice asks for.
     """
     base = f"{path}-base"
     log.write.parquet(base)
@@ -598,12 +599,15 @@ def write_by_arrival(spark, log: DataFrame, path: str, slices: int = 5) -> None:
     timed = decode(stored, MESSAGE_SCHEMA, ("topic", "partition", "offset")).select("offset", (F.coalesce(t, F.lit(0)) + F.pmod(F.hash("offset"), F.lit(2 * 86400))).alias("arrival"))
     edges = timed.where("arrival > 1e9").approxQuantile("arrival", [k / slices for k in range(1, slices)], 0.01)
     of = timed.select("offset", F.array_position(F.expr("array_sort(array_append(array({}), arrival))".format(", ".join(f"bigint({e:.0f})" for e in edges))), F.col("arrival")).alias("slice"))
-    dealt = stored.join(of, "offset")
+    stored.join(of, "offset").write.partitionBy("slice").parquet(f"{path}-dealt")
+    dealt = spark.read.parquet(f"{path}-dealt")
     for k in range(1, slices + 1):
-        dealt.where(F.col("slice") == k).drop("slice").select(*stored.columns).coalesce(1).write.mode("append").partitionBy("topic").parquet(path)
+        dealt.where(F.col("slice") == k).drop("slice").select(*stored.columns).write.mode("append").partitionBy("topic").parquet(path)
+        yield k
     closing = spark.sql("""SELECT 'fg_raw_all' AS topic, 0 AS partition, -1L AS offset, '{"device_id": "", "ts": "2035-01-01 00:00:00"}' AS value""")
     for _ in range(2):
         closing.write.mode("append").partitionBy("topic").parquet(path)
+        yield slices + 1
 
 
 @register("stream_bronze_rows", _bronze_sql(FULL_KEYS))
@@ -611,8 +615,9 @@ def q_stream_bronze_rows(spark, sf_dir) -> DataFrame:
     """Records out of order by up to two days -> bronze with the batch's survivor, under a watermark of four days."""
     spark = _s(spark)
     root = shared_dir(spark, "stream-rows")
-    write_by_arrival(spark, flows.batch_topic_log(spark, sf_dir, json=True, only=[TOPIC_RAW]), f"{root}/topics")
-    start_bronze_held(spark, f"{root}/topics", f"{root}/bronze", f"{root}/chk", delay="4 days", available_now=True, max_per_trigger=1).awaitTermination()
+    # An append has as many files as its size asks for, so the stream takes in what is there after each one, not a number of files.
+    for _ in arrivals(spark, flows.batch_topic_log(spark, sf_dir, json=True, only=[TOPIC_RAW]), f"{root}/topics"):
+        start_bronze_held(spark, f"{root}/topics", f"{root}/bronze", f"{root}/chk", delay="4 days", available_now=True).awaitTermination()
     return spark.read.parquet(f"{root}/bronze").drop("ingested_at", "ingest_date")
 
 

@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from emberlog.plans import flows
+from emberlog.plans.registered import arrivals
 from emberlog.session import shared_dir
 from emberlog.sources import bridge
 from emberlog.sources.lines import stream_lines
+from emberlog.sources.topics import encode
 from emberlog.streaming.ingest import start_bronze
 
 
@@ -47,6 +49,23 @@ def test_streamed_lines_of_a_cut_file_rise_in_its_order(spark):
     assert max(len({r.task for r in f}) for f in files.values()) > 5  # no file is one task
 
 
+def test_an_append_by_arrival_is_written_by_several_tasks(spark):
+    root = shared_dir(spark, "arrivals")
+    events = spark.range(2000).select(F.lit("fg_raw_all").alias("topic"), F.col("id").alias("line_no"), F.lit("d").alias("device_id"),
+                                      F.date_format(F.timestamp_seconds(1704067200 + F.col("id") * 1000), "yyyy-MM-dd HH:mm:ss").alias("ts")).repartition(3)
+    files = lambda: set(spark.read.parquet(f"{root}/topics").inputFiles())
+    added, before, size = [], set(), "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(size, "4k")
+    try:
+        for _ in arrivals(spark, encode(events), f"{root}/topics"):
+            added.append(len(files() - before))
+            before = files()
+    finally:
+        spark.conf.unset(size)
+    assert all(n > 1 for n in added[:5]) and added[5:] == [1, 1]
+    assert sorted(r[0] for r in spark.read.parquet(f"{root}/topics").select("offset").collect()) == [-1, -1, *range(2000)]
+
+
 def test_keys_of_the_stream_are_state_out_of_the_heap(spark):
     root = shared_dir(spark, "keys")
     spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
