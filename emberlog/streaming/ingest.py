@@ -39,7 +39,7 @@ from ..operators.parse_rt import parse_rt_lines
 from ..operators.route import route
 from ..operators.serving import TABLES, load_devices, load_table, month_partition
 from ..operators.silver import event_time, event_time_of_ts
-from ..schemas import TOPIC_DEVICES, TOPIC_NETWORK, TOPIC_RAW
+from ..schemas import FIREWALL_TOPICS, TOPIC_DEVICES, TOPIC_NETWORK, TOPIC_RAW
 from ..sources.lines import stream_lines, stream_network_csv
 from ..sources.topics import RECORDS_PER_FILE, encode, stream_topic
 
@@ -48,6 +48,7 @@ from ..sources.topics import RECORDS_PER_FILE, encode, stream_topic
 BLOCK_RECORDS = 65_536
 
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -83,8 +84,14 @@ def _publish(log: DataFrame, topic_path: str, checkpoint: str, fmt: str,
     else:
         w = (log.writeStream.format(fmt).partitionBy("topic").option("path", topic_path)
              .option("compression", "zstd").option("maxRecordsPerFile", RECORDS_PER_FILE))
-    w = w.option("checkpointLocation", checkpoint).outputMode("append")
-    return _trigger(w, available_now, interval).start()
+    w = _trigger(w.option("checkpointLocation", checkpoint).outputMode("append"), available_now, interval)
+    # A task holds one file of each topic open, of RECORDS_PER_FILE records at most, instead of sorting all copies by topic.
+    spark, before = log.sparkSession, log.sparkSession.conf.get(OPEN_FILES, None)
+    spark.conf.set(OPEN_FILES, str(len(FIREWALL_TOPICS) + 1))
+    try:
+        return w.start()  # the query runs in a copy of the session
+    finally:
+        spark.conf.unset(OPEN_FILES) if before is None else spark.conf.set(OPEN_FILES, before)
 
 
 def start_network(spark: SparkSession, csv_path: str, topic_path: str, checkpoint: str,
