@@ -100,7 +100,8 @@ def parse_batch_lines(lines: DataFrame, ingest_ts: Column | None = None,
                  & ~c("_line").startswith(_HEADER_PREFIXES[0])
                  & ~c("_line").startswith(_HEADER_PREFIXES[1])
                  & ~c("_line").startswith(_HEADER_PREFIXES[2]))
-          .select(*keep, F.split("_line", ";", 8).alias("_p"))
+          # Exploded, so that the filters below are not pushed through with a split of their own.
+          .select(*keep, F.explode(F.array(F.split("_line", ";", 8))).alias("_p"))
           .where(F.size("_p") == 8))
     p = c("_p")
     df = df.select(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scoring import REALTIME, is_anomaly, severity
-from ..functions.text import strip_ws, to_float, to_int, with_kv
+from ..functions.text import strip_ws, to_float, to_int, try_whole, with_kv
 from ..schemas import RT_FIELDS
 
 _CSV_FIELDS = ["device_id", "facility", "priority", "level", "tag", "ts",
@@ -47,8 +47,9 @@ def parse_rt_lines(lines: DataFrame, id_mode: str = ID_UUID,
     keep = list(keep or [])
     src = [source_col] if id_mode == ID_SOURCE and source_col not in keep else []
     c = F.col
+    # Exploded, so that the filter below is not pushed through with a parse of its own for each field it asks for.
     staged = (lines.select(*keep, *src, strip_ws(c(value_col)).alias("_line"))
-              .select("*", F.from_csv(c("_line"), _CSV_SCHEMA, _CSV_OPTIONS).alias("_r")))
+              .select("*", F.explode(F.array(F.from_csv(c("_line"), _CSV_SCHEMA, _CSV_OPTIONS))).alias("_r")))
     r = c("_r")
     # from_csv yields null for both an empty and a missing 8th field: then the
     # separators outside quotes are counted (rare, so the regex is not hot).
@@ -68,7 +69,7 @@ def parse_rt_lines(lines: DataFrame, id_mode: str = ID_UUID,
     df = with_kv(df, "message", STRING_KEYS + list(INT_KEYS) + ["latency"])
     cols = {k: F.coalesce(c(f"_v_{k}"), F.lit("")) for k in STRING_KEYS}
     for k, t in INT_KEYS.items():
-        cols[k] = F.coalesce(c(f"_v_{k}").try_cast(t), F.lit(0).cast(t))
+        cols[k] = F.coalesce(try_whole(f"_v_{k}", t), F.lit(0).cast(t))
     cols["latency"] = to_float(c("_v_latency"), 0.0)
     sev = severity(c("_priority"), REALTIME)
     ingested = ingest_ts if ingest_ts is not None else F.current_timestamp()

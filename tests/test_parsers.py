@@ -114,3 +114,14 @@ def test_header_behind_bom_and_blanks(spark):
 
 def test_logdesc_is_stripped(spark):
     assert _batch(spark, LINE.format(p=3, msg="logdesc=\tup a=1", seq=1))[0]["message"] == "up"
+
+
+def test_a_line_is_taken_apart_once(spark):
+    """Filters must not be pushed through with a parse of their own, nor keys be searched for one by one."""
+    lines = spark.createDataFrame([(1, 'd;1;2;n;t;2024-01-01 00:00:00;p;"a=1 srcip=x srcip=y srcport=12ab status= =z";7')], "line_no long, value string")
+    for parse, call in ((parse_batch_lines, "split("), (parse_rt_lines, "from_csv(")):
+        df = parse(lines, keep=["line_no"])
+        plan = df._jdf.queryExecution().optimizedPlan().toString().lower().replace("csvtostructs(", "from_csv(")
+        assert plan.count(call) == 1 and "locate(" not in plan
+        row = df.first()
+        assert (row.srcip, row.srcport, row.dstport, row.status) == ("x", 12 if parse is parse_batch_lines else 0, 0, "")
