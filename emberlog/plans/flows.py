@@ -29,8 +29,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bridge.read_events(spark, sf_dir)
 
 
-def firewall_lines(spark, sf_dir) -> DataFrame:
-    return bridge.firewall_lines(bridge.spread_events(events(spark, sf_dir)))
+def firewall_lines(spark, sf_dir, copies: int = 1) -> DataFrame:
+    return bridge.firewall_lines(bridge.spread_events(events(spark, sf_dir), copies))
 
 
 def network_lines(spark, sf_dir) -> DataFrame:
@@ -54,6 +54,8 @@ def batch_topic_log(spark, sf_dir, lines: DataFrame | None = None,
 def bronze(spark, sf_dir, keys=FULL_KEYS, lines=None, ingest_ts=None,
            topics=(TOPIC_RAW,)) -> DataFrame:
     """Bronze from the raw topic (every event is on it), or from the given topics."""
+    # A task sorts all its copies by key, so more topics mean fewer events in a task.
+    lines = lines if lines is not None else firewall_lines(spark, sf_dir, copies=len(topics))
     log = batch_topic_log(spark, sf_dir, lines, only=list(topics))
     return to_bronze(log, ingest_ts=ingest_ts, keys=keys, topics=topics)
 

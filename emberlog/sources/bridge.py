@@ -251,8 +251,8 @@ def network_lines(events: DataFrame) -> DataFrame:
 MOST_PER_TASK, LEAST_PER_TASK = 131_072, 16_384
 
 
-def spread_events(events: DataFrame) -> DataFrame:
-    """The same rows in tasks of bounded size.
+def spread_events(events: DataFrame, copies: int = 1) -> DataFrame:
+    """The same rows in tasks of bounded size (``copies``: as how many rows an event goes on at most).
 
     A table may be one file of one row group, which a scan reads in one task,
     whatever its size; its rows are narrow, the lines made from them are not.
@@ -260,7 +260,7 @@ def spread_events(events: DataFrame) -> DataFrame:
     """
     rows = events.count()
     cores = events.sparkSession.sparkContext.defaultParallelism
-    tasks = max(min(2 * cores, rows // LEAST_PER_TASK), -(-rows // MOST_PER_TASK))
+    tasks = max(min(2 * cores, rows // LEAST_PER_TASK), -(-rows * copies // MOST_PER_TASK))
     return events.repartition(tasks) if tasks > 1 else events
 
 

@@ -4,12 +4,15 @@ from pyspark.sql import functions as F
 
 from emberlog.plans import flows
 from emberlog.plans.registered import arrivals
+from emberlog.schemas import FIREWALL_TOPICS
 from emberlog.session import shared_dir
 from emberlog.sources import bridge
 from emberlog.sources.lines import stream_lines
 from emberlog.sources.topics import encode
 from emberlog.streaming.ingest import start_bronze
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def test_events_of_one_row_group_are_rendered_in_tasks_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(bridge, "MOST_PER_TASK", 100)
@@ -24,6 +27,18 @@ def test_events_of_one_row_group_are_rendered_in_tasks_of_bounded_size(spark, mo
         assert sorted(got.collect()) == sorted(plain(whole).collect())
 
 
+def test_events_that_go_on_as_several_copies_are_dealt_to_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(bridge, "MOST_PER_TASK", 100)
+    events = spark.range(1000).coalesce(1)
+    assert [bridge.spread_events(events, copies).rdd.getNumPartitions() for copies in (1, 5)] == [10, 50]
+    assert bridge.spread_events(events, 5).count() == 1000
+    of = []
+    monkeypatch.setattr(bridge, "spread_events", lambda events, copies=1: of.append(copies) or events)
+    flows.bronze(spark, SF_SMALL, topics=FIREWALL_TOPICS)
+    flows.bronze(spark, SF_SMALL)
+    assert of == [len(FIREWALL_TOPICS), 1]
+
+
 def test_streamed_lines_of_a_cut_file_rise_in_its_order(spark):
     root = shared_dir(spark, "cut-stream")
     text = {f"f{k}": [f"{k} {i} " + "x" * (i % 57) for i in range(300 * k)] for k in range(4)} | {"blank": [""] * 9000, "last": ["a", "", "b\rc", "é"]}
