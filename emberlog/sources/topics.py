@@ -31,6 +31,7 @@ IN_PLAN = "encoded_in_plan"
 
 RECORDS_PER_FILE = 16_384
 OFFSETS = "_offsets"
+STAGED = "_staged"  # micro-batches on their way into the topics' folders; readers of the log skip it
 OFFSETS_SCHEMA = "file string, topic string, partition int, first long, last long, records long"
 
 
@@ -125,6 +126,11 @@ def _name(file: str) -> str:
     return "/".join(file.rsplit("/", 2)[1:])
 
 
+def by_sink(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's own file sink began the log: what it holds is then named by the sink's list above the topics."""
+    return _exists(spark, f"{path}/_spark_metadata")
+
+
 def offset_index(spark: SparkSession, path: str) -> DataFrame:
     """file, topic, partition, first, last, records; empty where nothing is indexed."""
     if _exists(spark, f"{path}/{OFFSETS}"):
@@ -215,7 +221,8 @@ def stream_topic(spark: SparkSession, topics: list[str], path_or_servers: str,
     """Continuous read of topics (offsets tracked by the query checkpoint).
 
     ``max_records``: the most records that a micro-batch takes in (of a stored
-    log ``RECORDS_PER_FILE`` at least, as files are taken whole).
+    log ``RECORDS_PER_FILE`` at least, as files are taken whole).  A stored log is
+    read by the folders of its topics, into which files come whole.
     """
     if max_records:
         max_per_trigger = max_records if fmt == "kafka" else max_records // RECORDS_PER_FILE
@@ -228,8 +235,13 @@ def stream_topic(spark: SparkSession, topics: list[str], path_or_servers: str,
             r = r.option("maxOffsetsPerTrigger", str(max_per_trigger))
         return r.load().select("topic", "partition", "offset",
                                F.col("value").cast("string").alias("value"))
-    r = spark.readStream.schema(TOPIC_LOG_SCHEMA).format(fmt)
+    r = spark.readStream.format(fmt)
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max(1, max_per_trigger)))
-    df = r.load(path_or_servers)
+    if fmt == "parquet" and not by_sink(spark, path_or_servers):
+        # Only the folders of these topics: a micro-batch made of files of other topics costs as much as any.
+        fields = StructType([f for f in TOPIC_LOG_SCHEMA if f.name != "topic"])
+        of = F.lit(topics[0]) if len(topics) == 1 else F.regexp_extract("_metadata.file_path", "topic=([^/]*)/[^/]*$", 1)
+        return r.schema(fields).load(f"{path_or_servers}/topic={{{','.join(topics)}}}").select(of.alias("topic"), "partition", "offset", "value")
+    df = r.schema(TOPIC_LOG_SCHEMA).load(path_or_servers)
     return df.where(F.col("topic").isin(*topics)).select("topic", "partition", "offset", "value")

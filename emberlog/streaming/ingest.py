@@ -41,7 +41,7 @@ from ..operators.serving import TABLES, load_devices, load_table, month_partitio
 from ..operators.silver import event_time, event_time_of_ts
 from ..schemas import FIREWALL_TOPICS, TOPIC_DEVICES, TOPIC_NETWORK, TOPIC_RAW
 from ..sources.lines import stream_lines, stream_network_csv
-from ..sources.topics import RECORDS_PER_FILE, encode, stream_topic
+from ..sources.topics import RECORDS_PER_FILE, STAGED, by_sink, encode, stream_topic
 
 
 # Fixed value: records that a serving table takes in at a time.
@@ -81,6 +81,12 @@ def _publish(log: DataFrame, topic_path: str, checkpoint: str, fmt: str,
     if fmt == "kafka":
         w = (log.select("topic", "value").writeStream.format("kafka")
              .option("kafka.bootstrap.servers", topic_path))
+    elif fmt == "parquet" and not by_sink(log.sparkSession, topic_path):
+        def _place(batch: DataFrame, batch_id: int) -> None:
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            place_batch(batch, topic_path, batch_id, query)
+
+        w = log.writeStream.foreachBatch(_place)
     else:
         w = (log.writeStream.format(fmt).partitionBy("topic").option("path", topic_path)
              .option("compression", "zstd").option("maxRecordsPerFile", RECORDS_PER_FILE))
@@ -94,6 +100,37 @@ def _publish(log: DataFrame, topic_path: str, checkpoint: str, fmt: str,
         spark.conf.unset(OPEN_FILES) if before is None else spark.conf.set(OPEN_FILES, before)
 
 
+def place_batch(batch: DataFrame, path: str, batch_id: int, query: str) -> None:
+    """Put one micro-batch of the streaming query ``query`` into its topics' folders.
+
+    All its files are written aside first and take their name as a whole by one
+    rename; then each file is moved into its topic's folder.  A replay writes
+    nothing again but moves what is left, so a reader of a folder meets every
+    record once.
+    """
+    folder = f"{path.rstrip('/')}/{STAGED}/{query}"
+    fs, whole, jvm = _fs(batch.sparkSession, f"{folder}/{batch_id}")
+    at = jvm.org.apache.hadoop.fs.Path
+
+    def move(a, b):
+        if not fs.rename(a, b):
+            raise OSError(f"cannot move {a} to {b}")
+
+    if not fs.exists(whole):
+        draft = f"{folder}/draft-{batch_id}"
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+         .option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy("topic").parquet(draft))
+        move(at(draft), whole)
+        for other in fs.listStatus(at(folder)):  # the checkpoint has the batches before, so none is replayed
+            if other.getPath().getName() != str(batch_id):
+                fs.delete(other.getPath(), True)
+    for topic in (t.getPath() for t in fs.listStatus(whole) if t.isDirectory()):
+        to = at(f"{path.rstrip('/')}/{topic.getName()}")
+        fs.mkdirs(to)
+        for file in fs.listStatus(topic):
+            move(file.getPath(), at(to, file.getPath().getName()))
+
+
 def start_network(spark: SparkSession, csv_path: str, topic_path: str, checkpoint: str,
                   fmt: str = "parquet", fallback=None, max_files: int | None = None,
                   available_now: bool = False, interval: str | None = None) -> StreamingQuery:

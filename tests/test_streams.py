@@ -1,11 +1,14 @@
 """Bronze in the stream with the batch's survivor."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from emberlog.session import shared_dir
-from emberlog.streaming.ingest import start_bronze_held
+from emberlog.sources.lines import stream_lines
+from emberlog.sources.topics import stream_topic
+from emberlog.streaming.ingest import place_batch, start_bronze_held, start_fanout, start_serving
 
 
 def _append(spark, root, *records):
@@ -38,3 +41,68 @@ def test_the_smallest_record_of_a_key_leaves_when_the_watermark_passes(spark):
     _, rows = run()
     assert [r[:2] for r in rows] == [("a", 3), ("b", 20), ("c", 3), ("d", 40), ("e", 41), ("u", 30)]
     assert spark.read.parquet(f"{root}/bronze").where(F.trim("device_id") == "").count() == 0
+
+
+def _lines(spark, root, n, name):
+    line = 'FG{};1;3;5;t;2024-01-01 00:00:00;p;"logid={} action=accept status=success";{}'
+    spark.createDataFrame([(line.format(i % 5, i, i),) for i in range(n)], "value string").coalesce(3).write.mode("append").text(f"{root}/{name}")
+
+
+def test_a_stream_of_one_topic_has_no_micro_batches_of_other_topics(spark):
+    root = shared_dir(spark, "one-topic")
+    _lines(spark, root, 60, "in")
+    start_fanout(spark, f"{root}/in", f"{root}/topics", f"{root}/chk-in", max_files=1, available_now=True).awaitTermination()
+    query = start_serving(spark, f"{root}/topics", "t_raw_events", f"{root}/raw", f"{root}/chk", available_now=True, max_per_trigger=1)
+    query.awaitTermination()
+    files = len(spark.read.parquet(f"{root}/topics").where("topic = 'fg_raw_all'").select("_metadata.file_path").distinct().collect())
+    assert len(spark.read.parquet(f"{root}/topics").inputFiles()) > files == len(query.recentProgress) == 3
+    assert spark.read.parquet(f"{root}/raw").count() == 60
+    # A topic that has no file yet, of a log that has none: its records are taken in when they come.
+    early = lambda: start_serving(spark, f"{root}/late", "t_raw_events", f"{root}/late-raw", f"{root}/chk-late", available_now=True).awaitTermination()
+    early()
+    start_fanout(spark, f"{root}/in", f"{root}/late", f"{root}/chk-in-late", available_now=True).awaitTermination()
+    early()
+    assert sorted(r[0] for r in spark.read.parquet(f"{root}/late-raw").select("device_id").distinct().collect()) == [f"FG{k}" for k in range(5)]
+    assert spark.read.parquet(f"{root}/late-raw").count() == 60
+    both = stream_topic(spark, ["fg_raw_all", "fg_device_inventory"], f"{root}/topics")
+    both.writeStream.format("parquet").option("path", f"{root}/both").option("checkpointLocation", f"{root}/chk-both").trigger(availableNow=True).start().awaitTermination()
+    assert {r[0]: r[1] for r in spark.read.parquet(f"{root}/both").groupBy("topic").count().collect()} == {"fg_raw_all": 60, "fg_device_inventory": 60}
+
+
+def test_a_replayed_micro_batch_moves_what_is_left_and_writes_nothing_again(spark):
+    root = shared_dir(spark, "place")
+    log = lambda *offsets: spark.createDataFrame([(t, 0, o, "{}") for o in offsets for t in ("a", "b")], "topic string, partition int, offset long, value string")
+    rows = lambda: sorted((r.topic, r.offset) for r in spark.read.parquet(root).collect())
+    place_batch(log(1, 2), root, 0, "q")
+    assert rows() == [("a", 1), ("a", 2), ("b", 1), ("b", 2)]
+    place_batch(log(8, 9), root, 0, "q")  # a replay whose rows differ, as ids drawn anew do
+    assert rows() == [("a", 1), ("a", 2), ("b", 1), ("b", 2)]
+    # Stopped after the files were written and one topic was moved.
+    whole = f"{root}/_staged/q/1"
+    log(3).coalesce(1).write.partitionBy("topic").parquet(whole)
+    (name,) = [f for f in os.listdir(f"{whole}/topic=a") if f.endswith(".parquet")]
+    os.rename(f"{whole}/topic=a/{name}", f"{root}/topic=a/{name}")
+    place_batch(log(7), root, 1, "q")
+    assert rows() == [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2), ("b", 3)]
+    # Stopped while they were written.
+    log(5).write.partitionBy("topic").parquet(f"{root}/_staged/q/draft-2")
+    place_batch(log(4), root, 2, "q")
+    place_batch(log(4), root, 0, "another query")
+    assert [o for t, o in rows() if t == "b"] == [1, 2, 3, 4, 4]
+    assert sorted(os.listdir(f"{root}/_staged/q")) == ["2"]  # what the checkpoint has is kept no longer
+
+
+def test_a_log_that_sparks_sink_began_goes_on_in_its_list(spark):
+    root = shared_dir(spark, "by-sink")
+    _lines(spark, root, 6, "old")
+    stream_lines(spark, f"{root}/old", positions=True).selectExpr("'fg_raw_all' topic", "split partition", "line_no offset", "'{\"device_id\": \"old\"}' value").writeStream.format("parquet").partitionBy("topic").option(
+        "path", f"{root}/topics").option("checkpointLocation", f"{root}/chk-old").trigger(availableNow=True).start().awaitTermination()
+    # A file that the sink has not committed is no part of the log.
+    spark.createDataFrame([(0, 99, '{"device_id": "lost"}')], "partition int, offset long, value string").write.mode("append").parquet(f"{root}/topics/topic=fg_raw_all")
+    start_serving(spark, f"{root}/topics", "t_raw_events", f"{root}/raw", f"{root}/chk", available_now=True).awaitTermination()
+    assert [r[0] for r in spark.read.parquet(f"{root}/raw").select("device_id").collect()] == ["old"] * 6
+    # The query that began it goes on with the same sink.
+    _lines(spark, root, 4, "old")
+    start_fanout(spark, f"{root}/old", f"{root}/topics", f"{root}/chk-old", available_now=True).awaitTermination()
+    start_serving(spark, f"{root}/topics", "t_raw_events", f"{root}/raw", f"{root}/chk", available_now=True).awaitTermination()
+    assert spark.read.parquet(f"{root}/raw").count() == 10
