@@ -40,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,21 +56,28 @@ _VALUE = mixed(np.arange(1, 257, dtype=np.uint64))
 _VALUE[_SPACE] = 0
 
 
-def cut(raw: bytes, span: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The units of a text: first byte, end, number of words and line of each.
+def cut_texts(data: np.ndarray, texts: np.ndarray, span: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The units of texts that stand one behind the other, each from its place in ``texts`` on: first byte, end, number of words, line and text of each.
 
-    Every line starts a unit, and so does (with a ``span``, of 16 at most) the word
-    with the smallest hash, the last one of equals, of each ``span`` successive
-    words of a line.
+    Lines are counted through all texts.  Every line starts a unit, and so does
+    (with a ``span``, of 16 at most) the word with the smallest hash, the last one
+    of equals, of each ``span`` successive words of a line.
     """
-    data = np.frombuffer(raw, np.uint8)
     word = ~_SPACE[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
+    begins = texts[texts < len(data)]
+    first[begins] = word[begins]
     at = np.flatnonzero(first)
-    lines = np.concatenate([[0], np.flatnonzero(data == 10) + 1])
+    feeds = np.flatnonzero(data == 10)
+    # The last line of a text may be empty and begin where the next text does.
+    text_of = np.concatenate([np.arange(len(texts)), np.searchsorted(texts, feeds, "right") - 1])
+    lines = np.concatenate([texts, feeds + 1])
+    order = np.lexsort((lines, text_of))
+    lines, text_of = lines[order], text_of[order]
+    starts, of = lines, np.arange(len(lines))
     line = np.searchsorted(lines, at, "right") - 1
-    starts, n = lines, len(at) - span + 1 if span else 0
+    n = len(at) - span + 1 if span else 0
     if n > 0:
         value = mixed(np.add.reduceat(_VALUE[data], at)) & ~np.uint64(15)
         least = value[:n] | np.uint64(span - 1)
@@ -77,19 +85,30 @@ def cut(raw: bytes, span: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarra
             np.minimum(least, value[k:k + n] | np.uint64(span - 1 - k), out=least)
         place = np.arange(n) + (span - 1 - (least & np.uint64(15)).astype(np.int64))
         place = np.unique(place[line[:n] == line[span - 1:]])
-        inner = (place > 0) & (line[place] == line[place - 1])
-        starts = np.sort(np.concatenate([lines, at[place[inner]]]))
-    of = np.searchsorted(lines, starts, "right") - 1
-    ends = np.append(starts[1:], len(raw))
-    ends[:-1] -= of[1:] != of[:-1]
-    words = np.diff(np.searchsorted(at, np.append(starts, len(raw) + 1)))
-    return starts, ends, words, of
+        inner = place[(place > 0) & (line[place] == line[place - 1])]
+        starts, of = np.concatenate([lines, at[inner]]), np.concatenate([of, line[inner]])
+        order = np.argsort(starts, kind="stable")
+        starts, of = starts[order], of[order]
+    ends = np.append(starts[1:], len(data))
+    text = text_of[of]
+    ends[:-1] -= (of[1:] != of[:-1]) & (text[1:] == text[:-1])
+    words = np.diff(np.searchsorted(at, np.append(starts, len(data) + 1)))
+    return starts, ends, words, of, text
+
+
+def cut(raw: bytes, span: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The units of a text: first byte, end, number of words and line of each."""
+    return cut_texts(np.frombuffer(raw, np.uint8), np.zeros(1, np.int64), span)[:4]
+
+
+def _digests(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
 
 
 def unit_codes(raw: bytes, span: int | None) -> tuple[list[int], list[int]]:
     """The hash and the number of words of each unit."""
     starts, ends, words, _ = cut(raw, span)
-    return [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], words.tolist()
+    return _digests(raw, starts, ends), words.tolist()
 
 
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -101,18 +120,21 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
-def runs(codes: np.ndarray, words: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs(codes: np.ndarray, words: np.ndarray, min_words: int = MIN_WORDS, bounds: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, first units and ends of the shortest runs with ``min_words`` words from, and up to, each unit that has words, by first unit.
 
     A key is the polynomial of the run's unit hashes, modulo 2^64, mixed.
+    ``bounds``: where the units of each text begin, and the end of the last, if
+    they are of several texts; no run goes beyond its text.
     """
     size = words.astype(np.int64)
+    low, high = (0, len(size)) if bounds is None else (np.repeat(x, np.diff(bounds)) for x in (bounds[:-1], bounds[1:]))
     after = np.cumsum(size)
     end = np.searchsorted(after, after - size + min_words) + 1
-    full = np.flatnonzero((size > 0) & (end <= len(size)))
+    full = np.flatnonzero((size > 0) & (end <= high))
     # The last unit from which on a run up to this one has enough words.
     start = np.searchsorted(after - size, after - min_words, "right") - 1
-    back = np.flatnonzero((size > 0) & (start >= 0))
+    back = np.flatnonzero((size > 0) & (start >= low))
     spans = np.unique(np.concatenate([full << 32 | end[full], start[back] << 32 | (back + 1)]))
     first, last = spans >> 32, spans & 0xFFFFFFFF
     sums = np.zeros(len(codes) + 1, np.uint64)
@@ -229,19 +251,33 @@ def common_units(a: list, b: list, words: list[int], min_words: int = MIN_WORDS,
     return [j for j, x in enumerate(gone) if x]
 
 
+def described(texts: pa.LargeStringArray, min_words: int, span: int | None) -> tuple[list[bytes], list[bytes], pa.ListArray]:
+    """Unit hashes, words of each unit and distinct run keys of every text, found in one go for all."""
+    places = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2].slice(places[0], places[-1] - places[0]).to_pybytes() if places[-1] > places[0] else b""
+    starts, ends, words, _, text = cut_texts(np.frombuffer(raw, np.uint8), places[:-1] - places[0], span)
+    codes = np.array(_digests(raw, starts, ends), np.uint64)
+    bounds = np.searchsorted(text, np.arange(len(texts) + 1))
+    keys, first, _ = runs(codes, words, min_words, bounds)
+    of = text[first]
+    order = np.lexsort((keys, of))
+    keys, of = keys[order], of[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
+    keys, of = keys[new], of[new]
+    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(texts) + 1)), pa.int32()), pa.array(keys.view(np.int64)))
+    part = lambda x, k: [x[a * k:b * k] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    return part(codes.tobytes(), 8), part(words.astype(np.uint32).tobytes(), 4), lists
+
+
 def _describe(min_words: int, span: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for step in steps(batch, "text"):
-                codes, words, keys = [], [], []
-                for raw in text_column(step.column("text")).cast(pa.large_binary()).to_pylist():
-                    c, w = unit_codes(raw, span)
-                    codes.append(np.array(c, np.uint64).tobytes())
-                    words.append(np.array(w, np.uint32).tobytes())
-                    keys.append(np.unique(runs(np.array(c, np.uint64), np.array(w), min_words)[0]).view(np.int64))
+                codes, words, keys = described(text_column(step.column("text")), min_words, span)
                 yield pa.RecordBatch.from_arrays(
-                    [step.column("doc_id"), step.column("text_key"), pa.array(codes, pa.binary()), pa.array(words, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "text_key", "codes", "words", "keys"])
+                    [step.column("doc_id"), step.column("text_key"), pa.array(codes, pa.binary()), pa.array(words, pa.binary()), keys],
+                    schema=pa.schema([step.schema.field("doc_id"), step.schema.field("text_key"), ("codes", pa.binary()), ("words", pa.binary()), ("keys", pa.list_(pa.int64()))]))
     return run
 
 
@@ -288,7 +324,8 @@ def common_blocks(docs: DataFrame, min_words: int = MIN_WORDS, span: int | None
     firsts = keys.withColumn("first", F.min("doc_id").over(Window.partitionBy("key")))
     pairs = stored(firsts.where("first < doc_id").select("first", "doc_id").distinct(), "line-pairs")
     sizes = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("salts"))
-    content = lined.drop("keys").groupBy("doc_id", "text_key").agg(F.first("codes").alias("codes"), F.first("words").alias("words"))
+    # Dealt out by document once: the aggregate and both joins go on from there.
+    content = lined.drop("keys").repartition("doc_id").groupBy("doc_id", "text_key").agg(F.first("codes").alias("codes"), F.first("words").alias("words"))
     # Joined alike at every size: none of these sides is bounded.
     content = content.hint("merge")
     left = (pairs.join(sizes.hint("merge"), "first").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts"))).join(content, "doc_id")
@@ -315,15 +352,16 @@ def _delete(span: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for step in steps(batch, "text"):
-                texts, sizes, removed = [], [], []
-                for text, gone in zip(step.column("text").to_pylist(), step.column("removed").to_pylist()):
-                    sizes.append((text or "").count("\n") + 1)
-                    left, lines = without(text.encode(), gone, span) if gone else (None, [])
-                    texts.append(text if left is None else left.decode())
-                    removed.append(lines)
-                new = {"text": pa.array(texts, step.schema.field("text").type), "removed": pa.array(removed, pa.list_(pa.int32()))}
+                column, gone = step.column("text"), step.column("removed")
+                some = pc.greater(pc.list_value_length(gone), 0)
+                removed, texts = [[] for _ in range(len(gone))], []
+                for row in np.flatnonzero(some.to_numpy(zero_copy_only=False)).tolist():
+                    left, removed[row] = without(column[row].as_py().encode(), gone[row].as_py(), span)
+                    texts.append(left.decode())
+                sizes = pc.add(pc.count_substring(text_column(column), "\n"), 1).cast(pa.int32())
+                new = {"text": pc.replace_with_mask(column, some, pa.array(texts, column.type)) if texts else column, "removed": pa.array(removed, pa.list_(pa.int32()))}
                 columns = [new.get(name, column) for name, column in zip(step.schema.names, step.columns)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int32())], names=[*step.schema.names, "n_lines"])
+                yield pa.RecordBatch.from_arrays([*columns, sizes], names=[*step.schema.names, "n_lines"])
     return run
 
 

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from emberlog.llm import line_dedup, near_dup, pii, quality, registered
-from emberlog.llm.common import stored
+from emberlog.llm.common import stored, text_column
 from emberlog.llm.components import components
 from helpers import SF, documents, texts_of
 from test_tokens import check_packing
@@ -311,6 +311,26 @@ def test_op8_units_make_up_the_text():
         assert line_dedup.without(raw, [], line_dedup.SPAN) == (raw, [])
 
 
+def test_op8_texts_are_described_in_one_go(monkeypatch):
+    texts = [None, "", "\n", "a", "é b\n", "", "\n\nx y", " z ", "\n".join([" ".join("the é x y".split() * 30)] * 2) + "\n", "b " * 50, "b " * 50, None]
+    column = pa.array(["not in the slice", *texts], pa.string()).slice(1)
+    calls, cut_texts = [], line_dedup.cut_texts
+    for min_words, span in ((30, line_dedup.SPAN), (3, None), (4, 3)):
+        own = [line_dedup.unit_codes((t or "").encode(), span) for t in texts]
+        monkeypatch.setattr(line_dedup, "cut_texts", lambda *a: calls.append(a) or cut_texts(*a))
+        codes, words, keys = line_dedup.described(text_column(column), min_words, span)
+        monkeypatch.undo()
+        assert [(np.frombuffer(c, np.uint64).tolist(), np.frombuffer(w, np.uint32).tolist()) for c, w in zip(codes, words)] == own
+        assert keys.to_pylist() == [np.unique(line_dedup.runs(np.array(c, np.uint64), np.array(w), min_words)[0]).view(np.int64).tolist() for c, w in own]
+    assert len(calls) == 3
+
+
+def test_op8_unit_hashes_are_dealt_out_by_document_once(spark, capsys):
+    line_dedup.common_blocks(documents(spark), span=line_dedup.SPAN).explain()
+    plan = capsys.readouterr().out
+    assert len(re.findall(r"Exchange hashpartitioning\(doc_id#\w+, text_key#\w+", plan)) == 1  # of what was found
+
+
 def test_op8_awkward(spark):
     docs = documents(spark)
     rows = line_dedup.clean(docs).collect()
