@@ -65,6 +65,15 @@ def fallback_ts(fallback=None) -> Column:
     return F.lit(fallback).cast("timestamp")
 
 
+def now() -> Column:
+    """``current_timestamp`` as a value that is handed to generated code, not written into it.
+
+    A stream puts its time into each micro-batch's plan; as a number in the code it
+    would have every micro-batch compiled anew.  A higher-order function is evaluated as it is.
+    """
+    return F.get(F.transform(F.array(F.current_timestamp()), lambda t: t), F.lit(0))
+
+
 def parse_first(c, formats) -> list[Column]:
     """One ``try_to_timestamp`` per format (null on failure, never throws)."""
     c = col_(c)
@@ -97,4 +106,4 @@ def best_effort(c, second_precision: bool = True) -> Column:
 
 def best_effort_ts(c, fallback=None, second_precision: bool = True) -> Column:
     """``best_effort``, else ``fallback``."""
-    return F.coalesce(best_effort(c, second_precision), fallback_ts(fallback))
+    return F.coalesce(best_effort(c, second_precision), now() if fallback is None else fallback_ts(fallback))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.timeparse import best_effort, best_effort_ts, fallback_ts
+from ..functions.timeparse import best_effort, best_effort_ts, fallback_ts, now
 from ..schemas import (DEVICES_FIELDS, NETWORK_FIELDS, PERFORMANCE_FIELDS,
                        RAW_EVENTS_FIELDS, SECURITY_FIELDS, TOPIC_DEVICES,
                        TOPIC_NETWORK, TOPIC_PERFORMANCE, TOPIC_RAW,
@@ -49,7 +49,7 @@ def load_table(log: DataFrame, table: str, fallback=None,
             cols.append(best_effort_ts(c, fallback).alias(name))
         elif name == "ingested_at":
             cols.append((ingest_ts if ingest_ts is not None
-                         else F.current_timestamp()).cast("timestamp").alias(name))
+                         else now()).cast("timestamp").alias(name))
         elif isinstance(typ, StringType):
             cols.append(F.coalesce(c, F.lit("")).alias(name))
         else:

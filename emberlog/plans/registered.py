@@ -545,15 +545,35 @@ for _table, (_cols, _from) in _STREAMED.items():
     register(f"stream_serving_{_table[2:]}", O.fw(f"SELECT {_cols.replace('event_id, ', '')} FROM {_from}"))(_stream_serving(_table))
 
 
+# Streams that load one table side by side; each has one file, thus one task, in work at a time.
+CONSUMERS = 10
+
+
+def largest_blocks(queries, every: float = 5.0) -> int:
+    """Waits for streaming queries; the most records that a micro-batch of theirs took in.
+
+    A query keeps its last 100 reports, so they are read while it runs.  If one fails, all end.
+    """
+    most, running = 0, list(queries)
+    try:
+        while running:
+            ended = [q.awaitTermination(every / len(running)) for q in running]
+            most = max([most, *(p["numInputRows"] for q in running for p in q.recentProgress)])
+            running = [q for q, over in zip(running, ended) if not over]
+    finally:
+        for q in running:
+            q.stop()
+    return most
+
+
 @register("stream_serving_blocks", O.fw(f"SELECT {_SEC.replace('event_id, ', '')} FROM fwr"))
 def q_stream_serving_blocks(spark, sf_dir):
-    """The raw events table in blocks: no micro-batch takes in more records than the bound."""
+    """The raw events table in blocks, by consumers side by side: no micro-batch takes in more records than the bound."""
     spark = _s(spark)
     root = _stream_topics(spark, sf_dir)
-    query = start_serving(spark, f"{root}/topics", "t_raw_events", f"{root}/t_raw_events", f"{root}/chk-blocks", fallback=run_ts(), available_now=True,
-                          max_records=RECORDS_PER_FILE)
-    query.awaitTermination()
-    if any(p["numInputRows"] > RECORDS_PER_FILE for p in query.recentProgress):
+    queries = [start_serving(spark, f"{root}/topics", "t_raw_events", f"{root}/t_raw_events", f"{root}/chk-blocks/{k}", fallback=run_ts(), available_now=True,
+                             max_records=RECORDS_PER_FILE, share=(k, CONSUMERS)) for k in range(CONSUMERS)]
+    if largest_blocks(queries) > RECORDS_PER_FILE:
         raise RuntimeError("a micro-batch took in more records than its bound")
     return spark.read.parquet(f"{root}/t_raw_events").drop("event_id", "ingested_at", "event_month")
 

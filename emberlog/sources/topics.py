@@ -131,6 +131,11 @@ def by_sink(spark: SparkSession, path: str) -> bool:
     return _exists(spark, f"{path}/_spark_metadata")
 
 
+def by_placing(spark: SparkSession, path: str) -> bool:
+    """Whether micro-batches were placed in it (``streaming.ingest.place_batch``), whose files a sink's list would hide."""
+    return _exists(spark, f"{path}/{STAGED}")
+
+
 def offset_index(spark: SparkSession, path: str) -> DataFrame:
     """file, topic, partition, first, last, records; empty where nothing is indexed."""
     if _exists(spark, f"{path}/{OFFSETS}"):
@@ -215,15 +220,35 @@ def read_topics(spark: SparkSession, topics: list[str], path_or_servers: str,
     return df.where(F.col("topic").isin(*topics)).select("topic", "partition", "offset", "value")
 
 
+def names_of_share(k: int, of: int) -> str:
+    """Glob of the file names of share ``k`` of ``of`` (10 at most): every name, of any shape and length, is in one share.
+
+    A name goes by its tenth character, where Spark's files have the last digit of
+    the number of the task that wrote them; names without a digit there go to share 0.
+    """
+    if not 0 <= k < of <= 10:
+        raise ValueError(f"no share {k} of {of}: a log has 10 shares at most")
+    before, digits = "?" * 9, "0123456789"
+    if k:
+        return f"{before}[{digits[k::of]}]*"
+    others = "".join(d for d in digits if int(d) % of)
+    short = ",".join("?" * n for n in range(1, 10))
+    return f"{{{before}[^{others}]*,{short}}}" if others else "*"
+
+
 def stream_topic(spark: SparkSession, topics: list[str], path_or_servers: str,
                  fmt: str = "parquet", max_per_trigger: int | None = None,
-                 max_records: int | None = None) -> DataFrame:
+                 max_records: int | None = None, share: tuple[int, int] | None = None) -> DataFrame:
     """Continuous read of topics (offsets tracked by the query checkpoint).
 
     ``max_records``: the most records that a micro-batch takes in (of a stored
     log ``RECORDS_PER_FILE`` at least, as files are taken whole).  A stored log is
-    read by the folders of its topics, into which files come whole.
+    read by the folders of its topics, into which files come whole.  ``share``
+    ``(k, n)``: of the files of a stored log the k-th of n shares (as one consumer
+    of a group reads some partitions of a topic); n stays while a checkpoint lives.
     """
+    if share and fmt == "kafka":
+        raise ValueError("shares are of a stored log's files; Kafka deals its partitions out itself")
     if max_records:
         max_per_trigger = max_records if fmt == "kafka" else max_records // RECORDS_PER_FILE
     if fmt == "kafka":
@@ -236,6 +261,8 @@ def stream_topic(spark: SparkSession, topics: list[str], path_or_servers: str,
         return r.load().select("topic", "partition", "offset",
                                F.col("value").cast("string").alias("value"))
     r = spark.readStream.format(fmt)
+    if share:
+        r = r.option("pathGlobFilter", names_of_share(*share))
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max(1, max_per_trigger)))
     if fmt == "parquet" and not by_sink(spark, path_or_servers):

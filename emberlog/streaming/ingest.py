@@ -4,7 +4,8 @@
   predicate fan-out -> JSON topic log (parquet partitioned by topic, or
   Kafka).  One read of the source per micro-batch; the expansion is map-side.
 * ``start_network``: network-device CSV files -> classify and enrich -> topic.
-* ``start_serving``: one topic -> its serving table, appended.
+* ``start_serving``: one topic -> its serving table, appended; by one stream or
+  by several that take a share of the topic's files each.
 * ``start_bronze``: raw topic -> bronze table, de-duplicated within a watermark
   (the record that arrives first stays, at once).
 * ``start_bronze_held``: the same with the batch job's survivor: records wait as
@@ -41,7 +42,7 @@ from ..operators.serving import TABLES, load_devices, load_table, month_partitio
 from ..operators.silver import event_time, event_time_of_ts
 from ..schemas import FIREWALL_TOPICS, TOPIC_DEVICES, TOPIC_NETWORK, TOPIC_RAW
 from ..sources.lines import stream_lines, stream_network_csv
-from ..sources.topics import RECORDS_PER_FILE, STAGED, by_sink, encode, stream_topic
+from ..sources.topics import RECORDS_PER_FILE, STAGED, by_placing, by_sink, encode, stream_topic
 
 
 # Fixed value: records that a serving table takes in at a time.
@@ -100,13 +101,13 @@ def _publish(log: DataFrame, topic_path: str, checkpoint: str, fmt: str,
         spark.conf.unset(OPEN_FILES) if before is None else spark.conf.set(OPEN_FILES, before)
 
 
-def place_batch(batch: DataFrame, path: str, batch_id: int, query: str) -> None:
-    """Put one micro-batch of the streaming query ``query`` into its topics' folders.
+def place_batch(batch: DataFrame, path: str, batch_id: int, query: str, by: str = "topic", most: int = RECORDS_PER_FILE) -> None:
+    """Put one micro-batch of the streaming query ``query`` into its topics' folders, or those of another column ``by``.
 
     All its files are written aside first and take their name as a whole by one
     rename; then each file is moved into its topic's folder.  A replay writes
     nothing again but moves what is left, so a reader of a folder meets every
-    record once.
+    record once.  A file holds ``most`` records at most (0: any number).
     """
     folder = f"{path.rstrip('/')}/{STAGED}/{query}"
     fs, whole, jvm = _fs(batch.sparkSession, f"{folder}/{batch_id}")
@@ -119,7 +120,7 @@ def place_batch(batch: DataFrame, path: str, batch_id: int, query: str) -> None:
     if not fs.exists(whole):
         draft = f"{folder}/draft-{batch_id}"
         (batch.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
-         .option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy("topic").parquet(draft))
+         .option("maxRecordsPerFile", most).partitionBy(by).parquet(draft))
         move(at(draft), whole)
         for other in fs.listStatus(at(folder)):  # the checkpoint has the batches before, so none is replayed
             if other.getPath().getName() != str(batch_id):
@@ -146,14 +147,28 @@ def start_network(spark: SparkSession, csv_path: str, topic_path: str, checkpoin
 def start_serving(spark: SparkSession, topic_path: str, table: str, table_path: str,
                   checkpoint: str, fmt: str = "parquet", fallback=None,
                   available_now: bool = False, interval: str | None = None,
-                  max_per_trigger: int | None = None, max_records: int | None = BLOCK_RECORDS) -> StreamingQuery:
-    """One topic -> its serving table, in blocks of at most ``max_records`` records (``max_per_trigger``: files, or Kafka offsets, instead)."""
-    log = stream_topic(spark, [TABLES[table][0]], topic_path, fmt, max_per_trigger, None if max_per_trigger else max_records)
+                  max_per_trigger: int | None = None, max_records: int | None = BLOCK_RECORDS,
+                  share: tuple[int, int] | None = None) -> StreamingQuery:
+    """One topic -> its serving table, in blocks of at most ``max_records`` records (``max_per_trigger``: files, or Kafka offsets, instead).
+
+    ``share`` ``(k, n)`` makes it one of n consumers that run side by side, each
+    with a checkpoint of its own, and load the table together; see ``stream_topic``.
+    Spark's file sink has one writer, so their micro-batches are placed.
+    """
+    log = stream_topic(spark, [TABLES[table][0]], topic_path, fmt, max_per_trigger, None if max_per_trigger else max_records, share)
     rows = month_partition(load_table(log, table, fallback))
-    w = (rows.writeStream.format("parquet").partitionBy("event_month")
-         .option("path", table_path).option("checkpointLocation", checkpoint)
-         .option("compression", "zstd").outputMode("append"))
-    return _trigger(w, available_now, interval).start()
+    if share and by_sink(spark, table_path):
+        raise ValueError(f"Spark's file sink began {table_path} and goes on alone")
+    if share or by_placing(spark, table_path):
+        def _place(batch: DataFrame, batch_id: int) -> None:
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            place_batch(batch, table_path, batch_id, query, by="event_month", most=0)
+
+        w = rows.writeStream.foreachBatch(_place)
+    else:
+        w = (rows.writeStream.format("parquet").partitionBy("event_month")
+             .option("path", table_path).option("compression", "zstd"))
+    return _trigger(w.option("checkpointLocation", checkpoint).outputMode("append"), available_now, interval).start()
 
 
 def start_bronze(spark: SparkSession, topic_path: str, table_path: str, checkpoint: str,

@@ -3,11 +3,13 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from emberlog.plans.registered import largest_blocks
 from emberlog.session import shared_dir
 from emberlog.sources.lines import stream_lines
-from emberlog.sources.topics import stream_topic
+from emberlog.sources.topics import names_of_share, stream_topic
 from emberlog.streaming.ingest import place_batch, start_bronze_held, start_fanout, start_serving
 
 
@@ -106,3 +108,84 @@ def test_a_log_that_sparks_sink_began_goes_on_in_its_list(spark):
     start_fanout(spark, f"{root}/old", f"{root}/topics", f"{root}/chk-old", available_now=True).awaitTermination()
     start_serving(spark, f"{root}/topics", "t_raw_events", f"{root}/raw", f"{root}/chk", available_now=True).awaitTermination()
     assert spark.read.parquet(f"{root}/raw").count() == 10
+
+
+def test_streams_side_by_side_load_each_file_once(spark):
+    root = shared_dir(spark, "shares")
+    topic, table = f"{root}/topics/topic=fg_raw_all", f"{root}/raw"
+
+    def add(*offsets, name=None):
+        before = set(os.listdir(topic)) if os.path.isdir(topic) else set()
+        _append(spark, f"{root}/topics", *((o, 0, f"d{o}", "2024-01-01 00:00:00" if o % 2 else "2024-02-01 00:00:00", "e") for o in offsets))
+        (new,) = [f for f in set(os.listdir(topic)) - before if f.endswith(".parquet")]
+        os.rename(f"{topic}/{new}", f"{topic}/{name or new}")
+
+    def run(shares):
+        queries = [start_serving(spark, f"{root}/topics", "t_raw_events", table, f"{root}/chk/{k}", available_now=True, max_per_trigger=1, share=(k, shares)) for k in range(shares)]
+        assert largest_blocks(queries, 0.5) <= 3
+        return [sum(p["numInputRows"] for p in q.recentProgress) for q in queries]
+
+    rows = lambda: sorted(int(r[0][1:]) for r in spark.read.parquet(table).select("device_id").collect())
+    for k in range(11):  # tasks 0 to 9 and one of six digits
+        add(3 * k, 3 * k + 1, 3 * k + 2, name=f"part-{k if k < 10 else 123456:05d}-{k}.parquet")
+    add(33, 34, name="x.parquet")  # shorter than the place of the digit
+    add(35, name="written_by_others.parquet")
+    assert run(4) == [3 * 3 + 3, 3 * 3 + 3, 2 * 3, 2 * 3]
+    assert rows() == list(range(36)) and sorted(r[0] for r in spark.read.parquet(table).select("event_month").distinct().collect()) == [202401, 202402]
+    add(36, name="part-00003-new.parquet")
+    assert run(4) == [0, 0, 0, 1] and rows() == list(range(37))
+    # Another stream goes on by placing: a list of Spark's sink would hide what is there.
+    start_serving(spark, f"{root}/topics", "t_raw_events", table, f"{root}/chk-one", available_now=True).awaitTermination()
+    assert rows() == sorted([*range(37)] * 2)
+    # A table of the sink's stays the sink's.
+    start_serving(spark, f"{root}/topics", "t_raw_events", f"{root}/sink", f"{root}/chk-sink", available_now=True).awaitTermination()
+    with pytest.raises(ValueError, match="sink"):
+        start_serving(spark, f"{root}/topics", "t_raw_events", f"{root}/sink", f"{root}/chk-share", share=(0, 2))
+    with pytest.raises(ValueError, match="share"):
+        names_of_share(0, 11)
+
+
+def test_blocks_are_seen_that_a_query_reports_no_longer(spark):
+    stopped = []
+
+    class Query:
+        recentProgress = [{"numInputRows": 7}]
+
+        def __init__(self, rounds):
+            self.rounds = rounds
+
+        def stop(self):
+            stopped.append(self)
+
+        def awaitTermination(self, timeout):
+            self.rounds -= 1
+            if self.rounds < 0:
+                raise RuntimeError("failed")
+            if not self.rounds:
+                self.recentProgress = [{"numInputRows": 1}]
+            return not self.rounds
+
+    assert largest_blocks([Query(3), Query(1)]) == 7 and largest_blocks([Query(1)]) == 1 and not stopped
+    with pytest.raises(RuntimeError, match="failed"):
+        largest_blocks([Query(3), Query(0)])
+    assert len(stopped) == 2  # none goes on alone
+
+
+def test_micro_batches_share_their_compiled_code(spark):
+    root = shared_dir(spark, "compiled")
+    compiled = lambda: spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME().getCount()
+
+    def run(name, **how):
+        start_serving(spark, f"{root}/topics", "t_raw_events", f"{root}/{name}", f"{root}/chk-{name}", available_now=True, max_per_trigger=1, **how).awaitTermination()
+
+    for name, how in (("sink", {}), ("placed", {"share": (0, 1)})):
+        counts = []
+        for n in range(2):
+            for k in range(4):
+                _append(spark, f"{root}/topics", (k, 0, "d", "2024-01-01 00:00:00", "e"), (k, 0, "d", "bad", "e"))  # "bad" is stored as now
+            before = compiled()
+            run(name, **how)
+            counts.append(compiled() - before)
+        assert counts[1] < 4, counts
+        times = spark.read.parquet(f"{root}/{name}").where("ingested_at > current_timestamp() - interval 1 hour and (ts = '2024-01-01' or ts = ingested_at)")
+        assert times.count() == spark.read.parquet(f"{root}/{name}").count() > 0
